@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import scratch, table
+from .embeddings import cosine_groups
 from .packing import pack
+from .simhash import simhash_groups
 from .tokenfiles import read_token_files, write_token_files
+from .topk import top_k
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), k=3, bits=2)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +34,28 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op5_packing, op7_bpe)}
-ORACLES: dict[str, str] = {}
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_groups(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash, op4_token_files, op5_packing, op7_bpe, op8_embeddings, op10_top_k)}
+ORACLES: dict[str, str] = {
+    "op10_top_k": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from s
+)
+select query_id, rank, vec_id, score from r where rank <= 20
+""",
+}
