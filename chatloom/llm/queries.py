@@ -8,18 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
+from .chat import format_chats
 from .common import scratch, table
 from .embeddings import cosine_groups
+from .licenses import scan_licenses
 from .packing import pack
 from .simhash import simhash_groups
 from .tokenfiles import read_token_files, write_token_files
 from .topk import top_k
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), k=3, bits=2)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark)}/token-files-{uuid.uuid4().hex}"
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -43,7 +53,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_token_files, op5_packing, op7_bpe, op8_embeddings, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op7_bpe, op8_embeddings, op10_top_k)}
 ORACLES: dict[str, str] = {
     "op10_top_k": """
 with v as (
