@@ -6,16 +6,19 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .chat import format_chats
-from .common import scratch, table
+from .common import crc_fold, scratch, table
 from .embeddings import cosine_groups
 from .licenses import scan_licenses
 from .packing import pack
+from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
 from .tokenfiles import read_token_files, write_token_files
 from .topk import top_k
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +43,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=0)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_fold("doc_id", 3) == 1
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,12 +58,19 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosine_groups(table(spark, sf_dir, "embeddings"), least=0.95)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_fold("doc_id", 4) == 2
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op7_bpe, op8_embeddings, op10_top_k)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k)}
 ORACLES: dict[str, str] = {
     "op10_top_k": """
 with v as (
