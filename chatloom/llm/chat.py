@@ -27,7 +27,7 @@ ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 NONE = 1_000_000
 #: Costs of what is done: turns of a role that is not known are relabelled for less, as the role says little.
-COSTS = {"merge": 1, "relabel": 3, "relabel_unknown": 2, "insert": 4}
+COSTS = {"merge": 1, "relabel": 6, "relabel_unknown": 2, "insert": 4}
 #: Order of preference between ways of one cost.
 KINDS = ("keep", "merge", "relabel", "merge_relabel")
 OPEN = "<|{role}|>\n"
