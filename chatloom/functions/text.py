@@ -13,6 +13,22 @@ WS = r"[ \t\n\x0B\f\r\x{A0}\x{3000}]"
 SENTENCE_END = r"[。！？!?；;|\n.]+"
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value computed once however often, and in whatever lambda, use needs it."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
+def firsts(array: Column, form) -> Column:
+    """Elements whose form(element, place) comes for the first time, in order; empty forms are left out. Sorts, so that long
+    arrays take no quadratic time."""
+
+    def kept(s: Column) -> Column:
+        fresh = F.filter(s, lambda e, k: (e["f"] != "") & ((k == 0) | (F.get(s, k - 1)["f"] != e["f"])))
+        return F.transform(F.array_sort(F.transform(fresh, lambda e: F.struct(e["i"], e["x"]))), lambda e: e["x"])
+
+    return let(F.array_sort(F.transform(array, lambda x, i: F.struct(form(x, i).alias("f"), i.alias("i"), x.alias("x")))), kept)
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
@@ -51,7 +67,7 @@ def clean_lines(text: Column, noise: Sequence[str], longest: int = 2500) -> Colu
 
 def unrepeated(array: Column) -> Column:
     """Without elements equal to the one before."""
-    return F.filter(array, lambda x, i: (i == 0) | (x != F.get(array, i - 1)))
+    return let(array, lambda a: F.filter(a, lambda x, i: (i == 0) | (x != F.get(a, i - 1))))
 
 
 def longest_run(array: Column) -> Column:
@@ -72,8 +88,7 @@ def line_form(line: Column) -> Column:
 
 def first_of_each(array: Column, form) -> Column:
     """Elements whose form was not seen before, those with an empty form left out; order stays."""
-    forms = F.transform(array, form)
-    return F.filter(array, lambda x, i: (form(x) != "") & (F.array_position(forms, form(x)) == i + 1))
+    return firsts(array, lambda x, i: form(x))
 
 
 def sentences(text: Column) -> Column:
@@ -83,8 +98,7 @@ def sentences(text: Column) -> Column:
 
 def new_sentences(text: Column, least: int = 8) -> Column:
     """Sentences without repeats of those of at least `least` characters."""
-    found = sentences(text)
-    return F.filter(found, lambda x, i: (F.length(x) < least) | (F.array_position(found, x) == i + 1))
+    return firsts(sentences(text), lambda x, i: F.when(F.length(x) < least, F.concat(F.lit("\n"), i.cast("string"))).otherwise(x))
 
 
 def without_think(text: Column) -> Column:
@@ -121,9 +135,12 @@ def hits(text: Column, patterns: Sequence[str]) -> Column:
 
 def term_places(text: Column, term: str) -> Column:
     """Places, from 1, at which a lower-case term stands in a text, overlaps included."""
-    low = F.lower(text)
-    places = F.when(low.contains(term), F.sequence(F.lit(1), F.length(text) - len(term) + 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(places, lambda i: F.substring(low, i, F.lit(len(term))) == term)
+
+    def found(low: Column) -> Column:
+        places = F.when(low.contains(term), F.sequence(F.lit(1), F.length(low) - len(term) + 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda i: F.substring(low, i, F.lit(len(term))) == term)
+
+    return let(F.lower(text), found)
 
 
 def near(text: Column, place: Column, size: int, left: int, right: int) -> Column:
