@@ -157,25 +157,28 @@ def EVL22_confusion(spark, d):
     return predictions(spark, d).groupingSets([[F.col("gold"), F.col("pred")], [F.col("lang")]], "gold", "pred", "lang").agg(F.count("*").alias("n"))
 
 
-_OK = F.col("event_type") != "error"
+def _ok():
+    return F.col("event_type") != "error"
+
+
 _A, _B = "2024-01-10 00:00:00", "2024-01-15 00:00:00"
 
 
 @query(f"select count(*) as events, count(*) filter (where event_type <> 'error') as ok, count(distinct user_id) as keys, round(sum(value), 6) as value from events where ts >= '{_A}' and ts < '{_B}'")
 def LOG1_window_summary(spark, d):
-    return lg.summary(table(spark, d, "events"), _A, _B, _OK).withColumn("value", r6(F.col("value")))
+    return lg.summary(table(spark, d, "events"), _A, _B, _ok()).withColumn("value", r6(F.col("value")))
 
 
 @query(f"""with c as (select count(*) filter (where ts >= '{_A}') as events, count(*) filter (where ts < '{_A}') as events_before, count(*) filter (where ts >= '{_A}' and event_type <> 'error') as ok, count(*) filter (where ts < '{_A}' and event_type <> 'error') as ok_before from events where ts >= '2024-01-05' and ts < '{_B}')
 select *, events - events_before as events_delta, ok - ok_before as ok_delta from c""")
 def LOG2_window_comparison(spark, d):
-    return lg.compare_windows(table(spark, d, "events"), _A, _B, _OK)
+    return lg.compare_windows(table(spark, d, "events"), _A, _B, _ok())
 
 
 @query("select user_id, arg_max(event_type, (ts, event_id)) as last_type, arg_max(event_id, (ts, event_id)) filter (where event_type = 'error') as last_error, arg_max(event_type, (ts, event_id)) <> 'error' as recovered from events group by user_id".replace("(ts, event_id)", "epoch_us(ts)::hugeint * 1000000 + event_id"))
 def LOG3_latest_state(spark, d):
     at = F.struct("ts", "event_id")
-    return table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", at).alias("last_type"), F.max_by(F.when(~_OK, F.col("event_id")), F.when(~_OK, at)).alias("last_error")).withColumn("recovered", F.col("last_type") != "error")
+    return table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", at).alias("last_type"), F.max_by(F.when(~_ok(), F.col("event_id")), F.when(~_ok(), at)).alias("last_error")).withColumn("recovered", F.col("last_type") != "error")
 
 
 @query("""with c as (select event_type, user_id, count(*) as n from events group by all), r as (select *, row_number() over (partition by event_type order by n desc, user_id) as rank from c) select event_type, user_id, n, cast(rank as int) as rank from r where rank <= 3""")
@@ -214,7 +217,7 @@ _POINTS = "select cast(floor(epoch(ts) / 21600) * 21600 as bigint) as slot, coun
 
 def _points(spark, d):
     slot = (F.floor(lg.seconds_of(F.col("ts")) / 21600) * 21600).cast("long")
-    return table(spark, d, "events").groupBy(slot.alias("slot")).agg(F.count("*").alias("n"), F.avg(F.when(_OK, 1.0).otherwise(0.0)).alias("ok_rate"), F.percentile("value", F.lit(0.95)).alias("p95"))
+    return table(spark, d, "events").groupBy(slot.alias("slot")).agg(F.count("*").alias("n"), F.avg(F.when(_ok(), 1.0).otherwise(0.0)).alias("ok_rate"), F.percentile("value", F.lit(0.95)).alias("p95"))
 
 
 @query(f"with p as ({_POINTS}) select slot, list_filter([case when ok_rate < 0.8 then 'ok_rate' end, case when p95 > 150 then 'p95' end], lambda x: x is not null) as breaches from p")
@@ -231,7 +234,7 @@ def LOG11_sustained(spark, d):
 
 @query(None)
 def LOG12_cooldown(spark, d):
-    errors = table(spark, d, "events").filter(~_OK).select("user_id", lg.seconds_of(F.col("ts")).alias("at"))
+    errors = table(spark, d, "events").filter(~_ok()).select("user_id", lg.seconds_of(F.col("ts")).alias("at"))
     return lg.cooled(errors, "user_id", "at", 2 * 86400.0)
 
 

@@ -22,7 +22,8 @@ def query(sql: str | None):
     return add
 
 
-T = F.col("text")
+def _t():
+    return F.col("text")
 
 
 @query(f"""select page_id, {sql_strip("regexp_replace(replace(regexp_replace(regexp_replace(replace(html, chr(13), ' '), '<[^>]+>', ' ', 'g'), '(?i)https?://[^ \\t\\n\\x0B\\f\\r]+', ' <URL> ', 'g'), '&nbsp;', ' '), '[ \\t\\n\\x0B\\f\\r\\x{A0}\\x{3000}]+', ' ', 'g')")} as text from pages""")
@@ -32,21 +33,21 @@ def TXT1_normalize(spark, d):
 
 @query(f"select doc_id, {sql_rules('text', PII)} as text from documents")
 def TXT2_mask_pii(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.replace_all(T, PII).alias("text"))
+    return table(spark, d, "documents").select("doc_id", tx.replace_all(_t(), PII).alias("text"))
 
 
 @query(f"select doc_id, {sql_rules('text', SECRETS)} as text, text <> {sql_rules('text', SECRETS)} as changed from documents")
 def TXT3_redact_secrets(spark, d):
-    made = tx.replace_all(T, SECRETS)
-    return table(spark, d, "documents").select("doc_id", made.alias("text"), (T != made).alias("changed"))
+    made = tx.replace_all(_t(), SECRETS)
+    return table(spark, d, "documents").select("doc_id", made.alias("text"), (_t() != made).alias("changed"))
 
 
 @query(f"""with l as (select doc_id, {sql_lines('text')} as a, len(string_split(text, chr(10))) as n from documents),
 k as (select doc_id, n, list_filter(a, lambda x: length(x) <= 2500 and not regexp_matches(x, '(?i){"|".join(f"(?:{p})" for p in NOISE)}')) as b from l)
 select doc_id, array_to_string(b, chr(10)) as text, cast(n - len(b) as int) as removed from k""")
 def TXT4_noise_lines(spark, d):
-    kept = tx.clean_lines(T, NOISE)
-    return table(spark, d, "documents").select("doc_id", F.array_join(kept, "\n").alias("text"), (F.size(F.split(T, "\n")) - F.size(kept)).alias("removed"))
+    kept = tx.clean_lines(_t(), NOISE)
+    return table(spark, d, "documents").select("doc_id", F.array_join(kept, "\n").alias("text"), (F.size(F.split(_t(), "\n")) - F.size(kept)).alias("removed"))
 
 
 @query(f"""with l as (select doc_id, {sql_lines('text')} as a from documents),
@@ -59,7 +60,7 @@ k as (select doc_id, string_agg(line, chr(10) order by i) filter (where fresh =
 select l.doc_id, coalesce(k.text, '') as text, cast(coalesce(removed, 0) as int) as removed, cast(coalesce(longest, 0) as int) as longest_run
 from l left join k using (doc_id) left join m using (doc_id)""")
 def TXT5_adjacent_lines(spark, d):
-    a = table(spark, d, "documents").select("doc_id", tx.lines(T).alias("a"))
+    a = table(spark, d, "documents").select("doc_id", tx.lines(_t()).alias("a"))
     kept = tx.unrepeated(F.col("a"))
     return a.select("doc_id", F.array_join(kept, "\n").alias("text"), (F.size("a") - F.size(kept)).alias("removed"), tx.longest_run(F.col("a")).alias("longest_run"))
 
@@ -70,7 +71,7 @@ y as (select *, {sql_form('line')} as form, row_number() over (partition by doc_
 select l.doc_id, coalesce(string_agg(line, chr(10) order by i) filter (where k = 1 and form <> ''), '') as text,
 cast(count(i) filter (where k > 1 or form = '') as int) as removed from l left join y using (doc_id) group by l.doc_id""")
 def TXT6_line_dedup(spark, d):
-    a = table(spark, d, "documents").select("doc_id", tx.lines(T).alias("a"))
+    a = table(spark, d, "documents").select("doc_id", tx.lines(_t()).alias("a"))
     kept = tx.first_of_each(F.col("a"), tx.line_form)
     return a.select("doc_id", kept.alias("k"), F.size("a").alias("n")).select("doc_id", F.array_join("k", "\n").alias("text"), (F.col("n") - F.size("k")).alias("removed"))
 
@@ -79,14 +80,14 @@ def TXT6_line_dedup(spark, d):
 y as (select *, {sql_form('line')} as form from x)
 select doc_id as id, arg_min(line, i) as line, count(*) as count from y where length(form) >= 4 group by doc_id, form having count(*) >= 2""")
 def TXT7_repeated_lines(spark, d):
-    return ql.repeated_lines(table(spark, d, "documents"), "doc_id", T)
+    return ql.repeated_lines(table(spark, d, "documents"), "doc_id", _t())
 
 
 @query(f"""select doc_id, array_to_string(list_distinct_in_order, chr(10)) as text from (
 select doc_id, list_filter(a, lambda x, i: list_position(a, x) = i) as list_distinct_in_order from (
 select doc_id, list_filter({sql_lines('text')}, lambda x: len(regexp_extract_all(x, '\\p{{L}}')) >= 4 and len(regexp_extract_all(x, '\\p{{L}}')) >= 0.35 * length({sql_squeeze('x')}) and not regexp_matches(x, '[%$&*#|!]{{3,}}')) as a from documents))""")
 def TXT8_script_lines(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.array_join(tx.script_lines(T), "\n").alias("text"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(tx.script_lines(_t()), "\n").alias("text"))
 
 
 @query(f"""with s as (select doc_id, {sql_sentences('text')} as a from documents),
@@ -95,7 +96,7 @@ y as (select *, row_number() over (partition by doc_id, s order by i) as k from
 select s.doc_id, coalesce(string_agg(s, ' ' order by i) filter (where k = 1 or length(s) < 8), '') as text,
 coalesce(bool_or(k > 1 and length(s) >= 8), false) as changed from s left join y using (doc_id) group by s.doc_id""".replace("select s.doc_id, coalesce(string_agg(s,", "select s.doc_id, coalesce(string_agg(y.s,").replace("length(s) < 8)", "length(y.s) < 8)").replace("length(s) >= 8)", "length(y.s) >= 8)"))
 def TXT9_sentence_dedup(spark, d):
-    s = table(spark, d, "documents").select("doc_id", tx.sentences(T).alias("s"), tx.new_sentences(T).alias("k"))
+    s = table(spark, d, "documents").select("doc_id", tx.sentences(_t()).alias("s"), tx.new_sentences(_t()).alias("k"))
     return s.select("doc_id", F.array_join("k", " ").alias("text"), (F.size("s") != F.size("k")).alias("changed"))
 
 
@@ -126,7 +127,7 @@ select doc_id, cast(rank as int) as rank, s as sentence, cast(score as int) as s
 def TXT17_ranked_sentences(spark, d):
     from pyspark.sql import Window
 
-    s = table(spark, d, "documents").select("doc_id", F.posexplode(tx.sentences(T)).alias("i", "sentence")).filter("length(sentence) >= 6")
+    s = table(spark, d, "documents").select("doc_id", F.posexplode(tx.sentences(_t())).alias("i", "sentence")).filter("length(sentence) >= 6")
     s = s.groupBy("doc_id", "sentence").agg(F.min("i").alias("i"))
     score = F.when(F.col("sentence").rlike("(?i)(licensed|released|contact|call)"), 3).otherwise(0) + F.when(F.col("sentence").rlike("[0-9]"), 2).otherwise(0) + F.when(F.length("sentence") <= 60, 1).otherwise(0)
     s = s.withColumn("score", score).withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("score"), F.length("sentence"), "i")))
@@ -135,7 +136,7 @@ def TXT17_ranked_sentences(spark, d):
 
 @query("""select item_id, list_filter(list_filter(a, lambda x, i: list_position(a, x) = i), lambda x: x not in ('the', 'of')) as terms from (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as a from benchmark)""")
 def TXT18_terms(spark, d):
-    return table(spark, d, "benchmark").select("item_id", tx.terms(T, ["the", "of"]).alias("terms"))
+    return table(spark, d, "benchmark").select("item_id", tx.terms(_t(), ["the", "of"]).alias("terms"))
 
 
 def _gram_sql(n: int, least: int) -> str:
@@ -146,34 +147,34 @@ c as (select id, size, gram, count(*) as n from g group by all), m as (select id
 
 @query(_gram_sql(12, 80) + " select id, most, most >= 6 and most * 12 >= 0.35 * size as heavy from m")
 def FLT1_heavy_repetition(spark, d):
-    return ql.heavy_repetition(table(spark, d, "documents"), "doc_id", T)
+    return ql.heavy_repetition(table(spark, d, "documents"), "doc_id", _t())
 
 
 @query(_gram_sql(8, 0) + " select b.id, coalesce(most, 1) as score from b left join m using (id)")
 def FLT2_span_score(spark, d):
-    return ql.span_score(table(spark, d, "documents"), "doc_id", T)
+    return ql.span_score(table(spark, d, "documents"), "doc_id", _t())
 
 
 @query(f"""with s as (select doc_id as id, unnest({sql_sentences('text')}) as sentence from documents)
 select id, sentence, count(*) as count from s where length(sentence) >= 8 group by all having count(*) >= 3""")
 def FLT3_repeated_sentences(spark, d):
-    return ql.repeated_sentences(table(spark, d, "documents"), "doc_id", T)
+    return ql.repeated_sentences(table(spark, d, "documents"), "doc_id", _t())
 
 
 @query("select doc_id, list_sort(list_filter([" + ", ".join(f"case when regexp_matches(text, '(?i){'|'.join(f'(?:{p})' for p in ps)}') then '{k}' end" for k, ps in RISK.items()) + "], lambda x: x is not null)) as labels from documents")
 def FLT4_risk_labels(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.labels_of(T, RISK).alias("labels"))
+    return table(spark, d, "documents").select("doc_id", tx.labels_of(_t(), RISK).alias("labels"))
 
 
 @query("select doc_id from documents where regexp_matches(text, '(?i)(?:licen[sc]e)|(?:password)|(?:!!)')")
 def FLT5_any_pattern(spark, d):
-    return table(spark, d, "documents").filter(T.rlike("(?i)(?:licen[sc]e)|(?:password)|(?:!!)")).select("doc_id")
+    return table(spark, d, "documents").filter(_t().rlike("(?i)(?:licen[sc]e)|(?:password)|(?:!!)")).select("doc_id")
 
 
 @query("""with h as (select doc_id, text, regexp_matches(text, '(?i)license')::int + regexp_matches(text, '(?i)reserved')::int + regexp_matches(text, '(?i)password')::int as n from documents)
 select doc_id, regexp_matches(text, '[A-Z]{2}[0-9]{5,}') or n >= 2 or (n >= 1 and regexp_matches(text, '[0-9]{13,19}')) as ticket from h""")
 def FLT6_k_of_n(spark, d):
-    return table(spark, d, "documents").select("doc_id", ql.ticket_like(T, "[A-Z]{2}[0-9]{5,}", ["license", "reserved", "password"], "[0-9]{13,19}").alias("ticket"))
+    return table(spark, d, "documents").select("doc_id", ql.ticket_like(_t(), "[A-Z]{2}[0-9]{5,}", ["license", "reserved", "password"], "[0-9]{13,19}").alias("ticket"))
 
 
 def _meant_sql(term: str, negations: str, left: int, right: int) -> str:
@@ -183,13 +184,13 @@ def _meant_sql(term: str, negations: str, left: int, right: int) -> str:
 
 @query("select doc_id, list_sort(list_filter([" + ", ".join(f"case when {_meant_sql(t, 'not|no |never|without', 14, 18)} then '{t}' end" for t in TERMS) + "], lambda x: x is not null)) as hits from documents")
 def FLT7_meant_terms(spark, d):
-    found = F.array(*(F.when(tx.meant(T, t, ["not", "no ", "never", "without"]), F.lit(t)) for t in TERMS))
+    found = F.array(*(F.when(tx.meant(_t(), t, ["not", "no ", "never", "without"]), F.lit(t)) for t in TERMS))
     return table(spark, d, "documents").select("doc_id", F.array_sort(F.filter(found, lambda x: x.isNotNull())).alias("hits"))
 
 
 @query(f"select doc_id, contains(lower(text), 'license') as mentions, {_meant_sql('license', 'under the', 16, 16)} as risky from documents")
 def FLT8_safe_context(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.lower(T).contains("license").alias("mentions"), tx.meant(T, "license", ["under the"], 16, 16).alias("risky"))
+    return table(spark, d, "documents").select("doc_id", F.lower(_t()).contains("license").alias("mentions"), tx.meant(_t(), "license", ["under the"], 16, 16).alias("risky"))
 
 
 _GROUPS = {"insult": ["idiot", "moron", "trash"], "legal": ["license", "reserved"]}
@@ -197,12 +198,12 @@ _GROUPS = {"insult": ["idiot", "moron", "trash"], "legal": ["license", "reserved
 
 @query(" union all ".join(f"select '{g}' as \"group\", '{k}' as keyword, count(*) as texts from documents where contains(lower(text), '{k}') having count(*) > 0" for g, ks in _GROUPS.items() for k in ks))
 def FLT9_keyword_audit(spark, d):
-    return ql.keyword_audit(table(spark, d, "documents"), T, _GROUPS)
+    return ql.keyword_audit(table(spark, d, "documents"), _t(), _GROUPS)
 
 
 @query("""select conv_id, turn, regexp_matches(trim(string_split(text, chr(10))[1]), '^(The|In|Of)[a-z]*') as prefix, regexp_matches(text, '(?i)</?think>') as leak from conversations""")
 def FLT10_prefix_leak(spark, d):
-    return table(spark, d, "conversations").select("conv_id", "turn", F.trim(F.split(T, "\n")[0]).rlike("^(The|In|Of)[a-z]*").alias("prefix"), T.rlike("(?i)</?think>").alias("leak"))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.trim(F.split(_t(), "\n")[0]).rlike("^(The|In|Of)[a-z]*").alias("prefix"), _t().rlike("(?i)</?think>").alias("leak"))
 
 
 @query("select d.doc_id, source from documents d where doc_id not in (select doc_id from labels where quality = 0)")
@@ -226,7 +227,7 @@ r as (select *, row_number() over (partition by id order by coalesce(fine, false
 o as (select id, count(*) filter (where fine) as kept, cast(sum(n) as bigint) as hits from r where rank <= 8 group by id)
 select *, case when kept = 0 then 'no_lines' when hits < 2 then 'low_relevance' else 'ok' end as reason from o""")
 def FLT17_best_lines(spark, d):
-    return ql.best_lines(table(spark, d, "documents"), "doc_id", T, ["the", "der", "que"])
+    return ql.best_lines(table(spark, d, "documents"), "doc_id", _t(), ["the", "der", "que"])
 
 
 @query("""select event_id, list_filter([case when list_sort(json_keys(props)) <> ['k'] then 'keys' end, case when event_type not in ('click', 'purchase', 'signup', 'view') then 'type' end, case when value is null then 'value' end], lambda x: x is not null) as violations from events""")
