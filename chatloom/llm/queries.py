@@ -72,6 +72,19 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k)}
 ORACLES: dict[str, str] = {
+    "op8_embeddings": """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l as (
+  select a.vec_id as u, b.vec_id as w from v a join v b on a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.95
+), r(u, w) as (
+  select vec_id, vec_id from embeddings union select r.u, l.w from r join l on l.u = r.w
+), n as (select u, count(*) as n from l group by u)
+select e.vec_id, coalesce(any_value(n.n), 0) as n_links, min(r.w) as component_id, e.vec_id = min(r.w) as kept
+from embeddings e join r on r.u = e.vec_id left join n on n.u = e.vec_id group by e.vec_id
+""",
     "op10_top_k": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e from embeddings
