@@ -178,6 +178,17 @@ def RET9_diversity(spark, d):
     return rt.diversify(_second(spark, d).select("query_id", "id", "source", "score", "rank"), 8, 2)
 
 
+@query(None)
+def RET10_hybrid(spark, d):
+    docs, asked = table(spark, d, "documents"), table(spark, d, "benchmark")
+    index, idf = rt.tfidf(docs, "doc_id", rt.words(F.col("text")))
+    q, _ = rt.tfidf(asked, "item_id", rt.words(F.col("text")), idf)
+    # ids of queries and documents are numbers of their own: the former are made negative for the vector side
+    vec = rt.dense(rt.projected(q).withColumn("id", -1 - F.col("id")), rt.projected(index), rt.candidates(5)).withColumn("query_id", -1 - F.col("query_id"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text", "source")
+    return rt.hybrid(asked.select(F.col("item_id").alias("query_id"), F.col("text").alias("q")), texts, rt.lexical(q, index, rt.candidates(5)), vec)
+
+
 @query("select item_id, case when regexp_matches(lower(text), '(the|and).*(the|and)') then greatest(5, 8) else 5 end as top_k, case when regexp_matches(lower(text), '(the|and).*(the|and)') then 80 else 40 end as candidate_k from benchmark")
 def RET11_profile(spark, d):
     multi = F.lower("text").rlike("(the|and).*(the|and)")

@@ -102,3 +102,15 @@ def test_entry_imports_without_a_session():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=root, capture_output=True, text=True)
     assert done.returncode == 0 and int(done.stdout) > 100
+
+
+def test_hybrid_falls_back_to_words(spark):
+    texts = spark.createDataFrame([(1, "red apple pie", "a"), (2, "green apple tart", "a"), (3, "blue sky", "b")], "id long, text string, source string")
+    asked = spark.createDataFrame([(7, "apple pie"), (8, "sky")], "query_id long, q string")
+    index, idf = rt.tfidf(texts, "id", rt.words(F.col("text")))
+    q, _ = rt.tfidf(asked, "query_id", rt.words(F.col("q")), idf)
+    lex = rt.lexical(q, index, rt.candidates(2))
+    vec = rt.dense(rt.projected(q.filter("id = 7")).withColumn("id", -F.col("id")), rt.projected(index), 3).withColumn("query_id", -F.col("query_id"))
+    got = rt.hybrid(asked, texts, lex, vec, 2).orderBy("query_id", "place").collect()
+    assert (got[0].query_id, got[0].id, got[0]["mode"]) == (7, 1, "hybrid")
+    assert [(r.id, r["mode"]) for r in got if r.query_id == 8] == [(3, "lexical")]
