@@ -309,6 +309,64 @@ def test_classifier_edges(spark):
     assert quality.score_quality(docs.filter("doc_id < 0"), quality.fit_quality(docs, labels)).count() == 0
 
 
+@pytest.mark.parametrize("common", [40, 100_000])
+def test_toxicity_counts_by_the_letters_themselves(spark, common, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 14))) for _ in range(6000)]
+    texts = [" ".join(draw.choices(words, k=60)) for _ in range(240)] + [None, "", " ".join(words[:3]), " ".join(words[:3])]
+    marks = {i: int(i % 3 == 0) for i in range(160)}
+    docs = docs_of(spark, texts)
+    model = toxicity.fit_toxicity(docs, spark.createDataFrame(list(marks.items()), "doc_id long, toxic int"))
+
+    split = lambda t: {w.decode() for w in toxicity.expressions(t or "")}
+    shared, classes, seen = {}, ({}, {}), {w for t in texts for w in split(t)}
+    for w in seen:
+        s = f"^{w}$"
+        for end in range(2, len(s) + 1):
+            for k in range(max(0, end - 5), end):
+                shared[s[k:end]] = shared.get(s[k:end], 0) + 1
+    for i, y in marks.items():
+        for w in split(texts[i]):
+            s = f"^{w}$"
+            for end in range(2, len(s) + 1):
+                g = s[max(0, end - 9) : end]
+                classes[y][g] = classes[y].get(g, 0) + 1
+
+    def before(counts, cut):
+        out = {}
+        for g, n in counts.items():
+            of, off = out.get(g[:-1], (0, 0))
+            out[g[:-1]] = (of + n, off + min(n, cut))
+        return out
+
+    shared_of, class_of = before(shared, 0.75), [before(c, 2) for c in classes]
+
+    def low(g):
+        p = low(g[1:]) if len(g) > 1 else 1 / 300
+        of, off = shared_of.get(g[:-1], (0, 0))
+        return (max(shared.get(g, 0) - 0.75, 0) + off * p) / of if of else p
+
+    def score(w):
+        s, total = f"^{w}$", 0.0
+        for end in range(2, len(s) + 1):
+            g = s[max(0, end - 9) : end]
+            p = []
+            for c in (1, 0):
+                of, off = class_of[c].get(g[:-1], (0, 0))
+                p.append((max(classes[c].get(g, 0) - 2, 0) + off * low(g[-5:])) / of if of else low(g[-5:]))
+            total += np.log(max(p[0], 1e-12) / max(p[1], 1e-12))
+        return total / (len(s) + 1)
+
+    fresh = ["never abcseen éaédc", "abcabc bcdeéa", *texts]
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs_of(spark, fresh), model).collect()}
+    assert len(got) == len(fresh)
+    for i, t in enumerate(fresh):
+        top = sorted(map(score, split(t)), reverse=True)[:3] or [0.0]
+        at = model.weights[0] + model.weights[1] * top[0] + model.weights[2] * sum(top) / 3
+        assert abs(got[i] - 1 / (1 + np.exp(-max(-60.0, min(60.0, at))))) < 1e-6
+
+
 def test_rules_compile_to_what_they_hold(spark):
     draw = np.random.default_rng(8)
     x = draw.random((400, len(quality.STATISTICS)))
