@@ -13,7 +13,7 @@ from chatloom.llm.quality import fit_quality, score_quality
 from chatloom.llm.toxicity import fit_toxicity, score_toxicity
 
 #: Scores from which a document counts as toxic, and below which as of low quality.
-TOXIC, LOW = 0.5, 0.5
+TOXIC, LOW = 0.3, 0.5
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

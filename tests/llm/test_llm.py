@@ -376,3 +376,13 @@ def test_rules_compile_to_what_they_hold(spark):
     got = np.array([r.p for r in df.select(model.column(F.col("s")).alias("p")).collect()])
     want = 1 / (1 + np.exp(-(model.bias + sum(w * quality._holds(r, x) for r, w in zip(model.rules, model.weights, strict=True)))))
     assert np.allclose(got, want) and ((got >= 0.5) == y).mean() > 0.97
+
+
+def test_pipeline_rejects_what_the_operator_marks(spark, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: None)
+    monkeypatch.setattr(corpus_pipeline, "fit_toxicity", lambda *a: None)
+    monkeypatch.setattr(corpus_pipeline, "score_toxicity", lambda docs, model, name: docs.withColumn(name, F.col("s")))
+    docs = spark.createDataFrame([(1, 0.1), (2, 0.29), (3, 0.3), (4, 0.45), (5, 0.6)], "doc_id long, s double")
+    assert {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, "").collect()} == {1, 2}
