@@ -1,136 +1,184 @@
-"""Near copies at a given similarity by wide SimHash and the inverted index over byte positions.
+"""Near copies at a given similarity: wide SimHash first, then an exact index over rare shingles for what it can't promise.
 
 At a Jaccard similarity of 0.8, 64-bit fingerprints differ in about ten bits, so that no byte is sure to be shared. Here a
 fingerprint has 128 bytes, over the distinct shingles of a text: similar texts share about a quarter of them, others one in
-256. The index has TABLES postings for a fingerprint, each keyed by the bytes at three positions; texts of similarity
-0.8 meet in one of them with a probability of 0.96, those of 0.85 with 0.997. The shared bytes of pairs that meet are
-tallied, and pairs with enough of them are verified by all their bits and, where these leave it open, by their shingles.
-
-Postings are range-partitioned by key and fingerprint, so that a large one spreads over tasks, and read in order: a text
-is paired with the texts before it in its posting, all of them in small postings, the next few in large ones. The first tables come before the others, which then pass by pairs within a
-group: such pairs can't change the groups.
+256. The index over byte positions has TABLES postings for a fingerprint, each keyed by the bytes at three positions; in a
+posting each text meets the first one. Shared bytes of pairs that meet are tallied, pairs with too few of them are
+dropped, and of the others the closest of each text is verified by the shingles themselves. This finds the bulk of the
+groups; what it misses is a matter of chance, as no minimum of shared bytes is guaranteed.
+
+So an exact index completes it. Shingles are put in one order for all texts, rare ones first. Two texts of n and m
+shingles that are similar enough share one among the first n - ceil(s * n) + 1 of the one and the same of the other; and
+at the first shingle that they share, the places before it count against them, which leaves few pairs even where a
+passage is in very many texts. These pairs are verified unless the groups found so far hold both. In the first round a
+text meets the most central one of a posting only, which gathers the copies of one text; in the second all that differ in
+group. The groups are those that all pairs of the given similarity make, whatever the number of partitions.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from itertools import starmap
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, reachable
 from .components import components
-from .simhash import SEED, shingles, words_of
+from .simhash import SEED, words_of
 
-BYTES, TABLES, FIRST, WIDTH = 128, 160, 16, 3
-#: Texts before it in a posting that a text is paired with: in postings of up to SMALL members all, else FEW.
-SMALL, FEW = 8, 2
-#: Standard deviations below and above the bits expected at a similarity, between which texts themselves are compared.
-BAND = 3.0
+BYTES, TABLES, WIDTH = 128, 48, 3
 #: Shared bytes below which a pair isn't verified. Pairs of similarity 0.8 share 35 on average, others half a byte.
 LEAST_BYTES = 10
-#: Hashes whose bytes are counted at a time.
-STEP = 2048
+#: Standard deviations beyond the bits expected at a similarity, from which the first round leaves a pair to the exact one.
+BAND = 3.0
+#: Hashes whose bytes are counted at a time; words whose hashes a task holds; cells of the counts of shingles, in blocks.
+STEP, HELD, CELLS, BLOCK = 2048, 500_000, 1 << 18, 1 << 14
+#: Members of a posting up to which one task compares them all, and at a time; larger postings are dealt out over several.
+LARGE, CHUNK = 4096, 1024
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
 _PLACE = (np.arange(BYTES) * 256).astype(np.int64)
 _TURNS = np.random.default_rng(SEED).integers(1, 1 << 63, BYTES // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POSITIONS = np.stack([np.random.default_rng([SEED, t]).choice(BYTES, WIDTH, replace=False) for t in range(TABLES)])
-
-
-def wide_fingerprint(text: str, k: int) -> bytes:
-    """BYTES bytes: a bit is 1 if set in over half the hashes of distinct shingles. Without words: zeros."""
-    found = set(shingles(words_of(text), k))
-    if not found:
-        return bytes(BYTES)
-    h = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Hashes:
+    """Distinct 64-bit hashes, sorted, of the runs of k words of a text: mixed from the hashes of the words, in order."""
+
+    def __init__(self, k: int):
+        self.k, self.known = k, {}
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        words = words_of(text or "")
+        if not words:
+            return np.zeros(0, np.uint64)
+        if len(self.known) > HELD:
+            self.known.clear()
+        for w in set(words).difference(self.known):
+            self.known[w] = xxhash.xxh64_intdigest(w, SEED)
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        n = min(self.k, len(h))
+        out = np.full(len(h) - n + 1, n, np.uint64)
+        for i in range(n):
+            out = (out ^ h[i : len(h) - n + 1 + i]) * _ODD
+            out ^= out >> np.uint64(32)
+        return np.unique(out)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """BYTES bytes: a bit is 1 if set in over half of what the hashes of distinct shingles are turned into. Without any: zeros."""
     counts = np.zeros(BYTES * 256)
-    for i in range(0, len(h), STEP):
-        part = h[i : i + STEP, None] * _TURNS
+    for i in range(0, len(hashes), STEP):
+        part = hashes[i : i + STEP, None] * _TURNS
         part ^= part >> np.uint64(32)
-        part *= np.uint64(0x9E3779B97F4A7C15)
+        part *= _ODD
         part ^= part >> np.uint64(29)
         counts += np.bincount((part.view(np.uint8).reshape(len(part), BYTES) + _PLACE).ravel(), minlength=BYTES * 256)
     ones = counts.reshape(BYTES, 256) @ _BITS
-    return np.packbits(2 * ones > len(h), axis=1, bitorder="little").tobytes()
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").tobytes()
 
 
-def bits_between(similarity: float) -> tuple[int, int]:
-    """Bits up to which fingerprints show at least a similarity, and beyond which they show less; BAND apart each."""
+def most_bits(similarity: float) -> int:
+    """Bits beyond which fingerprints hardly belong to texts of a similarity."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    n = BYTES * 8
-    spread = BAND * math.sqrt(n * p * (1 - p))
-    return int(n * p - spread), int(n * p + spread)
+    return int(BYTES * 8 * p + BAND * math.sqrt(BYTES * 8 * p * (1 - p)))
 
 
-def _prints(k: int):
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _sets(k: int):
+    """(id, tx, set, n) of texts: set names their distinct shingles. Then rows (block, counts): in how many texts' shingles
+    each cell occurs."""
+    schema = pa.schema([("id", pa.int64()), ("tx", pa.int64()), ("set", pa.binary()), ("n", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, cells = _Hashes(k), np.zeros(CELLS, np.int64)
         for batch in batches:
-            yield pa.record_batch([batch.column(0), pa.array([wide_fingerprint(t.as_py() or "", k) for t in batch.column(1)], pa.binary())], names=["id", "fp"])
+            names, sizes, at = [], [], [np.zeros(0, np.int64)]
+            for t in batch.column("t"):
+                h = hashes(t.as_py())
+                names.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
+                sizes.append(len(h))
+                at.append(_cell(h))
+            cells += np.bincount(np.concatenate(at), minlength=CELLS)
+            none = [pa.nulls(len(names), f.type) for f in (schema.field("block"), schema.field("counts"))]
+            yield pa.record_batch([batch.column("id"), batch.column("tx"), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), *none], schema=schema)
+        n = CELLS // BLOCK
+        parts = [cells[i * BLOCK : (i + 1) * BLOCK].tobytes() for i in range(n)]
+        yield pa.record_batch([*(pa.nulls(n, f.type) for f in list(schema)[:4]), pa.array(range(n), pa.int32()), pa.array(parts, pa.binary())], schema=schema)
 
     return run
 
 
-def _postings(first: int, last: int):
-    """(key, id, of): the postings of a fingerprint in the tables from first to before last; `of` is its group so far."""
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, counts): the sums of the counts of each block."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+            total[block] = total.get(block, 0) + np.frombuffer(counts.as_py(), np.int64)
+    yield pa.record_batch([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "counts"])
+
+
+def prefix_size(n: np.ndarray | int, similarity: float):
+    """Shingles of a text of n among which it shares one with any text of at least that similarity."""
+    return n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1 if isinstance(n, np.ndarray) else n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def _indexed(k: int, similarity: float, cells: Broadcast):
+    """(id, set, n, fp, first): the wide fingerprint and the first shingles in the common order, rare ones first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = _Hashes(k), cells.value
         for batch in batches:
-            for part in pa.Table.from_batches([batch]).to_batches(max_chunksize=4096):
-                fp = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint8).reshape(-1, BYTES).astype(np.int64)
-                key = fp[:, _POSITIONS[first:last]] @ (256 ** np.arange(WIDTH)) + (np.arange(first, last) << (8 * WIDTH))
-                yield pa.record_batch([pa.array(key.ravel()), *(pa.array(np.repeat(part.column(c).to_numpy(), last - first)) for c in ("id", "of"))], names=["key", "id", "of"])
+            columns: list[list] = [[], [], [], []]
+            for t in batch.column("t"):
+                h = hashes(t.as_py())
+                order = np.lexsort((h, counts[_cell(h)]))
+                first = h[order[: prefix_size(len(h), similarity) if len(h) else 0]]
+                for column, x in zip(columns, (hashlib.blake2b(h.tobytes(), digest_size=16).digest(), len(h), wide_fingerprint(h), first.tobytes()), strict=True):
+                    column.append(x)
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.record_batch([batch.column("id"), *starmap(pa.array, zip(columns, kinds, strict=True))], names=["id", "set", "n", "fp", "first"])
 
     return run
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs, of different groups, of a posting, whose members come one after another."""
-    last_key, members = None, np.zeros((2, 0), np.int64)
-
-    def pairs(m: np.ndarray) -> list[np.ndarray]:
-        n = m.shape[1]
-        made = []
-        for d in range(1, n if n <= SMALL else FEW + 1):
-            apart = m[1, :-d] != m[1, d:]
-            made.append(np.stack([m[0, :-d][apart], m[0, d:][apart]]))
-        return made
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node): the postings of fingerprints, a row for each table."""
+    for batch in batches:
+        for part in pa.Table.from_batches([batch]).to_batches(max_chunksize=4096):
+            fp = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint8).reshape(-1, BYTES).astype(np.int64)
+            key = fp[:, _POSITIONS] @ (256 ** np.arange(WIDTH)) + (np.arange(TABLES) << (8 * WIDTH))
+            yield pa.record_batch([pa.array(key.ravel()), pa.array(np.repeat(part.column("node").to_numpy(), TABLES))], names=["key", "node"])
 
-    def batch_of(out: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.concatenate(out, 1)
-        return pa.record_batch([pa.array(both.min(0)), pa.array(both.max(0))], names=["u", "v"])
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the first node of a posting, whose members come one after another, and each other one."""
+    key, first = None, None
     for batch in batches:
-        keys, rows = batch.column(0).to_numpy(), np.stack([batch.column(c).to_numpy() for c in (1, 2)])
-        if not len(keys):
+        if not batch.num_rows:
             continue
-        out: list[np.ndarray] = []
-        cuts = np.flatnonzero(np.diff(keys)) + 1
-        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
-        if last_key == keys[0]:
-            members = np.concatenate([members, rows[:, : ends[0]]], 1)
-        else:
-            out += pairs(members)
-            members = rows[:, : ends[0]]
-        last_key = keys[0]
-        if len(starts) > 1:
-            out += pairs(members)
-            for i in np.flatnonzero(ends[1:-1] - starts[1:-1] > 1) + 1:
-                out += pairs(rows[:, starts[i] : ends[i]])
-            last_key, members = keys[-1], rows[:, starts[-1] :]
-        if members.shape[1] > SMALL + FEW:  # earlier members of a large posting are done with
-            out += pairs(members)
-            members = members[:, -FEW:]
-        if out:
-            yield batch_of(out)
-    if out := pairs(members):
-        yield batch_of(out)
-
-
-def _verified(bits: int):
+        keys, nodes = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+        new = np.concatenate([[keys[0] != key], keys[1:] != keys[:-1]])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
+        firsts = np.where(at >= 0, nodes[at], first if first is not None else 0)
+        key, first = keys[-1], firsts[-1]
+        kept = ~new & (firsts != nodes)
+        yield pa.record_batch([pa.array(firsts[kept]), pa.array(nodes[kept])], names=["u", "v"])
+
+
+def _tallied(bits: int):
+    """(u, v, bits) of pairs that share LEAST_BYTES bytes, each at its position, and differ in at most so many bits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -144,13 +192,72 @@ def _verified(bits: int):
     return run
 
 
-def _compared(words: int, similarity: float):
+def _placed(similarity: float):
+    """(h, node, of, n, at): a row for each of the first shingles of a text, with its place there and the group so far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pa.Table.from_batches([batch]).to_batches(max_chunksize=2048):
+                n = part.column("n").to_numpy()
+                size = np.where(n > 0, prefix_size(n, similarity), 0)
+                h = np.frombuffer(b"".join(part.column("first").to_pylist()), np.int64)
+                at = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
+                node, of, n = (pa.array(np.repeat(part.column(c).to_numpy(), size)) for c in ("node", "of", "n"))
+                yield pa.record_batch([pa.array(h), node, of, n, pa.array(at)], names=["h", "node", "of", "n", "at"])
+
+    return run
+
+
+def _pairs(similarity: float):
+    """Pairs of a posting's homes, and of its guests with its homes, that may be similar enough and differ in group.
+
+    Rows come by posting and salt, homes first, in their order of slack = at - c * n. A shared shingle at places i and j that
+    is the first one shared leaves i + j shingles alone, of which similar texts have at most c * (n + m) in all.
+    """
+    c = (1 - similarity) / (1 + similarity)
+
+    def met(a: list[np.ndarray], b: list[np.ndarray], same: bool = False) -> np.ndarray:
+        """Pairs (2, k) of nodes of a and b, each (node, of, n, slack)."""
+        ok = (a[3][:, None] + b[3] <= 1e-9) & (a[1][:, None] != b[1])
+        ok &= np.minimum(a[2][:, None], b[2]) >= similarity * np.maximum(a[2][:, None], b[2]) - 1e-9
+        i, j = np.nonzero(np.triu(ok, 1) if same else ok)
+        return np.stack([a[0][i], b[0][j]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, homes = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, salt, guest, node, of, n, at = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("h", "salt", "guest", "node", "of", "n", "at"))
+            rows = (node, of, n, at - c * n)
+            cuts = np.flatnonzero((h[1:] != h[:-1]) | (salt[1:] != salt[:-1]) | (guest[1:] != guest[:-1])) + 1
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(h)], strict=True):
+                if (h[s], salt[s]) != key:
+                    key, homes = (h[s], salt[s]), None
+                for x in range(s, e, CHUNK):
+                    part = [r[x : min(e, x + CHUNK)] for r in rows]
+                    found = [] if homes is None else [met(part, homes)]
+                    if not guest[s]:
+                        found += [met(part, part, True)] if len(part[0]) > 1 else []
+                        homes = part if homes is None else [np.concatenate(p) for p in zip(homes, part, strict=True)]
+                    if sum(f.shape[1] for f in found):
+                        both = np.concatenate(found, 1)
+                        yield pa.record_batch([pa.array(both.min(0)), pa.array(both.max(0))], names=["u", "v"])
+
+    return run
+
+
+def _verified(k: int, similarity: float):
+    """Pairs whose distinct shingles are as similar as asked for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes(k)
         for batch in batches:
             kept = []
             for i, (a, b) in enumerate(zip(batch.column("a"), batch.column("b"), strict=True)):
-                a, b = (set(shingles(words_of(t.as_py() or ""), words)) for t in (a, b))
-                if len(a & b) >= similarity * len(a | b):
+                x, y = hashes(a.as_py()), hashes(b.as_py())
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                if shared >= similarity * (len(x) + len(y) - shared) - 1e-9:
                     kept.append(i)
             yield pa.record_batch([batch.column(c).take(pa.array(kept, pa.int64())) for c in ("u", "v")], names=["u", "v"])
 
@@ -158,57 +265,95 @@ def _compared(words: int, similarity: float):
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, component_id): the group of each document, named by its smallest id, itself included.
+    """(id_col, tx, group, component_id) of each row: tx is the hash of its text, component_id the smallest id of its group.
 
-    Documents are linked at a Jaccard similarity of their distinct shingles of `words` words (A-Z in lower case) of at
-    least `similarity`: as their fingerprints show it where these are well on one side, else as their texts do; copies
-    always are. Texts without words, null ones too, are copies of each other. Rows of a null id take no part. Repeated
-    rows come back as often as they come.
+    Rows are linked at a Jaccard similarity of their distinct shingles of `words` words (A-Z in lower case; fewer words: all
+    of them) of at least `similarity`; groups are what links connect. Texts without words, null ones too, are copies of each
+    other. Shingles are compared by 64-bit hashes. Rows of a null id take no part. Rows of one id are told apart by their
+    texts. Repeated rows come back as often as they come. An empty table gives an empty one; other columns are not read.
     """
-    reachable(docs.sparkSession)
-    rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("t")).filter("id is not null")
-    prints = materialize(rows.mapInArrow(_prints(words), "id long, fp binary"), "wide")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("id")).select("id", "fp"), "nodes")
-    sure, most = bits_between(similarity)
-
-    def met(first: int, last: int, groups: DataFrame | None) -> DataFrame:
-        """(u, v, bits): verified pairs of some tables, of different groups."""
-        known = nodes.join(groups, F.col("id") == F.col("node"), "left") if groups else nodes.withColumn("component", F.lit(None).cast("long"))
-        posted = known.select("id", "fp", F.coalesce("component", "id").alias("of")).mapInArrow(_postings(first, last), "key long, id long, of long")
-        dealt = posted.repartitionByRange("key", F.xxhash64("id")).sortWithinPartitions("key", F.xxhash64("id"))
-        found = dealt.mapInArrow(_met, "u long, v long").distinct()
-        both = found.join(nodes.select(F.col("id").alias("u"), F.col("fp").alias("a")), "u").join(nodes.select(F.col("id").alias("v"), F.col("fp").alias("b")), "v")
-        return materialize(both.select("u", "v", "a", "b").mapInArrow(_verified(most), "u long, v long, bits long"), "pairs")
-
-    def compared(some: DataFrame) -> DataFrame:
-        """Those of some pairs whose texts are as similar as asked for."""
-        named = some.select("u").union(some.select("v")).distinct().toDF("id")
-        texts = rows.join(named, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
+    spark = docs.sparkSession
+    reachable(spark)
+    rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("t")).filter("id is not null")
+    rows = rows.select("id", F.xxhash64("t").alias("tx"), "t")
+    made = materialize(rows.mapInArrow(_sets(words), "id long, tx long, set binary, n long, block int, counts binary"), "sets")
+    # CELLS numbers, whatever the input
+    blocks = made.filter("block is not null").select("block", "counts").repartition("block").mapInArrow(_added, "block int, counts binary").toArrow().sort_by("block")
+    cells = spark.sparkContext.broadcast(np.frombuffer(b"".join(blocks.column("counts").to_pylist()), np.int64) if blocks.num_rows else np.zeros(CELLS, np.int64))
+    sets = made.filter("block is null").select("id", "tx", "set", "n")
+
+    # a node for each set of shingles, named by its smallest id or, where ids repeat, by a hash
+    named = sets.groupBy("set").agg(F.min(F.struct("id", "tx")).alias("m")).select("set", "m.*")
+    alone = F.count("*").over(Window.partitionBy("id")) == 1
+    named = materialize(named.select("set", "id", "tx", F.when(alone, F.col("id")).otherwise(F.xxhash64("set")).alias("node")), "named")
+    indexed = rows.select("id", "t").mapInArrow(_indexed(words, similarity, cells), "id long, set binary, n long, fp binary, first binary")
+    nodes = materialize(indexed.join(named, ["set", "id"]).select("node", "n", "fp", "first").filter("n > 0"), "nodes")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Those of some pairs of nodes whose texts are as similar as asked for."""
+        wanted = pairs.select("u").union(pairs.select("v")).distinct().toDF("node").join(named, "node").select("id", "tx", "node")
+        texts = rows.join(wanted, ["id", "tx"]).groupBy("node").agg(F.min("t").alias("t"))
         texts = materialize(texts, "texts")
-        placed = some.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
-        return materialize(placed.select("u", "v", "a", "b").mapInArrow(_compared(words, similarity), "u long, v long"), "compared")
-
-    links, unsure, found = None, None, None
-    for first, last in ((0, FIRST), (FIRST, TABLES)):
-        pairs = met(first, last, found)
-        open_ = pairs.filter(F.col("bits") > sure)
-        # the closest pair of each text first: pairs within the groups that these make need no look at the texts
-        made = pairs.filter(F.col("bits") <= sure).select("u", "v").union(compared(open_.groupBy("u").agg(F.min_by("v", F.struct("bits", "v")).alias("v"))))
-        links, unsure = (made, open_) if links is None else (links.union(made), unsure.union(open_))
-        found = components(links, "u", "v")
-    rest = unsure.select("u", "v").distinct().join(found.toDF("u", "cu"), "u", "left").join(found.toDF("v", "cv"), "v", "left")
-    rest = materialize(rest.filter("cu is null or cv is null or cu <> cv").select("u", "v"), "rest")
-    found = components(links.union(compared(rest)), "u", "v")
-    of = nodes.join(found, F.col("id") == F.col("node"), "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(of, "fp").select(F.col("id").alias(id_col), "component_id")
+        both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
+        return both.select("u", "v", "a", "b").mapInArrow(_verified(words, similarity), "u long, v long")
+
+    def grown(found: DataFrame | None, links: DataFrame) -> DataFrame:
+        """(node, of): the groups so far, joined by links between nodes."""
+        if found is None:
+            return materialize(components(links, "u", "v").select("node", F.col("component").alias("of")), "groups")
+        of = lambda c: found.select(F.col("node").alias(c), F.col("of").alias(f"of_{c}"))
+        lifted = links.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v"))
+        more = materialize(components(lifted, "u", "v").select("node", "component"), "lifted")
+        old = found.join(more.toDF("of", "c"), "of", "left").select("node", F.coalesce("c", "of").alias("of"))
+        new = more.join(found.select("node"), "node", "left_anti").select("node", F.col("component").alias("of"))
+        return materialize(old.union(new), "groups")
+
+    # by fingerprints: the closest of each node's pairs
+    dealt = nodes.select("node", "fp").mapInArrow(_postings, "key long, node long")
+    dealt = dealt.repartitionByRange("key", F.xxhash64("node")).sortWithinPartitions("key", F.xxhash64("node"))
+    met = materialize(dealt.mapInArrow(_met, "u long, v long").distinct(), "met")
+    prints = nodes.select("node", "fp")
+    both = met.join(prints.toDF("u", "a"), "u").join(prints.toDF("v", "b"), "v")
+    close = both.select("u", "v", "a", "b").mapInArrow(_tallied(most_bits(similarity)), "u long, v long, bits long")
+    close = materialize(close.groupBy("v").agg(F.min_by("u", F.struct("bits", "u")).alias("u")), "close")
+    groups = grown(None, materialize(verified(close.select("u", "v")), "links"))
+
+    # by rare shingles: first each node beside the most central one of a posting, then all that differ in group
+    of = lambda rows: rows.join(groups, "node", "left").withColumn("of", F.coalesce("of", "node"))
+    posted = of(nodes.select("node", "n", "first")).mapInArrow(_placed(similarity), "h long, node long, of long, n long, at long")
+    mixed = posted.groupBy("h").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least <> most").select("h")
+    posted = materialize(posted.join(mixed, "h").select("h", "node", "of", "n", "at"), "postings")
+    slack = F.col("at") - F.col("n") * ((1 - similarity) / (1 + similarity))
+    centres = posted.groupBy("h").agg(F.min(F.struct(slack.alias("s"), "node", "of")).alias("centre"))
+    pairs = posted.join(centres, "h").filter((F.col("of") != F.col("centre.of")) & (slack + F.col("centre.s") <= 1e-9))
+    pairs = materialize(pairs.select(F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v")).distinct(), "central")
+    groups = grown(groups, materialize(verified(pairs), "links"))
+
+    posted = of(posted.drop("of"))
+    size = posted.groupBy("h").agg(F.count("*").alias("m"), F.min("of").alias("main"), F.max("of").alias("most")).filter("main <> most")
+    size = size.select("h", F.ceil(F.col("m") / LARGE).cast("int").alias("salts"), "main", "most")
+    # of a posting dealt out, the members of one group are homes only; those of others are guests of every part as well
+    posted = posted.join(size, "h").withColumn("home", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+    everywhere = (F.col("salts") > 1) & (F.col("of") != F.col("main"))
+    posted = posted.withColumn("salt", F.explode(F.when(everywhere, F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("home"))))
+    posted = posted.select("h", "salt", (F.col("salt") != F.col("home")).alias("guest"), "node", "of", "n", "at")
+    pairs = posted.repartition("h", "salt").sortWithinPartitions("h", "salt", "guest").mapInArrow(_pairs(similarity), "u long, v long")
+    pairs = materialize(pairs.distinct(), "apart")
+    groups = grown(groups, materialize(verified(pairs), "links"))
+
+    named = of(named.select("set", "id", "node")).select("set", "id", "of")
+    least = named.groupBy("of").agg(F.min("id").alias("component_id"))
+    return sets.join(named.join(least, "of").select("set", "of", "component_id"), "set").select(F.col("id").alias(id_col), "tx", F.col("of").alias("group"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each group of near copies, the one of the smallest id; all columns stay.
+    """docs with one row of each group of near copies, the one of the smallest id and then hash of its text; all columns stay.
 
-    Of repeated rows of that id one stays. Rows of a null id belong to no group and stay.
+    Of repeated rows, of one id and text, one stays. Rows of a null id belong to no group and stay. An empty table gives an
+    empty one.
     """
-    groups = near_copies(docs, words, similarity, id_col, text_col)
-    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_chatloom_id")).distinct()
-    named = docs.join(kept, docs[id_col].cast("long") == F.col("_chatloom_id"), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    groups = near_copies(docs, words, similarity, id_col, text_col).withColumnRenamed(id_col, "id")
+    kept = groups.filter(F.col("id") == F.col("component_id")).groupBy("group").agg(F.min("id").alias("_chatloom_id"), F.min("tx").alias("_chatloom_tx")).drop("group")
+    keyed = docs.withColumns({"_chatloom_id": docs[id_col].cast("long"), "_chatloom_tx": F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))})
+    named = keyed.join(kept, ["_chatloom_id", "_chatloom_tx"], "left_semi").dropDuplicates(["_chatloom_id", "_chatloom_tx"])
+    return named.unionByName(keyed.filter("_chatloom_id is null")).select(*docs.columns)
