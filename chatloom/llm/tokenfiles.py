@@ -61,6 +61,30 @@ class EliasFano:
         first, last = i * b // 8, ((i + 1) * b + 7) // 8
         return value | ((int.from_bytes(self.low[first:last].tobytes(), "little") >> (i * b % 8)) & ((1 << b) - 1))
 
+    def selected(self, i: np.ndarray) -> np.ndarray:
+        """select() of many: each walks from the sample before it, over the bytes between."""
+        at, left = self.samples[i // SAMPLE].astype(np.int64), i % SAMPLE
+        byte, skip = at >> 3, at & 7
+        ones = np.bitwise_count(self.high).astype(np.int64)
+        left += np.bitwise_count(self.high[byte] & ((1 << skip) - 1).astype(np.uint8))
+        walking = np.flatnonzero(ones[byte] <= left)
+        while len(walking):
+            left[walking] -= ones[byte[walking]]
+            byte[walking] += 1
+            walking = walking[ones[byte[walking]] <= left[walking]]
+        bits = np.unpackbits(self.high[byte][:, None], axis=1, bitorder="little")
+        return byte * 8 + (np.cumsum(bits, 1) * bits == left[:, None] + 1).argmax(1)
+
+    def get(self, i: np.ndarray) -> np.ndarray:
+        """The values at many places, each by select; only what is asked for is decoded."""
+        i = np.asarray(i, np.int64)
+        high = (self.selected(i) - i) << self.low_bits
+        if not self.low_bits or not len(i):
+            return high
+        bit = i[:, None] * self.low_bits + np.arange(self.low_bits)
+        low = (self.low[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
+        return high | (low.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64)))
+
     def all(self) -> np.ndarray:
         b = self.low_bits
         high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
@@ -125,7 +149,7 @@ def read_token_files(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ends = EliasFano(r["n_docs"], r["low_bits"], r["low"], r["high"], r["samples"]).all()
+                ends = EliasFano(r["n_docs"], r["low_bits"], r["low"], r["high"], r["samples"]).get(np.arange(r["n_docs"]))
                 starts = np.concatenate([[0], ends[:-1]])
                 ids = np.frombuffer(r["ids"], f"<u{r['width']}")
                 wide = [ids[a:b].astype("<u4").tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
