@@ -13,8 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize, reachable
 from .components import components
@@ -24,9 +26,11 @@ SAMPLE, ROUNDS, CELLS, ROWS = 100_000, 4, 8192, 2048
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Unit vectors, in double precision, of an array column whose rows have one length."""
+    """Unit vectors, in double precision, of an array column whose rows have one length. Vectors of any size keep their
+    direction, as each is divided by its largest component first."""
     x = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     v = x.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(x), -1)
+    v = v / np.maximum(np.abs(v).max(1, initial=0, keepdims=True), np.finfo(float).tiny / 4)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -37,8 +41,15 @@ def _by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table]]:
         yield int(d), t.filter(pa.array(sizes == d))
 
 
-def _fit(vectors: DataFrame, cells: int | None, sample: int, rounds: int) -> dict[int, np.ndarray]:
-    """Centroids by dimension. Sums of vectors by cell are made on the executors; k x dim numbers reach the driver."""
+def _spread(x: np.ndarray) -> float:
+    """In how many directions unit vectors spread: their dimension if evenly in all, fewer if some hold most."""
+    c = x.T @ x
+    return max(1.0, float(np.trace(c) ** 2 / max((c * c).sum(), 1e-300)))
+
+
+def _fit(vectors: DataFrame, cells: int | None, sample: int, rounds: int) -> dict[int, tuple[np.ndarray, float]]:
+    """Centroids, and the spread of vectors, by dimension. Sums of vectors by cell are made on the executors; k x dim
+    numbers reach the driver."""
     out = {}
     for d, n in vectors.groupBy("dim").count().collect():
         k = cells or int(min(CELLS, max(1, round(math.sqrt(n) / 4))))
@@ -48,6 +59,7 @@ def _fit(vectors: DataFrame, cells: int | None, sample: int, rounds: int) -> dic
         if not len(centre):
             first = vectors.filter(F.col("dim") == d).orderBy("rep").limit(1).toArrow()
             centre = _matrix(first.column("v"))
+        spread = _spread(centre)
         for _ in range(rounds if len(centre) > 1 else 0):
 
             def sums(batches, centre=centre):
@@ -64,19 +76,19 @@ def _fit(vectors: DataFrame, cells: int | None, sample: int, rounds: int) -> dic
             new[moved["cell"], moved["place"]] = moved["s"]
             norm = np.linalg.norm(new, axis=1)
             centre = np.where(norm[:, None] > 0, new / np.where(norm > 0, norm, 1)[:, None], centre)
-        out[d] = centre
+        out[d] = centre, spread
     return out
 
 
-def _placed(centres: dict[int, np.ndarray], reach: float, margin: float | None):
+def _placed(centres: Broadcast, reach: float, margin: float | None, kind: pa.DataType):
     """(dim, cell, home, rep, n, v): each vector in its home, and as a guest where it is near the border."""
-    schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()), ("v", pa.list_(pa.float32()))])
+    schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()), ("rep", pa.int64()), ("n", pa.int64()), ("v", pa.list_(kind))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for d, t in _by_dim(whole):
-                c = centres[d]
-                near = min(reach, 3 * reach / math.sqrt(d) if margin is None else margin)
+                c, spread = centres.value[d]
+                near = min(reach, 3 * reach / math.sqrt(spread) if margin is None else margin)
                 apart = np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))
                 for part in t.to_batches(max_chunksize=2048):
                     s = _matrix(part.column("v")) @ c.T
@@ -123,18 +135,20 @@ def cosine_groups(rows: DataFrame, least: float = 0.95, cells: int | None = None
     their own but name no group: they come back without links. Repeated ids are rows each and share a component.
     Every link found has the cosine asked for. A link can be missed only where its two vectors lie on both sides of a
     border between cells and both further from it than `margin`; None stands for three standard deviations of the
-    distance, a margin of sqrt(2 - 2 * least) misses none. Other columns are not read.
+    distance in as many directions as the vectors spread, a margin of sqrt(2 - 2 * least) misses none. Floats stay floats,
+    other numbers become doubles. Centroids, at most CELLS for a length, are broadcast. Other columns are not read.
     """
     reachable(rows.sparkSession)
     v = F.col("v")
-    rows = rows.select(rows[id_col].cast("long").alias("id"), rows[vector_col].cast("array<float>").alias("v"))
+    kind = "float" if rows.schema[vector_col].dataType == T.ArrayType(T.FloatType(), rows.schema[vector_col].dataType.containsNull) else "double"
+    rows = rows.select(rows[id_col].cast("long").alias("id"), rows[vector_col].cast(f"array<{kind}>").alias("v"))
     sound = F.col("id").isNotNull() & v.isNotNull() & (F.size("v") > 0) & ~F.coalesce(F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(False)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    good = rows.filter("sound").select("id", F.transform("v", lambda x: x + F.lit(0.0).cast("float")).alias("v"))
+    good = rows.filter("sound").select("id", F.transform("v", lambda x: x + F.lit(0.0).cast(kind)).alias("v"))
     vectors = materialize(good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")).withColumn("dim", F.size("v")), "vectors")
-    centres = _fit(vectors, cells, sample, rounds)
+    sent = rows.sparkSession.sparkContext.broadcast(_fit(vectors, cells, sample, rounds))
     reach = math.sqrt(2 - 2 * least)
-    placed = materialize(vectors.select("rep", "n", "v").mapInArrow(_placed(centres, reach, margin), "dim int, cell int, home boolean, rep long, n long, v array<float>"), "placed")
+    placed = materialize(vectors.select("rep", "n", "v").mapInArrow(_placed(sent, reach, margin, pa.float32() if kind == "float" else pa.float64()), f"dim int, cell int, home boolean, rep long, n long, v array<{kind}>"), "placed")
     # a row for each cell, of which there are at most CELLS for a dimension
     sizes = placed.groupBy("dim", "cell").agg(F.ceil(F.count_if("home") / block).cast("int").alias("homes"), F.ceil(F.count("*") / block).cast("int").alias("all"))
     placed = placed.join(F.broadcast(sizes), ["dim", "cell"])
