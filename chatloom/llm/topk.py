@@ -22,15 +22,19 @@ from .common import materialize, reachable
 
 #: Rows in a block of queries and of candidates; bins of a pass.
 QUERY_ROWS, ROWS, BINS = 1024, 2048, 256
+#: Components and scores beyond this, either way, are taken as this; below EXACT, sums of doubles are exact.
+MOST, EXACT = float(1 << 62), float(1 << 53)
+LEAST_SCORE = -(1 << 62) + 1
 
 
 def scaled(rows: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): floor(scale * x) of each component; rows whose vector is null or has null or non-finite components go."""
+    """(id, v): floor(scale * x) of each component, as a double; rows whose vector is null or has null or non-finite
+    components go."""
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.select(rows[id_col].cast("long").alias("id"), rows[vector_col].cast("array<double>").alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(False)))
-    return rows.select("id", F.transform(v, lambda x: F.floor(x * F.lit(float(scale))).cast("long")).alias("v"))
+    return rows.select("id", F.transform(v, lambda x: F.floor(F.greatest(F.lit(-MOST), F.least(F.lit(MOST), x * F.lit(float(scale))))).cast("double")).alias("v"))
 
 
 def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
@@ -65,10 +69,25 @@ def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
 
 
 def _scores(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and scores of a meeting, and which of them take part: not a query's own row. Sums stay exact below 2**53."""
+    """Ids and scores of a meeting, and which of them take part: not a query's own row.
+
+    Rows whose sums could pass what doubles hold exactly are summed as integers of any size instead.
+    """
     q, c = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["c_ids"], "<i8")
-    scores = np.frombuffer(r["q_values"]).reshape(len(q), -1) @ np.frombuffer(r["c_values"]).reshape(len(c), -1).T
-    return q, c, scores.astype(np.int64), q[:, None] != c[None, :]
+    a, b = np.frombuffer(r["q_values"]).reshape(len(q), -1), np.frombuffer(r["c_values"]).reshape(len(c), -1)
+    long_a, long_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
+    if long_a.max(initial=0) * long_b.max(initial=0) * (1 + 1e-9) < EXACT:
+        return q, c, (a @ b.T).astype(np.int64), q[:, None] != c[None, :]
+    large_a, large_b = (np.flatnonzero(x * y.max(initial=0) * (1 + 1e-9) >= EXACT) for x, y in ((long_a, long_b), (long_b, long_a)))
+    plain_a, plain_b = np.setdiff1d(np.arange(len(q)), large_a), np.setdiff1d(np.arange(len(c)), large_b)
+    scores = np.zeros((len(q), len(c)), np.int64)
+    scores[np.ix_(plain_a, plain_b)] = (a[plain_a] @ b[plain_b].T).astype(np.int64)
+    whole = lambda x: np.array([[int(v) for v in row] for row in x.tolist()], object).reshape(x.shape)
+    wide_a, wide_b = whole(a), whole(b)
+    for i, j in ((large_a, np.arange(len(c))), (plain_a, large_b)):
+        if len(i) and len(j):
+            scores[np.ix_(i, j)] = np.clip(wide_a[i] @ wide_b[j].T, LEAST_SCORE, -LEAST_SCORE).astype(np.int64)
+    return q, c, scores, q[:, None] != c[None, :]
 
 
 def _counted(bins: int, step: int, width: int):
@@ -138,17 +157,20 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, scale: int = 6
     Vectors are turned into floor(scale * x). Equal scores go to the smaller id; a query with fewer candidates gets
     them all, one with none has no row. Vectors that are null or hold null or non-finite components take no part, nor
     do null ids; vectors of different lengths are not compared. Repeated candidate rows count each, repeated query rows
-    are queries each. The search is exact at every size of blocks and bins. Other columns are not read.
+    are queries each. The search is exact at every size of blocks and bins. Scaled components and scores beyond 2**62 in
+    size count as that, as larger scores are no longs. Other columns are not read.
     """
     spark = candidates.sparkSession
     reachable(spark)
     asked = scaled(queries, scale, id_col, vector_col)
     qs = materialize(_blocks(asked.repartition(max(1, -(-asked.count() // query_rows))), query_rows, "q"), "queries")
     cs = materialize(_blocks(scaled(candidates, scale, id_col, vector_col), rows, "c"), "candidates")
-    longest = scaled(candidates, scale, id_col, vector_col).union(asked).agg(F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)).alias("m")).first().m
+    longest = scaled(candidates, scale, id_col, vector_col).union(asked).agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first().m
     if longest is None:
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score long")
+    longest = min(int(longest * (1 + 1e-9)) + 1, -LEAST_SCORE)
     least, width = -longest, 2 * longest + 1
+    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,7 +180,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, scale: int = 6
 
     def met(bounds: DataFrame) -> DataFrame:
         """Every query block, with its bounds, beside every candidate block of its dimension."""
-        pairs = qs.select("q", "dim").join(cs.select("c", "dim"), "dim").select("q", "c").repartition("c")
+        asking = qs.select("q", "dim", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        pairs = asking.join(cs.select("c", "dim", F.pmod(F.xxhash64("c"), F.lit(salts)).cast("int").alias("salt")), ["dim", "salt"]).select("q", "c")
         return pairs.join(qs.join(bounds, "q"), "q").join(cs.drop("dim"), "c")
 
     bounds = qs.select("q", "q_ids").mapInArrow(begin, "q string, lo binary, want binary")
