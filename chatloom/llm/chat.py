@@ -136,11 +136,30 @@ def _segments(costs: dict[str, int], size: int):
     return run
 
 
+def _runs(key: str, made, schema: pa.Schema):
+    """What made gives of the rows of each value of key, which come one after another, in batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                if held and held[0][key] != r[key]:
+                    out += made(held)
+                    held = []
+                held.append(r)
+            if out:
+                yield pa.record_batch(_table(out, schema), schema=schema)
+        if held:
+            yield pa.record_batch(_table(made(held), schema), schema=schema)
+
+    return run
+
+
 def _chained(costs: dict[str, int]):
     """The states in which the segments of a dialogue are entered and left on a cheapest way."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["seg"])
+    def made(rows: list[dict]) -> list[tuple]:
         ms = [np.array(r["m"], np.int64).reshape(4, 4) for r in rows]
         best, back = np.full(4, NONE, np.int64), []
         best[START] = 0
@@ -156,14 +175,13 @@ def _chained(costs: dict[str, int]):
             after -= rows[i]["n"]
             out.append((rows[i]["c"], rows[i]["seg"], enter, at, after, i + 1 == len(rows), cost))
             at = enter
-        return pa.table(_table(out, _LINK), schema=_LINK)
+        return out
 
-    return run
+    return _runs("c", made, _LINK)
 
 
 def _rendered(costs: dict[str, int]):
-    def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["k"])
+    def made(rows: list[dict]) -> list[tuple]:
         way, out = repair_part([r["r"] for r in rows], rows[0]["enter"], rows[0]["leave"], costs), []
         for i, (r, (role, kind, inserted)) in enumerate(zip(rows, way, strict=True)):
             part, text = r["before"] + r["k"], _escaped(r["x"])
@@ -177,9 +195,9 @@ def _rendered(costs: dict[str, int]):
                 added = {USER: "assistant", ASSISTANT: ""}.get(r["leave"], "user,assistant")
                 shown += "".join(OPEN.format(role=x) + CLOSE for x in added.split(",") if x)
             out.append((r["c"], r["t"], part, role, kind, inserted, added, r["cost"], shown))
-        return pa.table(_table(out, _OUT), schema=_OUT)
+        return out
 
-    return run
+    return _runs("seg", made, _OUT)
 
 
 def format_chats(turns: DataFrame, costs: dict[str, int] | None = None, segment: int = 5000, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -202,7 +220,9 @@ def format_chats(turns: DataFrame, costs: dict[str, int] | None = None, segment:
     base = base.withColumn("h", F.xxhash64("x")).repartitionByRange("c", "t", "r", "h").sortWithinPartitions("c", "t", "r", "h", "x")
     base = base.select(F.spark_partition_id().cast("long").alias("p"), "c", "t", "r", "x")
     base = materialize(base.mapInArrow(_segments(costs, segment), "c long, seg long, k long, t long, r string, x string, n long, m array<bigint>"), "turns")
-    chain = base.filter("m is not null").select("c", "seg", "n", "m").groupBy("c").applyInArrow(_chained(costs), "c long, seg long, enter int, leave int, before long, last boolean, cost long")
+    # a small matrix for each segment; the segments of a dialogue come one after another
+    chain = base.filter("m is not null").select("c", "seg", "n", "m").repartition("c").sortWithinPartitions("c", "seg")
+    chain = chain.mapInArrow(_chained(costs), "c long, seg long, enter int, leave int, before long, last boolean, cost long")
     placed = base.select("seg", "k", "t", "r", "x").join(chain, "seg")
-    out = placed.groupBy("seg").applyInArrow(_rendered(costs), "conv_id long, turn long, part long, role string, kind string, inserted string, added string, cost long, rendered string")
+    out = placed.repartition("seg").sortWithinPartitions("seg", "k").mapInArrow(_rendered(costs), "conv_id long, turn long, part long, role string, kind string, inserted string, added string, cost long, rendered string")
     return out.withColumnRenamed("conv_id", id_col)
