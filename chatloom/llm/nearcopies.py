@@ -39,7 +39,7 @@ LEAST_BYTES = 10
 #: Standard deviations beyond the bits expected at a similarity, from which the first round leaves a pair to the exact one.
 BAND = 3.0
 #: Hashes whose bytes are counted at a time; words whose hashes a task holds; cells of the counts of shingles, in blocks.
-STEP, HELD, CELLS, BLOCK = 2048, 500_000, 1 << 18, 1 << 14
+STEP, HELD, CELLS, BLOCK = 2048, 200_000, 1 << 18, 1 << 14
 #: Members of a posting up to which one task compares them all, and at a time; larger postings are dealt out over several.
 LARGE, CHUNK = 4096, 1024
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
