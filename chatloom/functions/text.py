@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 #: White space that text is stripped of and collapsed at.
 WS = r"[ \t\n\x0B\f\r\x{A0}\x{3000}]"
-#: Where sentences end.
-SENTENCE_END = r"[。！？!?；;|\n.]+"
+#: Where sentences end, and what doesn't count at the end of a line; defaults of parameters.
+SENTENCE_END = r"[.!?;\n…。！？；]+"
+LINE_TAIL = r"[\p{P}\p{S}]+$"
 
 
 def let(value: Column, use) -> Column:
@@ -18,6 +19,21 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), lambda v: use(v))[0]
 
 
+def runs(array: Column) -> Column:
+    """Distinct elements of an array of any length with how often each occurs: array<struct<x, n>>, by one sort."""
+
+    def counted(a: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+        return let(starts, lambda s: F.transform(s, lambda i, k: F.struct(F.get(a, i).alias("x"), (F.coalesce(F.get(s, k + 1), F.size(a)) - i).alias("n"))))
+
+    return F.when(F.size(array) > 0, let(F.sort_array(array), counted))
+
+
+def most_often(array: Column) -> Column:
+    """How often the commonest element of an array occurs; null for an empty one."""
+    return F.array_max(F.transform(runs(array), lambda r: r["n"]))
+
+
 def firsts(array: Column, form) -> Column:
     """Elements whose form(element, place) comes for the first time, in order; empty forms are left out. Sorts, so that long
     arrays take no quadratic time."""
@@ -81,9 +97,9 @@ def longest_run(array: Column) -> Column:
     return F.aggregate(array, start, step, lambda a: a["best"])
 
 
-def line_form(line: Column) -> Column:
+def line_form(line: Column, tail: str = LINE_TAIL) -> Column:
     """A line without white space and final punctuation, by which repeats are told."""
-    return F.regexp_replace(squeeze(line), "[~!！。,.，?？]+$", "")
+    return F.regexp_replace(squeeze(line), tail, "")
 
 
 def first_of_each(array: Column, form) -> Column:
@@ -91,9 +107,9 @@ def first_of_each(array: Column, form) -> Column:
     return firsts(array, lambda x, i: form(x))
 
 
-def sentences(text: Column) -> Column:
+def sentences(text: Column, end: str = SENTENCE_END) -> Column:
     """Stripped parts between sentence ends, empty ones left out."""
-    return F.filter(F.transform(F.split(text, SENTENCE_END), strip), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, end), strip), lambda x: x != "")
 
 
 def new_sentences(text: Column, least: int = 8) -> Column:
@@ -116,9 +132,14 @@ def script_lines(text: Column, script: str = r"\p{L}", least: int = 4, share: fl
     return F.array_distinct(F.filter(lines(text), fine))
 
 
-def terms(text: Column, stop: Sequence[str] = ()) -> Column:
-    """Distinct lower-case runs of letters and digits without stop terms, in order."""
-    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+def terms(text: Column, stop: Sequence[str] = (), script: str | None = None) -> Column:
+    """Distinct lower-case runs of letters and digits without stop terms, in order; then, for a script without spaces, the
+    pairs of its characters that follow each other when all else is left out."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    if script:
+        found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?:(?!{script})[\p{{L}}\p{{N}}])+"), F.lit(0))
+        found = F.concat(found, F.regexp_extract_all(F.regexp_replace(text, rf"(?!{script})(?s:.)", ""), F.lit("(?=(..))"), F.lit(1)))
+    found = F.array_distinct(found)
     return F.array_except(found, F.array(*map(F.lit, stop))) if stop else found
 
 
@@ -133,23 +154,15 @@ def hits(text: Column, patterns: Sequence[str]) -> Column:
     return sum((F.when(text.rlike("(?i)" + p), 1).otherwise(0) for p in patterns), F.lit(0))
 
 
-def term_places(text: Column, term: str) -> Column:
-    """Places, from 1, at which a lower-case term stands in a text, overlaps included."""
-
-    def found(low: Column) -> Column:
-        places = F.when(low.contains(term), F.sequence(F.lit(1), F.length(low) - len(term) + 1)).otherwise(F.array().cast("array<int>"))
-        return F.filter(places, lambda i: F.substring(low, i, F.lit(len(term))) == term)
-
-    return let(F.lower(text), found)
-
-
-def near(text: Column, place: Column, size: int, left: int, right: int) -> Column:
-    """The window around a term at a place: up to left characters before it, itself, and up to right after it."""
-    start = F.greatest(place - left, F.lit(1))
-    return F.substring(text, start, place - start + size + right)
+def windows(text: Column, term: str, left: int, right: int) -> Column:
+    """What stands around each place of a lower-case term in the lower-cased text, overlaps included: up to left characters
+    before it, itself, and up to right after it. One pass over the text, which is padded on the left for it."""
+    pad, quoted = "\0", "".join(f"\\x{{{ord(c):x}}}" for c in term)
+    found = F.regexp_extract_all(F.concat(F.lit(pad * left), F.lower(text)), F.lit("(?s)(?=(.{%d}%s.{0,%d}))" % (left, quoted, right)), F.lit(1))
+    return F.when(F.contains(F.lower(text), F.lit(term)), F.transform(found, lambda w: F.replace(w, F.lit(pad), F.lit("")))).otherwise(F.array().cast("array<string>"))
 
 
 def meant(text: Column, term: str, negations: Sequence[str], left: int = 14, right: int = 18) -> Column:
     """Whether a term occurs at least once without a negation in its window."""
     pattern = "(?i)" + "|".join(negations)
-    return F.exists(term_places(text, term), lambda i: ~near(text, i, len(term), left, right).rlike(pattern))
+    return F.exists(windows(text, term, left, right), lambda w: ~w.rlike(pattern))

@@ -10,27 +10,23 @@ from pyspark.sql import functions as F
 from chatloom.functions import text as tx
 
 
-def grams(rows: DataFrame, id_col: str, text: Column, n: int, least: int = 0) -> DataFrame:
-    """(id, size, gram, count) over the squeezed text's character n-grams, which a hash stands for; texts shorter than least or n
-    have no rows."""
-    base = rows.select(F.col(id_col).alias("id"), tx.squeeze(F.coalesce(text, F.lit(""))).alias("s"))
-    base = base.withColumn("size", F.length("s")).filter(F.col("size") >= max(least, n))
+def commonest(squeezed: Column, n: int) -> Column:
+    """How often the commonest of a text's character n-grams occurs, each told by a hash; null for texts shorter than n."""
     # a look-ahead matches at every place, so that one pass over the text finds all grams
-    found = F.regexp_extract_all("s", F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
-    spread = base.select("id", "size", F.explode(F.transform(found, lambda x: F.xxhash64(x))).alias("gram"))
-    return spread.groupBy("id", "size", "gram").agg(F.count("*").alias("count"))
+    found = F.regexp_extract_all(squeezed, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
+    return tx.most_often(F.transform(found, lambda x: F.xxhash64(x)))
 
 
 def heavy_repetition(rows: DataFrame, id_col: str, text: Column, n: int = 12, least: int = 80, times: int = 6, share: float = 0.35) -> DataFrame:
     """(id, most, heavy): the count of the commonest n-gram, and whether it is `times` or more and covers the share."""
-    top = grams(rows, id_col, text, n, max(least, n * times)).groupBy("id", "size").agg(F.max("count").alias("most"))
+    base = rows.select(F.col(id_col).alias("id"), tx.squeeze(F.coalesce(text, F.lit(""))).alias("s")).withColumn("size", F.length("s"))
+    top = base.filter(F.col("size") >= max(least, n * times)).select("id", "size", commonest(F.col("s"), n).cast("long").alias("most"))
     return top.select("id", "most", ((F.col("most") >= times) & (F.col("most") * n >= share * F.col("size"))).alias("heavy"))
 
 
 def span_score(rows: DataFrame, id_col: str, text: Column, n: int = 8) -> DataFrame:
     """(id, score): how often the commonest n-gram occurs; 1 for texts shorter than n."""
-    top = grams(rows, id_col, text, n).groupBy("id").agg(F.max("count").alias("most"))
-    return rows.select(F.col(id_col).alias("id")).join(top, "id", "left").select("id", F.coalesce("most", F.lit(1)).alias("score"))
+    return rows.select(F.col(id_col).alias("id"), F.coalesce(commonest(tx.squeeze(F.coalesce(text, F.lit(""))), n), F.lit(1)).cast("long").alias("score"))
 
 
 def repeated_sentences(rows: DataFrame, id_col: str, text: Column, least: int = 8, times: int = 3) -> DataFrame:

@@ -47,11 +47,11 @@ def sql_lines(x: str) -> str:
 
 
 def sql_sentences(x: str) -> str:
-    return f"list_filter(list_transform(string_split_regex({x}, '[。！？!?；;|\\n.]+'), lambda l: {sql_strip('l')}), lambda l: l <> '')"
+    return f"list_filter(list_transform(string_split_regex({x}, '[.!?;\\n…。！？；]+'), lambda l: {sql_strip('l')}), lambda l: l <> '')"
 
 
 def sql_form(x: str) -> str:
-    return f"regexp_replace({sql_squeeze(x)}, '[~!！。,.，?？]+$', '')"
+    return f"regexp_replace({sql_squeeze(x)}, '[\\p{{P}}\\p{{S}}]+$', '')"
 
 
 def sql_rules(x: str, rules) -> str:
