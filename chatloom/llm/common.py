@@ -43,7 +43,14 @@ def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage in a form that outlives executors."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    # what was shuffled for the table isn't needed once it is written
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,13 +33,15 @@ from .common import materialize, reachable
 from .components import components
 from .simhash import SEED, words_of
 
-BYTES, TABLES, WIDTH = 128, 48, 3
+BYTES, TABLES, WIDTH = 128, 24, 3
 #: Shared bytes below which a pair isn't verified. Pairs of similarity 0.8 share 35 on average, others half a byte.
 LEAST_BYTES = 10
 #: Standard deviations beyond the bits expected at a similarity, from which the first round leaves a pair to the exact one.
 BAND = 3.0
 #: Hashes whose bytes are counted at a time; words whose hashes a task holds; cells of the counts of shingles, in blocks.
 STEP, HELD, CELLS, BLOCK = 2048, 200_000, 1 << 18, 1 << 14
+#: Times the usual count of a cell from which its postings are dealt out.
+HOT = 4
 #: Members of a posting up to which one task compares them all, and at a time; larger postings are dealt out over several.
 LARGE, CHUNK = 4096, 1024
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
@@ -192,22 +194,52 @@ def _tallied(bits: int):
     return run
 
 
-def _placed(similarity: float):
-    """(h, node, of, n, at): a row for each of the first shingles of a text, with its place there and the group so far."""
+def _placed(similarity: float, cells: Broadcast):
+    """(h, salt, node, n_at): a row for each of the first shingles of a text, with the text's size and its place there.
+
+    Shingles of cells with many times the usual count are dealt out by salts; 0 stands for all others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = cells.value
+        usual = HOT * max(1.0, float(counts.mean()))
         for batch in batches:
             for part in pa.Table.from_batches([batch]).to_batches(max_chunksize=2048):
                 n = part.column("n").to_numpy()
-                size = np.where(n > 0, prefix_size(n, similarity), 0)
-                h = np.frombuffer(b"".join(part.column("first").to_pylist()), np.int64)
+                size = prefix_size(n, similarity)
+                h = np.frombuffer(b"".join(part.column("first").to_pylist()), np.uint64)
                 at = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
-                node, of, n = (pa.array(np.repeat(part.column(c).to_numpy(), size)) for c in ("node", "of", "n"))
-                yield pa.record_batch([pa.array(h), node, of, n, pa.array(at)], names=["h", "node", "of", "n", "at"])
+                node = np.repeat(part.column("node").to_numpy(), size)
+                salts = (counts[_cell(h)] // usual).astype(np.int64)
+                salt = np.where(salts > 0, 1 + node % np.maximum(salts, 1), 0)
+                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(node), pa.array(np.repeat(n, size) << 32 | at)], names=["h", "salt", "node", "n_at"])
 
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, node, n, at) of postings, whose rows come one after another, with more than one row; those dealt out are all kept."""
+
+    def made(columns: list[np.ndarray]) -> pa.RecordBatch:
+        h, node, n_at = columns
+        return pa.record_batch([pa.array(h), pa.array(node), pa.array(n_at >> 32), pa.array(n_at & 0xFFFFFFFF)], names=["h", "node", "n", "at"])
+
+    held, shared = None, False  # the last row so far, and whether it shares its posting with one before it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, salt, node, n_at = (batch.column(c).to_numpy() for c in ("h", "salt", "node", "n_at"))
+        if held is not None:
+            h, salt, node, n_at = (np.append(x, y) for x, y in zip(held, (h, salt, node, n_at), strict=True))
+        same = np.append(h[1:] == h[:-1], False)
+        kept = same | np.append(shared, same[:-1]) | (salt > 0)
+        held, shared = [x[-1:] for x in (h, salt, node, n_at)], bool(kept[-1])
+        if (found := kept[:-1]).any():
+            yield made([x[:-1][found] for x in (h, node, n_at)])
+    if shared:
+        yield made([held[0], held[2], held[3]])
+
+
 def _pairs(similarity: float):
     """Pairs of a posting's homes, and of its guests with its homes, that may be similar enough and differ in group.
 
@@ -291,9 +323,6 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of some pairs of nodes whose texts are as similar as asked for."""
-        wanted = pairs.select("u").union(pairs.select("v")).distinct().toDF("node").join(named, "node").select("id", "tx", "node")
-        texts = rows.join(wanted, ["id", "tx"]).groupBy("node").agg(F.min("t").alias("t"))
-        texts = materialize(texts, "texts")
         both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v")
         return both.select("u", "v", "a", "b").mapInArrow(_verified(words, similarity), "u long, v long")
 
@@ -316,20 +345,27 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
     both = met.join(prints.toDF("u", "a"), "u").join(prints.toDF("v", "b"), "v")
     close = both.select("u", "v", "a", "b").mapInArrow(_tallied(most_bits(similarity)), "u long, v long, bits long")
     close = materialize(close.groupBy("v").agg(F.min_by("u", F.struct("bits", "u")).alias("u")), "close")
+    # by rare shingles: the postings of more than one text
+    posted = nodes.select("node", "n", "first").mapInArrow(_placed(similarity, cells), "h long, salt int, node long, n_at long")
+    posted = posted.repartition("h", "salt").sortWithinPartitions("h").mapInArrow(_shared, "h long, node long, n long, at long")
+    shared = materialize(posted, "postings")
+
+    # the texts that may be looked at
+    wanted = shared.select("node").union(close.select("u")).union(close.select("v")).distinct().join(named, "node").select("id", "tx", "node")
+    texts = materialize(rows.join(wanted, ["id", "tx"]).groupBy("node").agg(F.min("t").alias("t")), "texts")
     groups = grown(None, materialize(verified(close.select("u", "v")), "links"))
 
-    # by rare shingles: first each node beside the most central one of a posting, then all that differ in group
+    # first each node beside the most central one of a posting, then all that differ in group
     of = lambda rows: rows.join(groups, "node", "left").withColumn("of", F.coalesce("of", "node"))
-    posted = of(nodes.select("node", "n", "first")).mapInArrow(_placed(similarity), "h long, node long, of long, n long, at long")
-    mixed = posted.groupBy("h").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least <> most").select("h")
-    posted = materialize(posted.join(mixed, "h").select("h", "node", "of", "n", "at"), "postings")
+    posted = of(shared)
     slack = F.col("at") - F.col("n") * ((1 - similarity) / (1 + similarity))
-    centres = posted.groupBy("h").agg(F.min(F.struct(slack.alias("s"), "node", "of")).alias("centre"))
-    pairs = posted.join(centres, "h").filter((F.col("of") != F.col("centre.of")) & (slack + F.col("centre.s") <= 1e-9))
+    centres = posted.groupBy("h").agg(F.min(F.struct(slack.alias("s"), "node", "of", "n")).alias("centre"))
+    sized = F.least("n", "centre.n") >= similarity * F.greatest("n", "centre.n") - 1e-9
+    pairs = posted.join(centres, "h").filter((F.col("of") != F.col("centre.of")) & (slack + F.col("centre.s") <= 1e-9) & sized)
     pairs = materialize(pairs.select(F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v")).distinct(), "central")
     groups = grown(groups, materialize(verified(pairs), "links"))
 
-    posted = of(posted.drop("of"))
+    posted = of(shared)
     size = posted.groupBy("h").agg(F.count("*").alias("m"), F.min("of").alias("main"), F.max("of").alias("most")).filter("main <> most")
     size = size.select("h", F.ceil(F.col("m") / LARGE).cast("int").alias("salts"), "main", "most")
     # of a posting dealt out, the members of one group are homes only; those of others are guests of every part as well
