@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
 from chatloom.operators import dialogue as dl
+from chatloom.operators import retrieval as rt
 from chatloom.operators import sets
 
 from .common import PII, sql_rules, table
@@ -134,14 +135,14 @@ def FBK7_eval_assembly(spark, d):
     return rows.select("item_id", F.coalesce("there", F.lit(False)).alias("found"), F.array_join(F.slice(F.split("text", "\n"), 1, 2), " ").alias("hint"))
 
 
-@query(f"""with {_LEX}, f as (select query_id, id, len(list_filter(list_distinct(string_split(b.text, '')), lambda c: contains(d.text[1:1000], c))) as n from rk join benchmark b on b.item_id = query_id join documents d on d.doc_id = rk.id where rank <= 40),
-o as (select *, row_number() over (partition by query_id order by n desc, id) as place from f) select query_id, id, n, cast(place as int) as place from o where place <= 5""")
+@query("""with q as (select item_id as query_id, list_distinct(string_split(text, '')) as c, list_distinct(list_transform(list_zip(string_split(text, '')[1:-2], string_split(text, '')[2:]), lambda p: p[1] || p[2])) as p from benchmark),
+t as (select doc_id as id, string_split(text[1:1000], '') as cs from documents), d as (select id, list_distinct(cs) as c, list_distinct(list_transform(list_zip(cs[1:-2], cs[2:]), lambda p: p[1] || p[2])) as p from t),
+f as (select query_id, id, len(list_intersect(q.c, d.c)) + 2 * len(list_intersect(q.p, d.p)) as n from q, d), o as (select *, row_number() over (partition by query_id order by n desc, id) as place from f)
+select query_id, id, n, cast(place as int) as place from o where place <= 5""")
 def RET13_character_fallback(spark, d):
-    """Candidates ranked by the distinct characters of the query that their beginnings hold, as the feature asks."""
-    rows = _lexical(spark, d, 40).select("query_id", "id").join(table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q")), "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 1000).alias("t")), "id")
-    n = F.size(F.filter(F.array_distinct(F.regexp_extract_all("q", F.lit("(?s)."), F.lit(0))), lambda c: F.contains(F.col("t"), c))).cast("long")
-    rows = rows.select("query_id", "id", n.alias("n"))
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("n"), "id"))).filter("place <= 5")
+    """All documents ranked for each item by the characters and pairs of characters of it that their beginnings hold."""
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q"))
+    return rt.fallback(asked, table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
 @query(f"""with {_LEX}, h as (select rk.query_id, rk.id, rk.rank, md5(d.text[1:100]) as sig, d.source from rk join documents d on d.doc_id = rk.id where rank <= 10)
@@ -173,15 +174,6 @@ def EVL20_consistency(spark, d):
     return predictions(spark, d).select(verdict.alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {_LEX}, e as (select rk.query_id, d.source, max(case when contains(d.text, b.text[1:120]) then 1 else 0 end) as hit from rk join documents d on d.doc_id = rk.id join benchmark b on b.item_id = rk.query_id where rank <= 10 group by all)
-select query_id, round(avg(hit), 6) as evidence_rate, count(*) as sources from e group by query_id""")
-def EVL3_evidence_coverage(spark, d):
-    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 120).alias("passage"))
-    h = _lexical(spark, d, 10).join(asked, "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source"), "id")
-    e = h.groupBy("query_id", "source").agg(F.max(F.when(F.contains("text", F.col("passage")), 1).otherwise(0)).alias("hit"))
-    return e.groupBy("query_id").agg(r6(F.avg("hit")).alias("evidence_rate"), F.count("*").alias("sources"))
-
-
 _FINDINGS = [("error_rate", 0.15, "high", "too many errors"), ("mean_value", 20.0, "medium", "slow on average"), ("low_share", 0.5, "low", "many small values")]
 
 
@@ -202,13 +194,6 @@ def RUL5_arguments(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.contains(t, F.lit("odds")), "european").otherwise("none").alias("formula"), number("stake").alias("stake"), number("odds").alias("odds"))
 
 
-@query(f"""with {_LEX} select query_id, count(*) as hits, round(max(score), 6) as best, cast(max(case when source_rank <= 2 then 1 else 0 end) as int) as varied from (select rk.*, row_number() over (partition by query_id, source order by rank) as source_rank from rk join documents d on d.doc_id = rk.id where rank <= 40) group by query_id""")
-def CUR4_index_retrieve(spark, d):
-    h = _lexical(spark, d, 40).join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), "id")
-    n = F.row_number().over(Window.partitionBy("query_id", "source").orderBy("rank"))
-    return h.withColumn("n", n).groupBy("query_id").agg(F.count("*").alias("hits"), r6(F.max("score")).alias("best"), F.max(F.when(F.col("n") <= 2, 1).otherwise(0)).alias("varied"))
-
-
 @query("""with m as (select doc_id, source, text, row_number() over (partition by md5(text) order by source, doc_id) as n from documents), k as (select * from m where n = 1), s as (select * from k where not regexp_matches(text, '(?i)idiot|%%%|!!'))
 select 'merged' as stage, count(*) as rows, count(*) filter (where contains(lower(text), 'license')) as license from k union all select 'clean', count(*), count(*) filter (where contains(lower(text), 'license')) from s""")
 def CUR3_merge_clean_coverage(spark, d):

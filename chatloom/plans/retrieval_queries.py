@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.functions import text as tx
 from chatloom.operators import retrieval as rt
 
-from .common import table
+from .common import sql_sentences, table
 
 QUERIES, SQL = {}, {}
 
@@ -52,10 +53,15 @@ def _char_sql(x: str) -> str:
     return "list_concat(" + ", ".join(f"list_transform(range(1, length({t}) - {n} + 2), lambda i: substring({t}, i, {n}))" for n in (1, 2, 3)) + ")"
 
 
-@query(f"with {_tfidf_sql(_char_sql('text'), 'benchmark', 'item_id')} select id, term, round(weight, 6) as weight from ix")
+_CHUNK_IDS = f"(with {_CHUNKS} select id || '-' || (row_number() over (partition by id order by p.char_start) - 1) as unit, p.chunk as text from c)"
+
+
+@query(f"with {_tfidf_sql(_char_sql('text'), _CHUNK_IDS, 'unit')} select id, term, round(weight, 6) as weight from ix")
 def IDX3_char_tfidf(spark, d):
-    t = F.col("text")
-    ix, _ = rt.tfidf(table(spark, d, "benchmark"), "item_id", F.concat(*(rt.char_grams(t, n) for n in (1, 2, 3))))
+    """The whole index of all chunks of all documents."""
+    t = F.col("chunk")
+    units = rt.chunks(table(spark, d, "documents"), "doc_id", F.col("text")).select(F.concat_ws("-", "id", "chunk_index").alias("unit"), "chunk")
+    ix, _ = rt.tfidf(units, "unit", F.concat(*(rt.char_grams(t, n) for n in (1, 2, 3))))
     return ix.select("id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -63,10 +69,23 @@ _WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]{2,}')"
 _PAIRS = f"list_concat({_WORDS}, list_transform(list_zip({_WORDS}[1:-2], {_WORDS}[2:]), lambda p: p[1] || ' ' || p[2]))"
 
 
-@query(f"with {_tfidf_sql(_PAIRS, 'documents', 'doc_id')}, r as (select *, row_number() over (partition by id order by round(weight, 9) desc, term) as rank from ix) select id, cast(rank as int) as rank, term, round(weight, 6) as weight from r where rank <= 5")
+_VOCABULARY = 200_000
+_VOCABULARY_SQL = _tfidf_sql(_PAIRS, "documents", "doc_id").replace("df as (select term,", f"vo as (select term from tf group by term order by sum(tf) desc, term limit {_VOCABULARY}),\ndf as (select term,").replace("from tf group by term),\nw as", "from tf where term in (from vo) group by term),\nw as")
+
+
+@query(f"with {_VOCABULARY_SQL} select id, term, round(weight, 6) as weight from ix")
 def IDX4_word_tfidf(spark, d):
-    ix, _ = rt.tfidf(table(spark, d, "documents"), "doc_id", rt.with_pairs(rt.words(F.col("text"))))
-    return rt.top(ix, "id", "weight", "term", 5).select("id", "rank", "term", F.round("weight", 6).alias("weight"))
+    """The whole index over the commonest words and pairs of words."""
+    ix, _ = rt.tfidf(table(spark, d, "documents"), "doc_id", rt.with_pairs(rt.words(F.col("text"))), most_terms=_VOCABULARY)
+    return ix.select("id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query(None)
+def IDX5_dense_projection(spark, d):
+    """Documents on the main directions of their words' weights, with the share of squares that these keep."""
+    ix, _ = rt.tfidf(table(spark, d, "documents"), "doc_id", rt.with_pairs(rt.words(F.col("text"))), most_terms=_VOCABULARY)
+    v, kept = rt.reduced(ix)
+    return v.withColumn("explained", F.lit(kept))
 
 
 @query("""with u as (select 'text' as modality, 'd' || doc_id as unit_id, source as source_file, text from documents union all select 'page', 'p' || page_id, url, html from pages)
@@ -116,14 +135,19 @@ def RET2_vector(spark, d):
     return _dense(spark, d, 10).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
 
 
+def _file():
+    """A file name for each document, of its first word and source."""
+    return F.concat(F.lower(F.regexp_extract("text", "[A-Za-z]+", 0)), F.lit("_"), "source", F.lit("_notes.md"))
+
+
 def _second(spark, d):
     """A second ranking of the lexical hits, by coverage of the query's terms."""
     hits = _lexical(spark, d, 40)
-    full = hits.join(table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q")), "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source", "n_chars"), "id")
+    full = hits.join(table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q")), "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", _file().alias("file"), "n_chars"), "id")
     return full.withColumn("terms", F.array_distinct(rt.words(F.col("q"))))
 
 
-_FULL = f"""{_LEX}, fu as (select rk.*, b.text as q, dd.text, dd.source, dd.n_chars, list_filter(wq, lambda x, i: list_position(wq, x) = i) as terms from rk join (select item_id, text, {_WORDS} as wq from benchmark) b on b.item_id = query_id join documents dd on dd.doc_id = rk.id where rank <= 40),
+_FULL = f"""{_LEX}, fu as (select rk.*, b.text as q, dd.text, lower(regexp_extract(dd.text, '[A-Za-z]+')) || '_' || dd.source || '_notes.md' as file, dd.n_chars, list_filter(wq, lambda x, i: list_position(wq, x) = i) as terms from rk join (select item_id, text, {_WORDS} as wq from benchmark) b on b.item_id = query_id join documents dd on dd.doc_id = rk.id where rank <= 40),
 co as (select *, len(list_filter(terms, lambda t: contains(lower(text), t)))::double / len(terms) as coverage from fu)"""
 
 
@@ -150,43 +174,85 @@ def RET5_coverage(spark, d):
 
 
 def _grams_sql(x: str) -> str:
-    return f"list_distinct(list_transform(range(1, length({x})), lambda i: substring({x}, i, 2)))"
+    cs = f"string_split({x}, '')"
+    return f"list_distinct(list_transform(list_zip({cs}[1:-2], {cs}[2:]), lambda p: p[1] || p[2]))"
 
 
 _JACCARD = f"(len(list_intersect({_grams_sql('q')}, {_grams_sql('text')}))::double / len(list_distinct(list_concat({_grams_sql('q')}, {_grams_sql('text')}))))"
 
 
-@query(f"with {_FULL} select query_id, id, round({_JACCARD}, 6) as jaccard from co where rank <= 10")
+@query(f"with {_FULL} select query_id, id, round({_JACCARD}, 6) as jaccard from co")
 def RET6_bigram_jaccard(spark, d):
-    return _second(spark, d).filter("rank <= 10").select("query_id", "id", F.round(rt.bigram_jaccard(F.col("q"), F.col("text")), 6).alias("jaccard"))
+    return _second(spark, d).select("query_id", "id", F.round(rt.bigram_jaccard(F.col("q"), F.col("text")), 6).alias("jaccard"))
 
 
-@query(f"with {_FULL} select query_id, id, case when contains(lower(q), source) then 1.0::double else 0.0::double end as affinity from co")
+_NAME_WORDS = "'[\\p{L}\\p{N}]+'"
+_SOURCES = f"""{_FULL}, st as (select *, regexp_replace(file, '\\.[^.]*$', '') as stem from co), nw as (select *, list_distinct(regexp_extract_all(lower(stem), {_NAME_WORDS})) as nws, list_distinct(regexp_extract_all(lower(regexp_replace(stem, 'notes|guide', ' ', 'g')), {_NAME_WORDS})) as al from st),
+so as (select *, case when len(nws) > 0 and len(terms) > 0 then len(list_filter(nws, lambda w: length(w) >= 2 and len(list_filter(terms, lambda t: contains(t, w) or contains(w, t))) > 0))::double / len(nws) else 0 end as affinity,
+case when len(al) > 0 then len(list_filter(al, lambda w: contains(lower(q), w)))::double / len(al) else 0 end as explicit, lower(trim(regexp_replace(stem, '^[A-Za-z]+', ''), ' _-')) as rest from nw)"""
+
+
+@query(f"with {_SOURCES} select query_id, id, round(affinity, 6) as affinity, round(explicit, 6) as explicit, case when rest <> '' then rest else lower(stem) end as family, max(explicit) over (partition by query_id) > 0 as focus from so")
 def RET7_source_affinity(spark, d):
-    return _second(spark, d).select("query_id", "id", F.when(F.contains(F.lower("q"), F.col("source")), 1.0).otherwise(0.0).alias("affinity"))
+    from pyspark.sql import Window
+
+    file, explicit = F.col("file"), rt.explicit_match(F.col("q"), F.col("file"), "notes|guide")
+    rows = _second(spark, d).select("query_id", "id", F.round(rt.source_affinity(F.col("terms"), file), 6).alias("affinity"), F.round(explicit, 6).alias("explicit"), rt.family(file).alias("family"))
+    return rows.withColumn("focus", F.max("explicit").over(Window.partitionBy("query_id")) > 0)
 
 
-@query(f"with {_FULL} select query_id, id, round(0.6::double * score + 0.2::double * coverage + 0.1::double * {_JACCARD} + 0.1::double * case when contains(lower(q), source) then 1 else 0 end, 6) as score from co where rank <= 10")
+def _fused(spark, d):
+    """Candidates with their fusion score, of the lexical ranking and that by coverage."""
+    full = _second(spark, d)
+    b = rt.top(full.select("query_id", "id", rt.coverage(F.col("terms"), F.col("text")).alias("score")), "query_id", "score", "id", 20)
+    fused = rt.reciprocal_ranks(full.select("query_id", "id", "score", "rank"), b).select("query_id", "id", F.col("score").alias("fusion"))
+    return full.drop("score", "rank").join(fused, ["query_id", "id"])
+
+
+@query(f"""with {_SOURCES}, se as (select query_id, id, row_number() over (partition by query_id order by round(coverage, 9) desc, id) as rank2 from so)
+select query_id, id, round(0.6::double * (1.0::double / (60 + so.rank) + case when rank2 <= 20 then 1.0::double / (60 + rank2) else 0 end) + 0.2::double * coverage + 0.1::double * {_JACCARD} + 0.1::double * affinity
++ case when max(explicit) over (partition by query_id) > 0 then 0.18::double * explicit - case when explicit <= 0 then 0.06::double else 0 end else 0 end, 6) as score from so join se using (query_id, id)""")
 def RET8_rerank(spark, d):
-    r = _second(spark, d).filter("rank <= 10")
-    score = 0.6 * F.col("score") + 0.2 * rt.coverage(F.col("terms"), F.col("text")) + 0.1 * rt.bigram_jaccard(F.col("q"), F.col("text")) + 0.1 * F.when(F.contains(F.lower("q"), F.col("source")), 1.0).otherwise(0.0)
-    return r.select("query_id", "id", F.round(score, 6).alias("score"))
+    return rt.rerank(_fused(spark, d), 0.1).select("query_id", "id", F.round("score", 6).alias("score"))
 
 
 @query(None)
 def RET9_diversity(spark, d):
-    return rt.diversify(_second(spark, d).select("query_id", "id", "source", "score", "rank"), 8, 2)
+    ranked = rt.top(rt.rerank(_fused(spark, d), 0.1).select("query_id", "id", "file", "text", "score"), "query_id", "score", "id", 40)
+    return rt.diversify(ranked, 8, 2, 3)
 
 
-@query(None)
-def RET10_hybrid(spark, d):
+def _both_sides(spark, d, k: int):
+    """Lexical rankings, and those by projected weights, of the benchmark's items over documents."""
     docs, asked = table(spark, d, "documents"), table(spark, d, "benchmark")
     index, idf = rt.tfidf(docs, "doc_id", rt.words(F.col("text")))
     q, _ = rt.tfidf(asked, "item_id", rt.words(F.col("text")), idf)
     # ids of queries and documents are numbers of their own: the former are made negative for the vector side
-    vec = rt.dense(rt.projected(q).withColumn("id", -1 - F.col("id")), rt.projected(index), rt.candidates(5)).withColumn("query_id", -1 - F.col("query_id"))
-    texts = docs.select(F.col("doc_id").alias("id"), "text", "source")
-    return rt.hybrid(asked.select(F.col("item_id").alias("query_id"), F.col("text").alias("q")), texts, rt.lexical(q, index, rt.candidates(5)), vec)
+    vec = rt.dense(rt.projected(q).withColumn("id", -1 - F.col("id")), rt.projected(index), k).withColumn("query_id", -1 - F.col("query_id"))
+    return rt.lexical(q, index, k, 0.01), vec
+
+
+def _asked(spark, d):
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q"))
+
+
+@query(None)
+def RET10_hybrid(spark, d):
+    lex, vec = _both_sides(spark, d, rt.candidates(5))
+    return rt.hybrid(_asked(spark, d), table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", _file().alias("file")), lex, vec, 5, source_weight=0.1)
+
+
+@query(None)
+def RET12_modalities(spark, d):
+    """Documents as texts, those with a vector whose text is short as images; an item's vector is that of its own number."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    asked = _asked(spark, d)
+    mine = asked.select(F.col("query_id").alias("id")).join(vectors, "id").withColumn("id", -1 - F.col("id"))
+    seen = rt.dense(mine, vectors.join(docs.select("id"), "id", "left_semi"), 20).withColumn("query_id", -1 - F.col("query_id"))
+    kind = F.when(F.col("v").isNotNull() & (F.length("text") < 600), "image").otherwise("text")
+    units = docs.join(vectors, "id", "left").select("id", kind.alias("modality"), F.split("text", "\n")[0].alias("title"), "text", "v")
+    return rt.with_modality(asked, units, _lexical(spark, d, 20), seen, 5)
 
 
 @query("select item_id, case when regexp_matches(lower(text), '(the|and).*(the|and)') then greatest(5, 8) else 5 end as top_k, case when regexp_matches(lower(text), '(the|and).*(the|and)') then 80 else 40 end as candidate_k from benchmark")
@@ -213,25 +279,87 @@ def RET15_glossary(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(F.slice(one, 1, 4)).alias("i", "g")).select("doc_id", (F.col("i") + 1).alias("rank"), "g.alias", "g.term")
 
 
-_GOLD = "gd as (select item_id as query_id, doc_id as id from benchmark b join documents d on contains(d.text, b.text[1:120]))"
-_FIRST = f"fr as (select b.item_id as query_id, min(rank) filter (where gd.id is not null and rank <= 10) as first_rank from benchmark b left join rk on rk.query_id = b.item_id left join gd on gd.query_id = rk.query_id and gd.id = rk.id group by b.item_id)"
+_SQUEEZED = "regexp_replace({}, '[ \\t\\n\\x0B\\f\\r\\x{{A0}}\\x{{3000}}]+', '', 'g')".format
+_HITS = f"""{_LEX}, bs as (select item_id, text, {_SQUEEZED('text')} as passage from benchmark), ds as (select doc_id, source, {_SQUEEZED('text')} as body from documents),
+gd as (select item_id as query_id, doc_id as id, source from bs join ds on contains(body, passage)), hi as (select rk.query_id, rk.id, rk.rank, ds.source, ds.body from rk join ds on ds.doc_id = rk.id where rank <= 10)"""
+_FIRST = "fr as (select b.item_id as query_id, b.text, min(rank) filter (where gd.id is not null) as first_rank from benchmark b left join hi on hi.query_id = b.item_id left join gd on gd.query_id = hi.query_id and gd.id = hi.id group by all)"
+
+
+def _hits(spark, d):
+    """The ten best documents of each item with their texts, and the item's passage; both without white space."""
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), tx.squeeze(F.col("text")).alias("passage"))
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("id"), tx.squeeze(F.col("text")).alias("body"), "source")
+    return _lexical(spark, d, 10).join(asked, "query_id").join(texts, "id")
 
 
 def _first_ranks(spark, d):
-    """Rank of the first hit that holds the query's passage, by query; null without one. A hit holds what its query asks for
-    if it contains the passage's beginning, so only hits are looked at."""
-    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 120).alias("passage"))
-    hits = _lexical(spark, d, 10).join(asked, "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
-    found = hits.filter(F.contains("text", F.col("passage"))).groupBy("query_id").agg(F.min("rank").alias("first_rank"))
-    return asked.select("query_id").join(found, "query_id", "left")
+    """(query_id, text, first_rank): rank of the first hit that holds the item's whole passage; null without one."""
+    found = _hits(spark, d).filter(F.contains("body", F.col("passage"))).groupBy("query_id").agg(F.min("rank").alias("first_rank"))
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text").join(found, "query_id", "left")
 
 
-@query(f"with {_LEX}, {_GOLD}, {_FIRST} select query_id, cast(first_rank as int) as first_rank from fr")
+@query(f"with {_HITS}, {_FIRST} select query_id, cast(first_rank as int) as first_rank from fr")
 def EVL1_first_rank(spark, d):
-    return _first_ranks(spark, d)
+    return _first_ranks(spark, d).select("query_id", "first_rank")
+
+
+_TAGS = ("the", "and", "der", "que")
+_RATES = ", ".join(f"round(avg(case when first_rank <= {k} then 1.0 else 0.0 end), 6) as recall_{k}" for k in (1, 3, 5)) + ", round(avg(coalesce(1.0::double / first_rank, 0)), 6) as mrr, count(*) filter (where first_rank is null) as missed"
 
 
-@query(f"with {_LEX}, {_GOLD}, {_FIRST} select " + ", ".join(f"round(avg(case when first_rank <= {k} then 1.0 else 0.0 end), 6) as recall_{k}" for k in (1, 3, 5)) + ", round(avg(coalesce(1.0::double / first_rank, 0)), 6) as mrr, count(*) filter (where first_rank is null) as missed from fr")
+@query(f"""with {_HITS}, {_FIRST}, sp as (select *, unnest(list_concat([{{'scope': 'all', 'name': ''}}, {{'scope': 'type', 'name': case when length(text) >= 250 then 'long' else 'short' end}}],
+list_transform(list_filter({list(_TAGS)}, lambda t: contains(lower(text), t)), lambda t: {{'scope': 'tag', 'name': t}}))) as s from fr) select s.scope as scope, s.name as name, count(*) as n, {_RATES} from sp group by all""")
 def EVL2_recall(spark, d):
-    r = F.col("first_rank")
-    return _first_ranks(spark, d).agg(*(F.round(F.avg(F.when(r <= k, 1.0).otherwise(0.0)), 6).alias(f"recall_{k}") for k in (1, 3, 5)), F.round(F.avg(F.coalesce(1.0 / r, F.lit(0.0))), 6).alias("mrr"), F.count_if(r.isNull()).alias("missed"))
+    """Recall, mean reciprocal rank and misses over all items, by type (their length) and by tag (words that they hold)."""
+    r, group = F.col("first_rank"), lambda scope, name: F.struct(F.lit(scope).alias("scope"), name.alias("name"))
+    tags = F.filter(F.array(*map(F.lit, _TAGS)), lambda t: F.contains(F.lower("text"), t))
+    scopes = F.concat(F.array(group("all", F.lit("")), group("type", F.when(F.length("text") >= 250, "long").otherwise("short"))), F.transform(tags, lambda t: group("tag", t)))
+    rows = _first_ranks(spark, d).select("first_rank", F.explode(scopes).alias("s"))
+    return rows.groupBy("s.scope", "s.name").agg(F.count("*").alias("n"), *(F.round(F.avg(F.when(r <= k, 1.0).otherwise(0.0)), 6).alias(f"recall_{k}") for k in (1, 3, 5)), F.round(F.avg(F.coalesce(1.0 / r, F.lit(0.0))), 6).alias("mrr"), F.count_if(r.isNull()).alias("missed"))
+
+
+@query(f"""with {_HITS}, ev as (select item_id as query_id, unnest({sql_sentences('text')}) as s from benchmark), e as (select distinct query_id, {_SQUEEZED('s')} as s from ev where length({_SQUEEZED('s')}) >= 12),
+er as (select e.query_id, e.s, max(case when contains(hi.body, e.s) then 1 else 0 end) as hit from e left join hi using (query_id) group by all), ra as (select query_id, avg(hit)::double as evidence_rate, min(hit) = 1 as full_cover from er group by query_id),
+gs as (select distinct query_id, source from gd), sr as (select gs.query_id, avg(case when h.source is not null then 1.0::double else 0.0::double end) as source_rate from gs left join (select distinct query_id, source from hi) h using (query_id, source) group by gs.query_id),
+al as (select query_id, evidence_rate, full_cover, source_rate from ra left join sr using (query_id))
+select query_id, round(evidence_rate, 6) as evidence_rate, round(source_rate, 6) as source_rate, case when full_cover then 1.0::double else 0.0::double end as full_cover from al
+union all select null, round(avg(evidence_rate), 6), round(avg(source_rate), 6), round(avg(case when full_cover then 1.0::double else 0.0::double end), 6) from al""")
+def EVL3_evidence_coverage(spark, d):
+    """For each item the share of its sentences that its hits hold, that of the sources with its passage among its hits', and
+    whether all sentences are held; the row without an id has the means."""
+    hits = _hits(spark, d).select("query_id", "id", "body", "source")
+    items, form = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text"), tx.squeeze(F.col("s"))
+    evidence = items.select("query_id", F.explode(tx.sentences(F.col("text"))).alias("s")).select("query_id", form.alias("s")).filter(F.length("s") >= 12).distinct()
+    held = evidence.join(hits, "query_id", "left").groupBy("query_id", "s").agg(F.max(F.when(F.contains("body", F.col("s")), 1).otherwise(0)).alias("hit"))
+    rates = held.groupBy("query_id").agg(F.avg("hit").alias("evidence_rate"), F.min("hit").cast("double").alias("full_cover"))
+    # items are few and go to all tasks, in which their passages are looked for; no pair is made of those that don't hold them
+    passages = F.broadcast(items.select(F.collect_list(F.struct("query_id", tx.squeeze(F.col("text")).alias("p"))).alias("ps")))
+    docs = table(spark, d, "documents").select("source", tx.squeeze(F.col("text")).alias("body")).withColumn("one", F.lit(1)).join(passages.withColumn("one", F.lit(1)), "one")
+    gold = docs.select("source", F.explode(F.filter("ps", lambda p: F.contains(F.col("body"), p["p"]))).alias("p")).select("p.query_id", "source").distinct()
+    met = hits.select("query_id", "source").distinct().withColumn("met", F.lit(1.0))
+    sources = gold.join(met, ["query_id", "source"], "left").groupBy("query_id").agg(F.avg(F.coalesce("met", F.lit(0.0))).alias("source_rate"))
+    rows = rates.join(sources, "query_id", "left").select("query_id", "evidence_rate", "source_rate", "full_cover")
+    means = rows.agg(F.lit(None).cast("long").alias("query_id"), *(F.avg(c).alias(c) for c in rows.columns[1:]))
+    return rows.unionByName(means).select("query_id", *(F.round(c, 6).alias(c) for c in rows.columns[1:]))
+
+
+@query(None)
+def CUR4_index_retrieve(spark, d):
+    """Documents in chunks, an index of their character triples, hybrid retrieval, and its evaluation by item: metric, value.
+
+    Triples in more than a twentieth of the chunks are left out of the index: they tell chunks apart the least.
+    """
+    units = rt.chunks(table(spark, d, "documents"), "doc_id", F.col("text")).select((F.col("id") * 1_000_000 + F.col("chunk_index")).alias("id"), F.col("id").alias("doc_id"), "chunk")
+    index, idf = rt.tfidf(units, "id", rt.char_grams(F.lower("chunk"), 3), most_share=0.05)
+    asked = _asked(spark, d)
+    q, _ = rt.tfidf(asked.withColumnRenamed("query_id", "id"), "id", rt.char_grams(F.lower("q"), 3), idf)
+    lex = rt.lexical(q, index, rt.candidates(5), 0.01)
+    vec = rt.dense(rt.projected(q).withColumn("id", -1 - F.col("id")), rt.projected(index), rt.candidates(5)).withColumn("query_id", -1 - F.col("query_id"))
+    files = table(spark, d, "documents").select("doc_id", _file().alias("file"))
+    hits = rt.hybrid(asked, units.join(files, "doc_id").select("id", F.col("chunk").alias("text"), "file"), lex, vec, 5, source_weight=0.1)
+    found = hits.withColumn("doc_id", F.floor(F.col("id") / 1_000_000)).join(table(spark, d, "documents").select("doc_id", tx.squeeze(F.col("text")).alias("body")), "doc_id").join(asked, "query_id")
+    first = found.filter(F.contains("body", tx.squeeze(F.col("q")))).groupBy("query_id").agg(F.min("place").alias("first"))
+    every = asked.select("query_id").join(first, "query_id", "left")
+    r = F.col("first")
+    a = every.agg(F.count("*").cast("double").alias("items"), *(F.avg(F.when(r <= k, 1.0).otherwise(0.0)).alias(f"recall_{k}") for k in (1, 3, 5)), F.avg(F.coalesce(1.0 / r, F.lit(0.0))).alias("mrr"))
+    return a.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.round(c, 6).alias("value")) for c in a.columns))).alias("m")).select("m.*")
