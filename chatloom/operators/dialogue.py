@@ -8,16 +8,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def assemble(turns: DataFrame, roles: Sequence[str] | None = None) -> DataFrame:
-    """(conv_id, messages): turns of the given roles in order of turn."""
+def assemble(turns: DataFrame, roles: Sequence[str] | None = None, part: int = 1000) -> DataFrame:
+    """(conv_id, part, messages): turns of the given roles in order of turn, in parts of `part` turn numbers, so that no dialogue,
+    however long, has to fit one row."""
     rows = turns.filter(F.col("role").isin(*roles)) if roles else turns
-    return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m")).select("conv_id", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+    rows = rows.withColumn("part", F.floor(F.col("turn") / part))
+    return rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m")).select("conv_id", "part", F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
 
 
 def explode_turns(dialogues: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) from messages; turns are numbered from 0."""
-    rows = dialogues.select("conv_id", F.posexplode("messages").alias("turn", "m"))
-    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "m.role", F.col("m.content").alias("text"))
+    rows = dialogues.select("conv_id", "part", F.size("messages").alias("n"), F.posexplode("messages").alias("at", "m"))
+    sizes = dialogues.select("conv_id", "part", F.size("messages").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.join(sizes.select("conv_id", "part", before.alias("before")), ["conv_id", "part"])
+    return placed.select("conv_id", (F.col("before") + F.col("at")).alias("turn"), "m.role", F.col("m.content").alias("text"))
 
 
 def merge_same_role(turns: DataFrame) -> DataFrame:
@@ -74,13 +79,24 @@ def drop_reason(turns: DataFrame, low: Sequence[str], least: int = 12, most: int
     return a.select("conv_id", reason.when(F.col("worthy") == 0, "low_value").when(F.col("longest") < shortest, "reply_too_short").alias("reason"))
 
 
-def dialogue_hash(turns: DataFrame, numbers: bool = True, size: int = 20) -> DataFrame:
-    """(conv_id, hash): sha256 prefix of role:text lines, lower-cased, white space collapsed and digits as <NUM>."""
+def dialogue_hash(turns: DataFrame, numbers: bool = True, size: int = 20, segment: int = 1000) -> DataFrame:
+    """(conv_id, hash): sha256 prefix over the turns in order, as role:text lower-cased, with white space collapsed and digits as
+    <NUM>.
+
+    Turns are told by their sha256, the digests of `segment` turn numbers are digested, and those of a dialogue once more, so
+    that texts of a dialogue are never gathered.
+    """
     text = F.trim(F.lower(F.coalesce("text", F.lit(""))))
     text = F.regexp_replace(text, "[0-9]+", "<NUM>") if numbers else text
     text = F.concat("role", F.lit(":"), F.regexp_replace(text, "[ \\t\\n\\r\\f]+", " "))
-    rows = turns.select("conv_id", "turn", text.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "t"))).alias("m"))
-    return rows.select("conv_id", F.substring(F.sha2(F.array_join(F.transform("m", lambda x: x["t"]), "\n"), 256), 1, size).alias("hash"))
+
+    def digested(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+        rows = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, "t"))).alias("m"))
+        return rows.select(*keys, F.sha2(F.array_join(F.transform("m", lambda x: x["t"]), "\n"), 256).alias("t"))
+
+    rows = turns.select("conv_id", "turn", F.floor(F.col("turn") / segment).alias("segment"), F.sha2(text, 256).alias("t"))
+    whole = digested(digested(rows, ["conv_id", "segment"], "turn"), ["conv_id"], "segment")
+    return whole.select("conv_id", F.substring("t", 1, size).alias("hash"))
 
 
 def neighbours(rows: DataFrame, group: str, order: str, text: str, wanted: Column) -> DataFrame:

@@ -17,6 +17,17 @@ def commonest(squeezed: Column, n: int) -> Column:
     return tx.most_often(F.transform(found, lambda x: F.xxhash64(x)))
 
 
+def heavy(text: Column, n: int = 12, least: int = 80, times: int = 6, share: float = 0.35) -> Column:
+    """Whether the commonest n-gram of a text without white space occurs `times` or more and covers the share of it; texts under
+    `least` characters don't count."""
+
+    def test(s: Column) -> Column:
+        most = commonest(s, n)
+        return (F.length(s) >= max(least, n * times)) & tx.let(most, lambda m: (m >= times) & (m * n >= share * F.length(s)))
+
+    return F.coalesce(tx.let(tx.squeeze(F.coalesce(text, F.lit(""))), test), F.lit(False))
+
+
 def heavy_repetition(rows: DataFrame, id_col: str, text: Column, n: int = 12, least: int = 80, times: int = 6, share: float = 0.35) -> DataFrame:
     """(id, most, heavy): the count of the commonest n-gram, and whether it is `times` or more and covers the share."""
     base = rows.select(F.col(id_col).alias("id"), tx.squeeze(F.coalesce(text, F.lit(""))).alias("s")).withColumn("size", F.length("s"))

@@ -59,3 +59,9 @@ def sql_rules(x: str, rules) -> str:
         to = to.replace("$1", "\\1").replace("$2", "\\2")
         x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
     return x
+
+
+def sql_normalize(x: str) -> str:
+    for pattern, to in (("\\r", " "), ("<[^>]+>", " "), ("(?i)https?://[^ \\t\\n\\x0B\\f\\r]+", " <URL> "), ("&nbsp;", " "), (f"{_WS}+", " ")):
+        x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+    return sql_strip(x)

@@ -23,10 +23,10 @@ def query(sql: str | None):
     return add
 
 
-@query("""select conv_id, to_json(list({'role': role, 'content': text} order by turn))::varchar as messages, count(*) as turns from conversations where role in ('user', 'assistant') group by conv_id""")
+@query("""select conv_id, turn // 1000 as part, to_json(list({'role': role, 'content': text} order by turn))::varchar as messages, count(*) as turns from conversations where role in ('user', 'assistant') group by conv_id, turn // 1000""")
 def DLG1_assemble(spark, d):
     a = dl.assemble(table(spark, d, "conversations"), ["user", "assistant"])
-    return a.select("conv_id", F.to_json("messages").alias("messages"), F.size("messages").cast("long").alias("turns"))
+    return a.select("conv_id", "part", F.to_json("messages").alias("messages"), F.size("messages").cast("long").alias("turns"))
 
 
 @query("""with r as (select conv_id, turn, case when role = 'system' then 'user' else role end as role, text from conversations),
@@ -73,6 +73,27 @@ def DLG8_preference_pairs(spark, d):
     return dl.first_pair(table(spark, d, "conversations")).select("conv_id", F.col("question").alias("prompt"), F.col("answer").alias("chosen"), F.get(F.array(*map(F.lit, _POOL)), pick).alias("rejected"))
 
 
+@query("""select conv_id, turn // 1000 as part, 'sft' as split, to_json(list({'role': role, 'content': text} order by turn))::varchar as messages from conversations where role in ('user', 'assistant') group by conv_id, turn // 1000""")
+def DLG8_sft_view(spark, d):
+    a = dl.assemble(table(spark, d, "conversations"), ["user", "assistant"])
+    return a.select("conv_id", "part", F.lit("sft").alias("split"), F.to_json("messages").alias("messages"))
+
+
+@query("""with u as (select conv_id, min(turn) as asked, arg_min(text, turn) as question from conversations where role = 'user' and length(trim(text)) > 0 group by conv_id),
+p as (select c.conv_id, any_value(question) as question, arg_min(c.text, c.turn) as answer from conversations c join u using (conv_id) where c.role = 'assistant' and length(trim(c.text)) > 0 and c.turn > u.asked group by c.conv_id)
+select conv_id, to_json([{'role': 'user', 'content': question}])::varchar as messages, answer as reference, 0.6::double as accuracy, 0.4::double as format from p""")
+def DLG8_prompt_view(spark, d):
+    """Prompts with the reference answer and the rubric's weights."""
+    message = F.to_json(F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content"))))
+    return dl.first_pair(table(spark, d, "conversations")).select("conv_id", message.alias("messages"), F.col("answer").alias("reference"), F.lit(0.6).alias("accuracy"), F.lit(0.4).alias("format"))
+
+
+@query("""select conv_id, arg_min(text, turn) as text, case when regexp_matches(arg_min(text, turn), '(?i)the') then 'english' when regexp_matches(arg_min(text, turn), '(?i)der|ung') then 'german' else 'other' end as intent from conversations group by conv_id""")
+def DLG9_classification_view(spark, d):
+    first = table(spark, d, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    return first.withColumn("intent", F.when(F.col("text").rlike("(?i)the"), "english").when(F.col("text").rlike("(?i)der|ung"), "german").otherwise("other"))
+
+
 @query("select conv_id, arg_min(text, turn) as question, arg_max(text, turn) as answer from conversations group by conv_id")
 def DLG9_faq_view(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("question"), F.max_by("text", "turn").alias("answer"))
@@ -111,18 +132,19 @@ def FLT15_guard(spark, d):
     return a.select("conv_id", F.coalesce("injection", F.lit(False)).alias("injection"), F.coalesce(F.col("off") & ~F.col("on"), F.lit(False)).alias("off_topic"))
 
 
-def _hash_sql(numbers: bool, size: int) -> str:
+def hash_sql(numbers: bool, size: int, source: str = "conversations") -> str:
     text = "trim(lower(coalesce(text, '')))"
     text = f"regexp_replace({text}, '[0-9]+', '<NUM>', 'g')" if numbers else text
-    return f"select conv_id, sha256(string_agg(role || ':' || regexp_replace({text}, '[ \\t\\n\\r\\f]+', ' ', 'g'), chr(10) order by turn))[1:{size}] as hash from conversations group by conv_id"
+    return f"""select conv_id, sha256(string_agg(t, chr(10) order by segment))[1:{size}] as hash from (select conv_id, turn // 1000 as segment, sha256(string_agg(sha256(role || ':' || regexp_replace({text}, '[ \\t\\n\\r\\f]+', ' ', 'g')), chr(10) order by turn)) as t
+from {source} group by conv_id, turn // 1000) group by conv_id"""
 
 
-@query(f"with h as ({_hash_sql(True, 20)}) select hash, min(conv_id) as conv_id from h group by hash")
+@query(f"with h as ({hash_sql(True, 20)}) select hash, min(conv_id) as conv_id from h group by hash")
 def SET1_dialogue_dedup(spark, d):
     return sets.keep_first(dl.dialogue_hash(table(spark, d, "conversations")), ["hash"], ["conv_id"])
 
 
-@query(_hash_sql(False, 64))
+@query(hash_sql(False, 64))
 def SET2_dialogue_hash(spark, d):
     return dl.dialogue_hash(table(spark, d, "conversations"), numbers=False, size=64)
 

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from chatloom.functions import text as tx
 from chatloom.operators import dialogue as dl
 from chatloom.operators import retrieval as rt
-from chatloom.operators import sets
 
-from .common import PII, sql_rules, table
+from .common import sql_rules, table
 from .dialogue_queries import _PREDS, predictions
 from .eval_queries import _SCORED, _scored, r6
 from .retrieval_queries import _LEX, _lexical
@@ -60,15 +59,6 @@ def TXT16_tool_calls(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.explode(found).alias("c")).select("o_orderkey", "c.name", F.element_at("c.args", "key").alias("arg"))
 
 
-@query(f"""with m as (select conv_id, turn, role, {sql_rules("trim(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g'))", PII)}[1:1200] as t from conversations where role in ('user', 'assistant'))
-select conv_id, count(*) as turns, sum(length(t))::bigint as chars, md5(string_agg(role || ':' || t, chr(10) order by turn)) as digest from m group by conv_id""")
-def DLG3_clean_messages(spark, d):
-    t = F.substring(tx.replace_all(F.trim(F.regexp_replace("text", "[ \\t\\n\\r\\f]+", " ")), PII), 1, 1200)
-    m = table(spark, d, "conversations").filter("role in ('user', 'assistant')").select("conv_id", "turn", F.concat("role", F.lit(":"), t).alias("line"), F.length(t).alias("n"))
-    a = m.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sum("n").alias("chars"), F.array_sort(F.collect_list(F.struct("turn", "line"))).alias("m"))
-    return a.select("conv_id", "turns", "chars", F.md5(F.array_join(F.transform("m", lambda x: x["line"]), "\n")).alias("digest"))
-
-
 @query("""select page_id, to_json({'query': 'Describe the page.', 'response': url, 'images': [url]})::varchar as swift, to_json([{'from': 'human', 'value': 'Describe the page.'}, {'from': 'gpt', 'value': url}])::varchar as share from pages""")
 def DLG10_export_layouts(spark, d):
     ask, url = F.lit("Describe the page."), F.col("url")
@@ -192,13 +182,3 @@ def RUL5_arguments(spark, d):
     t = F.concat(F.lit("stake "), F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), F.lit(" odds "), (1 + F.col("l_discount").cast("decimal(4,2)")).cast("decimal(4,2)").cast("string"))
     number = lambda label: F.regexp_extract(t, label + " ([0-9.]+)", 1).try_cast("double")
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.contains(t, F.lit("odds")), "european").otherwise("none").alias("formula"), number("stake").alias("stake"), number("odds").alias("odds"))
-
-
-@query("""with m as (select doc_id, source, text, row_number() over (partition by md5(text) order by source, doc_id) as n from documents), k as (select * from m where n = 1), s as (select * from k where not regexp_matches(text, '(?i)idiot|%%%|!!'))
-select 'merged' as stage, count(*) as rows, count(*) filter (where contains(lower(text), 'license')) as license from k union all select 'clean', count(*), count(*) filter (where contains(lower(text), 'license')) from s""")
-def CUR3_merge_clean_coverage(spark, d):
-    merged = sets.keep_first(table(spark, d, "documents").select("doc_id", "source", "text"), [F.md5("text")], ["source", "doc_id"])
-    clean = F.col("clean")
-    rows = merged.select(F.contains(F.lower("text"), F.lit("license")).alias("l"), (~F.col("text").rlike("(?i)idiot|%%%|!!")).alias("clean"))
-    a = rows.agg(F.count("*").alias("m"), F.count_if("l").alias("ml"), F.count_if(clean).alias("c"), F.count_if(clean & F.col("l")).alias("cl"))
-    return a.select(F.explode(F.array(F.struct(F.lit("merged").alias("stage"), F.col("m").alias("rows"), F.col("ml").alias("license")), F.struct(F.lit("clean").alias("stage"), F.col("c").alias("rows"), F.col("cl").alias("license")))).alias("r")).select("r.*")
