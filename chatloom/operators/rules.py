@@ -50,3 +50,26 @@ def parlay(odds: Column, stake: Column, places: int = 4) -> tuple[Column, Column
     product = F.aggregate(odds, F.lit(1).cast(kind), lambda a, x: (a * x.cast("decimal(10,4)")).cast(kind))
     error = F.when((F.size(odds) <= 0) | odds.isNull(), "EMPTY").when(F.exists(odds, lambda x: x <= 1), "OUT_OF_RANGE")
     return F.when(error.isNull(), F.round(F.round(product, places) * stake.cast("decimal(14,2)"), 2)), error
+
+
+def formula_arguments(text: Column, formulas: Sequence[tuple[str, str, Sequence[str]]]) -> Column:
+    """struct(formula, numbers): the first formula (name, pattern, labels) whose pattern the text matches, else none, and the numbers
+    of its labels in their order; a number without its label is taken by place, and is null if there is none."""
+    number = r"([0-9]+(?:\.[0-9]+)?)"
+    places = F.transform(F.regexp_extract_all(text, F.lit(number), F.lit(1)), lambda x: x.try_cast("double"))
+    out = None
+    for name, pattern, labels in formulas:
+        labelled = [F.regexp_extract(text, rf"(?i){label}[ :=]*{number}", 1).try_cast("double") for label in labels]
+        every = F.array(*(F.coalesce(x, F.get(places, F.lit(i))) for i, x in enumerate(labelled)))
+        found, hit = F.struct(F.lit(name).alias("formula"), every.alias("numbers")), text.rlike("(?i)" + pattern)
+        out = F.when(hit, found) if out is None else out.when(hit, found)
+    none = F.struct(F.lit("none").alias("formula"), F.array().cast("array<double>").alias("numbers"))
+    return none if out is None else out.otherwise(none)
+
+
+def dispatched(name: Column, formulas: dict[str, tuple[Column, Column]]) -> tuple[Column, Column]:
+    """(result, error) of the formula that each row names, of a registry name: (result, error); UNSUPPORTED_FORMULA for others."""
+    result, error, known = F.lit(None).cast("decimal(38,8)"), F.lit("UNSUPPORTED_FORMULA"), list(formulas.items())
+    for key, (r, e) in reversed(known):
+        result, error = F.when(name == key, r.cast("decimal(38,8)")).otherwise(result), F.when(name == key, e).otherwise(error)
+    return result, error

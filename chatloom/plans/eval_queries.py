@@ -272,19 +272,27 @@ def RUL6_payout(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", gross.cast("double").alias("gross"), net.cast("double").alias("net"), error.alias("error"))
 
 
-@query("""with o as (select l_orderkey, list((1 + l_discount + 0.01)::decimal(10,4) order by l_linenumber) as odds from lineitem group by l_orderkey)
-select l_orderkey, len(odds)::int as legs, case when len(list_filter(odds, lambda x: x <= 1)) = 0 then round(list_product(list_transform(odds, lambda x: x::double)), 3) end as product from o""")
+_PARLAY = "list_reduce(list_transform(odds, lambda x: x::decimal(18,8)), lambda a, x: round(a * x, 8)::decimal(18,8))"
+
+
+@query(f"""with o as (select l_orderkey, list((1 + l_discount + case when l_linenumber = 7 then 0 else 0.01 end)::decimal(10,4) order by l_linenumber) as odds, sum(l_quantity)::decimal(14,2) as stake from lineitem group by l_orderkey)
+select l_orderkey, len(odds)::int as legs, case when len(list_filter(odds, lambda x: x <= 1)) = 0 then round(round({_PARLAY}, 4) * stake, 2)::double end as payout, case when len(list_filter(odds, lambda x: x <= 1)) > 0 then 'OUT_OF_RANGE' end as error from o""")
 def RUL7_parlay(spark, d):
-    odds = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", (1 + F.col("l_discount") + F.lit(0.01)).cast("decimal(10,4)").alias("o")))), lambda x: x["o"])
-    o = table(spark, d, "lineitem").groupBy("l_orderkey").agg(odds.alias("odds"))
-    product = F.aggregate("odds", F.lit(1.0), lambda a, x: a * x.cast("double"))
-    return o.select("l_orderkey", F.size("odds").alias("legs"), F.when(~F.exists("odds", lambda x: x <= 1), F.round(product, 3)).alias("product"))
+    """Orders as parlays of their lines' odds, with their quantity at stake."""
+    odds = (1 + F.col("l_discount") + F.when(F.col("l_linenumber") == 7, 0).otherwise(F.lit(0.01))).cast("decimal(10,4)")
+    o = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", odds.alias("o")))).alias("m"), F.sum("l_quantity").alias("stake"))
+    o = o.withColumn("odds", F.transform("m", lambda x: x["o"]))
+    payout, error = rl.parlay(F.col("odds"), F.col("stake"))
+    return o.select("l_orderkey", F.size("odds").alias("legs"), payout.cast("double").alias("payout"), error.alias("error"))
 
 
-@query("""select l_orderkey, l_linenumber, case when l_linenumber % 3 = 0 then 'ratio' when l_linenumber % 3 = 1 then 'fixed' else 'nope' end as formula,
-case when l_linenumber % 3 = 0 then round(l_extendedprice::decimal(18,2) * l_discount::decimal(4,2), 2)::double when l_linenumber % 3 = 1 then 10.0::double end as result, case when l_linenumber % 3 = 2 then 'UNSUPPORTED_FORMULA' end as error from lineitem""")
+@query("""select l_orderkey, l_linenumber, case l_linenumber % 4 when 0 then 'ratio' when 1 then 'european' when 2 then 'net' else 'nope' end as formula,
+case l_linenumber % 4 when 0 then round(l_extendedprice::decimal(18,2) * l_discount::decimal(4,2), 2)::double when 1 then case when l_discount > 0 then round(l_extendedprice::decimal(18,2) * (1 + l_discount)::decimal(4,2), 2)::double end when 2 then case when l_discount > 0 then round(l_extendedprice::decimal(18,2) * l_discount::decimal(4,2), 2)::double end end as result,
+case when l_linenumber % 4 = 3 then 'UNSUPPORTED_FORMULA' when l_linenumber % 4 in (1, 2) and l_discount <= 0 then 'OUT_OF_RANGE' end as error from lineitem""")
 def RUL8_dispatch(spark, d):
-    m = F.col("l_linenumber") % 3
-    result, _ = rl.ratio(F.col("l_extendedprice"), F.col("l_discount"))
-    name = F.when(m == 0, "ratio").when(m == 1, "fixed").otherwise("nope")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", name.alias("formula"), F.when(m == 0, result.cast("double")).when(m == 1, 10.0).alias("result"), F.when(m == 2, "UNSUPPORTED_FORMULA").alias("error"))
+    m, price = F.col("l_linenumber") % 4, F.col("l_extendedprice")
+    gross, net, error = rl.european(price, 1 + F.col("l_discount").cast("decimal(4,2)"))
+    registry = {"ratio": rl.ratio(price, F.col("l_discount")), "european": (gross, error), "net": (net, error)}
+    name = F.when(m == 0, "ratio").when(m == 1, "european").when(m == 2, "net").otherwise("nope")
+    result, failed = rl.dispatched(name, registry)
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", name.alias("formula"), result.cast("double").alias("result"), failed.alias("error"))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
 from chatloom.operators import dialogue as dl
+from chatloom.operators import parsing as ps
 from chatloom.operators import retrieval as rt
+from chatloom.operators import rules as rl
 
-from .common import sql_rules, table
+from .common import sql_rules, sql_sentences, table
 from .dialogue_queries import _PREDS, predictions
 from .eval_queries import _SCORED, _scored, r6
 from .retrieval_queries import _LEX, _lexical
@@ -27,44 +29,82 @@ def query(sql: str | None):
     return add
 
 
-_SCAFFOLD = [(r"(?s)<think>.*?</think>", ""), (r"\*\*|__", ""), (r"\(\)|\[\]", ""), (r"!{2,}", "!"), (r"\.{2,}", ".")]
+_SCAFFOLD = [(r"(?s)<think>.*?</think>", ""), (r"\*\*|__", ""), (r"(?i)(ticket|flow)[ #:]*[A-Z0-9]{4,}", ""), (r"(?m)^(Step|Note) ?[0-9]*:[ ]*", ""), (r"\(\)|\[\]", ""), (r"!{2,}", "!"), (r"\.{2,}", ".")]
 
 
-@query(f"select conv_id, turn, {sql_rules('text', _SCAFFOLD)} as text from conversations where role = 'assistant'")
+@query(f"""with t as (select conv_id, turn, case when turn % 3 = 1 then 'Note 1: ' || text || '!!! ()' else text end as t from conversations where role = 'assistant'), r as (select conv_id, turn, {sql_rules("t", _SCAFFOLD)} as t from t),
+l as (select conv_id, turn, {sql_sentences("t")} as s from r), m as (select conv_id, turn, list_filter(s, lambda x, i: length(x) < 8 or list_position(s, x) = i) as k from l) select conv_id, turn, array_to_string(k, ' ') as text from m""")
 def TXT10_sanitise(spark, d):
-    return table(spark, d, "conversations").filter("role = 'assistant'").select("conv_id", "turn", tx.replace_all(F.col("text"), _SCAFFOLD).alias("text"))
+    """Replies as plain text, within a think block and emphasis, or as the answer field of a JSON object; repeated sentences go."""
+    turns = table(spark, d, "conversations").filter("role = 'assistant'")
+    wrapped = F.when(F.col("turn") % 3 == 0, F.to_json(F.struct(F.col("text").alias("answer")))).when(F.col("turn") % 3 == 1, F.concat(F.lit("<think>"), "role", F.lit("</think>**Note 1: "), "text", F.lit("!!! ()"))).otherwise(F.col("text"))
+    turns = turns.withColumn("w", wrapped)
+    answer = F.coalesce(F.get_json_object(ps.json_object(F.col("w")), "$.answer"), F.col("w"))
+    return turns.select("conv_id", "turn", F.array_join(tx.new_sentences(tx.replace_all(answer, _SCAFFOLD)), " ").alias("text"))
 
 
-@query("select conv_id, turn, role || ': ' || text || ' [' || turn || ']' as content from conversations")
+def _formed(props="props"):
+    """JSON as it is, in a fence, within text, nested, or not there."""
+    m, p = F.col("event_id") % 5, F.col(props)
+    return F.when(m == 0, p).when(m == 1, F.concat(F.lit("So: ```json\n"), p, F.lit("\n```"))).when(m == 2, F.concat(F.lit("it is "), p, F.lit(" and {more"))).when(m == 3, F.concat(F.lit('{"a": '), p, F.lit("} tail"))).otherwise(F.lit("none"))
+
+
+@query("""select event_id, case when json_valid(props) and event_id % 5 <> 4 then try_cast(json_extract_string(props, '$.k') as bigint) end as k, coalesce(json_valid(props) and event_id % 5 <> 4, false) as valid from events""")
+def TXT12_json_objects(spark, d):
+    found = ps.json_object(_formed())
+    return table(spark, d, "events").select("event_id", F.coalesce(F.get_json_object(found, "$.k"), F.get_json_object(found, "$.a.k")).try_cast("long").alias("k"), found.isNotNull().alias("valid"))
+
+
+@query("select conv_id, turn, case turn % 4 when 3 then role || ': ' || text else text end as content from conversations")
 def TXT13_flatten_content(spark, d):
-    """Contents given as lists of parts, flattened to one string."""
-    parts = F.to_json(F.array(F.struct(F.concat("role", F.lit(": ")).alias("text")), F.struct("text"), F.struct(F.concat(F.lit(" ["), F.col("turn").cast("string"), F.lit("]")).alias("text"))))
-    read = F.from_json(parts, "array<struct<text:string>>")
-    return table(spark, d, "conversations").select("conv_id", "turn", F.array_join(F.transform(read, lambda p: p["text"]), "").alias("content"))
+    """Contents as text, as an object with text or content, and as a list of parts, flattened to one string."""
+    m, t = F.col("turn") % 4, F.col("text")
+    parts = F.to_json(F.array(F.struct(F.concat("role", F.lit(": ")).alias("text")), F.struct(t.alias("text"))))
+    content = F.when(m == 1, F.to_json(F.struct(t.alias("text")))).when(m == 2, F.to_json(F.struct(t.alias("content")))).when(m == 3, parts).otherwise(t)
+    return table(spark, d, "conversations").select("conv_id", "turn", ps.flat_content(content).alias("content"))
 
 
-@query("""select event_id, regexp_extract(t, 'type: ([^;]*)', 1) as kind, case when length(regexp_extract(t, 'props: ([^;]*)', 1)) > 6 then regexp_extract(t, 'props: ([^;]*)', 1)[1:6] || '…' else regexp_extract(t, 'props: ([^;]*)', 1) end as props
-from (select event_id, 'type: ' || event_type || '; props: ' || coalesce(props, '') as t from events)""")
+@query("""select event_id, event_type as kind, case when length(props) > 6 then props[1:6] || '…' else coalesce(props, '') end as props, user_id::varchar as who from events""")
 def TXT15_sections(spark, d):
-    t = F.concat(F.lit("type: "), "event_type", F.lit("; props: "), F.coalesce("props", F.lit("")))
-    props = F.regexp_extract(t, "props: ([^;]*)", 1)
-    return table(spark, d, "events").select("event_id", F.regexp_extract(t, "type: ([^;]*)", 1).alias("kind"), F.when(F.length(props) > 6, F.concat(F.substring(props, 1, 6), F.lit("…"))).otherwise(props).alias("props"))
+    """Three labelled sections in an order that turns with the row."""
+    labels = ["kind", "props", "who"]
+    made = {"kind": F.col("event_type"), "props": F.coalesce("props", F.lit("")), "who": F.col("user_id").cast("string")}
+    text = F.lit(None).cast("string")
+    for k in range(3):
+        order = labels[k:] + labels[:k]
+        text = F.when(F.col("event_id") % 3 == k, F.concat_ws(" ", *(x for n in order for x in (F.lit(n + ":"), made[n])))).otherwise(text)
+    rows = table(spark, d, "events").select("event_id", text.alias("t"))
+    return rows.select("event_id", *(ps.section(F.col("t"), n, labels, 6 if n == "props" else None).alias(n) for n in labels))
+
+
+@query("""select event_id, case when event_id % 4 = 3 then 'none' else event_type end as name, case when event_id % 4 = 3 then '' else user_id::varchar end as who, case when event_id % 4 = 2 then 2 else 1 end as calls from events""".replace("case when event_id % 4 = 2 then 2 else 1 end", "case event_id % 4 when 2 then 2 when 3 then 0 else 1 end"))
+def TXT16_tool_calls(spark, d):
+    """Calls as JSON with arguments or args, as markup, two in one text, or none."""
+    m = F.col("event_id") % 4
+    calls = ps.tool_calls(_called(m == 0, m == 1, m == 2))
+    first = F.get(calls, F.lit(0))
+    return table(spark, d, "events").select("event_id", F.coalesce(first["name"], F.lit("none")).alias("name"), F.coalesce(F.get_json_object(first["args"], "$.who"), F.lit("")).alias("who"), F.size(calls).alias("calls"))
 
 
-@query("select o_orderkey, 'lookup' as name, o_orderkey::varchar as arg from orders")
-def TXT16_tool_calls(spark, d):
-    """Calls written into texts as <tool_call>{...}</tool_call>, read back."""
-    call = F.concat(F.lit("ok <tool_call>"), F.to_json(F.struct(F.lit("lookup").alias("name"), F.create_map(F.lit("key"), F.col("o_orderkey").cast("string")).alias("args"))), F.lit("</tool_call> done"))
-    found = F.transform(F.regexp_extract_all(call, F.lit("(?s)<tool_call>(.*?)</tool_call>"), F.lit(1)), lambda x: F.from_json(x, "name string, args map<string,string>"))
-    return table(spark, d, "orders").select("o_orderkey", F.explode(found).alias("c")).select("o_orderkey", "c.name", F.element_at("c.args", "key").alias("arg"))
+def _called(plain, short, marked, who=None):
+    """A reply with a call of the event's type for its user: as JSON, as JSON with args, as two of markup, or without a call."""
+    user = F.col("user_id").cast("string") if who is None else who
+    args = F.struct(user.alias("who"))
+    wrap = lambda x: F.concat(F.lit("ok <tool_call>"), x, F.lit("</tool_call> done"))
+    xml = F.concat(F.lit("<function="), "event_type", F.lit("><parameter=who> "), user, F.lit(" </parameter></function>"))
+    return F.when(plain, wrap(F.to_json(F.struct(F.col("event_type").alias("name"), args.alias("arguments"))))).when(short, wrap(F.to_json(F.struct(F.col("event_type").alias("name"), args.alias("args"))))).when(marked, F.concat(wrap(xml), wrap(xml))).otherwise(F.lit("no call"))
 
 
-@query("""select page_id, to_json({'query': 'Describe the page.', 'response': url, 'images': [url]})::varchar as swift, to_json([{'from': 'human', 'value': 'Describe the page.'}, {'from': 'gpt', 'value': url}])::varchar as share from pages""")
+@query("""select page_id, to_json({'query': 'Describe the page.', 'response': url, 'images': [url]})::varchar as swift, to_json([{'from': 'human', 'value': 'Describe the page.'}, {'from': 'gpt', 'value': url}])::varchar as share,
+to_json([{'role': 'user', 'content': [{'type': 'image', 'value': url}, {'type': 'text', 'value': 'Describe the page.'}]}, {'role': 'assistant', 'content': [{'type': 'text', 'value': url}]}])::varchar as parts from pages""")
 def DLG10_export_layouts(spark, d):
     ask, url = F.lit("Describe the page."), F.col("url")
     swift = F.to_json(F.struct(ask.alias("query"), url.alias("response"), F.array(url).alias("images")))
     share = F.to_json(F.array(F.struct(F.lit("human").alias("from"), ask.alias("value")), F.struct(F.lit("gpt").alias("from"), url.alias("value"))))
-    return table(spark, d, "pages").select("page_id", swift.alias("swift"), share.alias("share"))
+    part = lambda kind, x: F.struct(F.lit(kind).alias("type"), x.alias("value"))
+    turn = lambda role, *content: F.struct(F.lit(role).alias("role"), F.array(*content).alias("content"))
+    parts = F.to_json(F.array(turn("user", part("image", url), part("text", ask)), turn("assistant", part("text", url))))
+    return table(spark, d, "pages").select("page_id", swift.alias("swift"), share.alias("share"), parts.alias("parts"))
 
 
 @query("""select l.l_orderkey, l.l_linenumber, v.kind, case v.kind when 'call' then 'order ' || l.l_orderkey else 'order ' || l.l_orderkey || ' is ' || coalesce(o.o_orderstatus, 'unknown') end as text
@@ -102,10 +142,13 @@ def SMP10_glossary_expansion(spark, d):
     return terms.select("term", F.explode(rows).alias("r")).select("term", "r.kind", "r.question")
 
 
-@query(f"select doc_id, v.variant from ({_PREDS}) p, (values ('exact'), ('short'), ('typed')) v(variant) where gold <> pred and lang = 'en'")
+@query("select event_id, v.variant, w.layout from events, (values ('exact'), ('short'), ('typed')) v(variant), (values ('sft'), ('dpo')) w(layout) where event_id % 5 = 1")
 def FBK3_argument_repair(spark, d):
-    bad = predictions(spark, d).filter("gold <> pred and lang = 'en'")
-    return bad.select("doc_id", F.explode(F.array(*map(F.lit, ("exact", "short", "typed")))).alias("variant"))
+    """Replies that call the right tool with wrong arguments, in three variants and two layouts."""
+    rows = _replies(spark, d).withColumn("s", ps.tool_score(F.col("reply"), F.col("event_type"), F.col("args"), F.array(F.lit("done"))))
+    bad = rows.filter("s.called and not s.matched").select("event_id")
+    variants = lambda *x: F.explode(F.array(*map(F.lit, x)))
+    return bad.withColumn("variant", variants("exact", "short", "typed")).withColumn("layout", variants("sft", "dpo"))
 
 
 @query("""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
@@ -142,11 +185,20 @@ def EVL7_hit_quality(spark, d):
     return h.groupBy("query_id").agg(F.count("*").alias("hits"), r6(1 - F.count_distinct("sig") / F.count("*")).alias("duplicates"), F.count_distinct("source").alias("sources"))
 
 
-@query("select event_id, round(0.4::double * case when event_type = 'click' then 1 else 0 end + 0.35::double * case when try_cast(json_extract_string(props, '$.k') as bigint) = event_id % 100 then 1 else 0 end + 0.15::double * case when json_valid(props) then 1 else 0 end + 0.1::double * case when value > 0 then 1 else 0 end, 6) as score from events")
+def _replies(spark, d):
+    """Replies to events, which expect a call of the event's type for its user: right as JSON, with another user, right as markup
+    with the number as text, a call of another tool, and none."""
+    m, wrong = F.col("event_id") % 5, (F.col("user_id") + 1).cast("string")
+    right = _called(m == 0, F.lit(False), m == 2)
+    other = F.concat(F.lit("done <tool_call>"), F.to_json(F.struct(F.lit("lookup").alias("name"), F.struct("user_id").alias("args"))), F.lit("</tool_call>"))
+    reply = F.when(m == 1, _called(F.lit(False), m == 1, F.lit(False), wrong)).when(m == 3, other).otherwise(right)
+    return table(spark, d, "events").select("event_id", "event_type", reply.alias("reply"), F.to_json(F.struct(F.col("user_id").alias("who"))).alias("args"))
+
+
+@query("""select event_id, event_id % 5 in (0, 1, 2) as called, event_id % 5 in (0, 2) as matched, true as valid, round(case when event_id % 5 in (0, 1, 2) then 0.4::double else 0 end + case when event_id % 5 in (0, 2) then 0.35::double else 0 end + 0.15::double + case when event_id % 5 = 4 then 0.0::double else 0.1::double end, 6) as score from events""")
 def EVL14_tool_score(spark, d):
-    one = lambda c: F.when(c, 1.0).otherwise(0.0)
-    args = F.get_json_object("props", "$.k").try_cast("long") == F.col("event_id") % 100
-    return table(spark, d, "events").select("event_id", r6(0.4 * one(F.col("event_type") == "click") + 0.35 * one(args) + 0.15 * one(F.expr("try_parse_json(props) is not null")) + 0.1 * one(F.col("value") > 0)).alias("score"))
+    s = ps.tool_score(F.col("reply"), F.col("event_type"), F.col("args"), F.array(F.lit("done")))
+    return _replies(spark, d).select("event_id", s.alias("s")).select("event_id", "s.called", "s.matched", "s.valid", r6(F.col("s.score")).alias("score"))
 
 
 @query(f"""with {_SCORED}, g as (select t, s.* from (values (0.3::double), (0.6::double), (0.9::double)) v(t), sc s),
@@ -176,9 +228,12 @@ def LOG7_findings(spark, d):
     return s.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
-@query("""with q as (select l_orderkey, l_linenumber, 'stake ' || l_extendedprice::decimal(18,2) || ' odds ' || (1 + l_discount)::decimal(4,2) as t from lineitem)
-select l_orderkey, l_linenumber, case when contains(t, 'odds') then 'european' else 'none' end as formula, regexp_extract(t, 'stake ([0-9.]+)', 1)::double as stake, regexp_extract(t, 'odds ([0-9.]+)', 1)::double as odds from q""")
+@query("""select l_orderkey, l_linenumber, case l_linenumber % 4 when 0 then 'european' when 1 then 'ratio' when 2 then 'european' else 'none' end as formula, case when l_linenumber % 4 < 3 then l_extendedprice::decimal(18,2)::double end as first, case l_linenumber % 4 when 1 then l_discount::decimal(4,2)::double when 0 then (1 + l_discount)::decimal(4,2)::double when 2 then (1 + l_discount)::decimal(4,2)::double end as second from lineitem""")
 def RUL5_arguments(spark, d):
-    t = F.concat(F.lit("stake "), F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), F.lit(" odds "), (1 + F.col("l_discount").cast("decimal(4,2)")).cast("decimal(4,2)").cast("string"))
-    number = lambda label: F.regexp_extract(t, label + " ([0-9.]+)", 1).try_cast("double")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.contains(t, F.lit("odds")), "european").otherwise("none").alias("formula"), number("stake").alias("stake"), number("odds").alias("odds"))
+    """Questions that name a formula and label its numbers, in either order, or only give them in place, and ones of none."""
+    price, share = (F.col(c).cast("decimal(18,2)").cast("string") for c in ("l_extendedprice", "l_discount"))
+    odds, m = (1 + F.col("l_discount").cast("decimal(4,2)")).cast("decimal(4,2)").cast("string"), F.col("l_linenumber") % 4
+    text = F.when(m == 0, F.concat(F.lit("odds "), odds, F.lit(", stake "), price)).when(m == 1, F.concat(F.lit("a share of "), share, F.lit(" from amount: "), price)).when(m == 2, F.concat(F.lit("a bet of "), price, F.lit(" at "), odds)).otherwise(F.lit("hello"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text.alias("t"))
+    a = rl.formula_arguments(F.col("t"), [("ratio", "share|ratio", ["amount", "share of"]), ("european", "odds|bet|stake", ["stake", "odds"])])
+    return rows.select("l_orderkey", "l_linenumber", a.alias("a")).select("l_orderkey", "l_linenumber", "a.formula", F.get("a.numbers", F.lit(0)).alias("first"), F.get("a.numbers", F.lit(1)).alias("second"))

@@ -106,11 +106,6 @@ def TXT11_strip_think(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", tx.without_think(wrapped).alias("text"))
 
 
-@query("""select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k, json_valid(props) as valid from events""")
-def TXT12_json_fields(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"), F.expr("try_parse_json(props) is not null").alias("valid"))
-
-
 @query("""select event_id, list_filter(list_transform(string_split_regex(event_type || ',' || coalesce(props, ''), '[,;:]'), lambda x: trim(x)), lambda x: x <> '') as items,
 case when event_type in ('purchase', 'signup') then true when event_type in ('error') then false end as flag from events""")
 def TXT14_coercion(spark, d):
