@@ -285,19 +285,3 @@ def FBK5_teacher_student(spark, d):
     student = table(spark, d, "documents").select("doc_id", ((F.col("n_chars") % 100) / 100.0).alias("student"))
     s = F.coalesce("student", F.lit(0.0))
     return teacher.join(student, "doc_id", "left").select("doc_id", F.when((s < 0.75) | (F.col("teacher") - s >= 0.2), 4).otherwise(2).alias("weight"))
-
-
-@query("select lang, count(*) as rows from documents group by lang")
-def SNK3_split_counts(spark, d):
-    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("rows"))
-
-
-@query("""select conv_id, arg_min(text, turn) filter (where role = 'system') as system, arg_min(text, turn) filter (where role = 'user') as user_text, arg_min(text, turn) filter (where role = 'assistant') as assistant from conversations group by conv_id""")
-def SNK2_flat_rows(spark, d):
-    first = lambda r: F.min_by(F.when(F.col("role") == r, F.col("text")), F.when(F.col("role") == r, F.col("turn")))
-    return table(spark, d, "conversations").groupBy("conv_id").agg(first("system").alias("system"), first("user").alias("user_text"), first("assistant").alias("assistant"))
-
-
-@query("select count(*) as rows, count(lang) as stripped from documents")
-def SNK4_schema_strip(spark, d):
-    return table(spark, d, "documents").agg(F.count("*").alias("rows"), F.count_if(F.col("lang").isNotNull()).alias("stripped"))

@@ -136,12 +136,6 @@ def EVL17_threshold_gate(spark, d):
     return m.select(F.explode(rows).alias("r")).select("r.*")
 
 
-@query("""select doc_id, case when regexp_matches(text, '(?i)not|never') and regexp_matches(text, '(?i)yes|true') then 'mixed' when regexp_matches(text, '(?i)not|never') then 'deny' when regexp_matches(text, '(?i)yes|true') then 'affirm' else 'unknown' end as stance from documents""")
-def EVL19_stance(spark, d):
-    deny, affirm = F.col("text").rlike("(?i)not|never"), F.col("text").rlike("(?i)yes|true")
-    return table(spark, d, "documents").select("doc_id", F.when(deny & affirm, "mixed").when(deny, "deny").when(affirm, "affirm").otherwise("unknown").alias("stance"))
-
-
 _TERMS = ["license", "password", "idiot", "nowhere"]
 
 

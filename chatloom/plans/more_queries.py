@@ -13,8 +13,8 @@ from chatloom.operators import rules as rl
 
 from .common import sql_rules, sql_sentences, table
 from .dialogue_queries import _PREDS, predictions
-from .eval_queries import _SCORED, _scored, r6
-from .retrieval_queries import _LEX, _lexical
+from .eval_queries import r6
+from .retrieval_queries import _FULL, _LEX, _lexical, _second
 
 QUERIES, SQL = {}, {}
 
@@ -178,11 +178,21 @@ def RET13_character_fallback(spark, d):
     return rt.fallback(asked, table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
-@query(f"""with {_LEX}, h as (select rk.query_id, rk.id, rk.rank, md5(d.text[1:100]) as sig, d.source from rk join documents d on d.doc_id = rk.id where rank <= 10)
-select query_id, count(*) as hits, round(1 - count(distinct sig)::double / count(*), 6) as duplicates, count(distinct source) as sources from h group by query_id""")
+@query(f"""with {_LEX}, h as (select rk.query_id, rk.id, rk.rank, md5(lower(d.text[1:100])) as sig, d.source, lower(d.text) as t, d.n_chars >= 600 as long, list_distinct(regexp_extract_all(lower(b.text), '[\\p{{L}}]{{12,}}')) as words from rk join documents d on d.doc_id = rk.id join benchmark b on b.item_id = rk.query_id where rank <= 10),
+k as (select query_id, rank, len(list_filter(words, lambda w: contains(t, w))) > 0 as hit from h where rank <= 3)
+select query_id, count(*) as hits, round(1 - count(distinct sig)::double / count(*), 6) as duplicates, count(distinct source) as sources, count(*) filter (where not long) as short_hits, max(case when rank = 1 and long then 1 else 0 end)::int as top_long,
+round(coalesce(1.0::double / (select min(rank) from k where k.query_id = h.query_id and hit), 0), 6) as keyword_rr from h group by query_id""")
 def EVL7_hit_quality(spark, d):
-    h = _lexical(spark, d, 10).join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.md5(F.substring("text", 1, 100)).alias("sig"), "source"), "id")
-    return h.groupBy("query_id").agg(F.count("*").alias("hits"), r6(1 - F.count_distinct("sig") / F.count("*")).alias("duplicates"), F.count_distinct("source").alias("sources"))
+    """Hits of an item: the share of those whose beginnings repeat, their sources, how many are short texts (which stand for images),
+    whether the first is long, and the reciprocal rank, within three, of the first that holds one of the item's long words."""
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.md5(F.lower(F.substring("text", 1, 100))).alias("sig"), "source", F.lower("text").alias("t"), (F.col("n_chars") >= 600).alias("long"))
+    words = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{12,}"), F.lit(0))).alias("words"))
+    h = _lexical(spark, d, 10).join(texts, "id").join(words, "query_id")
+    first = F.min(F.when((F.col("rank") <= 3) & F.exists("words", lambda w: F.contains(F.col("t"), w)), F.col("rank")))
+    return h.groupBy("query_id").agg(
+        F.count("*").alias("hits"), r6(1 - F.count_distinct("sig") / F.count("*")).alias("duplicates"), F.count_distinct("source").alias("sources"), F.count_if(~F.col("long")).alias("short_hits"),
+        F.max(F.when((F.col("rank") == 1) & F.col("long"), 1).otherwise(0)).alias("top_long"), r6(F.coalesce(1.0 / first, F.lit(0.0))).alias("keyword_rr"),
+    )
 
 
 def _replies(spark, d):
@@ -201,19 +211,64 @@ def EVL14_tool_score(spark, d):
     return _replies(spark, d).select("event_id", s.alias("s")).select("event_id", "s.called", "s.matched", "s.valid", r6(F.col("s.score")).alias("score"))
 
 
-@query(f"""with {_SCORED}, g as (select t, s.* from (values (0.3::double), (0.6::double), (0.9::double)) v(t), sc s),
-m as (select t as threshold, round(avg(case when score >= t then 1.0 else 0.0 end), 6) as pass_rate, round(avg(case when score >= t then intent end), 6) as accuracy from g group by t) select * from m""")
+_GRID = [(k, c) for k in (1, 3, 5) for c in (0.0, 0.5)]
+
+
+@query(f"""with {_FULL}, bs as (select item_id, regexp_replace(text, '\\s+', '', 'g') as passage from benchmark), swv as (select * from (values {", ".join(f"({k}, {c}::double)" for k, c in _GRID)}) x(top_k, least)),
+swh as (select v.*, b.item_id, co.id, co.coverage, co.rank, coalesce(contains(regexp_replace(co.text, '\\s+', '', 'g'), passage), false) as good from swv v join bs b on true left join co on co.query_id = b.item_id and co.rank <= v.top_k and co.coverage >= v.least),
+swq as (select top_k, least, item_id, min(case when good then rank end) as first, count(id) as hits, avg(coverage) as coverage from swh group by all),
+swm as (select top_k, least, round(avg(case when first is not null then 1.0::double else 0.0::double end), 6) as recall, round(avg(coalesce(1.0::double / first, 0)), 6) as mrr, round(avg(coalesce(coverage, 0)), 6) as coverage, round(avg(hits), 6) as hits from swq group by all)
+select * from swm order by recall desc, mrr desc, coverage desc, hits, top_k limit 5""".replace("limit 5", ", least limit 5").replace("top_k ,", "top_k,"))
 def EVL18_sweep(spark, d):
-    rows = _scored(spark, d).withColumn("threshold", F.explode(F.array(*map(F.lit, (0.3, 0.6, 0.9)))))
-    ok = F.col("score") >= F.col("threshold")
-    return rows.groupBy("threshold").agg(r6(F.avg(F.when(ok, 1.0).otherwise(0.0))).alias("pass_rate"), r6(F.avg(F.when(ok, F.col("intent")))).alias("accuracy"))
+    """Retrieval with several numbers of hits and least coverages: the five best by recall, reciprocal rank, coverage, fewer hits."""
+    full = _second(spark, d).withColumn("coverage", rt.coverage(F.col("terms"), F.col("text"))).withColumn("good", F.contains(F.regexp_replace("text", r"[ \t\n\r\f\x0B]+", ""), F.regexp_replace("q", r"[ \t\n\r\f\x0B]+", "")))
+    grid = F.explode(F.array(*(F.struct(F.lit(k).alias("top_k"), F.lit(c).alias("least")) for k, c in _GRID)))
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id")).withColumn("v", grid).select("query_id", "v.*")
+    hits = full.select("query_id", "id", "rank", "coverage", "good").withColumn("v", grid).select("query_id", "v.*", "id", "rank", "coverage", "good").filter("rank <= top_k and coverage >= least")
+    q = asked.join(hits, ["query_id", "top_k", "least"], "left").groupBy("query_id", "top_k", "least").agg(F.min(F.when(F.col("good"), F.col("rank"))).alias("first"), F.count("id").alias("hits"), F.avg("coverage").alias("coverage"))
+    m = q.groupBy("top_k", "least").agg(r6(F.avg(F.when(F.col("first").isNotNull(), 1.0).otherwise(0.0))).alias("recall"), r6(F.avg(F.coalesce(1.0 / F.col("first"), F.lit(0.0)))).alias("mrr"), r6(F.avg(F.coalesce("coverage", F.lit(0.0)))).alias("coverage"), r6(F.avg("hits")).alias("hits"))
+    return m.orderBy(F.desc("recall"), F.desc("mrr"), F.desc("coverage"), "hits", "top_k", "least").limit(5)
+
+
+_STANCE = "case when regexp_matches({t}, '(?i)not|never') and regexp_matches({t}, '(?i)yes|true') then 'mixed' when regexp_matches({t}, '(?i)not|never') then 'deny' when regexp_matches({t}, '(?i)yes|true') then 'affirm' else 'unknown' end"
+
+
+def _stance(t):
+    deny, affirm = t.rlike("(?i)not|never"), t.rlike("(?i)yes|true")
+    return F.when(deny & affirm, "mixed").when(deny, "deny").when(affirm, "affirm").otherwise("unknown")
+
+
+_JUDGED = f"""p as ({_PREDS}), v as (select p.*, {_STANCE.format(t='p.text')} as stance, regexp_matches(p.text, '(?i)licen[sc]e|contact') as evidence, d.source from p join documents d using (doc_id)),
+j as (select *, case when gold = pred and evidence then 'supported' when gold = pred and stance = 'unknown' then 'right_unclear' when gold = pred then 'right_unsupported' when evidence then 'wrong_with_evidence' when source in ('src0', 'src1') then 'wrong_source' else 'wrong' end as verdict from v)"""
+
+
+def _judged(spark, d):
+    p = predictions(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").withColumn("stance", _stance(F.col("text"))).withColumn("evidence", F.col("text").rlike("(?i)licen[sc]e|contact"))
+    right = F.col("gold") == F.col("pred")
+    verdict = F.when(right & F.col("evidence"), "supported").when(right & (F.col("stance") == "unknown"), "right_unclear").when(right, "right_unsupported").when(F.col("evidence"), "wrong_with_evidence").when(F.col("source").isin("src0", "src1"), "wrong_source").otherwise("wrong")
+    return p.withColumn("verdict", verdict)
+
+
+@query(f"with {_JUDGED} select doc_id, stance, verdict from j")
+def EVL19_judge_labels(spark, d):
+    """Verdicts from the gold and predicted label, the text's stance, its evidence and its source."""
+    return _judged(spark, d).select("doc_id", "stance", "verdict")
 
 
-@query(f"""with p as ({_PREDS}), v as (select case when gold = pred and pred = (case when n_chars > 500 then 1 else 0 end) then 'agree_right' when pred = (case when n_chars > 500 then 1 else 0 end) then 'agree_wrong' else 'differ' end as verdict from p) select verdict, count(*) as n from v group by verdict""")
+@query(f"""with {_FULL}, a as (select query_id, list_distinct(list(file)) as f, arg_min(text, rank) as t from co where rank <= 5 group by query_id), sb as (select *, row_number() over (partition by query_id order by round(coverage, 9) desc, id) as r2 from co),
+b as (select query_id, list_distinct(list(file)) as f, arg_min(text, r2) as t from sb where r2 <= 5 group by query_id),
+c as (select query_id, {_STANCE.format(t='a.t')} = {_STANCE.format(t='b.t')} as same_stance, a.t = b.t as exact, contains(a.t, q.text) as gold_a, contains(b.t, q.text) as gold_b, round(len(list_intersect(a.f, b.f))::double / len(list_distinct(list_concat(a.f, b.f))), 6) as sources from a join b using (query_id) join benchmark q on q.item_id = query_id)
+select *, case when exact then 'same_answer' when same_stance and gold_a = gold_b then 'consistent' when same_stance then 'one_right' else 'conflict' end as verdict from c""")
 def EVL20_consistency(spark, d):
-    other = F.when(F.col("n_chars") > 500, 1).otherwise(0)
-    verdict = F.when((F.col("gold") == F.col("pred")) & (F.col("pred") == other), "agree_right").when(F.col("pred") == other, "agree_wrong").otherwise("differ")
-    return predictions(spark, d).select(verdict.alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n"))
+    """Two retrieval models for each item: whether their first hits take the same stance, are the same, hold the item, and how far
+    the files of their five best are the same; and a verdict."""
+    full = _second(spark, d)
+    b = rt.top(full.withColumn("score", rt.coverage(F.col("terms"), F.col("text"))), "query_id", "score", "id", 5)
+    side = lambda rows, n: rows.filter("rank <= 5").groupBy("query_id").agg(F.collect_set("file").alias(f"f{n}"), F.min_by("text", "rank").alias(f"t{n}"))
+    q = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q"))
+    both = side(full, 1).join(side(b, 2), "query_id").join(q, "query_id")
+    c = both.select("query_id", (_stance(F.col("t1")) == _stance(F.col("t2"))).alias("same_stance"), (F.col("t1") == F.col("t2")).alias("exact"), F.contains("t1", "q").alias("gold_a"), F.contains("t2", "q").alias("gold_b"), r6(F.size(F.array_intersect("f1", "f2")) / F.size(F.array_union("f1", "f2"))).alias("sources"))
+    return c.withColumn("verdict", F.when(F.col("exact"), "same_answer").when(F.col("same_stance") & (F.col("gold_a") == F.col("gold_b")), "consistent").when(F.col("same_stance"), "one_right").otherwise("conflict"))
 
 
 _FINDINGS = [("error_rate", 0.15, "high", "too many errors"), ("mean_value", 20.0, "medium", "slow on average"), ("low_share", 0.5, "low", "many small values")]
