@@ -93,3 +93,12 @@ def sustained(points: DataFrame, at: str, breach: Column, seconds: int, least: i
     """Points with `sustained`: at least `least` points in the trailing window, and every one a breach."""
     window = Window.partitionBy("key").orderBy(F.col(at)).rangeBetween(-seconds, 0)
     return points.withColumn("sustained", (F.count("*").over(window) >= least) & F.bool_and(breach).over(window))
+
+
+def latest_steps(lines: DataFrame, key: str, at: str, line: str, metrics: dict[str, str]) -> DataFrame:
+    """(key, step, one column for each metric, lines): of log lines in order of `at` the last step, told as a/b, the last number
+    that each metric's pattern finds, and how many lines tell a step."""
+    step = F.regexp_extract(line, "step ([0-9]+)/([0-9]+)", 1).try_cast("long")
+    rows = lines.select(key, at, step.alias("step"), *(F.regexp_extract(line, p, 1).try_cast("double").alias(m) for m, p in metrics.items()))
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(at))).alias(c)
+    return rows.groupBy(key).agg(last("step"), *map(last, metrics), F.count("step").alias("lines"))

@@ -75,3 +75,16 @@ def variants(rows: DataFrame, text: str, forms: Sequence[tuple[str, str]]) -> Da
     """Each row once for every named form, whose {text} is the row's: adds variant and query. Equal queries of one row stay one."""
     made = F.array(*(F.struct(F.lit(n).alias("variant"), F.concat(F.lit(f.split("{text}")[0]), F.col(text), F.lit(f.split("{text}")[1])).alias("query")) for n, f in forms))
     return rows.withColumn("_v", F.explode(made)).select(*rows.columns, "_v.variant", "_v.query")
+
+
+def drawn_pairs(pool: DataFrame, bucket: str, text: str, order: Sequence[str], quota: int, attempts: int = 50) -> DataFrame:
+    """(bucket, place, digest): pairs of different texts of a bucket, drawn by hashes of the attempt's number; distinct ones in order
+    of attempt up to the quota, which attempts times quota draws must fill."""
+    n = F.row_number().over(Window.partitionBy(bucket).orderBy(*order)) - 1
+    pool = pool.select(F.col(bucket).alias("bucket"), F.col(text).alias("t"), n.alias("i"))
+    draws = pool.groupBy("bucket").agg(F.count("*").alias("size")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(quota * attempts - 1))))
+    pick = lambda slot: F.conv(F.substring(F.md5(F.concat_ws(":", "bucket", F.lit(slot), F.col("k").cast("string"))), 1, 8), 16, 10).cast("long") % F.col("size")
+    draws = draws.select("bucket", "k", pick("a").alias("a"), pick("b").alias("b")).filter("a <> b")
+    one, two = (pool.select("bucket", F.col("i").alias(x), F.col("t").alias(f"t{x}")) for x in "ab")
+    found = draws.join(one, ["bucket", "a"]).join(two, ["bucket", "b"]).groupBy("bucket", F.md5(F.concat_ws("\n", "ta", "tb")).alias("digest")).agg(F.min("k").alias("k"))
+    return found.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("k"))).filter(F.col("place") <= quota).select("bucket", "place", "digest")

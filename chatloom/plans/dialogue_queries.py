@@ -278,6 +278,16 @@ def FBK4_weak_class_boost(spark, d):
     return wanted.withColumn("i", draw).join(pool, ["lang", "i"]).select("lang", "k", "doc_id")
 
 
+@query("""with p as (select doc_id, lang, row_number() over (partition by lang order by md5(cast(doc_id as varchar)), doc_id) as k from documents where lang in ('es', 'fr'))
+select cast(a.k as int) as k, a.doc_id as left_id, b.doc_id as right_id from p a join p b on a.k = b.k and a.lang = 'es' and b.lang = 'fr' where a.k <= 20""")
+def FBK4_contrast_pairs(spark, d):
+    """Texts of two classes that are taken for each other, side by side."""
+    pool = table(spark, d, "documents").filter("lang in ('es', 'fr')").select("doc_id", "lang")
+    k = F.row_number().over(Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id"))
+    pool = pool.withColumn("k", k).filter("k <= 20")
+    return pool.filter("lang = 'es'").select("k", F.col("doc_id").alias("left_id")).join(pool.filter("lang = 'fr'").select("k", F.col("doc_id").alias("right_id")), "k")
+
+
 @query("""with t as (select doc_id, 0.5 + quality * 0.4 as teacher from labels), s as (select doc_id, (n_chars % 100) / 100.0 as student from documents)
 select t.doc_id, case when coalesce(student, 0) < 0.75 or teacher - coalesce(student, 0) >= 0.2 then 4 else 2 end as weight from t left join s using (doc_id)""")
 def FBK5_teacher_student(spark, d):

@@ -195,6 +195,16 @@ def LOG8_newest(spark, d):
     return table(spark, d, "events").filter("event_type = 'error'").orderBy(F.desc("ts"), F.desc("event_id")).limit(20).select("event_id", "event_type", "user_id")
 
 
+@query("""with l as (select user_id, epoch_us(ts)::hugeint * 1000000 + event_id as pos, case when event_type <> 'view' then 'step ' || json_extract_string(props, '$.k') || '/100 loss=' || value else event_type end as line from events),
+p as (select user_id, pos, try_cast(nullif(regexp_extract(line, 'step ([0-9]+)/([0-9]+)', 1), '') as bigint) as step, try_cast(nullif(regexp_extract(line, 'loss=([0-9.]+)', 1), '') as double) as loss from l)
+select user_id, arg_max(step, pos) filter (where step is not null) as step, round(arg_max(loss, pos) filter (where loss is not null), 6) as loss, count(step) as lines from p group by user_id""")
+def LOG8_latest_steps(spark, d):
+    """The latest step that each user's log lines tell, and the last loss that isn't missing."""
+    line = F.when(F.col("event_type") != "view", F.concat(F.lit("step "), F.get_json_object("props", "$.k"), F.lit("/100 loss="), F.col("value").cast("string"))).otherwise(F.col("event_type"))
+    rows = table(spark, d, "events").select("user_id", F.struct("ts", "event_id").alias("at"), line.alias("line"))
+    return lg.latest_steps(rows, "user_id", "at", "line", {"loss": "loss=([0-9.]+)"}).select("user_id", "step", r6(F.col("loss")).alias("loss"), "lines")
+
+
 @query("select event_id, user_id, count(*) over (partition by user_id order by ts range between interval 3600 seconds preceding and current row) as recent from events")
 def LOG9_trailing_count(spark, d):
     return lg.trailing_count(table(spark, d, "events"), "user_id", 3600).select("event_id", "user_id", "recent")

@@ -10,11 +10,12 @@ from chatloom.operators import dialogue as dl
 from chatloom.operators import parsing as ps
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
+from chatloom.operators import sets
 
 from .common import sql_rules, sql_sentences, table
-from .dialogue_queries import _PREDS, predictions
+from .dialogue_queries import _PREDS, _SHARE, predictions
 from .eval_queries import r6
-from .retrieval_queries import _FULL, _LEX, _lexical, _second
+from .retrieval_queries import _CHUNKS, _FULL, _LEX, _LINES, _lexical, _second
 
 QUERIES, SQL = {}, {}
 
@@ -116,30 +117,64 @@ def DLG12_tool_expansion(spark, d):
     return calls.select("l_orderkey", "l_linenumber", F.explode(rows).alias("r")).select("l_orderkey", "l_linenumber", "r.kind", "r.text")
 
 
-_POOLS = """u as (select conv_id, count(*) filter (where role = 'user') = 1 and count(*) filter (where role = 'assistant') = 1 as single from conversations group by conv_id),
-c as (select count(*) filter (where single) as s, count(*) filter (where not single) as m from u), g as (select least(s, 40) + least(greatest(40 - m, 0), greatest(s - 40, 0)) as take_s, least(m, 40 + greatest(40 - s, 0)) as take_m from c),
-r as (select u.*, row_number() over (partition by single order by md5(conv_id::varchar), conv_id) as n from u)"""
+_TOTAL, _SINGLE = 60, 30
+_POOLS = f"""u as (select conv_id, count(*) filter (where role = 'user') = 1 and count(*) filter (where role = 'assistant') = 1 as single from conversations group by conv_id),
+ra as (select *, last_value(case when role = 'user' then turn end ignore nulls) over (partition by conv_id order by turn) as asked from conversations where role in ('user', 'assistant')),
+qa as (select conv_id, asked, arg_min(text, turn) as answer from ra where role = 'assistant' and asked is not null group by conv_id, asked), qq as (select qa.conv_id, qa.asked, md5(lower(c.text || chr(10) || answer)) as digest from qa join conversations c on c.conv_id = qa.conv_id and c.turn = qa.asked),
+po as (select 'single' as kind, conv_id || '-' || asked as id from (select *, row_number() over (partition by digest order by conv_id, asked) as n from qq) where n = 1 union all select 'multi', conv_id::varchar from u where not single),
+c as (select count(*) filter (where kind = 'single') as s, count(*) filter (where kind = 'multi') as m from po),
+t1 as (select *, least(s, {_SINGLE}) as ts, case when s < {_SINGLE} then least(m, {_TOTAL} - s) else {_TOTAL - _SINGLE} end as tm from c), t2 as (select case when m < tm then least(s, ts + tm - m) else ts end as take_s, least(m, tm) as take_m from t1),
+r as (select po.*, row_number() over (partition by kind order by md5(id), id) as n from po)"""
 
 
-@query(f"with {_POOLS} select conv_id, single from r, g where n <= case when single then take_s else take_m end")
+@query(f"with {_POOLS} select kind, id from r, t2 where n <= case when kind = 'single' then take_s else take_m end")
 def SMP4_ratio_rebalance(spark, d):
-    """80 dialogues, half of them single; where one pool is short the other fills up. The counts, one row, reach no driver."""
-    u = dl.shape(table(spark, d, "conversations")).select("conv_id", "single")
-    c = u.agg(F.count_if("single").alias("s"), F.count_if(~F.col("single")).alias("m"))
-    zero, s, m = F.lit(0), F.col("s"), F.col("m")
-    g = c.select((F.least(s, F.lit(40)) + F.least(F.greatest(40 - m, zero), F.greatest(s - 40, zero))).alias("take_s"), F.least(m, 40 + F.greatest(40 - s, zero)).alias("take_m"))
-    n = F.row_number().over(Window.partitionBy("single").orderBy(F.md5(F.col("conv_id").cast("string")), "conv_id"))
-    return u.withColumn("n", n).crossJoin(F.broadcast(g)).filter(F.col("n") <= F.when(F.col("single"), F.col("take_s")).otherwise(F.col("take_m"))).select("conv_id", "single")
-
-
-_KINDS = [("definition", "What is {t}?"), ("usage", "How is {t} used?"), ("misconception", "What is {t} not?")]
-
-
-@query(" union all ".join(f"select distinct lang as term, '{k}' as kind, '{q.split('{t}')[0]}' || lang || '{q.split('{t}')[1]}' as question from documents" for k, q in _KINDS))
+    """60 rows, half of them single turns: dialogues of one, and pairs out of longer ones, each text once. Where one pool is short the
+    other fills up. The pools' sizes, one row, reach no driver."""
+    turns = table(spark, d, "conversations")
+    pairs = dl.qa_pairs(turns).withColumn("digest", F.md5(F.lower(F.concat_ws("\n", "question", "answer"))))
+    asked = turns.filter("role = 'user'").select("conv_id", F.col("text").alias("question"), "turn")
+    first = pairs.join(asked, ["conv_id", "question"]).groupBy("pair_id", "conv_id", "digest").agg(F.min("turn").alias("asked"))
+    single = sets.keep_first(first, ["digest"], ["conv_id", "asked"]).select(F.lit("single").alias("kind"), F.concat_ws("-", "conv_id", "asked").alias("id"))
+    pool = single.unionByName(dl.shape(turns).filter("not single").select(F.lit("multi").alias("kind"), F.col("conv_id").cast("string").alias("id")))
+    s, m = F.col("s"), F.col("m")
+    c = pool.agg(F.count_if(F.col("kind") == "single").alias("s"), F.count_if(F.col("kind") == "multi").alias("m"))
+    c = c.select("s", "m", F.least(s, F.lit(_SINGLE)).alias("ts"), F.when(s < _SINGLE, F.least(m, _TOTAL - s)).otherwise(_TOTAL - _SINGLE).alias("tm"))
+    take = c.select(F.when(m < F.col("tm"), F.least(s, F.col("ts") + F.col("tm") - m)).otherwise(F.col("ts")).alias("take_s"), F.least(m, F.col("tm")).alias("take_m"), F.lit(1).alias("one"))
+    ranked = pool.withColumn("n", F.row_number().over(Window.partitionBy("kind").orderBy(F.md5("id"), "id"))).filter(F.col("n") <= _TOTAL)
+    return ranked.withColumn("one", F.lit(1)).join(F.broadcast(take), "one").filter(F.col("n") <= F.when(F.col("kind") == "single", F.col("take_s")).otherwise(F.col("take_m"))).select("kind", "id")
+
+
+_QUOTA, _ATTEMPTS = 12, 50
+
+
+@query(f"""with p as (select conv_id, turn, text, case when regexp_matches(text, '(?i)the') then 'ask' when regexp_matches(text, '(?i)der|ung') then 'tell' else 'other' end as bucket from conversations where role = 'assistant' and length(text) > 0),
+n as (select *, row_number() over (partition by bucket order by conv_id, turn) - 1 as i, count(*) over (partition by bucket) as size from p), t as (select distinct bucket, size, unnest(range({_QUOTA * _ATTEMPTS})) as k from n),
+x as (select bucket, k, cast(('0x' || md5(bucket || ':a:' || k)[1:8]) as bigint) % size as a, cast(('0x' || md5(bucket || ':b:' || k)[1:8]) as bigint) % size as b from t),
+y as (select x.bucket, k, md5(na.text || chr(10) || nb.text) as digest from x join n na on na.bucket = x.bucket and na.i = a join n nb on nb.bucket = x.bucket and nb.i = b where a <> b),
+z as (select bucket, digest, min(k) as k from y group by all), r as (select *, row_number() over (partition by bucket order by k) as place from z) select bucket, cast(place as int) as place, digest from r where place <= {_QUOTA}""")
+def SMP7_pool_generation(spark, d):
+    """Dialogues of two replies drawn from a bucket of the replies there are: distinct ones up to a quota, in at most 50 draws each."""
+    t = table(spark, d, "conversations").filter("role = 'assistant' and length(text) > 0")
+    pool = t.select("conv_id", "turn", "text", F.when(F.col("text").rlike("(?i)the"), "ask").when(F.col("text").rlike("(?i)der|ung"), "tell").otherwise("other").alias("bucket"))
+    return sets.drawn_pairs(pool, "bucket", "text", ["conv_id", "turn"], _QUOTA, _ATTEMPTS)
+
+
+@query("""with g as (select n_nationkey as k, n_name as term, 'number ' || n_nationkey || ' of region ' || n_regionkey as definition, n_regionkey as r from nation), p as (select k as a, k + 1 as b from g union all select k, k + 100 from g),
+q as (select 'definition' as kind, term, null as related, 'What is ' || term || '?' as question, definition as answer from g union all select 'usage', term, null, 'How is ' || term || ' used?', definition from g union all select 'misconception', term, null, 'What is ' || term || ' not?', definition from g
+union all select 'relation', x.term, y.term, 'How do ' || x.term || ' and ' || y.term || ' relate?', case when x.r = y.r then 'same' else 'apart' end from p join g x on x.k = a join g y on y.k = b union all select 'comparison', x.term, y.term, 'Compare ' || x.term || ' with ' || y.term || '.', x.definition || ' / ' || y.definition from p join g x on x.k = a join g y on y.k = b)
+select * from q""")
 def SMP10_glossary_expansion(spark, d):
-    terms = table(spark, d, "documents").select(F.col("lang").alias("term")).distinct()
-    rows = F.array(*(F.struct(F.lit(k).alias("kind"), F.concat(F.lit(q.split("{t}")[0]), "term", F.lit(q.split("{t}")[1])).alias("question")) for k, q in _KINDS))
-    return terms.select("term", F.explode(rows).alias("r")).select("term", "r.kind", "r.question")
+    """Nations as a glossary, with pairs of them, of which some name terms that it lacks."""
+    g = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("term"), F.concat(F.lit("number "), F.col("n_nationkey").cast("string"), F.lit(" of region "), F.col("n_regionkey").cast("string")).alias("definition"), F.col("n_regionkey").alias("r"))
+    pairs = g.select(F.col("k").alias("a"), F.explode(F.array(F.col("k") + 1, F.col("k") + 100)).alias("b"))
+    x, y = (g.select(F.col("k").alias(key), F.col("term").alias(f"term_{key}"), F.col("definition").alias(f"d_{key}"), F.col("r").alias(f"r_{key}")) for key in "ab")
+    row = lambda kind, term, related, question, answer: F.struct(F.lit(kind).alias("kind"), term.alias("term"), related.alias("related"), question.alias("question"), answer.alias("answer"))
+    t, none = F.col("term"), F.lit(None).cast("string")
+    one = F.array(*(row(k, t, none, F.concat(F.lit(a), t, F.lit(b)), F.col("definition")) for k, a, b in (("definition", "What is ", "?"), ("usage", "How is ", " used?"), ("misconception", "What is ", " not?"))))
+    a, b = F.col("term_a"), F.col("term_b")
+    two = F.array(row("relation", a, b, F.concat(F.lit("How do "), a, F.lit(" and "), b, F.lit(" relate?")), F.when(F.col("r_a") == F.col("r_b"), "same").otherwise("apart")), row("comparison", a, b, F.concat(F.lit("Compare "), a, F.lit(" with "), b, F.lit(".")), F.concat_ws(" / ", "d_a", "d_b")))
+    return g.select(F.explode(one).alias("x")).select("x.*").unionByName(pairs.join(x, "a").join(y, "b").select(F.explode(two).alias("x")).select("x.*"))
 
 
 @query("select event_id, v.variant, w.layout from events, (values ('exact'), ('short'), ('typed')) v(variant), (values ('sft'), ('dpo')) w(layout) where event_id % 5 = 1")
@@ -151,14 +186,19 @@ def FBK3_argument_repair(spark, d):
     return bad.withColumn("variant", variants("exact", "short", "typed")).withColumn("layout", variants("sft", "dpo"))
 
 
-@query("""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),
-m as (select doc_id, source, count(*) over (partition by source) as n from documents)
-select m.doc_id, m.source, arg_min(l.line, l.pos) filter (where length(l.line) >= 40) as first_long, length(arg_min(l.line, l.pos) filter (where length(l.line) >= 40)) >= 60 as usable from m left join l using (doc_id) group by m.doc_id, m.source""")
+@query(f"""with {_CHUNKS.replace("from documents", "from " + _LINES)}, ch as (select id, row_number() over (partition by id order by p.char_start) - 1 as chunk_index, p.chunk as chunk from c),
+mk as (select id, chunk_index, chunk, unnest(list_distinct(regexp_extract_all(chunk, '\\[P([0-9]+)\\]', 1)))::bigint as marker from ch), f as (select marker, arg_min(chunk, id * 1000000 + chunk_index) as chunk, min(id * 1000000 + chunk_index) as place from mk group by marker)
+select page_id, case when length(chunk) >= 40 then chunk end as context, coalesce(length(chunk) >= 40, false) as usable, coalesce(regexp_extract(chunk, '[A-Za-z]{{4,}}'), '') as topic, {_SHARE.replace('doc_id', 'page_id')} < 0.1 as held_out from pages left join f on marker = page_id""")
 def FBK6_page_samples(spark, d):
-    lines = table(spark, d, "documents").select("doc_id", "source", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
-    long = F.length("line") >= 40
-    out = lines.groupBy("doc_id", "source").agg(F.min_by(F.when(long, F.col("line")), F.when(long, F.col("pos"))).alias("first_long"))
-    return out.withColumn("usable", F.length("first_long") >= 60)
+    """Pages as media records, each with the first chunk that mentions the paragraph of its number: context, topic and split."""
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
+    marked = F.array_join(F.transform(lines, lambda x, i: F.concat(F.lit("[P"), (i + 1).cast("string"), F.lit("] "), x)), "\n")
+    found = rt.chunks(table(spark, d, "documents"), "doc_id", marked)
+    markers = F.array_distinct(F.regexp_extract_all("chunk", F.lit(r"\[P([0-9]+)\]"), F.lit(1)))
+    first = found.select(F.explode(markers).alias("page_id"), (F.col("id") * 1_000_000 + F.col("chunk_index")).alias("place"), "chunk").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.min_by("chunk", "place").alias("chunk"))
+    rows = table(spark, d, "pages").select("page_id").join(first, "page_id", "left")
+    long = F.coalesce(F.length("chunk") >= 40, F.lit(False))
+    return rows.select("page_id", F.when(long, F.col("chunk")).alias("context"), long.alias("usable"), F.coalesce(F.regexp_extract("chunk", "[A-Za-z]{4,}", 0), F.lit("")).alias("topic"), (sets.md5_share(F.col("page_id").cast("string")) < 0.1).alias("held_out"))
 
 
 @query("select item_id, d.doc_id is not null as found, array_to_string(string_split(d.text, chr(10))[1:2], ' ') as hint from benchmark b left join documents d on d.doc_id = b.item_id")

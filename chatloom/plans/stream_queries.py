@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.sources.io import page_units
 from chatloom.streaming import streams
 
-from .common import table
+from .common import sql_normalize, table
 
 QUERIES, SQL = {}, {}
 
@@ -68,6 +68,14 @@ def STR5_first_seen(spark, d):
     return _drained(spark, streams.first_seen(keyed, "key", "3650 days").select("key")).agg(F.count("*").alias("kept"))
 
 
+@query(f"select distinct md5(role || ':' || lower({sql_normalize('text')})) as key, role, length({sql_normalize('text')}) as size from conversations where role in ('user', 'assistant') and {sql_normalize('text')} <> ''")
+def STR5_cleaned_turns(spark, d):
+    """Turns as a stream, cleaned and without repeats; a turn's time is made of its place."""
+    still = table(spark, d, "conversations")
+    turns = spark.readStream.schema(still.schema).parquet(f"{d}/conversations.parquet*").withColumn("ts", F.timestamp_seconds(F.lit(86400) + F.col("conv_id") * 60 + F.col("turn")))
+    return _drained(spark, streams.cleaned(turns.select("ts", "role", "text"), "36500 days").select("key", "role", F.length("text").alias("size")))
+
+
 @query(None)
 def SRC5_page_units(spark, d):
     return page_units(table(spark, d, "pages"))

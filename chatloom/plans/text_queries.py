@@ -134,6 +134,16 @@ def TXT18_terms(spark, d):
     return table(spark, d, "benchmark").select("item_id", tx.terms(_t(), ["the", "of"]).alias("terms"))
 
 
+_ACCENTS = r"[\x{C0}-\x{24F}]"
+
+
+@query(f"""with t as (select item_id, regexp_extract_all(lower(regexp_replace(text, '{_ACCENTS}', ' ', 'g')), '[\\p{{L}}\\p{{N}}]+') as a, string_split(regexp_replace(text, '[^\\x{{C0}}-\\x{{24F}}]', '', 'g'), '') as cs from (select doc_id as item_id, text from documents))
+select item_id, list_sort(list_distinct(list_filter(list_concat(a, list_transform(list_zip(cs[1:-2], cs[2:]), lambda p: p[1] || p[2])), lambda x: x not in ('the', 'of')))) as terms from t""")
+def TXT18_script_pairs(spark, d):
+    """Terms with pairs of characters of a script, here accented letters; in order of the alphabet."""
+    return table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), F.array_sort(tx.terms(_t(), ["the", "of"], _ACCENTS)).alias("terms"))
+
+
 def _gram_sql(n: int, least: int) -> str:
     return f"""with b as (select doc_id as id, {sql_squeeze("coalesce(text, '')")} as s from documents),
 g as (select id, length(s) as size, substring(s, cast(i as bigint), {n}) as gram from b, unnest(range(1, length(s) - {n} + 2)) as u(i) where length(s) >= {max(n, least)}),
@@ -229,3 +239,13 @@ def FLT17_best_lines(spark, d):
 def FLT18_row_contract(spark, d):
     found = F.array(F.when(F.array_sort(F.json_object_keys("props")) != F.array(F.lit("k")), "keys"), F.when(~F.col("event_type").isin("click", "purchase", "signup", "view"), "type"), F.when(F.col("value").isNull(), "value"))
     return table(spark, d, "events").select("event_id", F.filter(found, lambda x: x.isNotNull()).alias("violations"))
+
+
+@query(f"""with t as (select doc_id, {sql_lines("text")} as a, regexp_replace(text, '<[^>]*>|https?://[^ \\n]*', '', 'g') as v from documents)
+select doc_id, len(a) >= 2 and len(regexp_extract_all(array_to_string(a, ''), '\\p{{L}}')) >= 12 as context, len(regexp_extract_all(v, '\\p{{L}}')) < 40 or len(regexp_extract_all(v, '\\p{{L}}')) < 0.5 * length({sql_squeeze("v")}) as low_signal from t""")
+def FLT14_context_gate(spark, d):
+    """Whether a text is enough as a context, and whether what is visible of it says little."""
+    letters, v = F.lit(r"\p{L}"), F.regexp_replace(_t(), r"<[^>]*>|https?://[^ \n]*", "")
+    a = table(spark, d, "documents").select("doc_id", tx.lines(_t()).alias("a"), v.alias("v"))
+    n = F.regexp_count("v", letters)
+    return a.select("doc_id", ((F.size("a") >= 2) & (F.regexp_count(F.array_join("a", ""), letters) >= 12)).alias("context"), ((n < 40) | (n < 0.5 * F.length(tx.squeeze(F.col("v"))))).alias("low_signal"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.functions.text import normalize
+
 
 def audit_counts(events: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts by tumbling window and event type; a window comes out when the watermark has passed it."""
@@ -23,11 +25,20 @@ def first_seen(rows: DataFrame, key: str, late: str = "10 minutes") -> DataFrame
     return rows.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
+def cleaned(turns: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Turns (ts, role, text) of users and assistants, normalised, empty ones left out, each role and text once within the
+    watermark: (ts, role, text, key)."""
+    rows = turns.filter(F.col("role").isin("user", "assistant")).withColumn("text", normalize(F.coalesce("text", F.lit("")))).filter("text <> ''")
+    return first_seen(rows.withColumn("key", F.md5(F.concat_ws(":", "role", F.lower("text")))), "key", late)
+
+
 def breach_alerts(points: DataFrame, key: str, breach: Column, hold: float, cooldown: float = 0.0) -> DataFrame:
     """(key, at, since): points at which a key has been in breach for `hold` seconds, at least `cooldown` after its last alert.
 
-    The state of a key is when the breach began and when it last alerted; a healthy point clears the former.
+    The state of a key is when the breach began and when it last alerted; a healthy point clears the former. Of a micro-batch a
+    key's points are held as nine bytes each; maxFilesPerTrigger of the source bounds how many these are.
     """
+    import numpy as np
     import pandas as pd
 
     rows = points.select(F.col(key).alias("key"), F.col("ts").cast("timestamp").cast("double").alias("at"), breach.alias("bad"))
@@ -35,9 +46,10 @@ def breach_alerts(points: DataFrame, key: str, breach: Column, hold: float, cool
 
     def step(name, batches, state):
         since, last = state.get if state.exists else (-1.0, -1.0)
-        seen = pd.concat(list(batches)).sort_values("at")
-        out = []
-        for at, bad in zip(seen["at"], seen["bad"], strict=True):
+        parts = [(b["at"].to_numpy(float), b["bad"].to_numpy(bool)) for b in batches]
+        at_all, bad_all = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        order, out = np.argsort(at_all, kind="stable"), []
+        for at, bad in zip(at_all[order].tolist(), bad_all[order].tolist(), strict=True):
             since = (at if since < 0 else since) if bad else -1.0
             if bad and at - since >= hold and (last < 0 or at - last >= cooldown):
                 out.append((name[0], at, since))
