@@ -1,13 +1,18 @@
 """Small cases with known answers."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
+from chatloom.operators import curation as cu
 from chatloom.operators import dialogue as dl
 from chatloom.operators import logs as lg
+from chatloom.operators import parsing as ps
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
 from chatloom.operators import sets
+from chatloom.sources import io
+from chatloom.streaming import streams
 
 
 def one(spark, text, column):
@@ -83,9 +88,9 @@ def test_chunks_end_with_the_text(spark):
 
 
 def test_diversity_caps_sources(spark):
-    hits = spark.createDataFrame([(1, i, "a" if i < 4 else "b", 1.0 - i / 10, i + 1) for i in range(6)], "query_id long, id long, source string, score double, rank int")
+    hits = spark.createDataFrame([(1, i, "a1" if i < 4 else "b2", f"{i}x{i}y{i}z", 1.0 - i / 10, i + 1) for i in range(6)], "query_id long, id long, file string, text string, score double, rank int")
     got = rt.diversify(hits, 4, 2).orderBy("place").collect()
-    assert [r.source for r in got] == ["a", "a", "b", "b"]
+    assert [r.file for r in got] == ["a1", "a1", "b2", "b2"]
 
 
 def test_entry_without_llm():
@@ -105,7 +110,7 @@ def test_entry_imports_without_a_session():
 
 
 def test_hybrid_falls_back_to_words(spark):
-    texts = spark.createDataFrame([(1, "red apple pie", "a"), (2, "green apple tart", "a"), (3, "blue sky", "b")], "id long, text string, source string")
+    texts = spark.createDataFrame([(1, "red apple pie", "a"), (2, "green apple tart", "a"), (3, "blue sky", "b")], "id long, text string, file string")
     asked = spark.createDataFrame([(7, "apple pie"), (8, "sky")], "query_id long, q string")
     index, idf = rt.tfidf(texts, "id", rt.words(F.col("text")))
     q, _ = rt.tfidf(asked, "query_id", rt.words(F.col("q")), idf)
@@ -113,4 +118,167 @@ def test_hybrid_falls_back_to_words(spark):
     vec = rt.dense(rt.projected(q.filter("id = 7")).withColumn("id", -F.col("id")), rt.projected(index), 3).withColumn("query_id", -F.col("query_id"))
     got = rt.hybrid(asked, texts, lex, vec, 2).orderBy("query_id", "place").collect()
     assert (got[0].query_id, got[0].id, got[0]["mode"]) == (7, 1, "hybrid")
-    assert [(r.id, r["mode"]) for r in got if r.query_id == 8] == [(3, "lexical")]
+    assert [(r.id, r["mode"]) for r in got if r.query_id == 8] == [(3, "tfidf_fallback")]
+
+
+def test_source_affinity_and_family(spark):
+    row = spark.createDataFrame([("Tell me about Alpha in the guide", "docs/AB12_alpha-notes.md", ["tell", "alphabet"])], "q string, f string, t array<string>")
+    got = row.select(rt.source_affinity(F.col("t"), F.col("f")).alias("a"), rt.explicit_match(F.col("q"), F.col("f"), "notes|guide").alias("e"), rt.family(F.col("f")).alias("k"), rt.family(F.lit("ABC.md")).alias("w")).first()
+    assert (round(got.a, 6), got.e, got.k, got.w) == (round(1 / 3, 6), 0.5, "12_alpha-notes", "abc")
+
+
+def test_spread_out_caps_defers_and_refills():
+    hits = [("a1", "1", "same words here", 0.9), ("a1", "1", "same words here", 0.8), ("b1", "1", "others", 0.7), ("c1", "1", "third of a family", 0.6), ("d1", "1", "fourth of a family", 0.5), ("e2", "2", "alone", 0.1)]
+    # the second is too much like the first of its file; the fifth is one too many of its family
+    assert rt.spread_out(hits, 4, 2, 3) == [0, 2, 3, 5]
+    assert rt.spread_out(hits, 6, 2, 3) == [0, 2, 3, 5, 1, 4]
+    assert rt.spread_out(hits, 3, 1, 9) == [0, 2, 3] and rt.spread_out([], 3) == []
+    assert rt.spread_out([("a", "a", "xy", 1.0), ("a", "a", "qrst", 0.9), ("a", "a", "mnop", 0.8)], 2, 2, 5) == [0, 1]
+
+
+def ranking(spark, rows):
+    return spark.createDataFrame(rows, "query_id long, id long, score double, rank int")
+
+
+def test_hybrid_modes_and_focus(spark):
+    asked = spark.createDataFrame([(1, "alpha beta"), (2, "alpha beta")], "query_id long, q string")
+    texts = spark.createDataFrame([(10, "nothing at all", "alpha_x.md"), (11, "alpha beta gamma", "zeta1.md"), (12, "beta", "eta2.md")], "id long, text string, file string")
+    lex = ranking(spark, [(1, 11, 0.9, 1), (1, 10, 0.5, 2), (2, 12, 0.7, 1), (2, 11, 0.6, 2)])
+    vec = ranking(spark, [(1, 12, 0.9, 1), (1, 11, 0.8, 2)])
+    for fusion in ("rrf", "weighted"):
+        got = rt.hybrid(asked, texts, lex, vec, 2, fusion=fusion, weight_lex=0, weight_vec=0).collect()
+        of = {(r.query_id, r.place): (r.id, r["mode"]) for r in got}
+        assert of[1, 1] == (11, "hybrid") and of[2, 1] == (12, "tfidf_fallback") and of[2, 2] == (11, "tfidf_fallback")
+    # the query mentions one of two aliases of the first file
+    rows = asked.filter("query_id = 1").join(texts).withColumns({"terms": F.array(F.lit("alpha"), F.lit("beta")), "fusion": F.lit(0.0)})
+    ranked = rt.rerank(rows, 0.0, "zzz").withColumn("j", rt.bigram_jaccard(F.col("q"), F.col("text"))).collect()
+    covered, shift = {10: 0.0, 11: 1.0, 12: 0.5}, {10: 0.18 * 0.5, 11: -0.06, 12: -0.06}
+    assert all(abs(r.score - (0.2 * covered[r.id] + 0.1 * r.j + shift[r.id])) < 1e-9 for r in ranked) and len(ranked) == 3
+
+
+def test_modalities_leave_doubles_out(spark):
+    asked = spark.createDataFrame([(1, "alpha")], "query_id long, q string")
+    units = spark.createDataFrame(
+        [(1, "text", "t", "alpha one", None), (2, "text", "t", "alpha one", None), (3, "image", "i", "x", [1.0, 0.0]), (4, "image", "j", "y", [1.0, 0.01]), (5, "image", "k", "z", [0.0, 1.0])],
+        "id long, modality string, title string, text string, v array<double>",
+    )
+    lex = ranking(spark, [(1, 1, 0.9, 1), (1, 2, 0.8, 2)])
+    vec = ranking(spark, [(1, 3, 0.9, 1), (1, 4, 0.8, 2), (1, 5, 0.7, 3)])
+    got = rt.with_modality(asked, units, lex, vec, 5).orderBy("place").collect()
+    assert [r.id for r in got] == [1, 3, 5] and [r.place for r in got] == [1, 2, 3]
+    assert len(rt.with_modality(asked, units, lex, vec, 2).collect()) == 2
+
+
+def test_reduced_equals_svd(spark):
+    draw = np.random.default_rng(1)
+    x = draw.random((30, 12)) * (draw.random((30, 12)) < 0.5)
+    index = spark.createDataFrame([(int(i), f"t{j:02d}", float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "id long, term string, weight double").repartition(3)
+    v, kept = rt.reduced(index, dims=4, terms=12)
+    u, s, _ = np.linalg.svd(x, full_matrices=False)
+    assert abs(kept - (s[:4] ** 2).sum() / (s**2).sum()) < 1e-9
+    want = (u[:, :4] * s[:4]) @ (u[:, :4] * s[:4]).T
+    rows = {r.id: np.array(r.v) * np.sqrt(r.energy) for r in v.collect()}
+    assert all(abs(rows[a] @ rows[b] - want[a, b]) < 1e-9 for a in rows for b in rows)
+
+
+def test_fallback_ranks_texts_without_shared_words(spark):
+    asked = spark.createDataFrame([(i, q) for i, q in enumerate(["abc", "zzz", ""])], "query_id long, q string")
+    rows = spark.createDataFrame([(1, "xbcx"), (2, "a-b-c"), (3, None)], "id long, text string")
+    got = {(r.query_id, r.place): (r.id, r.n) for r in rt.fallback(asked, rows, 2, block=2).collect()}
+    assert got[0, 1] == (1, 4) and got[0, 2] == (2, 3) and got[1, 1][1] == 0 and (2, 1) in got
+
+
+def test_runs_and_windows(spark):
+    df = spark.createDataFrame([(["b", "a", "b", "b"],), ([],), (None,)], "a array<string>")
+    assert [r.m for r in df.select(tx.most_often(F.col("a")).alias("m")).collect()] == [3, None, None]
+    assert [(r.x, r.n) for r in df.select(F.explode(tx.runs(F.col("a"))).alias("r")).select("r.*").collect()] == [("a", 1), ("b", 3)]
+    assert one(spark, "aXaXa", lambda t: tx.windows(t, "a", 2, 1)) == ["ax", "axax", "axa"]
+    assert one(spark, "a.b a.b", lambda t: tx.windows(t, "a.b", 1, 0)) == ["a.b", " a.b"] and one(spark, "none", lambda t: tx.windows(t, "q", 3, 3)) == []
+
+
+def test_json_objects_and_contents(spark):
+    for text, want in (('{"a": {"b": 1}}', '{"a": {"b": 1}}'), ('x ```json\n{"a": 1}\n``` y', '{"a": 1}'), ('so {"a": {"b": 2}} and {"c": 3}', '{"a": {"b": 2}}'), ("} {", None), ("{bad}", None), (None, None), ("", None)):
+        assert one(spark, text, ps.json_object) == want
+    for text, want in (("plain", "plain"), ('{"content": "c"}', "c"), ('["a", {"text": "b"}, {"type": "image"}]', "ab"), ("[not json", "[not json")):
+        assert one(spark, text, ps.flat_content) == want
+    assert one(spark, "A: one two B: three", lambda t: ps.section(t, "A", ["A", "B"], 5)) == "one t…" and one(spark, "B: x", lambda t: ps.section(t, "A", ["A", "B"])) == ""
+
+
+def test_tool_scores(spark):
+    call = '<tool_call>{"name": "pay", "arguments": {"n": "12", "to": {"id": 7.0, "tags": ["a", "b"]}}}</tool_call> done'
+    for text, args, want in (
+        (call, '{"n": 12, "to": {"id": "7.0", "tags": ["a", "b"]}}', (True, True, True, 1.0)),
+        (call, '{"n": 12, "to": {"tags": ["a"]}}', (True, False, True, 0.65)),
+        (call, '{"n": ""}', (True, False, True, 0.65)),
+        (call.replace("pay", "other"), "{}", (False, False, True, 0.25)),
+        ("<tool_call><function=pay><parameter=n> 12 </parameter></function></tool_call>", '{"n": 12}', (True, True, True, 0.9)),
+        ("<tool_call>broken</tool_call> done", '{"n": 12}', (False, False, False, 0.1)),
+    ):
+        df = spark.createDataFrame([(text, args)], "t string, a string")
+        s = df.select(ps.tool_score(F.col("t"), F.lit("pay"), F.col("a"), F.array(F.lit("done"))).alias("s")).first().s
+        assert (s.called, s.matched, s.valid, round(s.score, 6)) == want, text
+
+
+def test_dispatch(spark):
+    df = spark.createDataFrame([("ratio",), ("nope",), (None,)], "f string")
+    result, error = rl.dispatched(F.col("f"), {"ratio": rl.ratio(F.lit("10"), F.lit("0.25"))})
+    assert [(r.x and float(r.x), r.e) for r in df.select(result.alias("x"), error.alias("e")).collect()] == [(2.5, None), (None, "UNSUPPORTED_FORMULA"), (None, "UNSUPPORTED_FORMULA")]
+
+
+TURNS = "conv_id long, turn int, role string, text string"
+
+
+def test_decontaminate(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "Buy now\nA line that is good enough\nA line that is good enough!"), (2, 0, "user", "q"), (2, 1, "assistant", "filler\nfiller two"), (3, 0, "user", "q"), (3, 1, "assistant", "BUY NOW"), (4, 1, "assistant", "this is toxic waste here"), (5, 0, "user", None), (5, 1, "assistant", "A good answer of some length.")]
+    done, left = cu.decontaminate(spark.createDataFrame(rows, TURNS), {"bad": "toxic"}, ["buy now"], ["filler.*"])
+    got = {r.conv_id: (r.action, r.reasons) for r in done.collect()}
+    assert got == {1: ("modify", ["dedupe_lines:1", "drop_line"]), 2: ("drop", ["collapse_filler_only", "too_short_after_clean"]), 3: ("drop", ["drop_line", "empty_after_clean"]), 4: ("drop", ["severe:bad"]), 5: ("keep", [])}
+    assert {(r.conv_id, r.turn): r.text for r in left.collect()} == {(1, 0): "q", (1, 1): "A line that is good enough", (5, 0): None, (5, 1): "A good answer of some length."}
+
+
+def test_reject_reasons_in_order(spark):
+    ask, fine = "a question of the user", "an answer with enough text in it"
+    rows = [(1, ask, fine), (2, ask, fine), (3, ask, "leak { here and more text"), (4, ask, "soft1 and soft2 in one answer"), (5, ask, "Again and again. " * 3), (6, "buy it all", fine + "!"), (7, ask, "rude words of an answer"), (8, ask, None)]
+    turns = spark.createDataFrame([(i, k, r, t) for i, q, a in rows for k, (r, t) in enumerate((("user", q), ("assistant", a)))], TURNS)
+    cleaned = cu.cleaned_turns(turns, ["noise"], [])
+    gates = cu.Gates(leak=[r"\{"], ticket_soft=["soft1", "soft2"], marketing=["buy"], risk={"rude": ["rude"]})
+    got = {r.conv_id: r.reason for r in cu.reject_reason(cleaned, gates).collect()}
+    assert got == {1: None, 2: "duplicate", 3: "structured_leak", 4: "ticket_template", 5: "sentence_repetition", 6: "marketing", 7: "risk", 8: "no_reply"}
+
+
+def test_clean_messages(spark):
+    rows = [(1, 0, "System", "rules"), (1, 1, "USER", "hi\r<b>there</b>\nnoise\nx\nx\n 1234567"), (1, 2, "user", "more"), (1, 3, "assistant", "abcdefghijkl" * 20), (1, 4, "assistant", "y" * 1300)]
+    got = cu.cleaned_turns(spark.createDataFrame(rows, TURNS), ["^noise"], [("[0-9]{6,}", "<N>")]).collect()
+    assert [(r.role, r.text, r.merged) for r in got] == [("user", "hi\nthere\nx\n<N>\nmore", 1)]
+
+
+def test_dialogues_in_parts(spark):
+    turns = spark.createDataFrame([(1, k, "user", f"t{k}") for k in range(2500)] + [(2, 0, "user", "t0")], TURNS)
+    a = dl.assemble(turns, part=1000)
+    assert sorted((r.conv_id, r.part, len(r.messages)) for r in a.collect()) == [(1, 0, 1000), (1, 1, 1000), (1, 2, 500), (2, 0, 1)]
+    assert sorted(map(tuple, dl.explode_turns(a).collect())) == sorted((c, t, r, x) for c, t, r, x in turns.collect())
+    assert dl.dialogue_hash(turns).select("hash").distinct().count() == 2
+
+
+def test_greedy_gates_in_time(spark):
+    events = spark.createDataFrame([(i, "k", t) for i, t in enumerate((0, 10, 20, 70, 75, 200))], "event_id long, k string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = [r.accepted for r in lg.admitted(events, "k", 60, 2).orderBy("event_id").collect()]
+    assert got == [True, True, False, True, True, True]
+    points = spark.createDataFrame([("k", float(t)) for t in (0, 5, 30, 31, 62)], "k string, at double")
+    assert [r.action for r in lg.cooled(points, "k", "at", 30.0).orderBy("at").collect()] == [True, False, True, False, True]
+
+
+def test_stream_of_breaches(spark, tmp_path):
+    rows = [("k", t, bad) for t, bad in ((0, 1), (50, 1), (100, 1), (150, 0), (200, 1), (290, 1), (400, 1))]
+    spark.createDataFrame(rows, "k string, s long, bad int").withColumn("ts", F.timestamp_seconds("s")).repartition(3).write.parquet(str(tmp_path / "in"))
+    read = lambda: spark.readStream.schema("k string, s long, bad int, ts timestamp").parquet(str(tmp_path / "in"))
+    for n, (cooldown, want) in enumerate(((0.0, [(100, 0), (290, 200), (400, 200)]), (150.0, [(100, 0), (290, 200)]))):
+        out = streams.drained(streams.breach_alerts(read(), "k", F.col("bad") == 1, 90.0, cooldown), str(tmp_path / f"o{n}"), str(tmp_path / f"c{n}"))
+        assert sorted((int(r["at"]), int(r.since)) for r in out.collect()) == want
+
+
+def test_page_units(spark):
+    html = "<html><title> T </title><script>var x = 1;</script><body>" + "word " * 30 + "</body></html>"
+    pages = spark.createDataFrame([(1, "http://u", html), (2, "http://v", "<p>" + "other " * 10 + "</p>"), (3, "w", None)], "page_id long, url string, html string")
+    got = {r.unit_id: (r.title, r.text) for r in io.page_units(pages).collect()}
+    assert got == {"1-0": ("T", "T " + ("word " * 30).strip()), "2-0": ("http://v", ("other " * 10).strip())}
