@@ -54,6 +54,14 @@ def materialize(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with as many underscores before it as make it differ from all columns of df, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def crc_fold(column: str, folds: int):
     """crc32 of an id as text, modulo the number of folds. A null id counts as the text 'null'."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % folds

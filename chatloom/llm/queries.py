@@ -22,28 +22,34 @@ from .toxicity import fit_toxicity, score_toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with the repair of its dialogue and its part of the rendered text."""
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints over three words link at two bits or fewer."""
     return simhash_groups(table(spark, sf_dir, "documents"), k=3, bits=2)
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that each document names: base phrases, and the rules' labels and score."""
     return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back: start, size and checksum of each document."""
     path = f"{scratch(spark)}/token-files-{uuid.uuid4().hex}"
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read_token_files(spark, path).drop("ids")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into sequences of 1024 ids: the pieces."""
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=0)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a sparse rule ensemble fitted outside the held-out fold."""
     docs, held_out = table(spark, sf_dir, "documents"), crc_fold("doc_id", 3) == 1
     model = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = score_quality(docs.select("doc_id", "text"), model)
@@ -51,14 +57,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of each document, as digests."""
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors linked by a cosine of 0.95 or more."""
     return cosine_groups(table(spark, sf_dir, "embeddings"), least=0.95)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the class models fitted outside the held-out fold."""
     docs, held_out = table(spark, sf_dir, "documents"), crc_fold("doc_id", 4) == 2
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = score_toxicity(docs.select("doc_id", "text"), model)
@@ -66,6 +75,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector over all others."""
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import materialize, table
+from chatloom.llm.common import materialize, table, unused
 from chatloom.llm.nearcopies import keep_one
 from chatloom.llm.packing import pack
 from chatloom.llm.quality import fit_quality, score_quality
@@ -17,24 +17,34 @@ TOXIC, LOW = 0.3, 0.5
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on all labels and all documents, doesn't reject."""
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, name="_toxicity").filter(F.col("_toxicity") < TOXIC).select(*docs.columns)
+    """Documents that the toxicity model, fitted on all labels and all documents, doesn't reject.
+
+    Null and empty texts count as texts without words; rows, repeated ones too, are judged one by one; an empty table stays empty.
+    """
+    model, name = fit_toxicity(docs, table(spark, sf_dir, "labels")), unused(docs, "score")
+    return score_toxicity(docs, model, name=name).filter(F.col(name) < TOXIC).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules, fitted on the labels of the documents left, don't reject."""
-    model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    return score_quality(docs, model, name="_quality").filter(F.col("_quality") >= LOW).select(*docs.columns)
+    """Documents that the quality rules, fitted on the labels of the documents left, don't reject.
+
+    Null and empty texts are judged by their statistics, which are zeros; rows, repeated ones too, are judged one by one; an
+    empty table stays empty.
+    """
+    model, name = fit_quality(docs, table(spark, sf_dir, "labels")), unused(docs, "score")
+    return score_quality(docs, model, name=name).filter(F.col(name) >= LOW).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
+
+    Null and empty texts are copies of each other; of repeated rows one stays; rows without an id all stay.
+    """
     return keep_one(docs, words=5, similarity=0.8)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 ids over all documents kept."""
+    """Sequences of at most 1024 ids over all documents kept; an empty one has its end id."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=0)
 
 
