@@ -3,14 +3,14 @@
 At a Jaccard similarity of 0.8, 64-bit fingerprints differ in about ten bits, so that no byte is sure to be shared. Here a
 fingerprint has 128 bytes, over the distinct shingles of a text: similar texts share about a quarter of them, others one in
 256. The index over byte positions has TABLES postings for a fingerprint, each keyed by the bytes at three positions; in a
-posting each text meets the first one. Shared bytes of pairs that meet are tallied, pairs with too few of them are
-dropped, and of the others the closest of each text is verified by the shingles themselves. This finds the bulk of the
+posting each text meets the first one. The postings that two meet in are tallied, of each text the pair with most of them
+goes on if it shares enough bytes, and is verified by the shingles themselves. This finds the bulk of the
 groups; what it misses is a matter of chance, as no minimum of shared bytes is guaranteed.
 
 So an exact index completes it. Shingles are put in one order for all texts, rare ones first. Two texts of n and m
 shingles that are similar enough share one among the first n - ceil(s * n) + 1 of the one and the same of the other; and
-at the first shingle that they share, the places before it count against them, which leaves few pairs even where a
-passage is in very many texts. These pairs are verified unless the groups found so far hold both. In the first round a
+at the first shingle that they share, the places before it count against them, as do the cells of a bitmap that they don't share, which leaves few pairs even where
+a passage is in very many texts. These pairs are verified unless the groups found so far hold both. In the first round a
 text meets the most central one of a posting only, which gathers the copies of one text; in the second all that differ in
 group. The groups are those that all pairs of the given similarity make, whatever the number of partitions.
 """
@@ -87,6 +87,23 @@ def wide_fingerprint(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").tobytes()
 
 
+def cell_bits(hashes: np.ndarray) -> bytes:
+    """BYTES bytes with a bit for each cell of BYTES * 8 that a hash falls in."""
+    bits = np.zeros(BYTES * 8, np.uint8)
+    bits[(hashes >> np.uint64(40)).astype(np.int64) % (BYTES * 8)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def possible(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m hashes can be that similar, by their cell_bits, rows of a and b as uint64.
+
+    They share at most as many hashes as cells, and one more for each further hash of a cell, of the set with fewer such.
+    """
+    ones = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
+    most = ones(a & b) + np.minimum(n - ones(a), m - ones(b))
+    return most >= similarity / (1 + similarity) * (n + m) - 1e-9
+
+
 def most_bits(similarity: float) -> int:
     """Bits beyond which fingerprints hardly belong to texts of a similarity."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -136,20 +153,20 @@ def prefix_size(n: np.ndarray | int, similarity: float):
 
 
 def _indexed(k: int, similarity: float, cells: Broadcast):
-    """(id, set, n, fp, first): the wide fingerprint and the first shingles in the common order, rare ones first."""
+    """(id, set, n, fp, bits, first): the wide fingerprint, cell_bits and the first shingles in the common order, rare ones first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = _Hashes(k), cells.value
         for batch in batches:
-            columns: list[list] = [[], [], [], []]
+            columns: list[list] = [[], [], [], [], []]
             for t in batch.column("t"):
                 h = hashes(t.as_py())
                 order = np.lexsort((h, counts[_cell(h)]))
                 first = h[order[: prefix_size(len(h), similarity) if len(h) else 0]]
-                for column, x in zip(columns, (hashlib.blake2b(h.tobytes(), digest_size=16).digest(), len(h), wide_fingerprint(h), first.tobytes()), strict=True):
+                for column, x in zip(columns, (hashlib.blake2b(h.tobytes(), digest_size=16).digest(), len(h), wide_fingerprint(h), cell_bits(h), first.tobytes()), strict=True):
                     column.append(x)
-            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.record_batch([batch.column("id"), *starmap(pa.array, zip(columns, kinds, strict=True))], names=["id", "set", "n", "fp", "first"])
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.record_batch([batch.column("id"), *starmap(pa.array, zip(columns, kinds, strict=True))], names=["id", "set", "n", "fp", "bits", "first"])
 
     return run
 
@@ -249,11 +266,13 @@ def _pairs(similarity: float):
     c = (1 - similarity) / (1 + similarity)
 
     def met(a: list[np.ndarray], b: list[np.ndarray], same: bool = False) -> np.ndarray:
-        """Pairs (2, k) of nodes of a and b, each (node, of, n, slack)."""
+        """Pairs (2, k) of nodes of a and b, each (node, of, n, slack, bits)."""
         ok = (a[3][:, None] + b[3] <= 1e-9) & (a[1][:, None] != b[1])
         ok &= np.minimum(a[2][:, None], b[2]) >= similarity * np.maximum(a[2][:, None], b[2]) - 1e-9
         i, j = np.nonzero(np.triu(ok, 1) if same else ok)
-        return np.stack([a[0][i], b[0][j]])
+        kept = [possible(a[4][x], b[4][y], a[2][x], b[2][y], similarity) for x, y in ((i[k : k + (1 << 16)], j[k : k + (1 << 16)]) for k in range(0, len(i), 1 << 16))]
+        kept = np.concatenate(kept) if kept else np.zeros(0, bool)
+        return np.stack([a[0][i[kept]], b[0][j[kept]]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, homes = None, None
@@ -261,7 +280,7 @@ def _pairs(similarity: float):
             if not batch.num_rows:
                 continue
             h, salt, guest, node, of, n, at = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("h", "salt", "guest", "node", "of", "n", "at"))
-            rows = (node, of, n, at - c * n)
+            rows = (node, of, n, at - c * n, np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(len(h), -1))
             cuts = np.flatnonzero((h[1:] != h[:-1]) | (salt[1:] != salt[:-1]) | (guest[1:] != guest[:-1])) + 1
             for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(h)], strict=True):
                 if (h[s], salt[s]) != key:
@@ -279,6 +298,19 @@ def _pairs(similarity: float):
     return run
 
 
+def _likely(similarity: float):
+    """Pairs that their cell_bits don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("a", "b"))
+                kept = pa.array(possible(a, b, batch.column("n").to_numpy(), batch.column("m").to_numpy(), similarity))
+                yield pa.record_batch([batch.column(c).filter(kept) for c in ("u", "v")], names=["u", "v"])
+
+    return run
+
+
 def _verified(k: int, similarity: float):
     """Pairs whose distinct shingles are as similar as asked for."""
 
@@ -318,8 +350,8 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
     named = sets.groupBy("set").agg(F.min(F.struct("id", "tx")).alias("m")).select("set", "m.*")
     alone = F.count("*").over(Window.partitionBy("id")) == 1
     named = materialize(named.select("set", "id", "tx", F.when(alone, F.col("id")).otherwise(F.xxhash64("set")).alias("node")), "named")
-    indexed = rows.select("id", "t").mapInArrow(_indexed(words, similarity, cells), "id long, set binary, n long, fp binary, first binary")
-    nodes = materialize(indexed.join(named, ["set", "id"]).select("node", "n", "fp", "first").filter("n > 0"), "nodes")
+    indexed = rows.select("id", "t").mapInArrow(_indexed(words, similarity, cells), "id long, set binary, n long, fp binary, bits binary, first binary")
+    nodes = materialize(indexed.join(named, ["set", "id"]).select("node", "n", "fp", "bits", "first").filter("n > 0"), "nodes")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of some pairs of nodes whose texts are as similar as asked for."""
@@ -337,14 +369,16 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
         new = more.join(found.select("node"), "node", "left_anti").select("node", F.col("component").alias("of"))
         return materialize(old.union(new), "groups")
 
-    # by fingerprints: the closest of each node's pairs
+    # by fingerprints
     dealt = nodes.select("node", "fp").mapInArrow(_postings, "key long, node long")
     dealt = dealt.repartitionByRange("key", F.xxhash64("node")).sortWithinPartitions("key", F.xxhash64("node"))
-    met = materialize(dealt.mapInArrow(_met, "u long, v long").distinct(), "met")
+    # tally the postings that two meet in; of each node's pairs the one with most of them goes on
+    hits = dealt.mapInArrow(_met, "u long, v long").groupBy("u", "v").agg(F.count("*").alias("n"))
+    met = materialize(hits.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")), "met")
     prints = nodes.select("node", "fp")
     both = met.join(prints.toDF("u", "a"), "u").join(prints.toDF("v", "b"), "v")
     close = both.select("u", "v", "a", "b").mapInArrow(_tallied(most_bits(similarity)), "u long, v long, bits long")
-    close = materialize(close.groupBy("v").agg(F.min_by("u", F.struct("bits", "u")).alias("u")), "close")
+    close = materialize(close.select("u", "v"), "close")
     # by rare shingles: the postings of more than one text
     posted = nodes.select("node", "n", "first").mapInArrow(_placed(similarity, cells), "h long, salt int, node long, n_at long")
     posted = posted.repartition("h", "salt").sortWithinPartitions("h").mapInArrow(_shared, "h long, node long, n long, at long")
@@ -362,7 +396,10 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
     centres = posted.groupBy("h").agg(F.min(F.struct(slack.alias("s"), "node", "of", "n")).alias("centre"))
     sized = F.least("n", "centre.n") >= similarity * F.greatest("n", "centre.n") - 1e-9
     pairs = posted.join(centres, "h").filter((F.col("of") != F.col("centre.of")) & (slack + F.col("centre.s") <= 1e-9) & sized)
-    pairs = materialize(pairs.select(F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v")).distinct(), "central")
+    pairs = pairs.select(F.least("node", "centre.node").alias("u"), F.greatest("node", "centre.node").alias("v")).distinct()
+    sketch = nodes.select("node", "n", "bits").distinct()
+    pairs = pairs.join(sketch.toDF("u", "n", "a"), "u").join(sketch.toDF("v", "m", "b"), "v")
+    pairs = materialize(pairs.select("u", "v", "n", "m", "a", "b").mapInArrow(_likely(similarity), "u long, v long"), "central")
     groups = grown(groups, materialize(verified(pairs), "links"))
 
     posted = of(shared)
@@ -373,6 +410,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
     everywhere = (F.col("salts") > 1) & (F.col("of") != F.col("main"))
     posted = posted.withColumn("salt", F.explode(F.when(everywhere, F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("home"))))
     posted = posted.select("h", "salt", (F.col("salt") != F.col("home")).alias("guest"), "node", "of", "n", "at")
+    posted = posted.join(nodes.select("node", "bits"), "node")
     pairs = posted.repartition("h", "salt").sortWithinPartitions("h", "salt", "guest").mapInArrow(_pairs(similarity), "u long, v long")
     pairs = materialize(pairs.distinct(), "apart")
     groups = grown(groups, materialize(verified(pairs), "links"))
