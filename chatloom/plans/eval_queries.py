@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chatloom.operators import logs as lg
 from chatloom.operators import rules as rl
+from chatloom.operators.quantiles import quantiles
 
 from .common import table
 from .dialogue_queries import _PREDS, predictions
@@ -28,13 +28,19 @@ def r6(c):
     return F.round(c, 6)
 
 
+def _percentiles(rows, group):
+    found = quantiles(rows, group, "value", {"p50": 0.5, "p95": 0.95})
+    return found.select(*group, *(r6(F.col(p)).alias(p) for p in ("p50", "p95")))
+
+
 _PCT = ", ".join(f"round(quantile_cont(value, {q}), 6) as p{int(q * 100)}" for q in (0.5, 0.95))
 
 
 @query(f"select event_type as mode, count(*) as n, round(avg(case when event_type = 'error' then 0.0 else 1.0 end), 6) as ok_rate, round(avg(value), 6) as mean, {_PCT} from events group by event_type")
 def EVL4_mode_metrics(spark, d):
     e = table(spark, d, "events")
-    return e.groupBy(F.col("event_type").alias("mode")).agg(F.count("*").alias("n"), r6(F.avg(F.when(F.col("event_type") == "error", 0.0).otherwise(1.0))).alias("ok_rate"), r6(F.avg("value")).alias("mean"), *(r6(F.percentile("value", F.lit(q))).alias(f"p{int(q * 100)}") for q in (0.5, 0.95)))
+    means = e.groupBy("event_type").agg(F.count("*").alias("n"), r6(F.avg(F.when(F.col("event_type") == "error", 0.0).otherwise(1.0))).alias("ok_rate"), r6(F.avg("value")).alias("mean"))
+    return means.join(_percentiles(e, ["event_type"]), "event_type").withColumnRenamed("event_type", "mode")
 
 
 @query("""with a as (select user_id, sum(value) as x from events where event_type = 'click' group by user_id), b as (select user_id, sum(value) as x from events where event_type = 'view' group by user_id)
@@ -49,11 +55,10 @@ def EVL5_paired_deltas(spark, d):
 @query("""with r as (select event_type, value, row_number() over (partition by event_type order by value) as i, count(*) over (partition by event_type) as n from events)
 select event_type, round(max(case when i = cast(round_even((n - 1) * 0.95::double, 0) as bigint) + 1 then value end), 6) as nearest, round(quantile_cont(value, 0.95), 6) as linear from r group by event_type""")
 def EVL6_percentiles(spark, d):
-    order = Window.partitionBy("event_type").orderBy("value")
-    every = Window.partitionBy("event_type")
-    e = table(spark, d, "events").select("event_type", "value", F.row_number().over(order).alias("i"), F.count("*").over(every).alias("n"))
-    near = F.bround((F.col("n") - 1) * F.lit(0.95), 0).cast("long") + 1
-    return e.groupBy("event_type").agg(r6(F.max(F.when(F.col("i") == near, F.col("value")))).alias("nearest"), r6(F.percentile("value", F.lit(0.95))).alias("linear"))
+    e = table(spark, d, "events").select("event_type", "value")
+    near = quantiles(e, ["event_type"], "value", {"nearest": 0.95}, nearest=True)
+    linear = quantiles(e, ["event_type"], "value", {"linear": 0.95})
+    return near.join(linear, "event_type").select("event_type", r6(F.col("nearest")).alias("nearest"), r6(F.col("linear")).alias("linear"))
 
 
 @query("""with g as (select doc_id, source, (case when regexp_matches(lower(text), 'license|copyright') then 1 else 0 end + case when regexp_matches(lower(text), 'the|der|que') then 1 else 0 end) / 2.0::double as score from documents)
@@ -86,7 +91,10 @@ def EVL9_answer_score(spark, d):
 
 @query(f"with {_SCORED} select lang, count(*) as n, round(avg(intent), 6) as accuracy, round(avg(score), 6) as score, count(*) filter (where score < 0.6 or risk) as failures, round(quantile_cont(n_chars::double, 0.95), 6) as p95 from sc group by lang")
 def EVL10_summary(spark, d):
-    return _scored(spark, d).groupBy("lang").agg(F.count("*").alias("n"), r6(F.avg("intent")).alias("accuracy"), r6(F.avg("score")).alias("score"), F.count_if((F.col("score") < 0.6) | F.col("risk")).alias("failures"), r6(F.percentile("n_chars", F.lit(0.95))).alias("p95"))
+    rows = _scored(spark, d)
+    means = rows.groupBy("lang").agg(F.count("*").alias("n"), r6(F.avg("intent")).alias("accuracy"), r6(F.avg("score")).alias("score"), F.count_if((F.col("score") < 0.6) | F.col("risk")).alias("failures"))
+    p95 = quantiles(rows, ["lang"], "n_chars", {"p95": 0.95}).select(F.col("lang").alias("of"), r6(F.col("p95")).alias("p95"))
+    return means.join(p95, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 @query("""select coalesce(lang, 'TOTAL') as category, count(*) as n, round(avg(case when regexp_matches(text, '(?i)idiot|moron') then 1.0 else 0.0 end), 6) as forbidden, round(avg(case when regexp_matches(text, '(?i)</?think>') then 1.0 else 0.0 end), 6) as leak, round(avg(n_chars), 6) as length
@@ -187,7 +195,8 @@ def LOG5_array_counters(spark, d):
 
 @query(f"select event_type, round(avg(value), 6) as mean, {_PCT} from events where value is not null group by event_type")
 def LOG6_latency(spark, d):
-    return table(spark, d, "events").filter("value is not null").groupBy("event_type").agg(r6(F.avg("value")).alias("mean"), *(r6(F.percentile("value", F.lit(q))).alias(f"p{int(q * 100)}") for q in (0.5, 0.95)))
+    e = table(spark, d, "events").filter("value is not null")
+    return e.groupBy("event_type").agg(r6(F.avg("value")).alias("mean")).join(_percentiles(e, ["event_type"]), "event_type")
 
 
 @query("select event_id, event_type, user_id from events where event_type = 'error' order by ts desc, event_id desc limit 20")
@@ -220,7 +229,9 @@ _POINTS = "select cast(floor(epoch(ts) / 21600) * 21600 as bigint) as slot, coun
 
 def _points(spark, d):
     slot = (F.floor(lg.seconds_of(F.col("ts")) / 21600) * 21600).cast("long")
-    return table(spark, d, "events").groupBy(slot.alias("slot")).agg(F.count("*").alias("n"), F.avg(F.when(_ok(), 1.0).otherwise(0.0)).alias("ok_rate"), F.percentile("value", F.lit(0.95)).alias("p95"))
+    rows = table(spark, d, "events").withColumn("slot", slot)
+    counts = rows.groupBy("slot").agg(F.count("*").alias("n"), F.avg(F.when(_ok(), 1.0).otherwise(0.0)).alias("ok_rate"))
+    return counts.join(quantiles(rows, ["slot"], "value", {"p95": 0.95}), "slot", "left")
 
 
 @query(f"with p as ({_POINTS}) select slot, list_filter([case when ok_rate < 0.8 then 'ok_rate' end, case when p95 > 150 then 'p95' end], lambda x: x is not null) as breaches from p")

@@ -96,11 +96,13 @@ def IDX6_units(spark, d):
     return docs.unionByName(pages).groupBy("modality").agg(F.count("*").alias("units"), F.count_distinct("source_file").alias("sources"), F.sum(F.length("text")).alias("chars"))
 
 
-@query(f"with {_CHUNKS} select count(*) as chunks, count(distinct id) as texts, (select list_sort(list(distinct source)) from documents) as sources from c")
+@query(f"with {_CHUNKS} select 'all' as kind, '' as name, count(*) as chunks, count(distinct id) as texts from c union all select 'source', source, count(*), count(distinct id) from c join documents on doc_id = id group by source")
 def IDX7_statistics(spark, d):
+    """Chunks and texts of the index, in all and by source."""
     docs = table(spark, d, "documents")
-    files = docs.agg(F.array_sort(F.collect_set("source")).alias("sources"))  # a row
-    return rt.chunks(docs, "doc_id", F.col("text")).agg(F.count("*").alias("chunks"), F.count_distinct("id").alias("texts")).crossJoin(F.broadcast(files))
+    found = rt.chunks(docs, "doc_id", F.col("text")).groupBy("id").agg(F.count("*").alias("chunks")).join(docs.select(F.col("doc_id").alias("id"), "source"), "id")
+    kinds = F.explode(F.array(F.struct(F.lit("all").alias("kind"), F.lit("").alias("name")), F.struct(F.lit("source").alias("kind"), F.col("source").alias("name"))))
+    return found.select(kinds.alias("k"), "chunks").groupBy("k.kind", "k.name").agg(F.sum("chunks").alias("chunks"), F.count("*").alias("texts"))
 
 
 def _lexical(spark, d, k: int):

@@ -11,6 +11,7 @@ from chatloom.operators import parsing as ps
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
 from chatloom.operators import sets
+from chatloom.operators.quantiles import quantiles
 from chatloom.sources import io
 from chatloom.streaming import streams
 
@@ -282,3 +283,14 @@ def test_page_units(spark):
     pages = spark.createDataFrame([(1, "http://u", html), (2, "http://v", "<p>" + "other " * 10 + "</p>"), (3, "w", None)], "page_id long, url string, html string")
     got = {r.unit_id: (r.title, r.text) for r in io.page_units(pages).collect()}
     assert got == {"1-0": ("T", "T " + ("word " * 30).strip()), "2-0": ("http://v", ("other " * 10).strip())}
+
+
+def test_quantiles_equal_sorting(spark):
+    draw = np.random.default_rng(2)
+    groups = {"a": draw.normal(size=501), "b": np.repeat([1.0, 2.0], [40, 7]), "c": np.array([5.0]), None: draw.integers(0, 9, 60).astype(float)}
+    df = spark.createDataFrame([(g, float(x)) for g, v in groups.items() for x in v] + [("a", None), ("d", None)], "g string, x double").repartition(5)
+    got = {r.g: (r.p50, r.p95) for r in quantiles(df, ["g"], "x", {"p50": 0.5, "p95": 0.95}, bins=7).collect()}
+    near = {r.g: r.p for r in quantiles(df, ["g"], "x", {"p": 0.9}, bins=3, nearest=True).collect()}
+    assert set(got) == set(groups) == set(near)
+    for g, v in groups.items():
+        assert np.allclose(got[g], np.quantile(v, [0.5, 0.95])) and near[g] == np.sort(v)[round(0.9 * (len(v) - 1))]
