@@ -15,6 +15,7 @@ from .embeddings import cosine_groups
 from .licenses import scan_licenses
 from .packing import pack
 from .quality import fit_quality, score_quality
+from .repair import damaged, repair_conversations, repaired_digest
 from .simhash import simhash_groups
 from .tokenfiles import read_token_files, write_token_files
 from .topk import top_k
@@ -80,7 +81,70 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with faults put in, repaired: what was wrong, the cost, the edits and a hash of the repaired turns."""
+    turns = table(spark, sf_dir, "conversations")
+    repair = repair_conversations(damaged(turns))
+    found = repair.conversations().join(repaired_digest(repair).withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    ids = turns.select(turns["conv_id"].cast("long").alias("id")).distinct()
+    out = ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    zeros = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("id").alias("conv_id"), *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def _repair_sql() -> str:
+    """A plain dynamic program over the rows of a conversation, which keeps the least (cost, audit, repaired) of each state."""
+    gone = "case when {q}.c is not null then {{'c': {q}.c + 4, 'a': {q}.a || 'D', 'o': {q}.o}} end"
+    kept = "case when {q}.c is not null and f.f < 2 and f.i = '{i}' then {{'c': {q}.c + 3 * f.f, 'a': {q}.a || 'K', 'o': list_append({q}.o, f.r || ':' || f.x)}} end"
+    told = "case when {q}.c is not null and f.f < 2 then {{'c': {q}.c + 3 + 3 * f.f, 'a': {q}.a || 'R', 'o': list_append({q}.o, '{r}:' || f.x)}} end"
+    put = "case when {q}.c is not null then {{'c': {q}.c + 3, 'a': {q}.a || 'I', 'o': list_append({q}.o, '{r}:')}} end"
+    least = lambda *ways: "list_min([" + ", ".join(ways) + "])"
+    to_u = [w.format(q=q, i="u", r="user") for q in ("p.z", "p.s", "p.a") for w in (kept, told)]
+    to_a = [w.format(q="p.u", i="a", r="assistant") for w in (kept, told)]
+    step = f"{gone.format(q='p.z')} as z, {least(gone.format(q='p.s'), kept.format(q='p.z', i='s'))} as s, {least(gone.format(q='p.u'), *to_u)} as u, {least(gone.format(q='p.a'), *to_a)} as a"
+    fill_u = least("n.u", *(put.format(q=q, r="user") for q in ("n.z", "n.s", "n.a")))
+    fill_a = least("m.a", put.format(q="m.u", r="assistant"))
+    filled = "select m.c, m.k, m.z, m.s, m.u, " + fill_a + " as a from (select n.c, n.k, n.z, n.s, n.a, " + fill_u + " as u from (@) n) m"
+    none = "cast(null as struct(c bigint, a varchar, o varchar[]))"
+    first = f"select distinct conv_id as c, cast(0 as bigint) as k, cast({{'c': 0, 'a': '', 'o': []}} as struct(c bigint, a varchar, o varchar[])) as z, {none} as s, {none} as u, {none} as a from conversations"
+    space = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+with recursive crc as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), d as (
+  select conv_id as c, turn as t, coalesce(role, ' ') as r, coalesce(text, ' ') as x,
+    xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda e: cast(ascii(e) as bigint))),
+      lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as k
+  from conversations, crc
+), e as (
+  select c, t, case when k = 4 then 'user' else r end as r, case when k = 1 then '' when k = 2 then regexp_replace(x, '[.!?]', '', 'g') else x end as x,
+    unnest(case when k = 3 then [0, 1] else [0] end) as n
+  from d where k <> 0
+), g as (
+  select c, t, r, x, row_number() over (partition by c order by t nulls first, r, x, n) as k, row_number() over (partition by c, r, x order by t nulls first, n) as m,
+    lag(left(r, 1)) over (partition by c order by t nulls first, r, x, n) || left(r, 1) as pair, rtrim(x, {space}) as y
+  from e
+), f as (
+  select c, t, r, x, k, left(r, 1) as i, pair, y = '' as blank, y <> '' and m > 1 as dup, y <> '' and m = 1 and right(y, 1) not in ('.', '!', '?') as cut,
+    case when y = '' or m > 1 then 2 when right(y, 1) not in ('.', '!', '?') then 1 else 0 end as f
+  from g
+), p(c, k, z, s, u, a) as (
+  {filled.replace("@", first)}
+  union all
+  {filled.replace("@", f"select p.c, p.k + 1 as k, {step} from p join f on f.c is not distinct from p.c and f.k = p.k + 1")}
+), w as (
+  select c, list_min([z, a]) as w from p qualify row_number() over (partition by c order by k desc) = 1
+), q as (
+  select c, max(t) - min(t) + 1 - count(distinct t) as gaps, count_if(blank) as blank, count_if(dup) as duplicate, count_if(cut) as truncated, count_if(pair not in ('su', 'ua', 'au')) as illegal
+  from f group by c
+)
+select w.c as conv_id, coalesce(q.gaps, 0) as gaps, cast(coalesce(q.blank, 0) as bigint) as blank, cast(coalesce(q.duplicate, 0) as bigint) as duplicate, cast(coalesce(q.truncated, 0) as bigint) as truncated,
+  cast(coalesce(q.illegal, 0) as bigint) as illegal, w.w.c as cost, w.w.a as audit, sha256(array_to_string(w.w.o, chr(10))) as repaired_sha256
+from w left join q on q.c is not distinct from w.c
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k, op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op8_embeddings": """
 with recursive v as (
@@ -108,4 +172,5 @@ with v as (
 )
 select query_id, rank, vec_id, score from r where rank <= 20
 """,
+    "op13_conversation_repair": _repair_sql(),
 }
