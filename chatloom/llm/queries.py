@@ -20,6 +20,7 @@ from .simhash import simhash_groups
 from .tokenfiles import read_token_files, write_token_files
 from .topk import top_k
 from .toxicity import fit_toxicity, score_toxicity
+from .whitening import embedding_blocks, fit_whitening, whiten
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +82,12 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings: every vector along the eight components of largest variance of all vectors."""
+    blocks, dims = embedding_blocks(table(spark, sf_dir, "embeddings"), scale=1024)
+    return whiten(blocks, fit_whitening(blocks, dims, k=8))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations with faults put in, repaired: what was wrong, the cost, the edits and a hash of the repaired turns."""
     turns = table(spark, sf_dir, "conversations")
@@ -144,7 +151,7 @@ from w left join q on q.c is not distinct from w.c
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k, op12_whitening, op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op8_embeddings": """
 with recursive v as (
