@@ -15,6 +15,7 @@ from .embeddings import cosine_groups
 from .licenses import scan_licenses
 from .packing import pack
 from .quality import fit_quality, score_quality
+from .pages import extract_pages
 from .repair import damaged, repair_conversations, repaired_digest
 from .simhash import simhash_groups
 from .tokenfiles import read_token_files, write_token_files
@@ -82,6 +83,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.filter("vec_id % 20 = 0"), vectors, k=20, scale=64)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened embeddings: every vector along the eight components of largest variance of all vectors."""
     blocks, dims = embedding_blocks(table(spark, sf_dir, "embeddings"), scale=1024)
@@ -151,7 +157,7 @@ from w left join q on q.c is not distinct from w.c
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k, op12_whitening, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_licenses, op4_token_files, op5_packing, op6_quality, op7_bpe, op8_embeddings, op9_toxicity, op10_top_k, op11_main_text, op12_whitening, op13_conversation_repair)}
 ORACLES: dict[str, str] = {
     "op8_embeddings": """
 with recursive v as (
