@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chatloom.functions import text as tx
 
@@ -76,45 +73,77 @@ def tool_calls(text: Column) -> Column:
     return F.filter(F.transform(found, read), lambda c: F.coalesce(c["name"], F.lit("")) != "")
 
 
-def _number(x):
-    """Numbers written as text count as numbers."""
-    if isinstance(x, str) and re.fullmatch(r"[+-]?\d+", x.strip()):
-        return int(x)
-    if isinstance(x, str) and re.fullmatch(r"[+-]?(\d+\.\d*|\.\d+)", x.strip()):
-        return float(x)
-    return x
+#: One piece of JSON: a string, a number, a word or a mark.
+_PIECE = r'"(?:[^"\\]|\\.)*+"|[+-]?[0-9][0-9.eE+-]*|true|false|null|[{}\[\],:]'
+_LEAVES = "array<struct<path:string,value:string>>"
 
 
-def fits(actual, expected) -> bool:
-    """Whether a JSON value has what is expected: objects all expected keys, lists the same length, scalars equality, whether
-    numbers are written as text or not; an empty text only fits itself."""
-    if isinstance(expected, dict):
-        return isinstance(actual, dict) and all(fits(actual.get(k), v) for k, v in expected.items())
-    if isinstance(expected, list):
-        return isinstance(actual, list) and len(actual) == len(expected) and all(map(fits, actual, expected))
-    return actual == expected if expected == "" else _number(actual) == _number(expected)
+def leaves(text: Column) -> Column:
+    """A JSON text as array<struct<path, value>>: a row for each scalar, each object ("{") and each list ("[" and its length).
+
+    A path is the keys and places on the way, each after a slash (slashes and tildes of keys are written ~1 and ~0). Values begin
+    with their kind: "n" numbers, also those written as text, in one notation; "s" other strings; "b" true and false; "0" null.
+    """
+    start = F.struct(F.array().cast("array<string>").alias("at"), F.lit("").alias("kinds"), F.lit(False).alias("key"), F.lit("").alias("before"), F.array().cast(_LEAVES).alias("out"))
+    none = F.array().cast(_LEAVES)
+    joined = lambda at: F.concat_ws("", F.transform(at, lambda x: F.concat(F.lit("/"), x)))
+    cut = lambda xs: F.slice(xs, 1, F.greatest(F.size(xs) - 1, F.lit(0)))
+
+    def value(x: Column) -> Column:
+        string = F.get_json_object(F.concat(F.lit('{"x":'), x, F.lit("}")), "$.x")
+        number = F.when(F.trim(string).rlike(r"^[+-]?([0-9]+|[0-9]+\.[0-9]*|\.[0-9]+)$") | ~F.startswith(x, F.lit('"')), F.trim(string).try_cast("double"))
+        # whole numbers keep their digits, beyond those of doubles too
+        digits = F.when(F.trim(string).rlike("^[+-]?[0-9]+$"), F.regexp_replace(F.regexp_replace(F.trim(string), r"^(-?)\+?0*(?=[0-9])", "$1"), "^-0$", "0"))
+        whole = F.when((number == F.floor(number)) & (F.abs(number) < 1e15), number.cast("long").cast("string"))
+        plain = F.concat(F.lit("n"), F.coalesce(digits, whole, number.cast("string")))
+        return F.when(x == "null", "0").when(x.isin("true", "false"), F.concat(F.lit("b"), x)).otherwise(F.coalesce(plain, F.concat(F.lit("s"), string)))
+
+    def step(a: Column, x: Column) -> Column:
+        opens, closes, scalar = x.isin("{", "["), x.isin("}", "]"), ~x.isin("{", "[", "}", "]", ",", ":")
+        inside, last = F.right(a["kinds"], F.lit(1)), F.element_at(a["at"], -1)
+        named = scalar & a["key"]
+        key = F.replace(F.replace(F.get_json_object(F.concat(F.lit('{"x":'), x, F.lit("}")), "$.x"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+        length = F.when(a["before"] == "[", F.lit("0")).otherwise((last.cast("int") + 1).cast("string"))
+        at = (
+            F.when(opens, F.concat(a["at"], F.array(F.when(x == "[", F.lit("0")).otherwise(F.lit("")))))
+            .when(closes, cut(a["at"]))
+            .when((x == ",") & (inside == "["), F.concat(cut(a["at"]), F.array((last.cast("int") + 1).cast("string"))))
+            .when(named, F.concat(cut(a["at"]), F.array(key)))
+            .otherwise(a["at"])
+        )
+        leaf = lambda at, v: F.array(F.struct(joined(at).alias("path"), v.alias("value")))
+        more = F.when(x == "{", leaf(a["at"], F.lit("{"))).when(x == "]", leaf(cut(a["at"]), F.concat(F.lit("["), length))).when(scalar & ~a["key"], leaf(a["at"], value(x))).otherwise(none)
+        kinds = F.when(opens, F.concat(a["kinds"], x)).when(closes, F.substring(a["kinds"], F.lit(1), F.length(a["kinds"]) - 1)).otherwise(a["kinds"])
+        awaits = (x == "{") | ((x == ",") & (inside == "{"))
+        return F.struct(at.alias("at"), kinds.alias("kinds"), awaits.alias("key"), x.alias("before"), F.concat(a["out"], more).alias("out"))
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), start, step, lambda a: a["out"])
+
+
+def _args(text: Column) -> Column:
+    return leaves(F.when(is_object(text), text).otherwise(F.lit("{}")))
 
 
-@F.pandas_udf(T.BooleanType())
-def args_match(actual: pd.Series, expected: pd.Series) -> pd.Series:
-    """fits() of two columns of JSON objects, of any depth; null or broken ones count as empty."""
+def holds(actual: Column, expected: Column) -> Column:
+    """Whether the leaves of one JSON have all of another: of objects the keys expected, of lists the same length, and equal scalars,
+    numbers written as text being numbers. A null is also held where nothing stands."""
+    there = lambda e: F.exists(actual, lambda a: (a["path"] == e["path"]) & (a["value"] == e["value"]))
+    missing = lambda e: (e["value"] == "0") & ~F.exists(actual, lambda a: a["path"] == e["path"])
+    return F.forall(expected, lambda e: there(e) | missing(e))
 
-    def loaded(x):
-        try:
-            return json.loads(x) if x else {}
-        except ValueError:
-            return {}
 
-    return pd.Series([fits(loaded(a), loaded(e)) for a, e in zip(actual, expected, strict=True)])
+def args_match(actual: Column, expected: Column) -> Column:
+    """holds() of two columns of JSON objects, of any depth; null or broken ones count as empty."""
+    return tx.let(F.struct(_args(actual).alias("a"), _args(expected).alias("e")), lambda x: holds(x["a"], x["e"]))
 
 
 def tool_score(text: Column, tool: Column, args: Column, must: Column) -> Column:
     """struct(called, matched, valid, included, score) of a reply with tool calls beside the tool and arguments expected and the
-    terms it must include: .40, .35, .15 and .10 of the score."""
+    terms it must include: .40, .35, .15 and .10 of the score. Any call of the right tool may have the right arguments."""
     calls = tool_calls(text)
     raw = F.regexp_extract_all(text, F.lit(r"(?s)<tool_call>(.*?)</tool_call>"), F.lit(1))
     right = F.filter(calls, lambda c: c["name"] == tool)
-    matched = F.coalesce(args_match(F.get(F.transform(right, lambda c: c["args"]), F.lit(0)), args) & (F.size(right) > 0), F.lit(False))
+    matched = tx.let(_args(args), lambda e: F.exists(right, lambda c: holds(_args(c["args"]), e)))
     included = F.when(F.size(must) > 0, F.size(F.filter(must, lambda m: F.contains(text, m))) / F.size(must)).otherwise(0.0)
     one = lambda c: F.when(c, 1.0).otherwise(0.0)
     called, valid = F.size(right) > 0, F.size(calls) == F.size(raw)

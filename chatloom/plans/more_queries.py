@@ -177,7 +177,7 @@ def SMP10_glossary_expansion(spark, d):
     return g.select(F.explode(one).alias("x")).select("x.*").unionByName(pairs.join(x, "a").join(y, "b").select(F.explode(two).alias("x")).select("x.*"))
 
 
-@query("select event_id, v.variant, w.layout from events, (values ('exact'), ('short'), ('typed')) v(variant), (values ('sft'), ('dpo')) w(layout) where event_id % 5 = 1")
+@query("select event_id, v.variant, w.layout from events, (values ('exact'), ('short'), ('typed')) v(variant), (values ('sft'), ('dpo')) w(layout) where event_id % 6 = 1")
 def FBK3_argument_repair(spark, d):
     """Replies that call the right tool with wrong arguments, in three variants and two layouts."""
     rows = _replies(spark, d).withColumn("s", ps.tool_score(F.col("reply"), F.col("event_type"), F.col("args"), F.array(F.lit("done"))))
@@ -237,15 +237,16 @@ def EVL7_hit_quality(spark, d):
 
 def _replies(spark, d):
     """Replies to events, which expect a call of the event's type for its user: right as JSON, with another user, right as markup
-    with the number as text, a call of another tool, and none."""
-    m, wrong = F.col("event_id") % 5, (F.col("user_id") + 1).cast("string")
+    with the number as text, a call of another tool, none, and a call with another user before the right one."""
+    m, wrong = F.col("event_id") % 6, (F.col("user_id") + 1).cast("string")
     right = _called(m == 0, F.lit(False), m == 2)
     other = F.concat(F.lit("done <tool_call>"), F.to_json(F.struct(F.lit("lookup").alias("name"), F.struct("user_id").alias("args"))), F.lit("</tool_call>"))
-    reply = F.when(m == 1, _called(F.lit(False), m == 1, F.lit(False), wrong)).when(m == 3, other).otherwise(right)
+    both = F.concat(_called(F.lit(False), m == 5, F.lit(False), wrong), _called(m == 5, F.lit(False), F.lit(False)))
+    reply = F.when(m == 1, _called(F.lit(False), m == 1, F.lit(False), wrong)).when(m == 3, other).when(m == 5, both).otherwise(right)
     return table(spark, d, "events").select("event_id", "event_type", reply.alias("reply"), F.to_json(F.struct(F.col("user_id").alias("who"))).alias("args"))
 
 
-@query("""select event_id, event_id % 5 in (0, 1, 2) as called, event_id % 5 in (0, 2) as matched, true as valid, round(case when event_id % 5 in (0, 1, 2) then 0.4::double else 0 end + case when event_id % 5 in (0, 2) then 0.35::double else 0 end + 0.15::double + case when event_id % 5 = 4 then 0.0::double else 0.1::double end, 6) as score from events""")
+@query("""select event_id, event_id % 6 in (0, 1, 2, 5) as called, event_id % 6 in (0, 2, 5) as matched, true as valid, round(case when event_id % 6 in (0, 1, 2, 5) then 0.4::double else 0 end + case when event_id % 6 in (0, 2, 5) then 0.35::double else 0 end + 0.15::double + case when event_id % 6 = 4 then 0.0::double else 0.1::double end, 6) as score from events""")
 def EVL14_tool_score(spark, d):
     s = ps.tool_score(F.col("reply"), F.col("event_type"), F.col("args"), F.array(F.lit("done")))
     return _replies(spark, d).select("event_id", s.alias("s")).select("event_id", "s.called", "s.matched", "s.valid", r6(F.col("s.score")).alias("score"))

@@ -128,13 +128,31 @@ def test_source_affinity_and_family(spark):
     assert (round(got.a, 6), got.e, got.k, got.w) == (round(1 / 3, 6), 0.5, "12_alpha-notes", "abc")
 
 
-def test_spread_out_caps_defers_and_refills():
+def test_spread_out_caps_defers_and_refills(spark):
     hits = [("a1", "1", "same words here", 0.9), ("a1", "1", "same words here", 0.8), ("b1", "1", "others", 0.7), ("c1", "1", "third of a family", 0.6), ("d1", "1", "fourth of a family", 0.5), ("e2", "2", "alone", 0.1)]
+    short = [("a", "a", "xy", 1.0), ("a", "a", "qrst", 0.9), ("a", "a", "mnop", 0.8)]
+    of = lambda h: spark.createDataFrame([(h,)], "h array<struct<file:string,family:string,text:string,score:double>>")
+    places = lambda h, *p: of(h).select(rt.spread_out(F.col("h"), *p)).first()[0]
     # the second is too much like the first of its file; the fifth is one too many of its family
-    assert rt.spread_out(hits, 4, 2, 3) == [0, 2, 3, 5]
-    assert rt.spread_out(hits, 6, 2, 3) == [0, 2, 3, 5, 1, 4]
-    assert rt.spread_out(hits, 3, 1, 9) == [0, 2, 3] and rt.spread_out([], 3) == []
-    assert rt.spread_out([("a", "a", "xy", 1.0), ("a", "a", "qrst", 0.9), ("a", "a", "mnop", 0.8)], 2, 2, 5) == [0, 1]
+    assert places(hits, 4, 2, 3) == [0, 2, 3, 5]
+    assert places(hits, 6, 2, 3) == [0, 2, 3, 5, 1, 4]
+    assert places(hits, 3, 1, 9) == [0, 2, 3] and places([], 3) == []
+    assert places(short, 2, 2, 5) == [0, 1]
+
+
+def test_arguments_held_by_calls(spark):
+    cases = [
+        ('{"a": 1, "b": "x", "more": 0}', '{"a": "1", "b": "x"}', True), ('{"a": "2"}', '{"a": 1}', False), ('{"a": 2.0}', '{"a": " 2 "}', True), ('{"a": "02.50"}', '{"a": 2.5}', True),
+        ('{"l": [1, "2", {"k": null}]}', '{"l": ["1", 2, {"k": null}]}', True), ('{"l": [1, 2, 3]}', '{"l": [1, 2]}', False), ('{"l": []}', '{"l": {}}', False), ("{}", '{"a": null}', True),
+        ('{"a": ""}', '{"a": ""}', True), ('{"a": 0}', '{"a": ""}', False), ('{"o": {"p": {"q": "v/~"}}}', '{"o": {"p": {"q": "v/~"}}}', True), ('{"o": {"p": 1}}', '{"o": {"p": {}}}', False), ('{"a/b": 1}', '{"a": {"b": 1}}', False),
+        ("not json", "{}", True), (None, '{"a": 1}', False), ('{"a": true}', '{"a": "true"}', False), ('{"t": "say \\"{1,2]\\" é"}', '{"t": "say \\"{1,2]\\" \\u00e9"}', True), ('{"n": 12345678901234567890}', '{"n": 12345678901234567891}', False), ('{"n": 1e3}', '{"n": 1000}', True),
+    ]
+    df = spark.createDataFrame(cases, "a string, e string, want boolean").select("*", ps.args_match(F.col("a"), F.col("e")).alias("got"))
+    assert [r for r in df.collect() if r.got != r.want] == []
+    call = "<tool_call>{{\"name\": \"t\", \"arguments\": {{\"x\": {}}}}}</tool_call>".format
+    two = spark.createDataFrame([(call(1) + " then " + call(2), '{"x": 2}')], "t string, e string")
+    s = two.select(ps.tool_score(F.col("t"), F.lit("t"), F.col("e"), F.array(F.lit("then"))).alias("s")).first().s
+    assert s.matched and abs(s.score - 1.0) < 1e-9
 
 
 def ranking(spark, rows):
