@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered_within
 
 def keep_first(rows: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key."""
@@ -80,9 +81,9 @@ def variants(rows: DataFrame, text: str, forms: Sequence[tuple[str, str]]) -> Da
 def drawn_pairs(pool: DataFrame, bucket: str, text: str, order: Sequence[str], quota: int, attempts: int = 50) -> DataFrame:
     """(bucket, place, digest): pairs of different texts of a bucket, drawn by hashes of the attempt's number; distinct ones in order
     of attempt up to the quota, which attempts times quota draws must fill."""
-    n = F.row_number().over(Window.partitionBy(bucket).orderBy(*order)) - 1
-    pool = pool.select(F.col(bucket).alias("bucket"), F.col(text).alias("t"), n.alias("i"))
-    draws = pool.groupBy("bucket").agg(F.count("*").alias("size")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(quota * attempts - 1))))
+    rows, sizes = numbered_within(pool, bucket, order, "i")
+    pool = rows.select(F.col(bucket).alias("bucket"), F.col(text).alias("t"), "i")
+    draws = sizes.withColumnRenamed(bucket, "bucket").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(quota * attempts - 1))))
     pick = lambda slot: F.conv(F.substring(F.md5(F.concat_ws(":", "bucket", F.lit(slot), F.col("k").cast("string"))), 1, 8), 16, 10).cast("long") % F.col("size")
     draws = draws.select("bucket", "k", pick("a").alias("a"), pick("b").alias("b")).filter("a <> b")
     one, two = (pool.select("bucket", F.col("i").alias(x), F.col("t").alias(f"t{x}")) for x in "ab")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import dialogue as dl
 from chatloom.operators import sets
+from chatloom.operators.numbering import numbered_within
 
 from .common import table
 
@@ -272,8 +273,8 @@ k as (select lang, n, unnest(range(50)) as k from (select distinct lang, n from
 select k.lang, cast(k.k as int) as k, p.doc_id from k join p on p.lang = k.lang and p.i = cast(('0x' || md5(k.lang || ':' || k.k)[1:8]) as bigint) % k.n""")
 def FBK4_weak_class_boost(spark, d):
     pool = table(spark, d, "documents").filter("lang in ('es', 'fr')").select("doc_id", "lang")
-    pool = pool.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1)
-    wanted = pool.groupBy("lang").agg(F.count("*").alias("n")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(49))))
+    pool, sizes = numbered_within(pool, "lang", ["doc_id"], "i")
+    wanted = sizes.withColumnRenamed("size", "n").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(49))))
     draw = F.conv(F.substring(F.md5(F.concat("lang", F.lit(":"), F.col("k").cast("string"))), 1, 8), 16, 10).cast("long") % F.col("n")
     return wanted.withColumn("i", draw).join(pool, ["lang", "i"]).select("lang", "k", "doc_id")
 

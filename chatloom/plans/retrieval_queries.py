@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
+from chatloom.operators import projection as pj
 from chatloom.operators import retrieval as rt
+from chatloom.operators.numbering import numbered
+from chatloom.operators.storage import stored
 
 from .common import sql_sentences, table
 
@@ -84,8 +87,8 @@ def IDX4_word_tfidf(spark, d):
 def IDX5_dense_projection(spark, d):
     """Documents on the main directions of their words' weights, with the share of squares that these keep."""
     ix, _ = rt.tfidf(table(spark, d, "documents"), "doc_id", rt.with_pairs(rt.words(F.col("text"))), most_terms=_VOCABULARY)
-    v, kept = rt.reduced(ix)
-    return v.withColumn("explained", F.lit(kept))
+    fitted = pj.fit_projection(ix)
+    return pj.project(ix, fitted).withColumn("explained", F.lit(fitted.share))
 
 
 @query("""with u as (select 'text' as modality, 'd' || doc_id as unit_id, source as source_file, text from documents union all select 'page', 'p' || page_id, url, html from pages)
@@ -224,14 +227,19 @@ def RET9_diversity(spark, d):
     return rt.diversify(ranked, 8, 2, 3)
 
 
+def _sides(index, q, k: int):
+    """Lexical rankings, and those by projected weights, of queries q over an index, both (id, term, weight)."""
+    index = stored(index, "index")
+    fitted = pj.fit_projection(index)
+    # ids of queries and of the index are numbers of their own: the former are made negative for the vector side
+    vec = rt.dense(pj.project(q, fitted).withColumn("id", -1 - F.col("id")), pj.project(index, fitted), k).withColumn("query_id", -1 - F.col("query_id"))
+    return rt.lexical(q, index, k, 0.01), vec
+
+
 def _both_sides(spark, d, k: int):
-    """Lexical rankings, and those by projected weights, of the benchmark's items over documents."""
     docs, asked = table(spark, d, "documents"), table(spark, d, "benchmark")
     index, idf = rt.tfidf(docs, "doc_id", rt.words(F.col("text")))
-    q, _ = rt.tfidf(asked, "item_id", rt.words(F.col("text")), idf)
-    # ids of queries and documents are numbers of their own: the former are made negative for the vector side
-    vec = rt.dense(rt.projected(q).withColumn("id", -1 - F.col("id")), rt.projected(index), k).withColumn("query_id", -1 - F.col("query_id"))
-    return rt.lexical(q, index, k, 0.01), vec
+    return _sides(index, rt.tfidf(asked, "item_id", rt.words(F.col("text")), idf)[0], k)
 
 
 def _asked(spark, d):
@@ -347,19 +355,15 @@ def EVL3_evidence_coverage(spark, d):
 
 @query(None)
 def CUR4_index_retrieve(spark, d):
-    """Documents in chunks, an index of their character triples, hybrid retrieval, and its evaluation by item: metric, value.
-
-    Triples in more than a twentieth of the chunks are left out of the index: they tell chunks apart the least.
-    """
-    units = rt.chunks(table(spark, d, "documents"), "doc_id", F.col("text")).select((F.col("id") * 1_000_000 + F.col("chunk_index")).alias("id"), F.col("id").alias("doc_id"), "chunk")
-    index, idf = rt.tfidf(units, "id", rt.char_grams(F.lower("chunk"), 3), most_share=0.05)
+    """Documents in chunks, an index of their character triples, hybrid retrieval, and its evaluation by item: metric, value."""
+    units = rt.chunks(table(spark, d, "documents"), "doc_id", F.col("text")).select(F.col("id").alias("doc_id"), "chunk_index", "chunk")
+    units = numbered(units, ["doc_id", "chunk_index"], "id")
+    index, idf = rt.tfidf(units, "id", rt.char_grams(F.lower("chunk"), 3))
     asked = _asked(spark, d)
-    q, _ = rt.tfidf(asked.withColumnRenamed("query_id", "id"), "id", rt.char_grams(F.lower("q"), 3), idf)
-    lex = rt.lexical(q, index, rt.candidates(5), 0.01)
-    vec = rt.dense(rt.projected(q).withColumn("id", -1 - F.col("id")), rt.projected(index), rt.candidates(5)).withColumn("query_id", -1 - F.col("query_id"))
-    files = table(spark, d, "documents").select("doc_id", _file().alias("file"))
-    hits = rt.hybrid(asked, units.join(files, "doc_id").select("id", F.col("chunk").alias("text"), "file"), lex, vec, 5, source_weight=0.1)
-    found = hits.withColumn("doc_id", F.floor(F.col("id") / 1_000_000)).join(table(spark, d, "documents").select("doc_id", tx.squeeze(F.col("text")).alias("body")), "doc_id").join(asked, "query_id")
+    lex, vec = _sides(index, rt.tfidf(asked.withColumnRenamed("query_id", "id"), "id", rt.char_grams(F.lower("q"), 3), idf)[0], rt.candidates(5))
+    files = table(spark, d, "documents").select("doc_id", _file().alias("file"), tx.squeeze(F.col("text")).alias("body"))
+    hits = rt.hybrid(asked, units.join(files.drop("body"), "doc_id").select("id", F.col("chunk").alias("text"), "file"), lex, vec, 5, source_weight=0.1)
+    found = hits.select("query_id", "id", "place").join(units.select("id", "doc_id"), "id").join(files, "doc_id").join(asked, "query_id")
     first = found.filter(F.contains("body", tx.squeeze(F.col("q")))).groupBy("query_id").agg(F.min("place").alias("first"))
     every = asked.select("query_id").join(first, "query_id", "left")
     r = F.col("first")

@@ -8,9 +8,11 @@ from chatloom.operators import curation as cu
 from chatloom.operators import dialogue as dl
 from chatloom.operators import logs as lg
 from chatloom.operators import parsing as ps
+from chatloom.operators import projection as pj
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
 from chatloom.operators import sets
+from chatloom.operators.numbering import numbered, numbered_within
 from chatloom.operators.quantiles import quantiles
 from chatloom.sources import io
 from chatloom.streaming import streams
@@ -116,7 +118,8 @@ def test_hybrid_falls_back_to_words(spark):
     index, idf = rt.tfidf(texts, "id", rt.words(F.col("text")))
     q, _ = rt.tfidf(asked, "query_id", rt.words(F.col("q")), idf)
     lex = rt.lexical(q, index, rt.candidates(2))
-    vec = rt.dense(rt.projected(q.filter("id = 7")).withColumn("id", -F.col("id")), rt.projected(index), 3).withColumn("query_id", -F.col("query_id"))
+    fitted = pj.fit_projection(index)
+    vec = rt.dense(pj.project(q.filter("id = 7"), fitted).withColumn("id", -F.col("id")), pj.project(index, fitted), 3).withColumn("query_id", -F.col("query_id"))
     got = rt.hybrid(asked, texts, lex, vec, 2).orderBy("query_id", "place").collect()
     assert (got[0].query_id, got[0].id, got[0]["mode"]) == (7, 1, "hybrid")
     assert [(r.id, r["mode"]) for r in got if r.query_id == 8] == [(3, "tfidf_fallback")]
@@ -188,16 +191,43 @@ def test_modalities_leave_doubles_out(spark):
     assert len(rt.with_modality(asked, units, lex, vec, 2).collect()) == 2
 
 
-def test_reduced_equals_svd(spark):
+def test_projection_is_the_truncated_svd(spark):
     draw = np.random.default_rng(1)
-    x = draw.random((30, 12)) * (draw.random((30, 12)) < 0.5)
+    x = draw.random((60, 40)) * (draw.random((60, 40)) < 0.3) + np.outer(draw.random(60), draw.random(40)) * (draw.random((60, 40)) < 0.5)
     index = spark.createDataFrame([(int(i), f"t{j:02d}", float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "id long, term string, weight double").repartition(3)
-    v, kept = rt.reduced(index, dims=4, terms=12)
     u, s, _ = np.linalg.svd(x, full_matrices=False)
-    assert abs(kept - (s[:4] ** 2).sum() / (s**2).sum()) < 1e-9
-    want = (u[:, :4] * s[:4]) @ (u[:, :4] * s[:4]).T
-    rows = {r.id: np.array(r.v) * np.sqrt(r.energy) for r in v.collect()}
-    assert all(abs(rows[a] @ rows[b] - want[a, b]) < 1e-9 for a in rows for b in rows)
+    for dims in (4, 12):
+        fitted = pj.fit_projection(index, dims=dims)
+        best = (s[:dims] ** 2).sum() / (s**2).sum()
+        assert best * 0.99 < fitted.share <= best + 1e-9 and np.abs(fitted.basis.T @ fitted.basis - np.eye(dims)).max() < 1e-6
+        rows = pj.project(index, fitted).collect()
+        assert len(rows) == 60 and all(len(r.v) == dims and abs(sum(c * c for c in r.v) - 1) < 1e-9 for r in rows)
+        assert abs(sum(r.energy for r in rows) / (s**2).sum() - fitted.share) < 1e-9
+    # with a direction for every term but one, and rounds enough, products of rows are those of the svd
+    fitted = pj.fit_projection(index, dims=100)
+    k = fitted.basis.shape[1]
+    got = {r.id: np.array(r.v) * np.sqrt(r.energy) for r in pj.project(index, fitted).collect()}
+    want = (u[:, :k] * s[:k]) @ (u[:, :k] * s[:k]).T
+    assert k == 39 and all(abs(got[a] @ got[b] - want[a, b]) < 1e-9 for a in got for b in got)
+    # unknown terms, no rows, one row
+    other = spark.createDataFrame([(5, "unknown", 1.0), (6, "t00", 2.0)], "id long, term string, weight double")
+    assert [r.id for r in pj.project(other, fitted).collect()] == [6]
+    none = pj.fit_projection(index.filter("id < 0"))
+    assert none.share == 0.0 and pj.project(index, none).count() == 0
+    assert pj.fit_projection(index.filter("id = 1")).basis.shape[1] == 1
+
+
+def test_numbers_without_a_window(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 7 else None, (i * 37) % 101 if i % 11 else None, i) for i in range(300)], "g long, o long, x long").repartition(6)
+    plain = sorted(((r.o is not None, r.o or 0, r.x) for r in rows.collect()))
+    got = numbered(rows, ["o", "x"], "n").collect()
+    assert sorted(r.n for r in got) == list(range(300)) and [(r.o is not None, r.o or 0, r.x) for r in sorted(got, key=lambda r: r.n)] == plain
+    within, sizes = numbered_within(rows, "g", ["o", "x"], "n")
+    for g in (None, 0, 1, 2):
+        mine = sorted((r for r in within.collect() if r.g == g), key=lambda r: r.n)
+        assert [r.n for r in mine] == list(range(len(mine))) and [(r.o is not None, r.o or 0, r.x) for r in mine] == sorted((r.o is not None, r.o or 0, r.x) for r in mine)
+        assert [r["size"] for r in sizes.collect() if r.g == g] == [len(mine)]
+    assert numbered(rows.filter("x < 0"), ["o"], "n").count() == 0
 
 
 def test_fallback_ranks_texts_without_shared_words(spark):
