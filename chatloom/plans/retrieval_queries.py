@@ -149,7 +149,7 @@ def _second(spark, d):
     """A second ranking of the lexical hits, by coverage of the query's terms."""
     hits = _lexical(spark, d, 40)
     full = hits.join(table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("q")), "query_id").join(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", _file().alias("file"), "n_chars"), "id")
-    return full.withColumn("terms", F.array_distinct(rt.words(F.col("q"))))
+    return stored(full.withColumn("terms", F.array_distinct(rt.words(F.col("q")))), "hits")
 
 
 _FULL = f"""{_LEX}, fu as (select rk.*, b.text as q, dd.text, lower(regexp_extract(dd.text, '[A-Za-z]+')) || '_' || dd.source || '_notes.md' as file, dd.n_chars, list_filter(wq, lambda x, i: list_position(wq, x) = i) as terms from rk join (select item_id, text, {_WORDS} as wq from benchmark) b on b.item_id = query_id join documents dd on dd.doc_id = rk.id where rank <= 40),

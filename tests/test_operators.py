@@ -8,12 +8,14 @@ from chatloom.operators import curation as cu
 from chatloom.operators import dialogue as dl
 from chatloom.operators import logs as lg
 from chatloom.operators import parsing as ps
+from chatloom.operators import postings
 from chatloom.operators import projection as pj
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
 from chatloom.operators import sets
 from chatloom.operators.numbering import numbered, numbered_within
 from chatloom.operators.quantiles import quantiles
+from chatloom.operators.storage import stored
 from chatloom.sources import io
 from chatloom.streaming import streams
 
@@ -217,6 +219,21 @@ def test_projection_is_the_truncated_svd(spark):
     assert pj.fit_projection(index.filter("id = 1")).basis.shape[1] == 1
 
 
+def test_search_reads_what_it_must(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, t, float(w)) for i in range(400) for t, w in [("the", 0.05 + 0.01 * draw.random()), *((f"w{draw.integers(40)}", draw.random() ** 4) for _ in range(4))]]
+    index = stored(spark.createDataFrame(rows, "id long, term string, weight double").groupBy("id", "term").agg(F.max("weight").alias("weight")), "t")
+    asked = stored(spark.createDataFrame([(q, t, w) for q in range(6) for t, w in [("the", 0.1), (f"w{q}", 1.0), (f"w{q + 7}", 0.6), (f"w{q + 20}", 0.3)]] + [(9, "nowhere", 1.0), (8, "the", 1.0)], "query_id long, term string, qw double"), "t")
+    blocks = stored(postings.posting_blocks(index, size=8, part=60), "t")
+    assert blocks.filter("term = 'the'").agg(F.max("part")).first()[0] == 6 and blocks.agg(F.max("size")).first()[0] == 8
+    hits, report = postings.search(asked, blocks, index, 5)
+    plain = asked.join(index, "term").groupBy("query_id", "id").agg(F.sum(F.col("qw") * F.col("weight")).alias("score")).filter("score > 0")
+    best = lambda df: sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in rt.top(df, "query_id", "score", "id", 5).collect())
+    assert best(hits) == best(plain) and len(best(hits)) == 35
+    read = {r.query_id: (r.blocks, r.read) for r in report.collect()}
+    assert 9 not in read and all(r < b for q, (b, r) in read.items() if q < 6)
+
+
 def test_numbers_without_a_window(spark):
     rows = spark.createDataFrame([(i % 3 if i % 7 else None, (i * 37) % 101 if i % 11 else None, i) for i in range(300)], "g long, o long, x long").repartition(6)
     plain = sorted(((r.o is not None, r.o or 0, r.x) for r in rows.collect()))
