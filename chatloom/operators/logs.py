@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .gates import gated
+
 
 def seconds_of(ts: Column) -> Column:
     """Seconds since 1970 of a timestamp as it reads, whatever the session's time zone."""
@@ -40,53 +42,15 @@ def trailing_count(events: DataFrame, key: str, seconds: int) -> DataFrame:
 
 
 def admitted(events: DataFrame, key: str, seconds: int, limit: int) -> DataFrame:
-    """Events with `accepted`: at most `limit` accepted ones of a key in any trailing window; rejected ones don't count.
-
-    One key's events are decided in order of (ts, event_id) by one task, as every decision rests on those before it; Spark
-    sorts them, and they pass through in batches.
-    """
-    from collections import deque
-
-    import pyarrow as pa
-
-    dealt = events.select("event_id", F.col(key).alias("key"), seconds_of(F.col("ts")).alias("at")).repartition("key").sortWithinPartitions("key", "at", "event_id")
-
-    def run(batches):
-        last, taken = object(), deque()
-        for batch in batches:
-            out = []
-            for k, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if k != last:
-                    last, taken = k, deque()
-                while taken and taken[0] <= at - seconds:
-                    taken.popleft()
-                out.append(len(taken) < limit)
-                if out[-1]:
-                    taken.append(at)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], names=["event_id", "key", "accepted"])
-
-    return dealt.mapInArrow(run, f"event_id long, key {dict(events.dtypes)[key]}, accepted boolean").withColumnRenamed("key", key)
+    """Events (event_id, key) with `accepted`: at most `limit` accepted ones of a key in any trailing window; rejected ones don't
+    count. Decided in order of (ts, event_id), a key's slices side by side; see `gates`."""
+    return gated(events, "event_id", key, seconds_of(F.col("ts")), seconds, limit)
 
 
 def cooled(points: DataFrame, key: str, at: str, cooldown: float) -> DataFrame:
     """(key, at, action): action only if at least `cooldown` since the key's last action; in order of time."""
-    import pyarrow as pa
-
-    dealt = points.select(F.col(key).alias("key"), F.col(at).alias("at")).repartition("key").sortWithinPartitions("key", "at")
-
-    def run(batches):
-        last, acted = object(), None
-        for batch in batches:
-            out = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if k != last:
-                    last, acted = k, None
-                out.append(acted is None or t - acted >= cooldown)
-                if out[-1]:
-                    acted = t
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], names=["key", "at", "action"])
-
-    return dealt.mapInArrow(run, f"key {dict(points.dtypes)[key]}, at double, action boolean")
+    rows = points.select(F.col(key).alias("key"), F.struct(F.col(at).alias("at"), F.rand(3).alias("n")).alias("id"))
+    return gated(rows, "id", "key", F.col("id.at"), cooldown).select("key", F.col("id.at").alias("at"), F.col("accepted").alias("action"))
 
 
 def sustained(points: DataFrame, at: str, breach: Column, seconds: int, least: int) -> DataFrame:

@@ -1,11 +1,13 @@
 """Small cases with known answers."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
 from chatloom.operators import curation as cu
 from chatloom.operators import dialogue as dl
+from chatloom.operators import gates
 from chatloom.operators import logs as lg
 from chatloom.operators import parsing as ps
 from chatloom.operators import postings
@@ -219,6 +221,43 @@ def test_projection_is_the_truncated_svd(spark):
     assert pj.fit_projection(index.filter("id = 1")).basis.shape[1] == 1
 
 
+def plain_gate(rows, span, limit):
+    """Decisions of a greedy pass over (key, at, id)."""
+    out, taken = {}, {}
+    for k, at, i in sorted(rows, key=lambda r: (r[0] or 0, r[1], r[2])):
+        mine = taken.setdefault(k, [])
+        mine[:] = [t for t in mine if t > at - span]
+        out[k, i] = len(mine) < limit
+        if out[k, i]:
+            mine.append(at)
+    return out
+
+
+@pytest.mark.parametrize(("limit", "size"), [(1, 7), (1, 4096), (2, 40), (3, 4096)])
+def test_gates_are_the_greedy_pass(spark, limit, size):
+    import random
+
+    draw, rows = random.Random(limit * size), []
+    for i in range(600):  # a third and more of one key, in bursts
+        k = draw.choice([1, 1, 1, 2, 3, None])
+        rows.append((k, draw.choice([draw.randint(0, 4000), draw.randint(900, 1100)]) + draw.choice([0.0, 0.25, 0.5]), i))
+    df = spark.createDataFrame([*rows, (1, None, 999)], "user_id long, at double, event_id long").repartition(5)
+    got = {(r.user_id, r.event_id): r.accepted for r in gates.gated(df, "event_id", "user_id", F.col("at"), 30.0, limit, size).collect()}
+    assert got.pop((1, 999)) is False and got == plain_gate(rows, 30.0, limit)
+    assert gates.gated(df.filter("event_id < 0"), "event_id", "user_id", F.col("at"), 30.0, limit, size).count() == 0
+
+
+def test_states_that_meet_end_a_second_run():
+    import random
+
+    draw = random.Random(2)
+    for _ in range(500):
+        at = sorted(draw.randint(50, 400) for _ in range(draw.randint(1, 60)))
+        limit, a, b = draw.randint(1, 4), sorted(draw.sample(range(50), 2)), sorted(draw.sample(range(50), 1))
+        a = a[-limit:]
+        assert gates.limited(at, 40, limit, a, gates.limited(at, 40, limit, b), b) == gates.limited(at, 40, limit, a)
+
+
 def test_search_reads_what_it_must(spark):
     draw = np.random.default_rng(8)
     rows = [(i, t, float(w)) for i in range(400) for t, w in [("the", 0.05 + 0.01 * draw.random()), *((f"w{draw.integers(40)}", draw.random() ** 4) for _ in range(4))]]
