@@ -4,25 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
 
 
+#: Hashes of n-grams that are sorted at once; a longer text takes several passes, each over the grams of some hashes.
+HELD = 4_000_000
+
+
+def _hashes(points: np.ndarray, n: int) -> np.ndarray:
+    """64-bit rolling hashes of all runs of n code points, each point being mixed first."""
+    x = points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    m = len(x) - n + 1
+    out = np.zeros(m, np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x5851F42D4C957F2D) + x[i : i + m]
+    return out ^ (out >> np.uint64(29))
+
+
+def most_of_one(text: str, n: int, held: int = HELD) -> int | None:
+    """How often the commonest run of n characters occurs in a text; null if it is shorter."""
+    if len(text) < n:
+        return None
+    passes, most = -(-len(text) // held), 0
+    for k in range(passes):
+        parts = []
+        for at in range(0, len(text) - n + 1, held):
+            h = _hashes(np.frombuffer(text[at : at + held + n - 1].encode("utf-32-le", "surrogatepass"), "<u4"), n)
+            parts.append(h[h % np.uint64(passes) == k] if passes > 1 else h)
+        found = np.sort(np.concatenate(parts))
+        ends = np.flatnonzero(np.append(found[1:] != found[:-1], True)) if len(found) else np.zeros(0, int)
+        most = max(most, int(np.diff(ends, prepend=-1).max(initial=0)))
+    return most
+
+
 def commonest(squeezed: Column, n: int) -> Column:
-    """How often the commonest of a text's character n-grams occurs, each told by a hash; null for texts shorter than n."""
-    # a look-ahead matches at every place, so that one pass over the text finds all grams
-    found = F.regexp_extract_all(squeezed, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
-    return tx.most_often(F.transform(found, lambda x: F.xxhash64(x)))
+    """How often the commonest of a text's character n-grams, told by 64-bit hashes, occurs; null for texts shorter than n. Grams of
+    a text are hashed and sorted in arrays of bounded size; texts pass to Python in batches."""
+
+    @F.pandas_udf("long")
+    def most(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else most_of_one(t, n) for t in texts], dtype="Int64")
+
+    return most(squeezed)
 
 
 def heavy(text: Column, n: int = 12, least: int = 80, times: int = 6, share: float = 0.35) -> Column:
     """Whether the commonest n-gram of a text without white space occurs `times` or more and covers the share of it; texts under
-    `least` characters don't count."""
+    `least` characters don't count. An expression, for texts that were cut to some length; longer ones are `heavy_repetition`'s."""
 
     def test(s: Column) -> Column:
-        most = commonest(s, n)
+        # a look-ahead matches at every place, so that one pass over the text finds all grams
+        grams = F.regexp_extract_all(s, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
+        most = tx.most_often(F.transform(grams, lambda x: F.xxhash64(x)))
         return (F.length(s) >= max(least, n * times)) & tx.let(most, lambda m: (m >= times) & (m * n >= share * F.length(s)))
 
     return F.coalesce(tx.let(tx.squeeze(F.coalesce(text, F.lit(""))), test), F.lit(False))

@@ -7,10 +7,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from chatloom.operators.storage import stored
 from chatloom.sources.io import page_units
 from chatloom.streaming import streams
 
-from .common import sql_normalize, table
+from .common import chain_sql, sql_normalize, table
 
 QUERIES, SQL = {}, {}
 
@@ -25,15 +26,33 @@ def query(sql: str | None):
     return add
 
 
+#: Files that a table is fed to a stream in, one a batch.
+_FILES = 6
+
+
+def _fed(spark, rows):
+    """rows, which have `ts`, as a stream of files that come one a batch, each row up to ten minutes after those of its time."""
+    rows = rows.withColumn("_arrival", F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64(*rows.columns), F.lit(600)) * 999_000)
+    cuts = rows.agg(F.percentile_approx("_arrival", [i / _FILES for i in range(1, _FILES)], 1000)).first()[0] or []
+    kept = stored(rows.withColumn("_file", sum((F.when(F.col("_arrival") > c, 1).otherwise(0) for c in cuts), F.lit(0))), "arrivals")
+    folder = f"{_folder(spark)}/feed-{uuid.uuid4().hex}"
+    for i in range(_FILES):
+        # a file after another, as a stream takes them by age
+        kept.filter(F.col("_file") == i).drop("_arrival", "_file").coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.drop("_arrival").schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def _events(spark, d):
-    """The events table as a stream of files."""
-    still = table(spark, d, "events")
-    return spark.readStream.schema(still.schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    """The events table as a stream."""
+    return _fed(spark, table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def _folder(spark):
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
 
 
 def _drained(spark, stream):
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    run = f"{folder}/stream-{uuid.uuid4().hex}"
+    run = f"{_folder(spark)}/stream-{uuid.uuid4().hex}"
     return streams.drained(stream, f"{run}/out", f"{run}/state")
 
 
@@ -52,28 +71,43 @@ def STR2_sliding_rate(spark, d):
     return out.select(F.unix_timestamp("start").alias("start"), "user_id", "n", "over")
 
 
-@query(None)
+#: A slot of ten minutes comes out once the watermark, ten minutes behind the newest row, has passed its end.
+_OUT = "floor(at / 600) * 600 + 600 <= (select max(at) from e) - 600"
+_ISLANDS = """e as (select user_id as key, event_id as id, epoch(ts) as at, event_type = 'error' as bad from events),
+g as (select *, count(*) filter (where not bad) over (partition by key order by at, id) as g from e), b as (select key, id, at, min(at) over (partition by key, g) as since from g where bad),
+h as (select key, id, at, since from b where at - since >= 3600)"""
+
+
+@query(f"with {_ISLANDS} select key, at, since from h where {_OUT}")
 def STR3_breach_since(spark, d):
-    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", F.col("event_type") == "error", 3600.0))
+    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0))
 
 
-@query(None)
+@query(f"with recursive {_ISLANDS}, {chain_sql('h', 5 * 86400.0)} select h.key, h.at, h.since from h join c on h.key = c.key and h.id = c.x.id where {_OUT}")
 def STR4_cooled_alerts(spark, d):
-    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", F.col("event_type") == "error", 3600.0, 5 * 86400.0))
+    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0, 5 * 86400.0))
+
+
+@query(f"with recursive e as (select user_id as key, event_id as id, epoch(ts) as at from events), {chain_sql('e', 6 * 3600.0)} select e.id as event_id, e.key as user_id, c.key is not null as accepted from e left join c on c.key = e.key and c.x.id = e.id where {_OUT}")
+def STR2_admission(spark, d):
+    """One event of a user in any six hours, decided as the stream goes."""
+    out = _drained(spark, streams.admitted(_events(spark, d), "user_id", "event_id", 6 * 3600.0, 1))
+    return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), "accepted")
 
 
-@query("select count(distinct md5(concat(user_id, ':', event_type))) as kept from events")
+@query(f"with recursive e as (select md5(concat(user_id, ':', event_type)) as key, event_id as id, epoch(ts) as at from events), {chain_sql('e', 7 * 86400.0)} select count(*) as kept, count(distinct key) as keys from (select key, x.at as at from c) where {_OUT}")
 def STR5_first_seen(spark, d):
+    """Kinds of events of a user that were not seen in the seven days before."""
     keyed = _events(spark, d).withColumn("key", F.md5(F.concat_ws(":", F.col("user_id").cast("string"), "event_type")))
-    return _drained(spark, streams.first_seen(keyed, "key", "3650 days").select("key")).agg(F.count("*").alias("kept"))
+    return _drained(spark, streams.first_seen(keyed, "key", "event_id", 7 * 86400.0).select("key")).agg(F.count("*").alias("kept"), F.count_distinct("key").alias("keys"))
 
 
-@query(f"select distinct md5(role || ':' || lower({sql_normalize('text')})) as key, role, length({sql_normalize('text')}) as size from conversations where role in ('user', 'assistant') and {sql_normalize('text')} <> ''")
+@query(f"""with recursive e as (select md5(role || ':' || lower({sql_normalize('text')})) as key, conv_id * 1000 + turn as id, role, length({sql_normalize('text')}) as size, 86400.0::double + conv_id * 60 + turn as at from conversations where role in ('user', 'assistant') and {sql_normalize('text')} <> ''),
+{chain_sql('e', 7200.0)} select e.key, e.role, e.size from e join c on c.key = e.key and c.x.id = e.id where floor(e.at / 600) * 600 + 600 <= (select max(at) from e) - 600""")
 def STR5_cleaned_turns(spark, d):
-    """Turns as a stream, cleaned and without repeats; a turn's time is made of its place."""
-    still = table(spark, d, "conversations")
-    turns = spark.readStream.schema(still.schema).parquet(f"{d}/conversations.parquet*").withColumn("ts", F.timestamp_seconds(F.lit(86400) + F.col("conv_id") * 60 + F.col("turn")))
-    return _drained(spark, streams.cleaned(turns.select("ts", "role", "text"), "36500 days").select("key", "role", F.length("text").alias("size")))
+    """Turns as a stream, cleaned, each text of a role once in two hours; a turn's time is made of its place."""
+    turns = table(spark, d, "conversations").select(F.timestamp_seconds(F.lit(86400) + F.col("conv_id") * 60 + F.col("turn")).alias("ts"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+    return _drained(spark, streams.cleaned(_fed(spark, turns), 7200.0).select("key", "role", F.length("text").alias("size")))
 
 
 @query(None)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from chatloom.functions.text import normalize
 
@@ -20,44 +23,125 @@ def sliding_rate(events: DataFrame, key: str, limit: int, size: str = "60 second
     return counted.select(F.col("window.start").alias("start"), key, "n", (F.col("n") > limit).alias("over"))
 
 
-def first_seen(rows: DataFrame, key: str, late: str = "10 minutes") -> DataFrame:
-    """Rows whose key was not seen within the watermark."""
-    return rows.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+class _InOrder(StatefulProcessor):
+    """Points of a key in order of event time, whatever order they arrive in, each once the watermark has passed it.
+
+    Points wait in slots of event time, a map from a slot to its points; a timer at the end of a slot takes slots out, sorted, and
+    gives them to `decide` with what is remembered of the key. A slot is all that is read at once. What is remembered
+    is dropped when event time passes `expires`.
+    """
+
+    def __init__(self, decide, expires, columns: list[str], slot: float) -> None:
+        self.decide, self.expires, self.columns, self.slot = decide, expires, columns, round(slot * 1000)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "slot long", "points binary")
+        self.memo = handle.getValueState("memo", "x array<double>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            slots = (pdf["at"] * 1000 // self.slot).astype("int64")
+            for slot, part in pdf.groupby(slots):
+                at = (int(slot),)
+                points = pickle.loads(self.waiting.getValue(at)[0]) if self.waiting.containsKey(at) else []
+                points += list(zip(part["at"].tolist(), part["id"].tolist(), part["flag"].tolist(), part["payload"].tolist(), strict=True))
+                self.waiting.updateValue(at, (pickle.dumps(points),))
+                self.handle.registerTimer((int(slot) + 1) * self.slot)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+
+        # timers that the watermark passed at once come in no order, so the first takes all slots that are due
+        end = timerValues.getCurrentWatermarkInMs()
+        due = sorted(slot for (slot,) in self.waiting.keys() if (slot + 1) * self.slot <= end)
+        memo = list(self.memo.get()[0]) if self.memo.exists() else []
+        for slot in due:
+            points = sorted(pickle.loads(self.waiting.getValue((slot,))[0]), key=lambda p: p[:2])
+            self.waiting.removeKey((slot,))
+            out, memo = self.decide(points, memo)
+            if out:
+                yield pd.DataFrame([(key[0], *r) for r in out], columns=self.columns)
+        if due and memo:
+            self.memo.update((memo,))
+        until = self.expires(memo) if memo else 0.0
+        if until is None:
+            return
+        if until * 1000 <= end:
+            self.memo.clear()
+        else:
+            self.handle.registerTimer(int(until * 1000) + 1)
+
+    def close(self) -> None:
+        pass
+
+
+def _in_order(rows: DataFrame, late: str, slot: float, decide, expires, shape: str) -> DataFrame:
+    """rows (ts, key, id, flag, payload) through _InOrder; shape begins with the key."""
+    columns = [c.split()[0] for c in shape.split(", ")]
+    # the only store that has timers and maps; a query keeps the one it was started with
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    keyed = rows.withWatermark("ts", late).select("ts", "key", "id", "flag", "payload", F.col("ts").cast("timestamp").cast("double").alias("at"))
+    return keyed.groupBy("key").transformWithStateInPandas(_InOrder(decide, expires, columns, slot), shape, "Append", "EventTime")
+
+
+def admitted(events: DataFrame, key: str, id_col: str, seconds: float, limit: int, payload: Column | None = None, late: str = "10 minutes", slot: float = 600.0) -> DataFrame:
+    """(key, id, at, accepted, payload) of every event, once the watermark has passed its slot: in order of time, ties by id, an event
+    is accepted if fewer than `limit` of its key were in the `seconds` before it; rejected ones don't count.
+
+    The state of a key is its waiting points, by slots, and at most `limit` times, which go when they no longer count. Rows later
+    than `late` are dropped, as the watermark has it.
+    """
+
+    def decide(points, taken):
+        out = []
+        for at, i, _, more in points:
+            taken = [t for t in taken if t > at - seconds]
+            out.append((i, at, len(taken) < limit, more))
+            if out[-1][2]:
+                taken = [*taken, at]
+        return out, taken
+
+    kinds = dict(events.dtypes)
+    rows = events.select("ts", F.col(key).alias("key"), F.col(id_col).alias("id"), F.lit(False).alias("flag"), (F.lit(None) if payload is None else payload).cast("string").alias("payload"))
+    return _in_order(rows, late, slot, decide, lambda taken: max(taken) + seconds, f"key {kinds[key]}, id {kinds[id_col]}, at double, accepted boolean, payload string")
+
 
+def first_seen(rows: DataFrame, key: str, id_col: str, horizon: float, payload: Column | None = None, late: str = "10 minutes", slot: float = 600.0) -> DataFrame:
+    """(key, id, at, payload) of rows whose key was not kept within `horizon` seconds of event time before them; exact for rows that
+    are not late, and what is remembered of a key goes when the horizon has passed."""
+    return admitted(rows, key, id_col, horizon, 1, payload, late, slot).filter("accepted").drop("accepted")
 
-def cleaned(turns: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Turns (ts, role, text) of users and assistants, normalised, empty ones left out, each role and text once within the
-    watermark: (ts, role, text, key)."""
+
+def cleaned(turns: DataFrame, horizon: float, late: str = "10 minutes", slot: float = 600.0) -> DataFrame:
+    """Turns (ts, id, role, text) of users and assistants, normalised, empty ones left out, each role and text once within the
+    horizon: (key, id, at, role, text)."""
     rows = turns.filter(F.col("role").isin("user", "assistant")).withColumn("text", normalize(F.coalesce("text", F.lit("")))).filter("text <> ''")
-    return first_seen(rows.withColumn("key", F.md5(F.concat_ws(":", "role", F.lower("text")))), "key", late)
+    keyed = rows.withColumn("key", F.md5(F.concat_ws(":", "role", F.lower("text"))))
+    kept = first_seen(keyed, "key", "id", horizon, F.to_json(F.struct("role", "text")), late, slot)
+    return kept.select("key", "id", "at", F.get_json_object("payload", "$.role").alias("role"), F.get_json_object("payload", "$.text").alias("text"))
 
 
-def breach_alerts(points: DataFrame, key: str, breach: Column, hold: float, cooldown: float = 0.0) -> DataFrame:
+def breach_alerts(points: DataFrame, key: str, id_col: str, breach: Column, hold: float, cooldown: float = 0.0, late: str = "10 minutes", slot: float = 600.0) -> DataFrame:
     """(key, at, since): points at which a key has been in breach for `hold` seconds, at least `cooldown` after its last alert.
 
-    The state of a key is when the breach began and when it last alerted; a healthy point clears the former. Of a micro-batch a
-    key's points are held as nine bytes each; maxFilesPerTrigger of the source bounds how many these are.
+    The state of a key is its waiting points, by slots, and when its breach began and when it last alerted; a healthy point clears
+    the former, and without a breach the latter goes when the cooldown is over.
     """
-    import numpy as np
-    import pandas as pd
-
-    rows = points.select(F.col(key).alias("key"), F.col("ts").cast("timestamp").cast("double").alias("at"), breach.alias("bad"))
-    kind = dict(points.dtypes)[key]
-
-    def step(name, batches, state):
-        since, last = state.get if state.exists else (-1.0, -1.0)
-        parts = [(b["at"].to_numpy(float), b["bad"].to_numpy(bool)) for b in batches]
-        at_all, bad_all = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-        order, out = np.argsort(at_all, kind="stable"), []
-        for at, bad in zip(at_all[order].tolist(), bad_all[order].tolist(), strict=True):
+
+    def decide(waiting, memo):
+        since, last = memo or (-1.0, -1.0)
+        out = []
+        for at, _, bad, _ in waiting:
             since = (at if since < 0 else since) if bad else -1.0
             if bad and at - since >= hold and (last < 0 or at - last >= cooldown):
-                out.append((name[0], at, since))
+                out.append((at, since))
                 last = at
-        state.update((since, last))
-        yield pd.DataFrame(out, columns=["key", "at", "since"])
+        return out, [since, last] if since >= 0 or last >= 0 else []
 
-    return rows.groupBy("key").applyInPandasWithState(step, f"key {kind}, at double, since double", "since double, last double", "append", "NoTimeout")
+    rows = points.select("ts", F.col(key).alias("key"), F.col(id_col).alias("id"), breach.alias("flag"), F.lit(None).cast("string").alias("payload"))
+    return _in_order(rows, late, slot, decide, lambda memo: None if memo[0] >= 0 else memo[1] + cooldown, f"key {dict(points.dtypes)[key]}, at double, since double")
 
 
 def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

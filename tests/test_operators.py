@@ -12,6 +12,7 @@ from chatloom.operators import logs as lg
 from chatloom.operators import parsing as ps
 from chatloom.operators import postings
 from chatloom.operators import projection as pj
+from chatloom.operators import quality
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
 from chatloom.operators import sets
@@ -221,6 +222,18 @@ def test_projection_is_the_truncated_svd(spark):
     assert pj.fit_projection(index.filter("id = 1")).basis.shape[1] == 1
 
 
+def test_commonest_run_of_characters():
+    import random
+    from collections import Counter
+
+    draw = random.Random(3)
+    for _ in range(200):
+        text, n = "".join(draw.choice("abé😀") for _ in range(draw.randint(0, 90))), draw.randint(1, 9)
+        want = max(Counter(text[i : i + n] for i in range(len(text) - n + 1)).values(), default=None)
+        assert quality.most_of_one(text, n) == quality.most_of_one(text, n, held=17) == want
+    assert quality.most_of_one("ab" * 3_000_000, 12) == 3_000_000 - 5
+
+
 def plain_gate(rows, span, limit):
     """Decisions of a greedy pass over (key, at, id)."""
     out, taken = {}, {}
@@ -373,13 +386,54 @@ def test_greedy_gates_in_time(spark):
     assert [r.action for r in lg.cooled(points, "k", "at", 30.0).orderBy("at").collect()] == [True, False, True, False, True]
 
 
+def fed(spark, rows, shape, folder, files):
+    """rows written as files one after another, and a stream that takes one a batch."""
+    n = -(-len(rows) // files)
+    for i in range(files):  # s counts from a day, as rows of the first instant of all are late to begin with
+        spark.createDataFrame(rows[i * n : (i + 1) * n], shape).withColumn("ts", F.timestamp_seconds(F.col("s") + 86400)).coalesce(1).write.mode("append").parquet(folder)
+    return lambda: spark.readStream.schema(f"{shape}, ts timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def test_stream_of_breaches(spark, tmp_path):
-    rows = [("k", t, bad) for t, bad in ((0, 1), (50, 1), (100, 1), (150, 0), (200, 1), (290, 1), (400, 1))]
-    spark.createDataFrame(rows, "k string, s long, bad int").withColumn("ts", F.timestamp_seconds("s")).repartition(3).write.parquet(str(tmp_path / "in"))
-    read = lambda: spark.readStream.schema("k string, s long, bad int, ts timestamp").parquet(str(tmp_path / "in"))
+    rows = [("k", float(t), bad) for t, bad in ((0, 1), (50, 1), (100, 1), (150, 0), (200, 1), (290, 1), (400, 1))]
+    order = [3, 0, 1, 2, 5, 4, 6]  # within the watermark, in any order
+    stream = fed(spark, [(*rows[i], i) for i in order] + [("z", 9000.0, 0, 9)], "k string, s double, bad int, i int", str(tmp_path / "in"), 4)
     for n, (cooldown, want) in enumerate(((0.0, [(100, 0), (290, 200), (400, 200)]), (150.0, [(100, 0), (290, 200)]))):
-        out = streams.drained(streams.breach_alerts(read(), "k", F.col("bad") == 1, 90.0, cooldown), str(tmp_path / f"o{n}"), str(tmp_path / f"c{n}"))
-        assert sorted((int(r["at"]), int(r.since)) for r in out.collect()) == want
+        out = streams.drained(streams.breach_alerts(stream(), "k", "i", F.col("bad") == 1, 90.0, cooldown, "500 seconds", 60.0), str(tmp_path / f"o{n}"), str(tmp_path / f"c{n}"))
+        assert sorted((int(r["at"]) - 86400, int(r.since) - 86400) for r in out.collect()) == want
+
+
+def test_stream_of_admissions_over_many_batches_and_a_restart(spark, tmp_path):
+    import random
+
+    draw, rows = random.Random(6), []
+    for i in range(240):
+        rows.append((draw.choice([1, 1, 2, None]), draw.randint(0, 4000) + draw.choice([0.0, 0.5]), i))
+    rows.sort(key=lambda r: r[1] + draw.random() * 99)
+    shape, folder, late = "k long, s double, i long", str(tmp_path / "in"), (1, 5.0, 998)
+    stream = fed(spark, rows[:120], shape, folder, 10)
+    made = lambda: streams.admitted(stream(), "k", "i", 60.0, 2, late="100 seconds", slot=50.0)
+    place = str(tmp_path / "out"), str(tmp_path / "state")
+    before = streams.drained(made(), *place).count()
+    # the rest comes after a restart from the checkpoint, with a row that is far too late; a last row moves the watermark on
+    fed(spark, [*rows[120:], late, (7, 9000.0, 999)], shape, folder, 10)
+    out = streams.drained(made(), *place).collect()
+    got = {(r.key, r.id): r.accepted for r in out if r.key != 7}
+    assert 0 < before < len(out) == len(got) and (1, 998) not in got and got == plain_gate([(k, t, i) for k, t, i in rows], 60.0, 2)
+
+
+def test_first_seen_forgets(spark, tmp_path):
+    rows = [(f"k{i % 7}", float(i * 40), i) for i in range(100)] + [("end", 90_000.0, 500), ("end", 90_001.0, 501), ("end", 190_000.0, 502)]
+    stream = fed(spark, rows, "k string, s double, i long", str(tmp_path / "in"), 5)
+    seen = streams.first_seen(stream(), "k", "i", 900.0, late="60 seconds", slot=100.0)
+    run = seen.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    got = sorted((r.key, r.id) for r in spark.read.parquet(str(tmp_path / "o")).collect())
+    # a key comes every 280 seconds, and so is kept every fourth time
+    want = plain_gate([(int(k[1:]), t, i) for k, t, i in rows if k != "end"], 900.0, 1)
+    assert got == sorted([(f"k{k}", i) for (k, i), ok in want.items() if ok] + [("end", 500)])
+    sizes = [op["numRowsTotal"] for p in run.recentProgress for op in p["stateOperators"]]
+    assert max(sizes) > 20 and sizes[-1] < max(sizes) / 2
 
 
 def test_page_units(spark):
