@@ -68,5 +68,5 @@ def sql_normalize(x: str) -> str:
 
 
 def chain_sql(rows: str, span: float) -> str:
-    """CTE c (key, x): of rows (key, id, at) those let through one at a time, x being (at, id)."""
-    return f"c(key, x) as (select key, min({{'at': at, 'id': id}}) from {rows} group by key union all select c.key, min({{'at': o.at, 'id': o.id}}) from c join {rows} o on o.key is not distinct from c.key and o.at >= c.x.at + {span} group by c.key)"
+    """CTE c (key, x): of rows (key, id, tm) those let through one at a time, x being (tm, id)."""
+    return f"c(key, x) as (select key, min({{'tm': tm, 'id': id}}) from {rows} group by key union all select c.key, min({{'tm': o.tm, 'id': o.id}}) from c join {rows} o on o.key is not distinct from c.key and o.tm >= c.x.tm + {span} group by c.key)"

@@ -219,7 +219,7 @@ def LOG9_trailing_count(spark, d):
     return lg.trailing_count(table(spark, d, "events"), "user_id", 3600).select("event_id", "user_id", "recent")
 
 
-_AT = "select user_id as key, event_id as id, epoch(ts) as at, event_type from events"
+_AT = "select user_id as key, event_id as id, epoch(ts) as tm, event_type from events"
 
 
 @query(f"with recursive e as ({_AT}), {chain_sql('e', 6 * 3600.0)} select e.id as event_id, e.key as user_id, c.key is not null as accepted from e left join c on c.key = e.key and c.x.id = e.id")
@@ -249,7 +249,7 @@ def LOG11_sustained(spark, d):
     return lg.sustained(points, "slot", F.col("ok_rate") < 0.82, 64800, 3).select("slot", "sustained")
 
 
-@query(f"with recursive e as (select * from ({_AT}) where event_type = 'error'), {chain_sql('e', 2 * 86400.0)} select e.key, e.at, c.key is not null as action from e left join c on c.key = e.key and c.x.id = e.id")
+@query(f"with recursive e as (select * from ({_AT}) where event_type = 'error'), {chain_sql('e', 2 * 86400.0)} select e.key, e.tm as \"at\", c.key is not null as action from e left join c on c.key = e.key and c.x.id = e.id")
 def LOG12_cooldown(spark, d):
     errors = table(spark, d, "events").filter(~_ok()).select("user_id", lg.seconds_of(F.col("ts")).alias("at"))
     return lg.cooled(errors, "user_id", "at", 2 * 86400.0)

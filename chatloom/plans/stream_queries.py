@@ -72,38 +72,38 @@ def STR2_sliding_rate(spark, d):
 
 
 #: A slot of ten minutes comes out once the watermark, ten minutes behind the newest row, has passed its end.
-_OUT = "floor(at / 600) * 600 + 600 <= (select max(at) from e) - 600"
-_ISLANDS = """e as (select user_id as key, event_id as id, epoch(ts) as at, event_type = 'error' as bad from events),
-g as (select *, count(*) filter (where not bad) over (partition by key order by at, id) as g from e), b as (select key, id, at, min(at) over (partition by key, g) as since from g where bad),
-h as (select key, id, at, since from b where at - since >= 3600)"""
+_OUT = "floor(tm / 600) * 600 + 600 <= (select max(tm) from e) - 600"
+_ISLANDS = """e as (select user_id as key, event_id as id, epoch(ts) as tm, event_type = 'error' as bad from events),
+g as (select *, count(*) filter (where not bad) over (partition by key order by tm, id) as g from e), b as (select key, id, tm, min(tm) over (partition by key, g) as since from g where bad),
+h as (select key, id, tm, since from b where tm - since >= 3600)"""
 
 
-@query(f"with {_ISLANDS} select key, at, since from h where {_OUT}")
+@query(f"with {_ISLANDS} select key, tm as \"at\", since from h where {_OUT}")
 def STR3_breach_since(spark, d):
     return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0))
 
 
-@query(f"with recursive {_ISLANDS}, {chain_sql('h', 5 * 86400.0)} select h.key, h.at, h.since from h join c on h.key = c.key and h.id = c.x.id where {_OUT}")
+@query(f"with recursive {_ISLANDS}, {chain_sql('h', 5 * 86400.0)} select h.key, h.tm as \"at\", h.since from h join c on h.key = c.key and h.id = c.x.id where {_OUT}")
 def STR4_cooled_alerts(spark, d):
     return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0, 5 * 86400.0))
 
 
-@query(f"with recursive e as (select user_id as key, event_id as id, epoch(ts) as at from events), {chain_sql('e', 6 * 3600.0)} select e.id as event_id, e.key as user_id, c.key is not null as accepted from e left join c on c.key = e.key and c.x.id = e.id where {_OUT}")
+@query(f"with recursive e as (select user_id as key, event_id as id, epoch(ts) as tm from events), {chain_sql('e', 6 * 3600.0)} select e.id as event_id, e.key as user_id, c.key is not null as accepted from e left join c on c.key = e.key and c.x.id = e.id where {_OUT}")
 def STR2_admission(spark, d):
     """One event of a user in any six hours, decided as the stream goes."""
     out = _drained(spark, streams.admitted(_events(spark, d), "user_id", "event_id", 6 * 3600.0, 1))
     return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), "accepted")
 
 
-@query(f"with recursive e as (select md5(concat(user_id, ':', event_type)) as key, event_id as id, epoch(ts) as at from events), {chain_sql('e', 7 * 86400.0)} select count(*) as kept, count(distinct key) as keys from (select key, x.at as at from c) where {_OUT}")
+@query(f"with recursive e as (select md5(concat(user_id, ':', event_type)) as key, event_id as id, epoch(ts) as tm from events), {chain_sql('e', 7 * 86400.0)} select count(*) as kept, count(distinct key) as keys from (select key, x.tm as tm from c) where {_OUT}")
 def STR5_first_seen(spark, d):
     """Kinds of events of a user that were not seen in the seven days before."""
     keyed = _events(spark, d).withColumn("key", F.md5(F.concat_ws(":", F.col("user_id").cast("string"), "event_type")))
     return _drained(spark, streams.first_seen(keyed, "key", "event_id", 7 * 86400.0).select("key")).agg(F.count("*").alias("kept"), F.count_distinct("key").alias("keys"))
 
 
-@query(f"""with recursive e as (select md5(role || ':' || lower({sql_normalize('text')})) as key, conv_id * 1000 + turn as id, role, length({sql_normalize('text')}) as size, 86400.0::double + conv_id * 60 + turn as at from conversations where role in ('user', 'assistant') and {sql_normalize('text')} <> ''),
-{chain_sql('e', 7200.0)} select e.key, e.role, e.size from e join c on c.key = e.key and c.x.id = e.id where floor(e.at / 600) * 600 + 600 <= (select max(at) from e) - 600""")
+@query(f"""with recursive e as (select md5(role || ':' || lower({sql_normalize('text')})) as key, conv_id * 1000 + turn as id, role, length({sql_normalize('text')}) as size, 86400.0::double + conv_id * 60 + turn as tm from conversations where role in ('user', 'assistant') and {sql_normalize('text')} <> ''),
+{chain_sql('e', 7200.0)} select e.key, e.role, e.size from e join c on c.key = e.key and c.x.id = e.id where floor(e.tm / 600) * 600 + 600 <= (select max(tm) from e) - 600""")
 def STR5_cleaned_turns(spark, d):
     """Turns as a stream, cleaned, each text of a role once in two hours; a turn's time is made of its place."""
     turns = table(spark, d, "conversations").select(F.timestamp_seconds(F.lit(86400) + F.col("conv_id") * 60 + F.col("turn")).alias("ts"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")

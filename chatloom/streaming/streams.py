@@ -68,10 +68,11 @@ class _InOrder(StatefulProcessor):
         until = self.expires(memo) if memo else 0.0
         if until is None:
             return
-        if until * 1000 <= end:
+        # points of slots that aren't due may be older than the watermark, so what they can still ask for stays
+        if until * 1000 <= end // self.slot * self.slot:
             self.memo.clear()
         else:
-            self.handle.registerTimer(int(until * 1000) + 1)
+            self.handle.registerTimer((int(until * 1000) // self.slot + 1) * self.slot)
 
     def close(self) -> None:
         pass
