@@ -43,7 +43,7 @@ STEP, HELD, CELLS, BLOCK = 2048, 200_000, 1 << 18, 1 << 14
 #: Times the usual count of a cell from which its postings are dealt out.
 HOT = 4
 #: Members of a posting up to which one task compares them all, and at a time; larger postings are dealt out over several.
-LARGE, CHUNK = 4096, 1024
+LARGE, CHUNK = 4096, 256
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
 _PLACE = (np.arange(BYTES) * 256).astype(np.int64)
 _TURNS = np.random.default_rng(SEED).integers(1, 1 << 63, BYTES // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
