@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,3 +73,54 @@ def dispatched(name: Column, formulas: dict[str, tuple[Column, Column]]) -> tupl
     for key, (r, e) in reversed(known):
         result, error = F.when(name == key, r.cast("decimal(38,8)")).otherwise(result), F.when(name == key, e).otherwise(error)
     return result, error
+
+
+#: Verbs of settlement, and those that answers say in their place.
+SETTLED = {
+    "亏损本金": ("亏损本金", "亏损为本金", "亏损"),
+    "损失本金": ("损失本金", "损失为本金", "亏损"),
+    "亏损": ("亏损",),
+    "亏": ("亏", "亏损"),
+    "输": ("输", "亏损", "未中奖"),
+    "盈利": ("盈利", "赢"),
+    "赢": ("赢", "盈利"),
+}
+
+
+def says(answer: Column, term: Column, settled: Mapping[str, Sequence[str]] = SETTLED) -> Column:
+    """Whether an answer has a term, both without white space and in lower case.
+
+    A term with digits must not go on in a longer number. A term of a settlement verb and a number is also said where one of the
+    verbs that mean the same stands before the number, with at most eight other characters and a formula between. An
+    empty term is always said.
+    """
+    has = F.contains(answer, term)
+    escaped = F.regexp_replace(term, r"([\\^$.|?*+()\[\]{}-])", r"\\$1")
+    whole = F.regexp_like(answer, F.concat(F.lit("(?<![0-9])"), escaped, F.lit("(?![0-9])")))
+    verbs = "|".join(sorted(settled, key=len, reverse=True))
+    verb, number = (F.regexp_extract(term, rf"^({verbs})([0-9]+(?:\.[0-9]+)?)$", i) for i in (1, 2))
+    others = F.try_element_at(F.create_map(*(F.lit(x) for v, same in settled.items() for x in (v, "|".join(same)))), verb)
+    near = F.concat(F.lit("(?:"), others, F.lit(r")[^0-9]{0,8}(?:[0-9]+(?:\.[0-9]+)?[*x×+/=-])*"), F.replace(number, F.lit("."), F.lit(r"\.")), F.lit("(?![0-9])"))
+    return F.when(term.rlike("[0-9]"), whole | F.when(number != "", F.coalesce(F.regexp_like(answer, near), F.lit(False))).otherwise(False)).otherwise(has)
+
+
+def rule_checks(answers: DataFrame, checks: DataFrame, id_col: str = "id", answer_col: str = "answer") -> DataFrame:
+    """(id, check_id, passed, reason) of every check (id, check_id, any, all, none: arrays of terms) beside the answer of its id.
+
+    A check passes if one of `any` (when it has some), every one of `all` and none of `none` is said; reason is the first of
+    missing_prediction (no row of that id), any, all and none that it fails by, else null. A null answer is an empty one; of
+    repeated ids the least answer holds; null lists ask for nothing.
+    """
+    said = F.lower(F.regexp_replace(F.coalesce(F.col(answer_col), F.lit("")), r"\s+", ""))
+    one = answers.groupBy(F.col(id_col).alias("id")).agg(F.min(said).alias("answer"))
+    plain = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda t: F.lower(F.regexp_replace(t, r"\s+", "")))
+    rows = checks.select("id", "check_id", *(plain(F.col(c)).alias(c) for c in ("any", "all", "none"))).join(one, "id", "left")
+    a = F.col("answer")
+    fails = {
+        "missing_prediction": a.isNull(),
+        "any": (F.size("any") > 0) & ~F.exists("any", lambda t: says(a, t)),
+        "all": ~F.forall("all", lambda t: says(a, t)),
+        "none": F.exists("none", lambda t: says(a, t)),
+    }
+    reason = F.coalesce(*(F.when(c, F.lit(n)) for n, c in fails.items()))
+    return rows.select("id", "check_id", reason.isNull().alias("passed"), reason.alias("reason"))

@@ -113,14 +113,40 @@ def EVL12_run_comparison(spark, d):
     return s.join(other, "doc_id").groupBy("lang").agg(F.count_if(a > b + 1e-9).alias("a_better"), F.count_if(b > a + 1e-9).alias("b_better"), F.count_if(F.abs(a - b) <= 1e-9).alias("ties"), F.count_if((a >= 0.6) & (b >= 0.6)).alias("both_pass"), r6(F.avg(b - a)).alias("delta"))
 
 
-_CHECKS = [("any", "license|reserved"), ("all", "the"), ("none", "idiot")]
+#: Checks of every prediction: terms of which one, all and none must be said. Every tenth id is asked for once more as one that no
+#: prediction has.
+_CHECKS = [("mark", ["license", "reserved"], [], []), ("words", [], ["the", "a n d"], []), ("manners", [], [], ["idiot", "moron"]), ("number", ["7", "12"], [], ["2024"])]
 
 
-@query(f"""with p as ({_PREDS}), t as (select doc_id, regexp_replace(lower(text), '[ \\t\\n\\r\\f]+', '', 'g') as t from p)
-select doc_id, regexp_matches(t, 'license|reserved') as any_ok, contains(t, 'the') as all_ok, not contains(t, 'idiot') as none_ok from t""")
+def _said_sql(term: str) -> str:
+    return f"regexp_matches(t, '(^|[^0-9]){term}([^0-9]|$)')" if any(c.isdigit() for c in term) else f"contains(t, '{term.replace(' ', '')}')"
+
+
+def _check_sql(name: str, any_: list[str], all_: list[str], none: list[str]) -> str:
+    fails = [f"not ({' or '.join(map(_said_sql, any_))})" if any_ else "false", " or ".join(f"not {_said_sql(x)}" for x in all_) or "false", " or ".join(map(_said_sql, none)) or "false"]
+    cases = " ".join(f"when {c} then '{n}'" for c, n in zip(["t is null", *fails], ["missing_prediction", "any", "all", "none"], strict=True))
+    return f"select id, '{name}' as check_id, case {cases} end as reason from a"
+
+
+_CHECKED = f"""a as (select doc_id as id, regexp_replace(lower(text), '[ \\t\\n\\x0B\\f\\r]+', '', 'g') as t from ({_PREDS}) union all select -1 - doc_id, null from ({_PREDS}) where doc_id % 10 = 0),
+k as ({' union all '.join(_check_sql(*c) for c in _CHECKS)})"""
+
+
+def _checked(spark, d):
+    rows = predictions(spark, d)
+    asked = rows.select(F.col("doc_id").alias("id")).union(rows.filter("doc_id % 10 = 0").select(-1 - F.col("doc_id")))
+    lists = F.array(*(F.struct(F.lit(n).alias("check_id"), *(F.array(*map(F.lit, x)).cast("array<string>").alias(c) for c, x in zip(("any", "all", "none"), terms, strict=True))) for n, *terms in _CHECKS))
+    return rl.rule_checks(rows, asked.select("id", F.explode(lists).alias("c")).select("id", "c.*"), "doc_id", "text")
+
+
+@query(f"with {_CHECKED} select id, check_id, reason is null as passed, reason from k")
 def EVL13_rule_checks(spark, d):
-    t = F.regexp_replace(F.lower("text"), "[ \\t\\n\\r\\f]+", "")
-    return predictions(spark, d).select("doc_id", t.rlike("license|reserved").alias("any_ok"), F.contains(t, F.lit("the")).alias("all_ok"), (~F.contains(t, F.lit("idiot"))).alias("none_ok"))
+    return _checked(spark, d)
+
+
+@query(f"with {_CHECKED} select check_id, count(*) as checks, count(*) filter (where reason is null) as passed, round(count(*) filter (where reason is null)::double / count(*), 6) as pass_rate from k group by check_id")
+def EVL13_pass_rate(spark, d):
+    return _checked(spark, d).groupBy("check_id").agg(F.count("*").alias("checks"), F.count_if("passed").alias("passed"), r6(F.count_if("passed") / F.count("*")).alias("pass_rate"))
 
 
 @query(f"with {_SCORED} select doc_id, round(0.5::double * incl + 0.2::double * excl + 0.15::double * intent + 0.15::double * case when risk then 0 else 1 end, 6) as score from sc")

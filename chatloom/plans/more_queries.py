@@ -187,7 +187,7 @@ def FBK3_argument_repair(spark, d):
 
 
 @query(f"""with {_CHUNKS.replace("from documents", "from " + _LINES)}, ch as (select id, row_number() over (partition by id order by p.char_start) - 1 as chunk_index, p.chunk as chunk from c),
-mk as (select id, chunk_index, chunk, unnest(list_distinct(regexp_extract_all(chunk, '\\[P([0-9]+)\\]', 1)))::bigint as marker from ch), f as (select marker, arg_min(chunk, id * 1000000 + chunk_index) as chunk, min(id * 1000000 + chunk_index) as place from mk group by marker)
+mk as (select id, chunk_index, chunk, unnest(list_distinct(regexp_extract_all(chunk, '\\[P([0-9]+)\\]', 1)))::bigint as marker from ch), f as (select marker, arg_min(chunk, {{'id': id, 'at': chunk_index}}) as chunk from mk group by marker)
 select page_id, case when length(chunk) >= 40 then chunk end as context, coalesce(length(chunk) >= 40, false) as usable, coalesce(regexp_extract(chunk, '[A-Za-z]{{4,}}'), '') as topic, {_SHARE.replace('doc_id', 'page_id')} < 0.1 as held_out from pages left join f on marker = page_id""")
 def FBK6_page_samples(spark, d):
     """Pages as media records, each with the first chunk that mentions the paragraph of its number: context, topic and split."""
@@ -195,7 +195,7 @@ def FBK6_page_samples(spark, d):
     marked = F.array_join(F.transform(lines, lambda x, i: F.concat(F.lit("[P"), (i + 1).cast("string"), F.lit("] "), x)), "\n")
     found = rt.chunks(table(spark, d, "documents"), "doc_id", marked)
     markers = F.array_distinct(F.regexp_extract_all("chunk", F.lit(r"\[P([0-9]+)\]"), F.lit(1)))
-    first = found.select(F.explode(markers).alias("page_id"), (F.col("id") * 1_000_000 + F.col("chunk_index")).alias("place"), "chunk").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.min_by("chunk", "place").alias("chunk"))
+    first = found.select(F.explode(markers).alias("page_id"), F.struct("id", "chunk_index").alias("place"), "chunk").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.min_by("chunk", "place").alias("chunk"))
     rows = table(spark, d, "pages").select("page_id").join(first, "page_id", "left")
     long = F.coalesce(F.length("chunk") >= 40, F.lit(False))
     return rows.select("page_id", F.when(long, F.col("chunk")).alias("context"), long.alias("usable"), F.coalesce(F.regexp_extract("chunk", "[A-Za-z]{4,}", 0), F.lit("")).alias("topic"), (sets.md5_share(F.col("page_id").cast("string")) < 0.1).alias("held_out"))

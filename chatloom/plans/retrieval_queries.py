@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import text as tx
 from chatloom.operators import projection as pj
 from chatloom.operators import retrieval as rt
+from chatloom.operators.evidence import holding
 from chatloom.operators.numbering import numbered
 from chatloom.operators.storage import stored
 
@@ -342,10 +343,8 @@ def EVL3_evidence_coverage(spark, d):
     evidence = items.select("query_id", F.explode(tx.sentences(F.col("text"))).alias("s")).select("query_id", form.alias("s")).filter(F.length("s") >= 12).distinct()
     held = evidence.join(hits, "query_id", "left").groupBy("query_id", "s").agg(F.max(F.when(F.contains("body", F.col("s")), 1).otherwise(0)).alias("hit"))
     rates = held.groupBy("query_id").agg(F.avg("hit").alias("evidence_rate"), F.min("hit").cast("double").alias("full_cover"))
-    # items are few and go to all tasks, in which their passages are looked for; no pair is made of those that don't hold them
-    passages = F.broadcast(items.select(F.collect_list(F.struct("query_id", tx.squeeze(F.col("text")).alias("p"))).alias("ps")))
-    docs = table(spark, d, "documents").select("source", tx.squeeze(F.col("text")).alias("body")).withColumn("one", F.lit(1)).join(passages.withColumn("one", F.lit(1)), "one")
-    gold = docs.select("source", F.explode(F.filter("ps", lambda p: F.contains(F.col("body"), p["p"]))).alias("p")).select("p.query_id", "source").distinct()
+    docs = table(spark, d, "documents").select(F.col("source").alias("id"), tx.squeeze(F.col("text")).alias("text"))
+    gold = holding(docs, items.select(F.col("query_id").alias("key"), tx.squeeze(F.col("text")).alias("passage"))).toDF("query_id", "source")
     met = hits.select("query_id", "source").distinct().withColumn("met", F.lit(1.0))
     sources = gold.join(met, ["query_id", "source"], "left").groupBy("query_id").agg(F.avg(F.coalesce("met", F.lit(0.0))).alias("source_rate"))
     rows = rates.join(sources, "query_id", "left").select("query_id", "evidence_rate", "source_rate", "full_cover")

@@ -16,6 +16,7 @@ from chatloom.operators import quality
 from chatloom.operators import retrieval as rt
 from chatloom.operators import rules as rl
 from chatloom.operators import sets
+from chatloom.operators.evidence import holding
 from chatloom.operators.numbering import numbered, numbered_within
 from chatloom.operators.quantiles import quantiles
 from chatloom.operators.storage import stored
@@ -222,6 +223,28 @@ def test_projection_is_the_truncated_svd(spark):
     assert pj.fit_projection(index.filter("id = 1")).basis.shape[1] == 1
 
 
+def test_rule_checks_of_words_and_numbers(spark):
+    says = [
+        ("共1170元", "170元", False), ("共170元。", "170元", True), ("亏损1000*0.88=880元", "亏损880", True), ("亏损1000*0.88=8800元", "亏损880", False), ("未中奖，输掉1170", "输1170", True),
+        ("没有赢，本金退回", "输1170", False), ("赢了大约500", "盈利500", True), ("亏损为本金500", "亏损本金500", True), ("盈利 很多很多很多很多很多 500", "赢500", False), ("a.b(c", "a.b(c", True), ("1a1b", "1a.b", False), ("x", "", True), ("盈利12.5", "赢12.5", True), ("盈利1205", "赢12.5", False),
+    ]
+    df = spark.createDataFrame(says, "a string, t string, want boolean").select("*", rl.says(F.regexp_replace("a", " ", ""), F.col("t")).alias("got"))
+    assert [r for r in df.collect() if r.got != r.want] == []
+    answers = spark.createDataFrame([(1, "The Fee is 12 %"), (2, None), (2, None)], "id long, answer string")
+    checks = spark.createDataFrame([(1, "a", ["thefee", "x"], ["12"], ["13"]), (1, "b", ["x"], [], None), (1, "c", None, ["1"], []), (1, "d", [], [], ["the fee"]), (2, "a", [], None, ["z"]), (3, "a", [], [], [])], "id long, check_id string, any array<string>, all array<string>, none array<string>")
+    got = {(r.id, r.check_id): r.reason for r in rl.rule_checks(answers, checks).collect()}
+    assert got == {(1, "a"): None, (1, "b"): "any", (1, "c"): "all", (1, "d"): "none", (2, "a"): None, (3, "a"): "missing_prediction"}
+
+
+@pytest.mark.parametrize("most", [8_000_000, 30])
+def test_passages_are_found_in_one_reading(spark, most):
+    texts = spark.createDataFrame([(1, "abcde xyz"), (2, "cde"), (2, "cde"), (3, None), (4, ""), (5, "日本語テキスト")], "id long, text string")
+    passages = spark.createDataFrame([("p", "cde"), ("q", "cde"), ("r", "bcd"), ("s", ""), (None, "xyz"), ("t", None), ("u", "本語"), ("v", "no" * 40)], "key string, passage string")
+    got = sorted(((r.key or "-", r.id) for r in holding(texts, passages, most).collect()))
+    assert got == [("-", 1), ("p", 1), ("p", 2), ("q", 1), ("q", 2), ("r", 1), ("u", 5)]
+    assert holding(texts, passages.filter("false")).count() == 0 and holding(texts.filter("false"), passages).count() == 0
+
+
 def test_commonest_run_of_characters():
     import random
     from collections import Counter
