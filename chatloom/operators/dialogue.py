@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .runs import asked_and_answered, in_order, role_runs
+
 
 def assemble(turns: DataFrame, roles: Sequence[str] | None = None, part: int = 1000) -> DataFrame:
     """(conv_id, part, messages): turns of the given roles in order of turn, in parts of `part` turn numbers, so that no dialogue,
@@ -25,24 +27,20 @@ def explode_turns(dialogues: DataFrame) -> DataFrame:
     return placed.select("conv_id", (F.col("before") + F.col("at")).alias("turn"), "m.role", F.col("m.content").alias("text"))
 
 
-def merge_same_role(turns: DataFrame) -> DataFrame:
-    """Adjacent turns of one role joined by line ends: (conv_id, turn, role, text, merged)."""
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    rows = turns.withColumn("new", F.when(F.col("role") == F.lag("role").over(order), 0).otherwise(1))
-    rows = rows.withColumn("run", F.sum("new").over(order))
-    joined = rows.groupBy("conv_id", "run").agg(F.min("turn").alias("turn"), F.first("role").alias("role"), F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("m"))
-    return joined.select("conv_id", "turn", "role", F.array_join(F.transform("m", lambda x: x["text"]), "\n").alias("text"), (F.size("m") - 1).alias("merged"))
+def merge_same_role(turns: DataFrame, part: int = 1000) -> DataFrame:
+    """Adjacent turns of one role joined by line ends: (conv_id, turn, role, text, merged). A run of over `part` turns comes back as
+    several rows, in order of turn, so that no run has to fit one; see `runs`."""
+    rows = role_runs(in_order(turns))
+    k = F.floor(F.col("at") / part)
+    joined = rows.groupBy("run", k.alias("k")).agg(F.first("conv_id").alias("conv_id"), F.min("turn").alias("turn"), F.first("role").alias("role"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("m"))
+    merged = F.size("m") - F.when(F.col("k") == 0, 1).otherwise(0)
+    return joined.select("conv_id", "turn", "role", F.array_join(F.transform("m", lambda x: x["text"]), "\n").alias("text"), merged.alias("merged"))
 
 
 def qa_pairs(turns: DataFrame) -> DataFrame:
     """Each assistant turn with the user turn before it that no other took: (pair_id, conv_id, question, answer)."""
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    rows = turns.filter(F.col("role").isin("user", "assistant"))
-    asked = F.last(F.when(F.col("role") == "user", F.struct("turn", "text")), ignorenulls=True).over(order)
-    rows = rows.withColumn("asked", asked).filter("role = 'assistant' and asked is not null")
-    first = rows.groupBy("conv_id", "asked.turn").agg(F.min("turn").alias("at"), F.min_by("text", "turn").alias("answer"), F.min_by("asked.text", "turn").alias("question"))
-    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("at")) - 1
-    return first.withColumn("n", number).select(F.concat_ws("_single_", "conv_id", "n").alias("pair_id"), "conv_id", "question", "answer")
+    found = asked_and_answered(turns)
+    return found.select(F.concat_ws("_single_", "conv_id", "n").alias("pair_id"), "conv_id", "question", "answer")
 
 
 def first_pair(turns: DataFrame) -> DataFrame:

@@ -79,6 +79,39 @@ def test_merge_and_pairs(spark):
     assert [(r.pair_id, r.question, r.answer) for r in dl.qa_pairs(turns).orderBy("pair_id").collect()] == [("1_single_0", "b", "c"), ("1_single_1", "e", "f")]
 
 
+@pytest.mark.parametrize("parts", [1, 3, 17])
+def test_runs_and_pairs_over_many_partitions(spark, parts):
+    import itertools
+    import random
+
+    draw, rows = random.Random(parts), []
+    for c in (1, 2, 3, 4):  # the first holds most turns
+        rows += [(c, t, draw.choice(["user", "user", "assistant", "assistant", "assistant", "tool"]) if t % 60 > 25 else "assistant" if t % 120 > 59 else "user", f"{c}:{t}") for t in range(400 if c == 1 else draw.randint(1, 25))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((r.conv_id, r.turn, r.role, r.text, r.merged) for r in dl.merge_same_role(turns).collect())
+        cut = sorted((r.conv_id, r.turn, r.role, r.text) for r in dl.merge_same_role(turns, part=7).collect())
+        pairs = sorted((r.conv_id, int(r.pair_id.split("_")[-1]), r.question, r.answer) for r in dl.qa_pairs(turns).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    runs = [(k, list(g)) for k, g in itertools.groupby(rows, lambda r: (r[0], r[2]))]
+    assert got == sorted((c, g[0][1], role, "\n".join(r[3] for r in g), len(g) - 1) for (c, role), g in runs)
+    assert cut == sorted((c, g[i][1], role, "\n".join(r[3] for r in g[i : i + 7])) for (c, role), g in runs for i in range(0, len(g), 7))
+    want = []
+    for c, said in itertools.groupby(rows, lambda r: r[0]):
+        question, n = None, 0
+        for _, _, role, text in said:
+            if role == "user":
+                question = text
+            elif role == "assistant" and question is not None:
+                want.append((c, n, question, text))
+                question, n = None, n + 1
+    assert pairs == sorted(want)
+
+
 def test_admission_is_greedy(spark):
     events = spark.createDataFrame([(i, 1, s) for i, s in enumerate((0, 10, 20, 61, 65, 71))], "event_id long, user_id long, s long").withColumn("ts", F.timestamp_seconds("s"))
     got = lg.admitted(events, "user_id", 60, 2).orderBy("event_id").collect()
