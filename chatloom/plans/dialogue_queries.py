@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chatloom.operators import dialogue as dl
+from chatloom.operators import evaluation as ev
 from chatloom.operators import sets
 from chatloom.operators.numbering import numbered_within
 
@@ -244,22 +245,50 @@ def SMP9_variants(spark, d):
     return sets.variants(table(spark, d, "benchmark"), "text", _FORMS).select("item_id", "variant", "query")
 
 
-_PREDS = "select d.doc_id, l.quality as gold, case when d.doc_id % 7 = 0 then 1 - l.quality else l.quality end as pred, d.text, d.lang, d.n_chars from documents d join labels l using (doc_id)"
+def preds_sql(every: int = 7) -> str:
+    return f"select d.doc_id, l.quality as gold, case when d.doc_id % {every} = 0 then 1 - l.quality else l.quality end as pred, d.text, d.lang, d.n_chars, l.toxic from documents d join labels l using (doc_id)"
 
 
-def predictions(spark, d):
-    """Predictions with gold: quality labels, flipped for every seventh document."""
+_PREDS = preds_sql()
+
+
+def predictions(spark, d, every: int = 7):
+    """Predictions with gold: quality labels, flipped for every seventh (or other) document."""
     rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
-    pred = F.when(F.col("doc_id") % 7 == 0, 1 - F.col("quality")).otherwise(F.col("quality"))
-    return rows.select("doc_id", F.col("quality").alias("gold"), pred.alias("pred"), "text", "lang", "n_chars")
+    pred = F.when(F.col("doc_id") % every == 0, 1 - F.col("quality")).otherwise(F.col("quality"))
+    return rows.select("doc_id", F.col("quality").alias("gold"), pred.alias("pred"), "text", "lang", "n_chars", "toxic")
+
+
+#: Cases lack every eleventh id; every thirteenth has an empty query; English ones and every fourth other must name a term.
+_FORMS, _CAP = ("{query}", "Please help: {query}"), 20
+_PACK = f"""fl as (select doc_id as id, gold, pred, n_chars >= 30 as ok from ({_PREDS}) where gold = 1 and pred = 0),
+cs as (select doc_id as id, trim(case when doc_id % 13 = 0 then ' ' else string_split(text, chr(10))[1] end) as query, case when lang = 'en' then ['class', 'nowhere'] when doc_id % 4 = 0 then ['nowhere'] else [] end as must from documents where doc_id % 11 <> 0),
+jo as (select fl.id, gold, pred, query, must, case when cs.id is null then 'missing_case' when coalesce(query, '') = '' then 'no_query' else 'pool' end as fate from (select * from fl where ok) fl left join cs using (id)),
+ca as (select *, row_number() over (partition by gold order by md5(id::varchar), id) as n from jo where fate = 'pool'),
+ch as (select id, gold, query, must, 'This is of class ' || gold || '.' as chosen, 'This is of class ' || pred || '.' as rejected from ca where n <= {_CAP}),
+ro as (select k.kind || '_' || gold || '_' || id || '_' || lpad(f.k::varchar, 2, '0') as row_id, k.kind, f.before || query as prompt, chosen, case when k.kind = 'dpo' then rejected end as rejected, id, gold
+from ch, (values (1, ''), (2, 'Please help: ')) f(k, before), (values ('sft'), ('dpo')) k(kind) where len(must) = 0 or len(list_filter(must, lambda t: contains(chosen, t))) > 0)"""
 
 
-@query(f"""with f as (select *, row_number() over (partition by gold order by md5(cast(doc_id as varchar)), doc_id) as n from ({_PREDS}) where gold <> pred)
-select doc_id, gold, v.variant from f, (values ('sft'), ('dpo')) v(variant) where n <= 20""")
+def _pack(spark, d):
+    failed = predictions(spark, d).filter("gold <> pred").select(F.col("doc_id").alias("id"), "gold", "pred", (F.col("n_chars") >= 30).alias("request_ok"))
+    must = F.when(F.col("lang") == "en", F.array(F.lit("class"), F.lit("nowhere"))).when(F.col("doc_id") % 4 == 0, F.array(F.lit("nowhere"))).otherwise(F.array().cast("array<string>"))
+    query = F.when(F.col("doc_id") % 13 == 0, " ").otherwise(F.split("text", "\n")[0])
+    cases = table(spark, d, "documents").filter("doc_id % 11 <> 0").select(F.col("doc_id").alias("id"), query.alias("query"), must.alias("must"))
+    reply = lambda c: F.concat(F.lit("This is of class "), F.col(c).cast("string"), F.lit("."))
+    return ev.confusion_pack(failed, cases, [1], 0, reply("gold"), reply("pred"), _FORMS, _CAP)
+
+
+@query(f"with {_PACK} select * from ro")
 def FBK1_confusion_repair(spark, d):
-    failed = predictions(spark, d).filter("gold <> pred").select("doc_id", "gold")
-    kept = sets.capped(failed, ["gold"], [F.md5(F.col("doc_id").cast("string")), "doc_id"], 20)
-    return kept.withColumn("variant", F.explode(F.array(F.lit("sft"), F.lit("dpo"))))
+    """Good texts that were taken for bad ones, as training rows with chosen and rejected replies."""
+    return _pack(spark, d)[0]
+
+
+@query(f"with {_PACK} select fate as counter, count(*) as n from jo group by fate union all select * from (select 'quality', count(*) as n from ch where len(must) > 0 and len(list_filter(must, lambda t: contains(chosen, t))) = 0) where n > 0 union all select 'rows_' || kind, count(*) from ro group by kind")
+def FBK1_counters(spark, d):
+    """What became of the failures that the pack is made of."""
+    return _pack(spark, d)[1]
 
 
 @query(f"""select doc_id, list_filter([case when gold <> pred then 'intent' end, case when n_chars < 200 then 'include' end], lambda x: x is not null) as reasons from ({_PREDS}) where gold <> pred or n_chars < 200""")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.operators import evaluation as ev
 from chatloom.operators import logs as lg
 from chatloom.operators import rules as rl
 from chatloom.operators.quantiles import quantiles
 
 from .common import chain_sql, table
-from .dialogue_queries import _PREDS, predictions
+from .dialogue_queries import _PREDS, predictions, preds_sql
 
 QUERIES, SQL = {}, {}
 
@@ -69,19 +70,22 @@ def EVL8_rubric(spark, d):
     return table(spark, d, "documents").select("source", score.alias("s")).groupBy("source").agg(r6(F.avg("s")).alias("score"), F.count_if(F.col("s") == 1).alias("full_hits"))
 
 
-_SCORED = f"""p as ({_PREDS}), s as (select *, case when gold = pred then 1.0::double else 0.0::double end as intent, case when lang is null then null when contains(lower(text), 'the') then 1.0::double else 0.0::double end as incl,
-case when contains(lower(text), 'password') then 0.0::double else 1.0::double end as excl, contains(lower(text), 'idiot') as risk from p),
-sc as (select *, (0.4::double * intent + 0.2::double * incl + 0.15::double * excl) / 0.75::double * case when risk then 0.4::double else 1.0::double end as score from s)"""
+def _scored_sql(every: int = 7, x: str = "") -> str:
+    return f"""p{x} as ({preds_sql(every)}), s{x} as (select *, case when gold = pred then 1.0::double else 0.0::double end as intent, case when contains(lower(text), 'the') then 1.0::double else 0.0::double end as incl,
+case when doc_id % 3 = 0 then null when (toxic = 1) = regexp_matches(lower(text), 'idiot|moron|scum') then 1.0::double else 0.0::double end as esc,
+case when contains(lower(text), 'password') then 0.0::double else 1.0::double end as excl, contains(lower(text), 'idiot') as risk from p{x}),
+sc{x} as (select *, (0.4::double * intent + 0.25::double * coalesce(esc, 0) + 0.2::double * incl + 0.15::double * excl) / (0.75::double + case when esc is null then 0.0::double else 0.25::double end) * case when risk then 0.4::double else 1.0::double end as score from s{x})"""
 
 
-def _scored(spark, d):
-    """Weighted answer scores: intent .40, include .20, exclude .15, scaled to the parts there are; times .4 on risk."""
-    t = F.lower("text")
-    p = predictions(spark, d).withColumn("intent", F.when(F.col("gold") == F.col("pred"), 1.0).otherwise(0.0)).withColumn("incl", F.when(F.contains(t, F.lit("the")), 1.0).otherwise(0.0)).withColumn("excl", F.when(F.contains(t, F.lit("password")), 0.0).otherwise(1.0)).withColumn("risk", F.contains(t, F.lit("idiot")))
-    parts = [("intent", 0.4), ("incl", 0.2), ("excl", 0.15)]
-    total = sum((F.when(F.col(c).isNotNull(), w).otherwise(0.0) for c, w in parts), F.lit(0.0))
-    score = sum((F.coalesce(F.col(c), F.lit(0.0)) * w for c, w in parts), F.lit(0.0)) / total
-    return p.withColumn("score", score * F.when(F.col("risk"), 0.4).otherwise(1.0))
+_SCORED = _scored_sql()
+
+
+def _scored(spark, d, every: int = 7):
+    """Answers with their parts and score. Whether to escalate is told by the toxicity label, and not known for every third one."""
+    t, one = F.lower("text"), lambda c: F.when(c, 1.0).otherwise(0.0)
+    esc = F.when(F.col("doc_id") % 3 == 0, None).otherwise(one((F.col("toxic") == 1) == t.rlike("idiot|moron|scum")))
+    p = predictions(spark, d, every).withColumns({"intent": one(F.col("gold") == F.col("pred")), "esc": esc, "incl": ev.share_of_terms(t, F.array(F.lit("the"))), "excl": one(~F.contains(t, F.lit("password"))), "risk": F.contains(t, F.lit("idiot"))})
+    return p.withColumn("score", ev.answer_score({"intent": F.col("intent"), "escalation": F.col("esc"), "include": F.col("incl"), "exclude": F.col("excl")}, F.col("risk")))
 
 
 @query(f"with {_SCORED} select doc_id, round(score, 4) as score from sc")
@@ -97,20 +101,30 @@ def EVL10_summary(spark, d):
     return means.join(p95, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
 
 
-@query("""select coalesce(lang, 'TOTAL') as category, count(*) as n, round(avg(case when regexp_matches(text, '(?i)idiot|moron') then 1.0 else 0.0 end), 6) as forbidden, round(avg(case when regexp_matches(text, '(?i)</?think>') then 1.0 else 0.0 end), 6) as leak, round(avg(n_chars), 6) as length
-from documents group by rollup(lang)""")
+_LINES = "list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l)), lambda l: length(l) >= 4)"
+
+
+@query(f"""with a as (select lang, regexp_matches(text, '(?i)idiot|moron') as forbidden, len({_LINES}) > len(list_distinct({_LINES})) as repetition, regexp_matches(text, '^[ \\t\\n]*(Analysis|Thinking|The|Der)') as prefix, regexp_matches(text, '(?i)</?think>') as leak,
+(case when contains(text, 'the') then 1 else 0 end + case when contains(text, 'der') then 1 else 0 end) / 2.0::double as must_include, n_chars::double as length from documents)
+select coalesce(lang, 'TOTAL') as category, count(*) as n, round(avg(forbidden::int), 6) as forbidden, round(avg(repetition::int), 6) as repetition, round(avg(prefix::int), 6) as prefix, round(avg(leak::int), 6) as leak,
+count(*) filter (where forbidden or repetition or prefix or leak) as failures, round(avg(must_include), 6) as must_include, round(avg(length), 6) as length from a group by rollup(lang)""")
 def EVL11_leak_summary(spark, d):
-    rate = lambda p: r6(F.avg(F.when(F.col("text").rlike(p), 1.0).otherwise(0.0)))
-    a = table(spark, d, "documents").rollup("lang").agg(F.count("*").alias("n"), rate("(?i)idiot|moron").alias("forbidden"), rate("(?i)</?think>").alias("leak"), r6(F.avg("n_chars")).alias("length"))
-    return a.select(F.coalesce("lang", F.lit("TOTAL")).alias("category"), "n", "forbidden", "leak", "length")
+    """Forbidden words, lines that repeat, analysis prefixes and think tags, and the share of wanted words, by language and in all."""
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: F.length(x) >= 4)
+    flags = {"forbidden": F.col("text").rlike("(?i)idiot|moron"), "repetition": F.size(lines) > F.size(F.array_distinct(lines)), "prefix": F.col("text").rlike(r"^[ \t\n]*(Analysis|Thinking|The|Der)"), "leak": F.col("text").rlike("(?i)</?think>")}
+    out = ev.leak_summary(table(spark, d, "documents"), "lang", flags, {"must_include": ev.share_of_terms(F.col("text"), F.array(F.lit("the"), F.lit("der"))), "length": F.col("n_chars")})
+    return out.select("category", "n", *(r6(F.col(c)).alias(c) for c in flags), "failures", *(r6(F.col(c)).alias(c) for c in ("must_include", "length")))
 
 
-@query(f"with {_SCORED}, b as (select doc_id, lang, score as a, case when doc_id % 5 = 0 then 1 - score else score end as b from sc) select lang, count(*) filter (where a > b + 1e-9) as a_better, count(*) filter (where b > a + 1e-9) as b_better, count(*) filter (where abs(a - b) <= 1e-9) as ties, count(*) filter (where a >= 0.6 and b >= 0.6) as both_pass, round(avg(b - a), 6) as delta from b group by lang")
+@query(f"""with {_scored_sql(7, 'a')}, {_scored_sql(5, 'b')}, j as (select a.lang, a.score as x, b.score as y, a.score >= 0.6 and not a.risk as p, b.score >= 0.6 and not b.risk as q, b.intent - a.intent as di from sca a join scb b using (doc_id)),
+r as (select coalesce(lang, 'TOTAL') as category, count(*) as n, count(*) filter (where x > y + 1e-9) as a_better, count(*) filter (where y > x + 1e-9) as b_better, count(*) filter (where abs(x - y) <= 1e-9) as ties, count(*) filter (where p and q) as both_pass, count(*) filter (where not p and not q) as both_fail,
+round(avg(y - x), 6) as score_delta, round(avg(di), 6) as intent_delta from j group by rollup(lang))
+select *, case when a_better + b_better > 0 then round(b_better / (a_better + b_better)::double, 6) end as decisive from r""")
 def EVL12_run_comparison(spark, d):
-    s = _scored(spark, d).select("doc_id", "lang", F.col("score").alias("a"))
-    other = s.select("doc_id", F.when(F.col("doc_id") % 5 == 0, 1 - F.col("a")).otherwise(F.col("a")).alias("b"))
-    a, b = F.col("a"), F.col("b")
-    return s.join(other, "doc_id").groupBy("lang").agg(F.count_if(a > b + 1e-9).alias("a_better"), F.count_if(b > a + 1e-9).alias("b_better"), F.count_if(F.abs(a - b) <= 1e-9).alias("ties"), F.count_if((a >= 0.6) & (b >= 0.6)).alias("both_pass"), r6(F.avg(b - a)).alias("delta"))
+    """Two runs: predictions flipped for every seventh document, and for every fifth."""
+    run = lambda every: _scored(spark, d, every).withColumn("passed", (F.col("score") >= 0.6) & ~F.col("risk"))
+    out = ev.compare_runs(run(7), run(5), "doc_id", "lang", ["score", "intent"])
+    return out.select("category", "n", "a_better", "b_better", "ties", "both_pass", "both_fail", *(r6(F.col(c)).alias(c) for c in ("score_delta", "intent_delta", "decisive")))
 
 
 #: Checks of every prediction: terms of which one, all and none must be said. Every tenth id is asked for once more as one that no
@@ -160,14 +174,25 @@ def EVL16_field_completeness(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(rate(F.get_json_object("props", "$.k")).alias("k_rate"), rate(F.col("value")).alias("value_rate"))
 
 
-_GATE = [("accuracy", 0.85, ">="), ("score", 0.8, ">="), ("failures", 0.1, "<=")]
+#: Three runs, with every seventh, fifth and third prediction flipped, and what each must keep.
+_RUNS, _GATE = (7, 5, 3), [("accuracy", ">=", 0.78), ("escalation", ">=", 0.5), ("score", ">=", 0.7), ("failures", "<=", 0.3)]
+_GATED = ", ".join(_scored_sql(e, str(i)) for i, e in enumerate(_RUNS)) + ", m as (" + " union all ".join(f"select {i + 1} as run, avg(intent) as accuracy, avg(esc) as escalation, avg(score) as score, avg(case when score < 0.6 or risk then 1.0::double else 0.0::double end) as failures from sc{i}" for i in range(len(_RUNS))) + ")"
+_ERRORS = ", ".join(f"case when not coalesce({m} {op} {t}, false) then '{m}=' || coalesce(printf('%.4f', {m}), 'missing') || ' {'<' if op == '>=' else '>'} {t:.4f}' end" for m, op, t in _GATE)
 
 
-@query(f"with {_SCORED}, m as (select avg(intent) as accuracy, avg(score) as score, avg(case when score < 0.6 or risk then 1.0::double else 0.0::double end) as failures from sc) " + " union all ".join(f"select '{m}' as metric, round({m}, 6) as value, {t}::double as threshold, {m} {op} {t} as passed from m" for m, t, op in _GATE))
+@query(f"""with {_GATED}, e as (select run, list_sort(list_filter([{_ERRORS}], lambda x: x is not null)) as errors from m)
+select 'run' as level, run, null as metric, null::double as lowest, null::double as highest, null::double as mean, len(errors) = 0 as passed, errors from e
+""" + "".join(f"union all select 'metric', null, '{m}', round(min({m}), 6), round(max({m}), 6), round(avg({m}), 6), null, null from m " for m, *_ in _GATE) + "union all select 'overall', null, null, null, null, null, count(*) = 3 and bool_and(len(errors) = 0), [] from e")
 def EVL17_threshold_gate(spark, d):
-    m = _scored(spark, d).agg(F.avg("intent").alias("accuracy"), F.avg("score").alias("score"), F.avg(F.when((F.col("score") < 0.6) | F.col("risk"), 1.0).otherwise(0.0)).alias("failures"))
-    rows = F.array(*(F.struct(F.lit(n).alias("metric"), r6(F.col(n)).alias("value"), F.lit(float(t)).alias("threshold"), (F.col(n) >= t if op == ">=" else F.col(n) <= t).alias("passed")) for n, t, op in _GATE))
-    return m.select(F.explode(rows).alias("r")).select("r.*")
+    """Release gate over three runs: what each breaks, how far metrics spread, and the verdict over all."""
+    rows = None
+    for i, every in enumerate(_RUNS):
+        bad = F.when((F.col("score") < 0.6) | F.col("risk"), 1.0).otherwise(0.0)
+        m = _scored(spark, d, every).agg(F.avg("intent").alias("accuracy"), F.avg("esc").alias("escalation"), F.avg("score").alias("score"), F.avg(bad).alias("failures"))
+        one = m.select(F.lit(i + 1).alias("run"), F.explode(F.array(*(F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n, *_ in _GATE))).alias("v")).select("run", "v.*")
+        rows = one if rows is None else rows.unionByName(one)
+    out = ev.gate_runs(rows, _GATE, len(_RUNS))
+    return out.select("level", "run", "metric", *(r6(F.col(c)).alias(c) for c in ("lowest", "highest", "mean")), "passed", "errors")
 
 
 _TERMS = ["license", "password", "idiot", "nowhere"]

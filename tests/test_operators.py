@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import text as tx
 from chatloom.operators import curation as cu
 from chatloom.operators import dialogue as dl
+from chatloom.operators import evaluation as ev
 from chatloom.operators import gates
 from chatloom.operators import logs as lg
 from chatloom.operators import parsing as ps
@@ -278,6 +279,34 @@ def test_passages_are_found_in_one_reading(spark, most):
     assert holding(texts, passages.filter("false")).count() == 0 and holding(texts.filter("false"), passages).count() == 0
 
 
+def test_scores_gates_and_comparisons(spark):
+    rows = [(1, 1.0, None, 0.5, 1.0, False), (2, None, None, None, None, None), (3, 0.0, 1.0, 1.0, 1.0, True)]
+    df = spark.createDataFrame(rows, "id int, intent double, escalation double, include double, exclude double, risk boolean")
+    parts = {n: F.col(n) for n in ("intent", "escalation", "include", "exclude")}
+    got = {r.id: r.s for r in df.select("id", ev.answer_score(parts, F.col("risk")).alias("s")).collect()}
+    assert abs(got[1] - (0.4 + 0.1 + 0.15) / 0.75) < 1e-12 and got[2] == 0.0 and abs(got[3] - 0.6 * 0.4) < 1e-12
+    a = spark.createDataFrame([(1, "x", 1.0, True), (2, "x", 0.5, False), (3, None, 0.2, False), (9, "x", 0.0, False)], "id int, c string, score double, passed boolean")
+    b = spark.createDataFrame([(1, "x", 0.5, False), (2, "x", 0.5, False), (3, None, 0.9, True)], "id int, c string, score double, passed boolean")
+    got = {r.category: (r.n, r.a_better, r.b_better, r.ties, r.both_pass, r.both_fail, r.score_delta and round(r.score_delta, 6), r.decisive) for r in ev.compare_runs(a, b, "id", "c", ["score"]).collect()}
+    assert got == {"x": (2, 1, 0, 1, 0, 1, -0.25, 0.0), "": (1, 0, 1, 0, 0, 0, 0.7, 1.0), "TOTAL": (3, 1, 1, 1, 0, 1, round(0.2 / 3, 6), 0.5)}
+    values = spark.createDataFrame([(1, "ok", 0.9), (1, "late", 3.0), (2, "ok", 0.95)], "run int, metric string, value double")
+    out = {(r.level, r.run, r.metric): r for r in ev.gate_runs(values, [("ok", ">=", 0.9), ("late", "<=", 2.0)], 2).collect()}
+    assert out["run", 1, None].errors == ["late=3.0000 > 2.0000"] and out["run", 2, None].errors == ["late=missing > 2.0000"] and not out["overall", None, None].passed
+    assert (out["metric", None, "ok"].lowest, out["metric", None, "ok"].highest) == (0.9, 0.95)
+    fine = ev.gate_runs(values.filter("metric = 'ok'"), [("ok", ">=", 0.9)], 3).filter("level = 'overall'").first()
+    assert not fine.passed and fine.errors == ["runs=2 <> 3"] and ev.gate_runs(values.filter("metric = 'ok'"), [("ok", ">=", 0.9)], 2).filter("level = 'overall'").first().passed
+
+
+def test_repair_pack_of_confusions(spark):
+    failed = spark.createDataFrame([(1, "refund", "odd", True), (2, "refund", "odd", True), (3, "refund", "odd", False), (4, "refund", "other", True), (5, "bonus", "odd", True), (6, "refund", "odd", True), (7, "none", "odd", True)], "id long, gold string, pred string, request_ok boolean")
+    cases = spark.createDataFrame([(1, " where is it ", ["refund"]), (2, "  ", []), (5, "my bonus", ["missing"]), (7, "q", [])], "id long, query string, must array<string>")
+    say = lambda c: F.concat(F.lit("About "), F.col(c))
+    rows, counts = ev.confusion_pack(failed, cases, ["refund", "bonus"], "odd", say("gold"), say("pred"), ["{query}", "Please: {query}!"], 5)
+    got = sorted((r.row_id, r.prompt, r.chosen, r.rejected) for r in rows.collect())
+    assert got == [("dpo_refund_1_01", "where is it", "About refund", "About odd"), ("dpo_refund_1_02", "Please: where is it!", "About refund", "About odd"), ("sft_refund_1_01", "where is it", "About refund", None), ("sft_refund_1_02", "Please: where is it!", "About refund", None)]
+    assert {r.counter: r.n for r in counts.collect()} == {"missing_case": 1, "no_query": 1, "pool": 2, "quality": 1, "rows_sft": 2, "rows_dpo": 2}
+
+
 def test_commonest_run_of_characters():
     import random
     from collections import Counter
