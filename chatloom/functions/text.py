@@ -162,7 +162,18 @@ def windows(text: Column, term: str, left: int, right: int) -> Column:
     return F.when(F.contains(F.lower(text), F.lit(term)), F.transform(found, lambda w: F.replace(w, F.lit(pad), F.lit("")))).otherwise(F.array().cast("array<string>"))
 
 
-def meant(text: Column, term: str, negations: Sequence[str], left: int = 14, right: int = 18) -> Column:
-    """Whether a term occurs at least once without a negation in its window."""
+def meant(text: Column, term: str, negations: Sequence[str], left: int = 14, right: int = 18, actions: Sequence[str] = (), wide: tuple[int, int] = (18, 22), near: tuple[int, int] = (10, 8)) -> Column:
+    """Whether a term occurs at least once without a negation in its window. With actions, as for terms of promotion, one of them
+    must also be meant in the wider window around that occurrence: it occurs there without a negation near it."""
     pattern = "(?i)" + "|".join(negations)
-    return F.exists(windows(text, term, left, right), lambda w: ~w.rlike(pattern))
+    if not actions:
+        return F.exists(windows(text, term, left, right), lambda w: ~w.rlike(pattern))
+    both = F.arrays_zip(windows(text, term, left, right).alias("close"), windows(text, term, *wide).alias("around"))
+
+    def called(w: Column) -> Column:
+        any_ = F.lit(False)
+        for a in actions:
+            any_ = any_ | meant(w, a, negations, *near)
+        return any_
+
+    return F.exists(both, lambda w: ~w["close"].rlike(pattern) & called(w["around"]))

@@ -52,7 +52,7 @@ def gate_runs(values: DataFrame, thresholds: Sequence[tuple[str, str, float]], r
     asked = values.select("run").distinct().select("run", F.explode(gates).alias("g")).select("run", "g.*").join(values, ["run", "metric"], "left")
     kept = F.when(F.col("op") == ">=", F.col("value") >= F.col("threshold")).otherwise(F.col("value") <= F.col("threshold"))
     sign = F.when(F.col("op") == ">=", " < ").otherwise(" > ")
-    said = F.concat("metric", F.lit("="), F.coalesce(F.format_string("%.4f", "value"), F.lit("missing")), sign, F.format_string("%.4f", "threshold"))
+    said = F.concat("metric", F.lit("="), F.when(F.col("value").isNull(), "missing").otherwise(F.format_string("%.4f", "value")), sign, F.format_string("%.4f", "threshold"))
     errors = F.array_sort(F.collect_list(F.when(~F.coalesce(kept, F.lit(False)), said)))
     each = asked.groupBy("run").agg(errors.alias("errors"))
     none = F.lit(None)
@@ -78,6 +78,27 @@ def leak_summary(answers: DataFrame, category: str, flags: dict[str, Column], me
     return out.withColumn("category", F.coalesce("category", F.lit("TOTAL")))
 
 
+def field_completeness(rows: DataFrame, group: str, present: dict[str, Column], required: Column) -> DataFrame:
+    """(group, field, n, coverage, pass_rate): for each group and field how many rows require it and the share of those that have it; in
+    the row of no field, how many rows there are and the share that has all it requires. required is an array of names; null
+    asks for nothing."""
+    has = F.filter(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in present.items())), lambda x: x.isNotNull())
+    base = rows.select(F.col(group).alias(group), has.alias("has"), F.coalesce(required, F.array().cast("array<string>")).alias("required"))
+    one = lambda field, ok: F.struct(field.alias("field"), ok.cast("int").alias("ok"))
+    whole = F.array(one(F.lit(None).cast("string"), F.forall("required", lambda x: F.array_contains("has", x))))
+    spread = base.select(group, F.explode(F.concat(whole, F.transform("required", lambda x: one(x, F.array_contains("has", x))))).alias("x"))
+    return spread.groupBy(group, "x.field").agg(F.count("*").alias("n"), F.avg("x.ok").alias("rate"))
+
+
+def threshold_pack(scored: DataFrame, cases: DataFrame, gates: dict[str, float], answer: Column, forms: Sequence[tuple[str, str]]) -> DataFrame:
+    """(id, variant, prompt, answer, reasons): answers of which any gated column is under its threshold (null ones pass), joined to
+    their cases (id, query), one row for each form (variant, text with {query}); reasons are the names of the gates, in order."""
+    failed = F.filter(F.array(*(F.when(F.col(n) < t, F.lit(n)) for n, t in gates.items())), lambda x: x.isNotNull())
+    bad = scored.withColumn("reasons", failed).filter(F.size("reasons") > 0).join(cases.select("id", "query"), "id")
+    shown = F.array(*(F.struct(F.lit(v).alias("variant"), F.concat(F.lit(f.split("{query}")[0]), F.col("query"), F.lit(f.split("{query}")[1])).alias("prompt")) for v, f in forms))
+    return bad.select("id", "reasons", answer.alias("answer"), F.explode(shown).alias("f")).select("id", "f.variant", "f.prompt", "answer", "reasons")
+
+
 def confusion_pack(failures: DataFrame, cases: DataFrame, targets: Sequence, confusion, chosen: Column, rejected: Column, forms: Sequence[str], cap: int) -> tuple[DataFrame, DataFrame]:
     """Training rows that teach what was confused, and (counter, n) of what became of the failures.
 

@@ -20,6 +20,18 @@ def summary(events: DataFrame, start: str, end: str, ok: Column) -> DataFrame:
     return events.filter(inside).agg(F.count("*").alias("events"), F.count_if(ok).alias("ok"), F.count_distinct("user_id").alias("keys"), F.sum("value").alias("value"))
 
 
+def window_counters(events: DataFrame, start: str, end: str, names: dict[str, Column], flags: dict[str, Column], totals: dict[str, Column]) -> DataFrame:
+    """(kind, name, n) over the half-open window [start, end): how many events have each value of each named expression (null
+    ones count as "unknown"), how many have each flag (kind flag), and sums (kind total). One reading of the events."""
+    inside = (F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp"))
+    one = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"), n.cast("double").alias("n"))
+    said = [one(k, F.coalesce(c.cast("string"), F.lit("unknown")), F.lit(1)) for k, c in names.items()]
+    marked = [one("flag", F.lit(k), F.coalesce(c, F.lit(False)).cast("int")) for k, c in flags.items()]
+    summed = [one("total", F.lit(k), F.coalesce(c, F.lit(0))) for k, c in totals.items()]
+    rows = events.filter(inside).select(F.explode(F.array(*said, *marked, *summed)).alias("x"))
+    return rows.groupBy("x.kind", "x.name").agg(F.sum("x.n").alias("n"))
+
+
 def compare_windows(events: DataFrame, start: str, end: str, ok: Column) -> DataFrame:
     """Counts of a window and of the equally long one before it, with signed differences."""
     a, b = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")

@@ -291,12 +291,6 @@ def FBK1_counters(spark, d):
     return _pack(spark, d)[1]
 
 
-@query(f"""select doc_id, list_filter([case when gold <> pred then 'intent' end, case when n_chars < 200 then 'include' end], lambda x: x is not null) as reasons from ({_PREDS}) where gold <> pred or n_chars < 200""")
-def FBK2_threshold_repair(spark, d):
-    why = F.array(F.when(F.col("gold") != F.col("pred"), "intent"), F.when(F.col("n_chars") < 200, "include"))
-    return predictions(spark, d).select("doc_id", F.filter(why, lambda x: x.isNotNull()).alias("reasons")).filter("size(reasons) > 0")
-
-
 @query("""with p as (select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 as i, count(*) over (partition by lang) as n from documents where lang in ('es', 'fr')),
 k as (select lang, n, unnest(range(50)) as k from (select distinct lang, n from p))
 select k.lang, cast(k.k as int) as k, p.doc_id from k join p on p.lang = k.lang and p.i = cast(('0x' || md5(k.lang || ':' || k.k)[1:8]) as bigint) % k.n""")

@@ -88,6 +88,18 @@ def _scored(spark, d, every: int = 7):
     return p.withColumn("score", ev.answer_score({"intent": F.col("intent"), "escalation": F.col("esc"), "include": F.col("incl"), "exclude": F.col("excl")}, F.col("risk")))
 
 
+_PACK_FORMS = [("plain", "{query}"), ("polite", "Please: {query}"), ("again", "{query} Once more, please.")]
+
+
+@query(f"""with {_SCORED}, f as (select doc_id as id, list_filter([case when score < 0.8 then 'score' end, case when intent < 1 then 'intent' end, case when esc < 1 then 'esc' end, case when incl < 1 then 'incl' end], lambda x: x is not null) as reasons, gold, trim(string_split(text, chr(10))[1]) as query from sc)
+select id, v.variant, v.a || query || v.b as prompt, 'class ' || gold as answer, reasons from f, (values ('plain', '', ''), ('polite', 'Please: ', ''), ('again', '', ' Once more, please.')) v(variant, a, b) where len(reasons) > 0""")
+def FBK2_threshold_repair(spark, d):
+    """Answers under any gate (score, intent, escalation, include), three rows each."""
+    rows = _scored(spark, d).withColumn("id", F.col("doc_id"))
+    cases = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.trim(F.split("text", "\n")[0]).alias("query"))
+    return ev.threshold_pack(rows, cases, {"score": 0.8, "intent": 1.0, "esc": 1.0, "incl": 1.0}, F.concat(F.lit("class "), F.col("gold").cast("string")), _PACK_FORMS)
+
+
 @query(f"with {_SCORED} select doc_id, round(score, 4) as score from sc")
 def EVL9_answer_score(spark, d):
     return _scored(spark, d).select("doc_id", F.round("score", 4).alias("score"))
@@ -168,10 +180,19 @@ def EVL15_knowledge_score(spark, d):
     return _scored(spark, d).select("doc_id", r6(0.5 * F.col("incl") + 0.2 * F.col("excl") + 0.15 * F.col("intent") + 0.15 * F.when(F.col("risk"), 0).otherwise(1)).alias("score"))
 
 
-@query("""select event_type, round(avg(case when json_extract_string(props, '$.k') is not null then 1.0 else 0.0 end), 6) as k_rate, round(avg(case when value is not null then 1.0 else 0.0 end), 6) as value_rate from events group by event_type""")
+_K = "cast(json_extract_string(props, '$.k') as bigint)"
+
+
+@query(f"""with e as (select event_type, list_filter([case when {_K} >= 20 then 'k' end, case when value >= 5 then 'value' end, case when user_id % 4 > 0 then 'user' end], lambda x: x is not null) as has,
+list_concat(['k'], case when event_type = 'error' then ['value', 'user'] when user_id % 2 = 0 then ['user'] else [] end) as req from events),
+x as (select event_type, null as field, len(list_filter(req, lambda f: not list_contains(has, f))) = 0 as ok from e union all select event_type, f, list_contains(has, f) from (select event_type, has, unnest(req) as f from e))
+select event_type, field, count(*) as n, round(avg(ok::int), 6) as rate from x group by event_type, field""")
 def EVL16_field_completeness(spark, d):
-    rate = lambda c: r6(F.avg(F.when(c.isNotNull(), 1.0).otherwise(0.0)))
-    return table(spark, d, "events").groupBy("event_type").agg(rate(F.get_json_object("props", "$.k")).alias("k_rate"), rate(F.col("value")).alias("value_rate"))
+    """Fields of events: all need a k of 20 or more, errors a value and a user that is known, others of even users the latter."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    required = F.concat(F.array(F.lit("k")), F.when(F.col("event_type") == "error", F.array(F.lit("value"), F.lit("user"))).when(F.col("user_id") % 2 == 0, F.array(F.lit("user"))).otherwise(F.array().cast("array<string>")))
+    out = ev.field_completeness(table(spark, d, "events"), "event_type", {"k": k >= 20, "value": F.col("value") >= 5, "user": F.col("user_id") % 4 > 0}, required)
+    return out.withColumn("rate", r6(F.col("rate")))
 
 
 #: Three runs, with every seventh, fifth and third prediction flipped, and what each must keep.
@@ -221,6 +242,18 @@ def LOG1_window_summary(spark, d):
     return lg.summary(table(spark, d, "events"), _A, _B, _ok()).withColumn("value", r6(F.col("value")))
 
 
+_IN = f"from events where ts >= '{_A}' and ts < '{_B}'"
+
+
+@query(f"""with x as (select 'status' as kind, case when event_type = 'error' then 'error' else 'ok' end as name, 1.0::double as n {_IN} union all select 'route', event_type, 1 {_IN} union all select 'key', (user_id % 10)::varchar, 1 {_IN}
+union all select 'flag', 'slow', (value > 100)::int {_IN} union all select 'flag', 'traced', ({_K} >= 50)::int {_IN} union all select 'total', 'trace', {_K} {_IN}) select kind, name, sum(n) as n from x group by kind, name""")
+def LOG1_counters(spark, d):
+    """Events of the window by status, route and key group, with flags and the sum of traced steps."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    names = {"status": F.when(_ok(), "ok").otherwise("error"), "route": F.col("event_type"), "key": F.col("user_id") % 10}
+    return lg.window_counters(table(spark, d, "events"), _A, _B, names, {"slow": F.col("value") > 100, "traced": k >= 50}, {"trace": k})
+
+
 @query(f"""with c as (select count(*) filter (where ts >= '{_A}') as events, count(*) filter (where ts < '{_A}') as events_before, count(*) filter (where ts >= '{_A}' and event_type <> 'error') as ok, count(*) filter (where ts < '{_A}' and event_type <> 'error') as ok_before from events where ts >= '2024-01-05' and ts < '{_B}')
 select *, events - events_before as events_delta, ok - ok_before as ok_delta from c""")
 def LOG2_window_comparison(spark, d):

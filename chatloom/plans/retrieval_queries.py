@@ -10,8 +10,9 @@ from chatloom.operators import retrieval as rt
 from chatloom.operators.evidence import holding
 from chatloom.operators.numbering import numbered
 from chatloom.operators.storage import stored
+from chatloom.sources.io import page_titles, page_units
 
-from .common import sql_sentences, table
+from .common import sql_normalize, sql_sentences, table
 
 QUERIES, SQL = {}, {}
 
@@ -92,12 +93,25 @@ def IDX5_dense_projection(spark, d):
     return pj.project(ix, fitted).withColumn("explained", F.lit(fitted.share))
 
 
-@query("""with u as (select 'text' as modality, 'd' || doc_id as unit_id, source as source_file, text from documents union all select 'page', 'p' || page_id, url, html from pages)
-select modality, count(*) as units, count(distinct source_file) as sources, sum(length(text))::bigint as chars from u group by modality""")
+_PAGE_TEXT = sql_normalize("regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g')")
+_PAGE_TITLE = "trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1))"
+_PAGES = f"pg as (select page_id, url, case when {_PAGE_TITLE} <> '' then {_PAGE_TITLE} else url end as title, {_PAGE_TEXT} as text from pages), " + _CHUNKS.replace("c as (", "pc as (").replace("doc_id as id", "page_id as id").replace("from documents", "from pg")
+
+
+@query(f"""with {_CHUNKS}, {_PAGES}, dn as (select id, row_number() over (partition by id order by p.char_start) - 1 as n, p.chunk as text from c), pn as (select id, row_number() over (partition by id order by p.char_start) - 1 as n, p.chunk as text from pc)
+select 'text' as modality, 'text-' || dn.id || '-' || n as unit_id, source as source_file, md5(dn.text) as digest from dn join documents on doc_id = dn.id
+union all select 'image', 'image-' || page_id, url, md5(title) from pg union all select 'page', 'page-' || pn.id || '-' || n, url, md5(pn.text) from pn join pg on page_id = pn.id""")
 def IDX6_units(spark, d):
-    docs = table(spark, d, "documents").select(F.lit("text").alias("modality"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("unit_id"), F.col("source").alias("source_file"), "text")
-    pages = table(spark, d, "pages").select(F.lit("page").alias("modality"), F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("unit_id"), F.col("url").alias("source_file"), F.col("html").alias("text"))
-    return docs.unionByName(pages).groupBy("modality").agg(F.count("*").alias("units"), F.count_distinct("source_file").alias("sources"), F.sum(F.length("text")).alias("chars"))
+    """Chunks of documents, captions (titles) of pages and chunks of pages, in one table of units."""
+    docs = table(spark, d, "documents")
+    text = rt.chunks(docs, "doc_id", F.col("text")).join(docs.select(F.col("doc_id").alias("id"), "source"), "id")
+    pages = page_units(table(spark, d, "pages"))
+    titles = page_titles(table(spark, d, "pages")).select(F.lit("image").alias("modality"), F.concat(F.lit("image-"), F.col("page_id").cast("string")).alias("unit_id"), F.col("url").alias("source_file"), F.col("title").alias("text"))
+    units = rt.unit_union(
+        text.select(F.lit("text").alias("modality"), F.concat_ws("-", F.lit("text"), "id", "chunk_index").alias("unit_id"), F.col("source").alias("source_file"), F.col("chunk").alias("text")),
+        titles, pages.select(F.lit("page").alias("modality"), F.concat(F.lit("page-"), "unit_id").alias("unit_id"), F.col("source_url").alias("source_file"), "text"),
+    )
+    return units.select("modality", "unit_id", "source_file", F.md5("text").alias("digest"))
 
 
 @query(f"with {_CHUNKS} select 'all' as kind, '' as name, count(*) as chunks, count(distinct id) as texts from c union all select 'source', source, count(*), count(distinct id) from c join documents on doc_id = id group by source")

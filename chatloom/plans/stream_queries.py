@@ -12,6 +12,7 @@ from chatloom.sources.io import page_units
 from chatloom.streaming import streams
 
 from .common import chain_sql, sql_normalize, table
+from .retrieval_queries import _PAGES
 
 QUERIES, SQL = {}, {}
 
@@ -110,6 +111,6 @@ def STR5_cleaned_turns(spark, d):
     return _drained(spark, streams.cleaned(_fed(spark, turns), 7200.0).select("key", "role", F.length("text").alias("size")))
 
 
-@query(None)
+@query(f"with {_PAGES} select pc.id || '-' || (row_number() over (partition by pc.id order by p.char_start) - 1) as unit_id, pg.url as source_url, title, p.chunk as text from pc join pg on page_id = pc.id")
 def SRC5_page_units(spark, d):
     return page_units(table(spark, d, "pages"))

@@ -182,14 +182,24 @@ def FLT6_k_of_n(spark, d):
     return table(spark, d, "documents").select("doc_id", ql.ticket_like(_t(), "[A-Z]{2}[0-9]{5,}", ["license", "reserved", "password"], "[0-9]{13,19}").alias("ticket"))
 
 
-def _meant_sql(term: str, negations: str, left: int, right: int) -> str:
+def _meant_sql(term: str, negations: str, left: int, right: int, text: str = "text", actions: tuple[str, ...] = (), i: str = "i") -> str:
     n = len(term)
-    return f"len(list_filter(range(1, length(text) - {n} + 2), lambda i: substring(lower(text), i, {n}) = '{term}' and not regexp_matches(substring(text, greatest(i - {left}, 1), i - greatest(i - {left}, 1) + {n} + {right}), '(?i){negations}'))) > 0"
+    around = lambda a, b: f"substring({text}, greatest({i} - {a}, 1), {i} - greatest({i} - {a}, 1) + {n} + {b})"
+    called = " and (" + " or ".join(_meant_sql(x, negations, 10, 8, around(18, 22), i="j") for x in actions) + ")" if actions else ""
+    # none of the terms can overlap itself, so the parts between them tell their places
+    parts = f"string_split(lower({text}), '{term}')"
+    places = f"list_transform(range(1, len({parts})), lambda {i}k: cast(list_sum(list_transform(({parts})[1:{i}k], lambda {i}p: length({i}p))) + ({i}k - 1) * {n} + 1 as bigint))"
+    return f"len(list_filter({places}, lambda {i}: not regexp_matches({around(left, right)}, '(?i){negations}'){called})) > 0"
 
 
-@query("select doc_id, list_sort(list_filter([" + ", ".join(f"case when {_meant_sql(t, 'not|no |never|without', 14, 18)} then '{t}' end" for t in TERMS) + "], lambda x: x is not null)) as hits from documents")
+#: Terms that count as promotion, and what must be called for beside them.
+_PROMOTION, _ACTIONS = ("license", "reserved"), ("under", "all", "code")
+
+
+@query("select doc_id, list_sort(list_filter([" + ", ".join(f"case when {_meant_sql(t, 'not|no |never|without', 14, 18, actions=_ACTIONS if t in _PROMOTION else ())} then '{t}' end" for t in TERMS) + "], lambda x: x is not null)) as hits from documents")
 def FLT7_meant_terms(spark, d):
-    found = F.array(*(F.when(tx.meant(_t(), t, ["not", "no ", "never", "without"]), F.lit(t)) for t in TERMS))
+    """Terms that are meant; those of promotion only beside a call to act that isn't denied."""
+    found = F.array(*(F.when(tx.meant(_t(), t, ["not", "no ", "never", "without"], actions=_ACTIONS if t in _PROMOTION else ()), F.lit(t)) for t in TERMS))
     return table(spark, d, "documents").select("doc_id", F.array_sort(F.filter(found, lambda x: x.isNotNull())).alias("hits"))
 
 

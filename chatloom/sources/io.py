@@ -42,14 +42,18 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("source_file", kind.alias("source_type"), F.lit("doc").alias("unit_type"), F.lit("1").alias("unit_id"), normalize(F.col("value")).alias("text")).filter("text <> ''")
 
 
+def page_titles(pages: DataFrame) -> DataFrame:
+    """(page_id, url, title, text): scripts, styles and tags go, titles fall back to the address."""
+    plain = F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
+    title = F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return pages.select("page_id", "url", F.when(title != "", title).otherwise(F.col("url")).alias("title"), normalize(plain).alias("text"))
+
+
 def page_units(pages: DataFrame, size: int = 600, overlap: int = 120) -> DataFrame:
-    """(unit_id, source_url, title, text) of pages (page_id, url, html): scripts, styles and tags go, titles fall back to the
-    address."""
+    """(unit_id, source_url, title, text) of pages (page_id, url, html), in chunks of their texts."""
     from chatloom.operators.retrieval import chunks
 
-    plain = F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
-    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    rows = pages.select("page_id", "url", F.when(F.trim(title) != "", F.trim(title)).otherwise(F.col("url")).alias("title"), normalize(plain).alias("text"))
+    rows = page_titles(pages)
     return chunks(rows, "page_id", F.col("text"), size, overlap).join(rows.select(F.col("page_id").alias("id"), "url", "title"), "id").select(F.concat_ws("-", "id", "chunk_index").alias("unit_id"), F.col("url").alias("source_url"), "title", F.col("chunk").alias("text"))
 
 
