@@ -77,6 +77,19 @@ def drop_reason(turns: DataFrame, low: Sequence[str], least: int = 12, most: int
     return a.select("conv_id", reason.when(F.col("worthy") == 0, "low_value").when(F.col("longest") < shortest, "reply_too_short").alias("reason"))
 
 
+def turn_quality(turns: DataFrame, low: str, policy: str, least: int = 40, most: int = 1200) -> DataFrame:
+    """(conv_id, verdict, truncated, policy, chars): the first of no_user, no_reply, short_reply (one of under `least` characters),
+    low_value (all user texts match low) that holds, else ok; turns that are cut at `most` characters, whether a reply matches policy,
+    and the characters left."""
+    user, reply, size = F.col("role") == "user", F.col("role") == "assistant", F.length("text")
+    a = turns.groupBy("conv_id").agg(
+        F.count_if(user).alias("u"), F.count_if(reply).alias("r"), F.min(F.when(reply, size)).alias("least"), F.count_if(size > most).alias("truncated"), F.count_if(user & ~F.trim("text").rlike(low)).alias("worthy"),
+        F.coalesce(F.bool_or(reply & F.col("text").rlike(policy)), F.lit(False)).alias("policy"), F.sum(F.least(size, F.lit(most))).alias("chars"),
+    )
+    verdict = F.when(F.col("u") == 0, "no_user").when(F.col("r") == 0, "no_reply").when(F.coalesce("least", F.lit(0)) < least, "short_reply").when(F.col("worthy") == 0, "low_value").otherwise("ok")
+    return a.select("conv_id", verdict.alias("verdict"), "truncated", "policy", "chars")
+
+
 def dialogue_hash(turns: DataFrame, numbers: bool = True, size: int = 20, segment: int = 1000) -> DataFrame:
     """(conv_id, hash): sha256 prefix over the turns in order, as role:text lower-cased, with white space collapsed and digits as
     <NUM>.

@@ -24,6 +24,19 @@ def share_of_terms(text: Column, terms: Column, empty: float = 1.0) -> Column:
     return F.when(F.size(terms) > 0, F.size(F.filter(terms, lambda t: F.contains(text, t))) / F.size(terms)).otherwise(F.lit(empty))
 
 
+def rubric_share(text: Column, groups: Sequence[Sequence[str]]) -> Column:
+    """The share of groups of terms of which a text has one, whatever the case; 0 for a null text."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    hit = lambda g: F.exists(F.array(*map(F.lit, g)), lambda t: F.contains(low, t)).cast("int")
+    return sum((hit(g) for g in groups), F.lit(0)) / F.lit(float(len(groups)))
+
+
+def rubric_summary(rows: DataFrame, dimension: str) -> DataFrame:
+    """By dimension, of scores a and b: n, the means score and score_b, full_hits (a is 1), wins, wins_b and ties."""
+    a, b = F.col("a"), F.col("b")
+    return rows.groupBy(dimension).agg(F.count("*").alias("n"), F.avg("a").alias("score"), F.avg("b").alias("score_b"), F.count_if(a == 1).alias("full_hits"), F.count_if(a > b).alias("wins"), F.count_if(b > a).alias("wins_b"), F.count_if(a == b).alias("ties"))
+
+
 def compare_runs(a: DataFrame, b: DataFrame, id_col: str, category: str, metrics: Sequence[str], score: str = "score", passed: str = "passed", near: float = 1e-9) -> DataFrame:
     """Two runs of the same cases, by category and in all (TOTAL): n, a_better, b_better, ties, both_pass, both_fail, the change of
     each metric's mean from a to b, and decisive, the share of b among cases that aren't ties (null if all are).
@@ -78,6 +91,14 @@ def leak_summary(answers: DataFrame, category: str, flags: dict[str, Column], me
     return out.withColumn("category", F.coalesce("category", F.lit("TOTAL")))
 
 
+def distilled(teacher: DataFrame, student: DataFrame, id_col: str, least: float = 0.75, gap: float = 0.2, weights: tuple[int, int] = (4, 2)) -> DataFrame:
+    """(id, weight) of teacher's rows (id, teacher, answer) beside a student's (id, student): the first weight where the student scores
+    under `least` or `gap` or more below the teacher, else the second. A missing student scores 0; empty answers drop out."""
+    s = F.coalesce("student", F.lit(0.0))
+    rows = teacher.filter(F.trim(F.coalesce("answer", F.lit(""))) != "").join(student, id_col, "left")
+    return rows.select(id_col, F.when((s < least) | (F.col("teacher") - s >= gap), weights[0]).otherwise(weights[1]).alias("weight"))
+
+
 def field_completeness(rows: DataFrame, group: str, present: dict[str, Column], required: Column) -> DataFrame:
     """(group, field, n, coverage, pass_rate): for each group and field how many rows require it and the share of those that have it; in
     the row of no field, how many rows there are and the share that has all it requires. required is an array of names; null

@@ -111,19 +111,32 @@ def denied(rows: DataFrame, deny: DataFrame, key: str) -> DataFrame:
     return rows.join(deny.select(key).distinct(), key, "left_anti")
 
 
-def best_lines(rows: DataFrame, id_col: str, text: Column, words: Sequence[str], least: int = 8, share: float = 0.45, take: int = 8) -> DataFrame:
+def best_lines(rows: DataFrame, id_col: str, text: Column, words: Sequence[str], least: int = 8, share: float = 0.45, take: int = 8, letters: int = 6, banned: str = "(?!)") -> DataFrame:
     """Texts curated to their `take` most relevant lines: (id, kept, hits, reason).
 
-    Lines need `least` characters and a share of letters; they are ordered by keyword hits, then length, then place. A text
-    without lines is no_lines, one with under two hits low_relevance, else ok.
+    Lines need `least` characters, so many letters and a share of them, and nothing banned; they are ordered by keyword hits, then
+    length, then place. A text with a banned line is banned, one without lines no_lines, one with under two hits low_relevance,
+    else ok.
     """
     from pyspark.sql import Window
 
     pattern = "(?i)" + "|".join(words)
     spread = rows.select(F.col(id_col).alias("id"), F.posexplode_outer(tx.lines(text)).alias("at", "line"))
-    spread = spread.withColumn("fine", (F.length("line") >= least) & (F.regexp_count("line", F.lit(r"\p{L}")) >= share * F.length(tx.squeeze(F.col("line")))))
+    found = F.regexp_count("line", F.lit(r"\p{L}"))
+    spread = spread.withColumn("bad", F.coalesce(F.col("line").rlike(banned), F.lit(False)))
+    spread = spread.withColumn("fine", (F.length("line") >= least) & (found >= letters) & (found >= share * F.length(tx.squeeze(F.col("line")))) & ~F.col("bad"))
     spread = spread.withColumn("n", F.when(F.col("fine"), F.regexp_count("line", F.lit(pattern))).otherwise(0))
     order = Window.partitionBy("id").orderBy(F.desc(F.coalesce("fine", F.lit(False))), F.desc("n"), F.desc(F.length("line")), "at")
-    top = spread.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= take)
-    out = top.groupBy("id").agg(F.count_if("fine").alias("kept"), F.sum("n").alias("hits"))
-    return out.withColumn("reason", F.when(F.col("kept") == 0, "no_lines").when(F.col("hits") < 2, "low_relevance").otherwise("ok"))
+    top = spread.withColumn("any", F.max("bad").over(Window.partitionBy("id"))).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= take)
+    out = top.groupBy("id").agg(F.count_if("fine").alias("kept"), F.sum("n").alias("hits"), F.bool_or("any").alias("any"))
+    return out.select("id", "kept", "hits", F.when(F.col("any"), "banned").when(F.col("kept") == 0, "no_lines").when(F.col("hits") < 2, "low_relevance").otherwise("ok").alias("reason"))
+
+
+def contaminated(rows: DataFrame, id_col: str, text: Column, groups: dict[str, Sequence[str]], prefix: str, least: int = 4) -> DataFrame:
+    """(id, groups, terms, repeated, prefixed, contaminated): the groups with a keyword in a text and the keywords, whether two of its
+    lines of at least `least` characters are the same, whether it begins with the pattern prefix, and whether it is any of these."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    found = F.filter(F.array(*(F.struct(F.lit(g).alias("g"), F.lit(k).alias("k")) for g, ks in groups.items() for k in ks)), lambda x: F.contains(low, x["k"]))
+    lines = F.filter(tx.lines(F.coalesce(text, F.lit(""))), lambda x: F.length(x) >= least)
+    out = rows.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(F.transform(found, lambda x: x["g"]))).alias("groups"), F.array_sort(F.transform(found, lambda x: x["k"])).alias("terms"), (F.size(lines) > F.size(F.array_distinct(lines))).alias("repeated"), F.coalesce(F.ltrim(text).rlike("^(?:" + prefix + ")"), F.lit(False)).alias("prefixed"))
+    return out.withColumn("contaminated", (F.size("groups") > 0) | F.col("repeated") | F.col("prefixed"))

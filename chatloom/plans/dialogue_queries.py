@@ -118,12 +118,14 @@ def FLT11_drop_reason(spark, d):
     return dl.drop_reason(table(spark, d, "conversations"), ["ok", "hi", "thanks"], shortest=40)
 
 
-@query("""select conv_id, count(*) filter (where role = 'user') > 0 and count(*) filter (where role = 'assistant') > 0 and coalesce(min(case when role = 'assistant' then length(text) end), 0) >= 40 as good,
-count(*) filter (where length(text) > 1200) as truncated from conversations group by conv_id""")
+_LOW, _POLICY = "(?i)^[a-z ]{0,24}[.!]?$", "(?i)license|reserved|not in"
+
+
+@query(f"""with q as (select conv_id, count(*) filter (where role = 'user') as u, count(*) filter (where role = 'assistant') as r, min(case when role = 'assistant' then length(text) end) as least, count(*) filter (where length(text) > 300) as truncated,
+count(*) filter (where role = 'user' and not regexp_matches(trim(text), '{_LOW}')) as worthy, coalesce(bool_or(role = 'assistant' and regexp_matches(text, '{_POLICY}')), false) as policy, sum(least(length(text), 300))::bigint as chars from conversations group by conv_id)
+select conv_id, case when u = 0 then 'no_user' when r = 0 then 'no_reply' when coalesce(least, 0) < 40 then 'short_reply' when worthy = 0 then 'low_value' else 'ok' end as verdict, truncated, policy, chars from q""")
 def FLT16_turn_quality(spark, d):
-    reply = F.col("role") == "assistant"
-    a = table(spark, d, "conversations").groupBy("conv_id").agg(F.count_if(F.col("role") == "user").alias("u"), F.count_if(reply).alias("r"), F.min(F.when(reply, F.length("text"))).alias("least"), F.count_if(F.length("text") > 1200).alias("truncated"))
-    return a.select("conv_id", ((F.col("u") > 0) & (F.col("r") > 0) & (F.coalesce("least", F.lit(0)) >= 40)).alias("good"), "truncated")
+    return dl.turn_quality(table(spark, d, "conversations"), _LOW, _POLICY, 40, 300)
 
 
 @query("""select conv_id, coalesce(bool_or(role <> 'system' and regexp_matches(text, '(?i)ignore (all|previous)|system prompt')), false) as injection,
@@ -312,10 +314,12 @@ def FBK4_contrast_pairs(spark, d):
     return pool.filter("lang = 'es'").select("k", F.col("doc_id").alias("left_id")).join(pool.filter("lang = 'fr'").select("k", F.col("doc_id").alias("right_id")), "k")
 
 
-@query("""with t as (select doc_id, 0.5 + quality * 0.4 as teacher from labels), s as (select doc_id, (n_chars % 100) / 100.0 as student from documents)
+@query("""with t as (select l.doc_id, 0.5 + quality * 0.4 as teacher from labels l join documents d using (doc_id) where l.doc_id % 9 <> 0 and trim(string_split(text, chr(10))[1]) <> ''), s as (select doc_id, (n_chars % 100) / 100.0 as student from documents where doc_id % 5 <> 0)
 select t.doc_id, case when coalesce(student, 0) < 0.75 or teacher - coalesce(student, 0) >= 0.2 then 4 else 2 end as weight from t left join s using (doc_id)""")
 def FBK5_teacher_student(spark, d):
-    teacher = table(spark, d, "labels").select("doc_id", (F.lit(0.5) + F.col("quality") * 0.4).alias("teacher"))
-    student = table(spark, d, "documents").select("doc_id", ((F.col("n_chars") % 100) / 100.0).alias("student"))
-    s = F.coalesce("student", F.lit(0.0))
-    return teacher.join(student, "doc_id", "left").select("doc_id", F.when((s < 0.75) | (F.col("teacher") - s >= 0.2), 4).otherwise(2).alias("weight"))
+    """Teacher's answers, of which every ninth is empty and drops out, beside a student's scores, of which every fifth is missing."""
+    docs = table(spark, d, "documents")
+    answer = docs.select("doc_id", F.when(F.col("doc_id") % 9 == 0, " ").otherwise(F.split("text", "\n")[0]).alias("answer"))
+    teacher = table(spark, d, "labels").select("doc_id", (F.lit(0.5) + F.col("quality") * 0.4).alias("teacher")).join(answer, "doc_id")
+    student = docs.filter("doc_id % 5 <> 0").select("doc_id", ((F.col("n_chars") % 100) / 100.0).alias("student"))
+    return ev.distilled(teacher, student, "doc_id")

@@ -62,12 +62,19 @@ def EVL6_percentiles(spark, d):
     return near.join(linear, "event_type").select("event_type", r6(F.col("nearest")).alias("nearest"), r6(F.col("linear")).alias("linear"))
 
 
-@query("""with g as (select doc_id, source, (case when regexp_matches(lower(text), 'license|copyright') then 1 else 0 end + case when regexp_matches(lower(text), 'the|der|que') then 1 else 0 end) / 2.0::double as score from documents)
-select source, round(avg(score), 6) as score, count(*) filter (where score = 1) as full_hits from g group by source""")
+_RUBRIC = [["license", "copyright"], ["the", "der", "que"]]
+
+
+def _rubric_sql(x: str) -> str:
+    return "(" + " + ".join(f"case when regexp_matches(lower({x}), '{'|'.join(g)}') then 1 else 0 end" for g in _RUBRIC) + f") / {len(_RUBRIC)}.0::double"
+
+
+@query(f"""with g as (select source, {_rubric_sql('text')} as a, {_rubric_sql('string_split(text, chr(10))[1]')} as b from documents)
+select source, count(*) as n, round(avg(a), 6) as score, round(avg(b), 6) as score_b, count(*) filter (where a = 1) as full_hits, count(*) filter (where a > b) as wins, count(*) filter (where b > a) as wins_b, count(*) filter (where a = b) as ties from g group by source""")
 def EVL8_rubric(spark, d):
-    t = F.lower("text")
-    score = (F.when(t.rlike("license|copyright"), 1).otherwise(0) + F.when(t.rlike("the|der|que"), 1).otherwise(0)) / 2.0
-    return table(spark, d, "documents").select("source", score.alias("s")).groupBy("source").agg(r6(F.avg("s")).alias("score"), F.count_if(F.col("s") == 1).alias("full_hits"))
+    """Whole texts beside their first lines, by the groups of words that they have one of."""
+    docs = table(spark, d, "documents").select("source", ev.rubric_share(F.col("text"), _RUBRIC).alias("a"), ev.rubric_share(F.split("text", "\n")[0], _RUBRIC).alias("b"))
+    return ev.rubric_summary(docs, "source").select("source", "n", r6(F.col("score")).alias("score"), r6(F.col("score_b")).alias("score_b"), "full_hits", "wins", "wins_b", "ties")
 
 
 def _scored_sql(every: int = 7, x: str = "") -> str:

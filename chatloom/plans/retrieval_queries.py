@@ -280,10 +280,14 @@ def RET12_modalities(spark, d):
     return rt.with_modality(asked, units, _lexical(spark, d, 20), seen, 5)
 
 
-@query("select item_id, case when regexp_matches(lower(text), '(the|and).*(the|and)') then greatest(5, 8) else 5 end as top_k, case when regexp_matches(lower(text), '(the|and).*(the|and)') then 80 else 40 end as candidate_k from benchmark")
+_MULTI = "(?is)(the|and).*(the|and)"
+
+
+@query(f"select item_id, case when m then 8 else 5 end as top_k, case when m then 80 else 40 end as candidate_k, m as diversity, case when m then 1 else 2 end as per_source from (select item_id, regexp_matches(text, '{_MULTI}') as m from benchmark)")
 def RET11_profile(spark, d):
-    multi = F.lower("text").rlike("(the|and).*(the|and)")
-    return table(spark, d, "benchmark").select("item_id", F.when(multi, 8).otherwise(5).alias("top_k"), F.when(multi, 80).otherwise(40).alias("candidate_k"))
+    """Parameters of each query: those that ask for several things look further and spread over sources."""
+    p = rt.profile(F.col("text"), _MULTI)
+    return table(spark, d, "benchmark").select("item_id", p.alias("p")).select("item_id", "p.*")
 
 
 @query(f"with {_LEX} select query_id, string_agg('[' || rank || '] ' || text[1:200], chr(10) order by rank) as context from rk join documents on doc_id = id where rank <= 5 group by query_id")
@@ -294,14 +298,15 @@ def RET14_context(spark, d):
 _GLOSSARY = [("apache license", "apache"), ("license", "licence"), ("password", "secret"), ("idiot", "insult")]
 
 
-@query("with g(alias, term) as (values " + ", ".join(map(str, _GLOSSARY)) + """), h as (select doc_id, alias, term, row_number() over (partition by doc_id, term order by length(alias) desc, alias) as n from documents, g where contains(lower(text), alias)),
+_ASKS = "(?i)(what|the|der|que) "
+
+
+@query("with g(alias, term) as (values " + ", ".join(map(str, _GLOSSARY)) + f"""), h as (select doc_id, alias, term, row_number() over (partition by doc_id, term order by length(alias) desc, alias) as n from documents, g where contains(lower(text), alias) and regexp_matches(text, '{_ASKS}')),
 r as (select *, row_number() over (partition by doc_id order by length(alias) desc, alias) as rank from h where n = 1)
 select doc_id, cast(rank as int) as rank, alias, term from r where rank <= 4""")
 def RET15_glossary(spark, d):
-    entries = F.array(*(F.struct(F.lit(a).alias("alias"), F.lit(t).alias("term")) for a, t in sorted(_GLOSSARY, key=lambda g: (-len(g[0]), g[0]))))
-    found = F.filter(entries, lambda g: F.contains(F.lower("text"), g["alias"]))
-    one = F.filter(found, lambda g, i: F.array_position(F.transform(found, lambda x: x["term"]), g["term"]) == i + 1)
-    return table(spark, d, "documents").select("doc_id", F.posexplode(F.slice(one, 1, 4)).alias("i", "g")).select("doc_id", (F.col("i") + 1).alias("rank"), "g.alias", "g.term")
+    """Entries for texts that ask for a definition."""
+    return rt.glossary(table(spark, d, "documents").withColumnRenamed("doc_id", "id"), F.col("text"), _GLOSSARY, _ASKS).withColumnRenamed("id", "doc_id")
 
 
 _SQUEEZED = "regexp_replace({}, '[ \\t\\n\\x0B\\f\\r\\x{{A0}}\\x{{3000}}]+', '', 'g')".format

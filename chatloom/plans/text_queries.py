@@ -216,6 +216,18 @@ def FLT9_keyword_audit(spark, d):
     return ql.keyword_audit(table(spark, d, "documents"), _t(), _GROUPS)
 
 
+_HELD = "list_filter([" + ", ".join(f"case when contains(lower(text), '{k}') then '{g}' end" for g, ks in _GROUPS.items() for k in ks) + "], lambda x: x is not null)"
+_TOLD = "list_filter([" + ", ".join(f"case when contains(lower(text), '{k}') then '{k}' end" for ks in _GROUPS.values() for k in ks) + "], lambda x: x is not null)"
+_LONG = f"list_filter({sql_lines('text')}, lambda x: length(x) >= 4)"
+
+
+@query(f"""with a as (select doc_id as id, list_sort(list_distinct({_HELD})) as groups, list_sort({_TOLD}) as terms, len({_LONG}) > len(list_distinct({_LONG})) as repeated, regexp_matches(ltrim(text), '^(?:Analysis|The |Der )') as prefixed from documents)
+select *, len(groups) > 0 or repeated or prefixed as contaminated from a""")
+def FLT9_contaminated(spark, d):
+    """Texts that hold a keyword, repeat a line or begin with a prefix."""
+    return ql.contaminated(table(spark, d, "documents"), "doc_id", _t(), _GROUPS, "Analysis|The |Der ")
+
+
 @query("""select conv_id, turn, regexp_matches(trim(string_split(text, chr(10))[1]), '^(The|In|Of)[a-z]*') as prefix, regexp_matches(text, '(?i)</?think>') as leak from conversations""")
 def FLT10_prefix_leak(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.trim(F.split(_t(), "\n")[0]).rlike("^(The|In|Of)[a-z]*").alias("prefix"), _t().rlike("(?i)</?think>").alias("leak"))
@@ -236,13 +248,13 @@ def FLT14_page_gate(spark, d):
 
 
 @query(f"""with x as (select doc_id as id, unnest(case when len({sql_lines('text')}) = 0 then [null] else {sql_lines('text')} end) as line, generate_subscripts(case when len({sql_lines('text')}) = 0 then [null] else {sql_lines('text')} end, 1) as pos from documents),
-f as (select *, length(line) >= 8 and len(regexp_extract_all(line, '\\p{{L}}')) >= 0.45 * length({sql_squeeze('line')}) as fine from x),
+f as (select *, coalesce(regexp_matches(line, 'idiot|!!'), false) as bad, length(line) >= 8 and len(regexp_extract_all(line, '\\p{{L}}')) >= 6 and not regexp_matches(line, 'idiot|!!') and len(regexp_extract_all(line, '\\p{{L}}')) >= 0.45 * length({sql_squeeze('line')}) as fine from x),
 n as (select *, case when fine then len(regexp_extract_all(line, '(?i)the|der|que')) else 0 end as n from f),
-r as (select *, row_number() over (partition by id order by coalesce(fine, false) desc, n desc, length(line) desc, pos) as rank from n),
-o as (select id, count(*) filter (where fine) as kept, cast(sum(n) as bigint) as hits from r where rank <= 8 group by id)
-select *, case when kept = 0 then 'no_lines' when hits < 2 then 'low_relevance' else 'ok' end as reason from o""")
+r as (select *, bool_or(bad) over (partition by id) as banned, row_number() over (partition by id order by coalesce(fine, false) desc, n desc, length(line) desc, pos) as rank from n),
+o as (select id, count(*) filter (where fine) as kept, cast(sum(n) as bigint) as hits, bool_or(banned) as banned from r where rank <= 8 group by id)
+select id, kept, hits, case when banned then 'banned' when kept = 0 then 'no_lines' when hits < 2 then 'low_relevance' else 'ok' end as reason from o""")
 def FLT17_best_lines(spark, d):
-    return ql.best_lines(table(spark, d, "documents"), "doc_id", _t(), ["the", "der", "que"])
+    return ql.best_lines(table(spark, d, "documents"), "doc_id", _t(), ["the", "der", "que"], banned="idiot|!!")
 
 
 @query("""select event_id, list_filter([case when list_sort(json_keys(props)) <> ['k'] then 'keys' end, case when event_type not in ('click', 'purchase', 'signup', 'view') then 'type' end, case when value is null then 'value' end], lambda x: x is not null) as violations from events""")
