@@ -11,7 +11,7 @@ from chatloom.operators import retrieval as rt
 
 
 def test_promotion_is_meant_beside_a_call_to_act(spark):
-    said = {"join now for a bonus": True, "a bonus exists": False, "never join for a bonus": False, "do not take a bonus": False, "bonus. then much later, far from it, join": False, "take the bonus, join us": True, "no bonus here; join for some more bonus": True, "": False}
+    said = {"join now for a bonus": True, "a bonus exists": False, "never join for a bonus": False, "do not take a bonus": False, "bonus. then much later, far from it, join": False, "take the bonus, join us": True, "no bonus; join for a bonus": True, "": False}
     df = spark.createDataFrame([(t, w) for t, w in said.items()], "t string, want boolean").select("*", tx.meant(F.col("t"), "bonus", ["not", "no ", "never"], 8, 4, ["join"]).alias("got"))
     assert [(r.t, r.got) for r in df.collect() if r.got != r.want] == []
 
