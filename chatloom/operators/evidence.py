@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .storage import reachable
+
 #: Characters of passages that an automaton is made of, about, at most; of more, several are made, and texts are read for each.
 MOST = 8_000_000
 
@@ -20,6 +22,7 @@ def holding(texts: DataFrame, passages: DataFrame, most: int = MOST) -> DataFram
     Null and empty passages stand nowhere, null texts hold none. Equal passages of several keys are found for each, and a
     passage within another as well.
     """
+    reachable(texts.sparkSession)
     wanted = passages.select("key", F.col("passage").cast("string").alias("passage")).filter("length(passage) > 0")
     blocks = max(1, -(-(wanted.agg(F.sum(F.length("passage"))).first()[0] or 0) // most))
     kinds = {"key": wanted.schema["key"].dataType, "id": texts.schema["id"].dataType}

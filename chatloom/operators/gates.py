@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import reachable, stored
 
 #: Events in a slice.
 SLICE = 4096
@@ -123,6 +123,7 @@ def gated(events: DataFrame, id_col: str, key: str, at: Column, seconds: float,
 
     Events without a time are rejected. A null key is one key. An empty table stays empty.
     """
+    reachable(events.sparkSession)
     span = round(seconds * 1_000_000)
     rows = events.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.round(at * 1_000_000).cast("long").alias("at"))
     order = [F.asc_nulls_first("key"), F.asc("at"), F.asc_nulls_first("id")]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import reachable, stored
 
 #: Postings in a block, about how many in a part of a term, blocks of a query that its first bound is taken from.
 BLOCK, PART, SEEDS = 1024, 65_536, 8
@@ -59,6 +59,7 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
 
 def posting_blocks(index: DataFrame, size: int = BLOCK, part: int = PART) -> DataFrame:
     """(term, part, block, top, size, ids, weights) of an index (id, term, weight). A term in most rows has many parts."""
+    reachable(index.sparkSession)
     many = stored(index.groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") > part).select("term", F.ceil(F.col("n") / part).cast("int").alias("parts")), "long-postings")
     # terms with more postings than a part are fewer than postings over the size of a part; a hash deals theirs before they meet
     split = index.join(F.broadcast(many), "term", "left") if many.count() <= 1_000_000 else index.join(many, "term", "left")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import reachable, stored
 
 #: Entries of sparse rows that are multiplied at once; terms in a slice of sums.
 ENTRIES, SLICE = 50_000, 1024
@@ -32,6 +32,7 @@ class Projection:
 
 def _encoded(index: DataFrame, terms: DataFrame) -> DataFrame:
     """(id, x): the entries (place, weight) of each row of (id, term, weight) whose terms are known."""
+    reachable(index.sparkSession)
     return index.join(F.broadcast(terms), "term").groupBy("id").agg(F.collect_list(F.struct("place", F.col("weight").cast("double").alias("weight"))).alias("x"))
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import text as tx
 
+from .storage import reachable
+
 
 #: Hashes of n-grams that are sorted at once; a longer text takes several passes, each over the grams of some hashes.
 HELD = 4_000_000
@@ -48,6 +50,8 @@ def commonest(squeezed: Column, n: int) -> Column:
     """How often the commonest of a text's character n-grams, told by 64-bit hashes, occurs; null for texts shorter than n. Grams of
     a text are hashed and sorted in arrays of bounded size; texts pass to Python in batches."""
 
+    reachable()
+
     @F.pandas_udf("long")
     def most(texts: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else most_of_one(t, n) for t in texts], dtype="Int64")

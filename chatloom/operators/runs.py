@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import reachable, stored
 
 _SHIFT = 33
 
@@ -21,6 +21,7 @@ _SHIFT = 33
 def in_order(turns: DataFrame) -> DataFrame:
     """(pos, conv_id, turn, role, text) with pos rising by conversation and turn; its upper bits tell the partition. Not stored: to be
     walked where it was sorted."""
+    reachable(turns.sparkSession)
     order = [F.asc_nulls_first(c) for c in ("conv_id", "turn")]
     rows = turns.select("conv_id", "turn", "role", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     return rows.select(F.monotonically_increasing_id().alias("pos"), "*")

@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def reachable(spark: SparkSession | None = None) -> None:
+    """Send the package to the executors if their Python can't find it by itself; to be called before functions that run there are
+    made. Without a session, the active one is meant."""
+    spark = spark or SparkSession.getActiveSession()
+    here = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(":") if p} | {os.path.realpath(os.getcwd())}
+    if spark is None or os.path.realpath(ROOT) in here or getattr(spark.sparkContext, "_chatloom_sent", False):
+        return
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "chatloom"), "zip", ROOT, "chatloom"))
+    spark.sparkContext._chatloom_sent = True
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:

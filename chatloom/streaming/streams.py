@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from chatloom.functions.text import normalize
+from chatloom.operators.storage import reachable
 
 
 def audit_counts(events: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
@@ -80,6 +81,7 @@ class _InOrder(StatefulProcessor):
 
 def _in_order(rows: DataFrame, late: str, slot: float, decide, expires, shape: str) -> DataFrame:
     """rows (ts, key, id, flag, payload) through _InOrder; shape begins with the key."""
+    reachable(rows.sparkSession)
     columns = [c.split()[0] for c in shape.split(", ")]
     # the only store that has timers and maps; a query keeps the one it was started with
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
