@@ -262,7 +262,7 @@ def predictions(spark, d, every: int = 7):
 
 
 #: Cases lack every eleventh id; every thirteenth has an empty query; English ones and every fourth other must name a term.
-_FORMS, _CAP = ("{query}", "Please help: {query}"), 20
+_ASK_FORMS, _CAP = ("{query}", "Please help: {query}"), 20
 _PACK = f"""fl as (select doc_id as id, gold, pred, n_chars >= 30 as ok from ({_PREDS}) where gold = 1 and pred = 0),
 cs as (select doc_id as id, trim(case when doc_id % 13 = 0 then ' ' else string_split(text, chr(10))[1] end) as query, case when lang = 'en' then ['class', 'nowhere'] when doc_id % 4 = 0 then ['nowhere'] else [] end as must from documents where doc_id % 11 <> 0),
 jo as (select fl.id, gold, pred, query, must, case when cs.id is null then 'missing_case' when coalesce(query, '') = '' then 'no_query' else 'pool' end as fate from (select * from fl where ok) fl left join cs using (id)),
@@ -278,7 +278,7 @@ def _pack(spark, d):
     query = F.when(F.col("doc_id") % 13 == 0, " ").otherwise(F.split("text", "\n")[0])
     cases = table(spark, d, "documents").filter("doc_id % 11 <> 0").select(F.col("doc_id").alias("id"), query.alias("query"), must.alias("must"))
     reply = lambda c: F.concat(F.lit("This is of class "), F.col(c).cast("string"), F.lit("."))
-    return ev.confusion_pack(failed, cases, [1], 0, reply("gold"), reply("pred"), _FORMS, _CAP)
+    return ev.confusion_pack(failed, cases, [1], 0, reply("gold"), reply("pred"), _ASK_FORMS, _CAP)
 
 
 @query(f"with {_PACK} select * from ro")

@@ -537,3 +537,10 @@ def test_quantiles_equal_sorting(spark):
     assert set(got) == set(groups) == set(near)
     for g, v in groups.items():
         assert np.allclose(got[g], np.quantile(v, [0.5, 0.95])) and near[g] == np.sort(v)[round(0.9 * (len(v) - 1))]
+
+
+def test_variants_of_the_registered_query_keep_their_forms(spark):
+    from chatloom.plans import dialogue_queries
+
+    assert all(len(form) == 2 for form in dialogue_queries._FORMS)
+    assert {name for name, _ in dialogue_queries._FORMS} == {"plain", "please", "short"}
