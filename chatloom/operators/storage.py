@@ -35,3 +35,9 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = f"{folder}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out evenly where it has fewer partitions than there are cores, as a table in one small file has."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

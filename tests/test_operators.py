@@ -551,3 +551,35 @@ def test_glossary_without_a_pattern_takes_every_text(spark):
     entries = [("license", "licence")]
     assert {r.id for r in rt.glossary(rows, F.col("text"), entries).collect()} == {1, 2}
     assert {r.id for r in rt.glossary(rows, F.col("text"), entries, "(?i)what ").collect()} == {2}
+
+
+def test_scan_in_blocks_equals_brute_force(spark):
+    from chatloom.operators import scanning
+
+    rng = np.random.default_rng(3)
+    a, b = (np.round(rng.random((n, 12)) * (rng.random((n, 12)) < 0.5), 1) for n in (9, 300))
+    long = lambda m, names: spark.createDataFrame([(i, f"t{j}", float(m[i, j])) for i, j in zip(*map(list, np.nonzero(m))) for i, j in [(int(i), int(j))]], names)  # noqa: B905, E731
+    q, rows = long(a, ["query_id", "term", "qw"]), rt.rows_of(long(b, ["id", "term", "weight"]))
+    score = np.round(a @ b.T, 9)
+    want = {(i, int(j)) for i in range(9) for j in np.lexsort((np.arange(300), -score[i]))[:7] if score[i, j] > 0}
+    for block, entries in ((256, 50_000), (2, 50_000), (256, 11)):
+        got = rt.top(scanning.scan(q, rows, 7, block=block, entries=entries), "query_id", "score", "id", 7)
+        assert {(r.query_id, r.id) for r in got.collect()} == want
+    assert rt.lexical(q.toDF("id", "term", "weight"), rows.filter("id < 0"), 3).count() == 0
+
+
+def test_index_by_row_holds_the_same_weights(spark):
+    rows = spark.createDataFrame([(1, "a b b"), (2, "b c"), (3, ""), (4, None)], "id long, text string")
+    found = rt.words(F.col("text"), 1)
+    long, by_row = rt.tfidf(rows, "id", found)[0], rt.tfidf(rows, "id", found, by_row=True)[0]
+    flat = by_row.select("id", F.explode("x").alias("e")).select("id", "e.term", "e.weight")
+    assert sorted(flat.collect()) == sorted(long.collect())
+    v = [{r.id: np.outer(r.v, r.v) for r in pj.project(ix, pj.fit_projection(ix)).collect()} for ix in (long, by_row)]
+    assert v[0].keys() == v[1].keys() == {1, 2}
+
+
+def test_dense_takes_ties_by_id(spark):
+    v = spark.createDataFrame([(i, [1.0, 0.0] if i % 3 else [0.6, 0.8]) for i in range(40)], "id long, v array<double>")
+    got = rt.dense(v.filter("id = 4"), v, 5, rows=64).orderBy("rank").collect()
+    assert [r.id for r in got] == [1, 2, 5, 7, 8]
+    assert rt.dense(v.filter("id = 4"), v, 50).count() == 39
