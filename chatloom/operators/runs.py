@@ -81,7 +81,8 @@ def _walk_pairs(conv: pa.DataType):
                 if not some:
                     some, first, held = True, c, c
                 elif c != held:
-                    held, opening, n, head, asked, question, answered, seen = c, False, 0, False, None, None, False, False
+                    # head stays: it tells of the conversation that the partition begins with
+                    held, opening, n, asked, question, answered, seen = c, False, 0, None, None, False, False
                 last = pos
                 if role == "user":
                     asked, question, answered, seen = pos, text, False, True
