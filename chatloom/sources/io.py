@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom.functions.text import normalize
+from chatloom.operators.storage import reachable, stored
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -36,12 +39,93 @@ def read_eval_csv(spark: SparkSession, path: str, arrays: Sequence[str] = ("must
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """(source_file, source_type, unit_type, unit_id, text): a unit for each text file that is not empty when cleaned."""
+    """(source_file, source_type, unit_type, unit_id, text): a unit for each text file that is not empty when cleaned. A file is one value;
+    for large ones there is `read_corpus_parts`."""
     rows = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_file"))
     kind = F.lower(F.regexp_extract("source_file", r"\.([A-Za-z0-9]+)$", 1))
     return rows.select("source_file", kind.alias("source_type"), F.lit("doc").alias("unit_type"), F.lit("1").alias("unit_id"), normalize(F.col("value")).alias("text")).filter("text <> ''")
 
 
+#: Characters of a part of a file, about.
+PART = 1 << 19
+
+
+def _runs(size: int):
+    """Lines (path, name, start, value) of blocks of files as parts of whole lines: (path, name, start, part, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, chars = None, 0, 0
+        lines: list[str] = []
+
+        def made() -> pa.RecordBatch:
+            return pa.record_batch([pa.array([x]) for x in (*held, n, "\n".join(lines))], names=["path", "name", "start", "part", "text"])
+
+        for batch in batches:
+            for *key, line in zip(*(batch.column(c).to_pylist() for c in ("path", "name", "start", "value")), strict=True):
+                if held is not None and (key != held or chars >= size):
+                    yield made()
+                    n, chars = n + 1 if key == held else 0, 0
+                    lines.clear()
+                held = key
+                lines.append(line)
+                chars += len(line) + 1
+        if held is not None:
+            yield made()
+
+    return run
+
+
+def read_corpus_parts(spark: SparkSession, path: str, part: int = PART) -> DataFrame:
+    """(path, source_file, source_type, start, part, text): the cleaned texts of `read_corpus` in parts, in order of start and part,
+    without empty ones; joined by a space they are a file's text. No file is held whole, and one may be read by many tasks.
+
+    A part has whole lines of about `part` characters. A tag may go on over parts: whether one is open where a part begins, and whether it is
+    ever closed, is known from one row of each part.
+    """
+    reachable(spark)
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("start"), "value")
+    parts = stored(rows.mapInArrow(_runs(part), "path string, name string, start long, part long, text string"), "corpus-parts")
+    key, at = ["path", "start", "part"], F.struct("start", "part")
+    # after a > no tag is open; one is where a < came later
+    opens = F.contains(F.substring_index("text", ">", -1), F.lit("<"))
+    marks = parts.select(*key, F.when(F.contains("text", F.lit(">")), at).alias("closes"), F.when(opens, at).alias("opens"))
+    line = Window.partitionBy("path").orderBy("start", "part")
+    before, after = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
+    open_ = F.max("opens").over(before).isNotNull() & (F.max("closes").over(before).isNull() | (F.max("opens").over(before) >= F.max("closes").over(before)))
+    known = marks.select(*key, open_.alias("open"), F.max("closes").over(after).isNotNull().alias("closed"))
+    closing, t = F.contains("text", F.lit(">")), F.col("text")
+    met = parts.join(known, key)
+    # what is left of a tag that began before, and of one that ends later, is nothing, as normalize makes a space of a tag
+    t = F.when(F.col("open") & closing, F.substr(t, F.locate(">", t) + 1)).when(F.col("open") & F.col("closed"), "").otherwise(t)
+    met = met.withColumn("text", t)
+    tail = F.substring_index("text", ">", -1)
+    cut = F.when(F.col("closed"), F.concat(F.left("text", F.length("text") - F.length(tail)), F.substring_index(tail, "<", 1))).otherwise(F.col("text"))
+    kind = F.lower(F.regexp_extract("name", r"\.([A-Za-z0-9]+)$", 1))
+    return met.select("path", F.col("name").alias("source_file"), kind.alias("source_type"), "start", "part", normalize(cut).alias("text")).filter("text <> ''")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, digest = None, None
+    for batch in batches:
+        for *key, text in zip(*(batch.column(c).to_pylist() for c in ("path", "source_file", "source_type", "text")), strict=True):
+            if key != held:
+                if held is not None:
+                    yield pa.record_batch([pa.array([x]) for x in (*held, digest.hexdigest())], names=["path", "source_file", "source_type", "digest"])
+                held, digest = key, hashlib.md5(usedforsecurity=False)
+            else:
+                digest.update(b" ")
+            digest.update(text.encode())
+    if held is not None:
+        yield pa.record_batch([pa.array([x]) for x in (*held, digest.hexdigest())], names=["path", "source_file", "source_type", "digest"])
+
+
+def corpus_digests(parts: DataFrame) -> DataFrame:
+    """(path, source_file, source_type, digest): MD5 of each file's cleaned text. A file's parts pass through one task in order, one at a
+    time, as the digest has it."""
+    reachable(parts.sparkSession)
+    return parts.repartition("path").sortWithinPartitions("path", "start", "part").mapInArrow(_digests, "path string, source_file string, source_type string, digest string")
+
+
 def page_titles(pages: DataFrame) -> DataFrame:
     """(page_id, url, title, text): scripts, styles and tags go, titles fall back to the address."""
     plain = F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
