@@ -72,6 +72,10 @@ def label_sample(labels: DataFrame, value: str, keep, max_rows: int) -> DataFram
 
     Rows with a null id or label take no part; where an id has several labels, the largest holds.
     """
+    return labelled(labels, value, keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+
+
+def labelled(labels: DataFrame, value: str, keep) -> DataFrame:
+    """(doc_id, y) of all labelled rows. Rows with a null id or label take no part; where an id has several labels, the largest holds."""
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col(value).isNotNull() & keep)
-    rows = rows.groupBy("doc_id").agg(F.max(F.col(value).cast("int")).alias("y"))
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    return rows.groupBy("doc_id").agg(F.max(F.col(value).cast("int")).alias("y"))

@@ -6,7 +6,7 @@ Each class has such counts from the labelled texts. What is discounted from them
 counts over all texts, which smooths rare expressions: a word that the labels show once or twice, or never, is judged by
 what both classes share. A text scores the difference of its log-likelihoods in the toxic and the ordinary class over its
 length, for the whole text and for the expressions in it that speak most for toxic, through a logistic function. Its
-weights are fitted on labelled rows, each judged by counts from the other half of them.
+weights are fitted on all labelled rows, each judged by counts from the other half of them.
 
 A context is one of 65,536 classes of left neighbours, and a word's distinct ones are passed on as two bytes each, so that
 counting over all texts moves less than the texts. Numbers of contexts are those of classes, corrected for classes
@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import label_sample, materialize, reachable
+from .common import labelled, materialize, reachable
 
-#: Labelled rows that the class models are fitted on, at most; rows of these for the final weights.
-MAX_ROWS, WEIGHED = 50_000, 10_000
-#: What is taken off counts of contexts: the least that leaves at most MAX_WORDS words in the models of the classes.
-CUTS, MAX_WORDS = tuple(2.0 * 1.5**i for i in range(40)), 200_000
+#: Labelled rows that are sent to all tasks, at most; more are joined.
+SENT = 4_000_000
+#: What is taken off counts of contexts. Words that no class has seen more often share one ratio, exactly, so they need not be kept.
+CUT = 2.0
 #: What is taken off shared counts; what is added to lengths; context classes; words of text that a task holds.
 SHARED_CUT, PAD, CONTEXTS, HELD = 0.75, 2, 1 << 16, 2_000_000
 _LETTER = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -175,61 +175,77 @@ def _features(ratios: Broadcast, other: float):
     return features
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, decay: float = 1.0) -> tuple[float, ...]:
-    """Weights of a logistic regression by Newton's method; decay keeps separable data finite."""
-    x = np.c_[np.ones(len(x)), x]
-    w = np.zeros(x.shape[1])
+def _slopes(weights: np.ndarray):
+    """Gradient and curvature of a logistic loss over rows (y, x), summed for a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, h = np.zeros(len(weights)), np.zeros((len(weights), len(weights)))
+        for batch in batches:
+            if batch.num_rows:
+                x = np.c_[np.ones(batch.num_rows), batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)]
+                p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
+                g += x.T @ (p - batch.column("y").to_numpy())
+                h += (x * (p * (1 - p))[:, None]).T @ x
+        yield pa.record_batch([pa.array([g.tolist()]), pa.array([h.ravel().tolist()])], names=["g", "h"])
+
+    return run
+
+
+def _logistic(rows: DataFrame, n: int, decay: float = 1.0) -> tuple[float, ...]:
+    """Weights of a logistic regression over all rows (y, x), n features each, by Newton's method; decay keeps separable data finite.
+    Each step passes over the rows, of which one row a partition reaches the driver."""
+    w = np.zeros(n + 1)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + decay * 1e-2 * np.eye(len(w))
-        w = w - np.linalg.solve(h, x.T @ (p - y) + decay * 1e-2 * w)
+        sums = rows.select("y", "x").mapInArrow(_slopes(w), "g array<double>, h array<double>").collect()
+        g = sum((np.array(r.g) for r in sums), np.zeros(n + 1)) + decay * 1e-2 * w
+        h = sum((np.array(r.h).reshape(n + 1, -1) for r in sums), np.zeros((n + 1, n + 1))) + decay * 1e-2 * np.eye(n + 1)
+        step = np.linalg.solve(h, g)
+        w = w - step
+        if np.abs(step).max() <= 1e-10 * max(1.0, np.abs(w).max()):
+            break
     return tuple(map(float, w))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, keep: Column | bool = True, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    """A model from labels (doc_id, toxic) with `keep`, at most max_rows of them, and all texts of docs.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, keep: Column | bool = True, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
+    """A model from all labels (doc_id, toxic) with `keep` and all texts of docs.
 
-    Where an id has several labels, the largest holds; where it has several texts, all are counted, and for the weights,
-    fitted on at most WEIGHED rows, one stands for them. Without labels of both classes, every score is the share of toxic
+    Where an id has several labels, the largest holds; where it has several texts, all are counted, and for the weights one
+    stands for them. Without labels of both classes, every score is the share of toxic
     rows, or 0 without rows. Labels of ids that docs lack, and null ids or labels, take no part. A null text counts as empty.
-    At most MAX_WORDS words and WEIGHED rows of features reach the driver and the tasks.
+    The words that a class has seen in more than CUT contexts reach the driver and the tasks, and up to SENT labels the tasks.
     """
     spark = docs.sparkSession
     reachable(spark)
     half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))
-    sample = label_sample(labels, "toxic", F.lit(True) if keep is True else keep, max_rows)
-    # at most max_rows rows; sent to all tasks
+    sample = labelled(labels, "toxic", F.lit(True) if keep is True else keep)
     sample = materialize(sample.select(F.col("doc_id").cast("long").alias("_id"), "y", half.cast("int").alias("half")), "labelled")
+    known = F.broadcast(sample) if sample.count() <= SENT else sample
     rows = docs.select(docs[id_col].cast("long").alias("_doc"), docs[text_col].cast("string").alias("_text"))
     kind = F.when(F.col("y") == 1, F.lit(TA)).when(F.col("y") == 0, F.lit(OA)) + F.col("half")
-    joined = rows.join(F.broadcast(sample), F.col("_doc") == F.col("_id"), "left").select("_text", F.coalesce(kind, F.lit(ALL)).alias("kind"))
+    joined = rows.join(known, F.col("_doc") == F.col("_id"), "left").select("_text", F.coalesce(kind, F.lit(ALL)).alias("kind"))
     seen = joined.mapInArrow(_contexts, "word binary, kind int, contexts binary")
     counts = seen.repartition("word").sortWithinPartitions("word").mapInArrow(_counted, "word binary, " + ", ".join(f"{c} double" for c in COUNTED))
     counts = materialize(counts, "words")
     most = F.greatest("t", "o")
-    kept = counts.agg(*(F.count_if(most > c).alias(f"c{i}") for i, c in enumerate(CUTS))).first()
-    cut = next((c for i, c in enumerate(CUTS) if kept[i] <= MAX_WORDS), CUTS[-1])
-    off = {"n": SHARED_CUT} | dict.fromkeys(COUNTED[1:], cut)
+    off = {"n": SHARED_CUT} | dict.fromkeys(COUNTED[1:], CUT)
     sums = counts.agg(*(F.sum(c).alias(c) for c in COUNTED), *(F.sum(F.least(c, F.lit(v))).alias(f"cut_{c}") for c, v in off.items())).first().asDict()
     sums = {k: v or 0.0 for k, v in sums.items()}
 
     model = ToxicityModel()
-    chosen = sample.orderBy(F.xxhash64("_id", F.lit(2)), "_id").limit(WEIGHED)
     if not sums["t"] or not sums["o"]:
         share = sample.agg(F.avg("y").alias("y")).first().y or 0.0
         model.ratios, model.weights = spark.sparkContext.broadcast({}), (60.0 if share == 1 else -60.0, 0.0, 0.0, 0.0)
         return model
     halves = [("t", "o"), ("tb", "ob"), ("ta", "oa")]  # rows of the first half are judged by counts of the second
     halves = [h if sums[h[0]] and sums[h[1]] else halves[0] for h in halves]
-    found = counts.filter(most > cut).select("word", *(_ratio(t, o, sums, cut).alias(f"r{i}") for i, (t, o) in enumerate(halves))).toArrow()
+    found = counts.filter(most > CUT).select("word", *(_ratio(t, o, sums, CUT).alias(f"r{i}") for i, (t, o) in enumerate(halves))).toArrow()
     words = found.column("word").to_pylist()
     others = [float(np.log(sums[f"cut_{t}"] / sums[t] / (sums[f"cut_{o}"] / sums[o]))) for t, o in halves]
     models = [ToxicityModel(spark.sparkContext.broadcast(dict(zip(words, found.column(f"r{i}").to_pylist(), strict=True))), others[i]) for i in range(3)]
-    picked = rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_doc", "_text", "y", "half")
+    picked = rows.join(known, F.col("_doc") == F.col("_id")).select("_doc", "_text", "y", "half")
     judged = [picked.filter(F.col("half") == i - 1).select("_doc", "y", models[i].features(F.col("_text")).alias("x")) for i in (1, 2)]
-    judged = judged[0].union(judged[1]).groupBy("_doc").agg(F.min(F.struct("y", "x")).alias("r")).select("_doc", "r.*").toArrow().sort_by("_doc")
-    y = np.array(judged.column("y").to_pylist(), float)
-    models[0].weights = _logistic(np.array(judged.column("x").to_pylist()), y)
+    judged = judged[0].union(judged[1]).groupBy("_doc").agg(F.min(F.struct("y", "x")).alias("r")).select("r.*")
+    models[0].weights = _logistic(materialize(judged, "judged"), 3)
     for m in models[1:]:
         m.ratios.unpersist()
     return models[0]
