@@ -61,9 +61,10 @@ def _folder(spark):
     return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
 
 
-def _drained(spark, stream):
+def _drained(spark, stream, groups: int | None = None):
+    """What a stream gives; keys that were dealt to groups share partitions, eight groups each, two of them for a core at least."""
     run = f"{_folder(spark)}/stream-{uuid.uuid4().hex}"
-    return streams.drained(stream, f"{run}/out", f"{run}/state")
+    return streams.drained(stream, f"{run}/out", f"{run}/state", groups and max(2 * spark.sparkContext.defaultParallelism, groups // 8))
 
 
 @query("""select epoch(date_trunc('hour', ts))::bigint as start, event_type, count(*) as n, round(sum(value), 6) as value from events
@@ -90,18 +91,21 @@ h as (select key, id, tm, since from b where tm - since >= 3600)"""
 
 @query(f"with {_ISLANDS} select key, tm as \"at\", since from h where {_OUT}")
 def STR3_breach_since(spark, d):
-    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0, groups=_groups(table(spark, d, "events")), slots=_SLOTS))
+    groups = _groups(table(spark, d, "events"))
+    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0, groups=groups, slots=_SLOTS), groups)
 
 
 @query(f"with recursive {_ISLANDS}, {chain_sql('h', 5 * 86400.0)} select h.key, h.tm as \"at\", h.since from h join c on h.key = c.key and h.id = c.x.id where {_OUT}")
 def STR4_cooled_alerts(spark, d):
-    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0, 5 * 86400.0, groups=_groups(table(spark, d, "events")), slots=_SLOTS))
+    groups = _groups(table(spark, d, "events"))
+    return _drained(spark, streams.breach_alerts(_events(spark, d), "user_id", "event_id", F.col("event_type") == "error", 3600.0, 5 * 86400.0, groups=groups, slots=_SLOTS), groups)
 
 
 @query(f"with recursive e as (select user_id as key, event_id as id, epoch(ts) as tm from events), {chain_sql('e', 6 * 3600.0)} select e.id as event_id, e.key as user_id, c.key is not null as accepted from e left join c on c.key = e.key and c.x.id = e.id where {_OUT}")
 def STR2_admission(spark, d):
     """One event of a user in any six hours, decided as the stream goes."""
-    out = _drained(spark, streams.admitted(_events(spark, d), "user_id", "event_id", 6 * 3600.0, 1, groups=_groups(table(spark, d, "events")), slots=_SLOTS))
+    groups = _groups(table(spark, d, "events"))
+    out = _drained(spark, streams.admitted(_events(spark, d), "user_id", "event_id", 6 * 3600.0, 1, groups=groups, slots=_SLOTS), groups)
     return out.select(F.col("id").alias("event_id"), F.col("key").alias("user_id"), "accepted")
 
 
@@ -109,7 +113,8 @@ def STR2_admission(spark, d):
 def STR5_first_seen(spark, d):
     """Kinds of events of a user that were not seen in the seven days before."""
     keyed = _events(spark, d).withColumn("key", F.md5(F.concat_ws(":", F.col("user_id").cast("string"), "event_type")))
-    return _drained(spark, streams.first_seen(keyed, "key", "event_id", 7 * 86400.0, groups=_groups(table(spark, d, "events")), slots=_SLOTS).select("key")).agg(F.count("*").alias("kept"), F.count_distinct("key").alias("keys"))
+    groups = _groups(table(spark, d, "events"))
+    return _drained(spark, streams.first_seen(keyed, "key", "event_id", 7 * 86400.0, groups=groups, slots=_SLOTS).select("key"), groups).agg(F.count("*").alias("kept"), F.count_distinct("key").alias("keys"))
 
 
 @query(f"""with recursive e as (select md5(role || ':' || lower({sql_normalize('text')})) as key, conv_id * 1000 + turn as id, role, length({sql_normalize('text')}) as size, 86400.0::double + conv_id * 60 + turn as tm from conversations where role in ('user', 'assistant') and {sql_normalize('text')} <> ''),
@@ -117,7 +122,8 @@ def STR5_first_seen(spark, d):
 def STR5_cleaned_turns(spark, d):
     """Turns as a stream, cleaned, each text of a role once in two hours; a turn's time is made of its place."""
     turns = table(spark, d, "conversations").select(F.timestamp_seconds(F.lit(86400) + F.col("conv_id") * 60 + F.col("turn")).alias("ts"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
-    return _drained(spark, streams.cleaned(_fed(spark, turns), 7200.0, groups=_groups(turns), slots=_SLOTS).select("key", "role", F.length("text").alias("size")))
+    groups = _groups(turns)
+    return _drained(spark, streams.cleaned(_fed(spark, turns), 7200.0, groups=groups, slots=_SLOTS).select("key", "role", F.length("text").alias("size")), groups)
 
 
 @query(f"with {_PAGES} select pc.id || '-' || (row_number() over (partition by pc.id order by p.char_start) - 1) as unit_id, pg.url as source_url, title, p.chunk as text from pc join pg on page_id = pc.id")

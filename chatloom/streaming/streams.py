@@ -184,7 +184,16 @@ def breach_alerts(points: DataFrame, key: str, id_col: str, breach: Column, hold
     return _in_order(rows, late, slot, decide, lambda memo: None if memo[0] >= 0 else memo[1] + cooldown, f"key {dict(points.dtypes)[key]}, at double, since double", groups, slots)
 
 
-def drained(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run a stream over what there is, into Parquet files, and read them."""
-    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+def drained(stream: DataFrame, path: str, checkpoint: str, partitions: int | None = None) -> DataFrame:
+    """Run a stream over what there is, into Parquet files, and read them. partitions: those of its state, at most; every batch opens
+    and keeps the store of each, which costs more than the rows where they are many."""
+    conf = stream.sparkSession.conf
+    was = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(min(int(was), max(1, partitions or int(was)))))
+    try:
+        # a query keeps the number that it was started with
+        running = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", was)
+    running.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
