@@ -1,7 +1,7 @@
 """Main text of web pages: blocks by markup, and a suffix array for each host that finds what its pages repeat.
 
-Pages are dealt by host, large hosts in shards, so that a task holds the token streams of a bounded number of characters. It
-concatenates them, with a mark between pages that is like nothing else, and sorts all suffixes by their first tokens: ranks of
+Pages are dealt by host, large hosts in shards, so that a task holds the token streams of a bounded number of characters. What a
+large host repeats is counted over all its shards, by hashes of runs of tokens. For other hosts, a task concatenates the streams, with a mark between pages that is like nothing else, and sorts all suffixes by their first tokens: ranks of
 single tokens, then of pairs, fours and so on, each from two ranks of half the length. Neighbours of one rank begin alike for
 that long, so what distinct pages repeat are runs of suffixes of one rank, and longer repeats are covered by several. Blocks
 that are covered are a host's template, unless the markup says that they belong to the article.
@@ -12,10 +12,13 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +74,7 @@ class _Open(NamedTuple):
     parent: int
 
 
+@lru_cache(1 << 14)
 def _kind(name: str, attributes: str, around: str) -> str:
     """What an element makes of the text in it, by what it stands in."""
     if around == "outside" or name in OUTSIDE:
@@ -253,11 +257,179 @@ def chosen(blocks: list[Block], met: set[str], covered: list[float]) -> list[int
     return [i for i in free if covered[i] < 0.5 or (sure[0] < i < sure[-1] and blocks[i].paragraph and blocks[i].parent in boxes)]
 
 
+def _hashed(values: list[str]) -> np.ndarray:
+    """64-bit hashes of texts, the same in all tasks."""
+    return pd.util.hash_array(np.array(values, object), categorize=False) if values else np.zeros(0, np.uint64)
+
+
+class _Streams(NamedTuple):
+    """Token streams of pages of large hosts: the blocks of each, tokens of each block, hashes of all windows with their hosts (g), which lie
+    within one page (inside), and the page of each token."""
+
+    parsed: list
+    sizes: np.ndarray
+    g: np.ndarray
+    inside: np.ndarray
+    page: np.ndarray
+
+
+def _streams(rows: list[tuple], window: int) -> _Streams:
+    parsed = [blocks_of(r[4] or "") for r in rows]
+    words = pc.split_pattern(pa.array([b.text for blocks, _ in parsed for b in blocks], pa.string()), " ")
+    sizes, coded = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64), words.flatten().dictionary_encode()
+    page = np.repeat(np.repeat(np.arange(len(rows)), [len(blocks) for blocks, _ in parsed]), sizes)
+    n = max(0, len(page) - window + 1)
+    value, g = _hashed(coded.dictionary.to_pylist())[coded.indices.to_numpy()], np.zeros(n, np.uint64)
+    for i in range(window):
+        g = g * np.uint64(0x9E3779B97F4A7C15) + value[i : i + n]
+    g = (g ^ (g >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + _hashed([r[0] for r in rows])[page[:n]]
+    g = (g ^ (g >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return _Streams(parsed, sizes, g ^ (g >> np.uint64(32)), page[:n] == page[window - 1 :][:n], page)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple]]:
+    """Rows (h, s, id, url, x), up to about size characters at a time."""
+    held: list[tuple] = []
+    chars = 0
+    for batch in batches:
+        for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.append(r)
+            chars += len(r[4] or "")
+            if chars >= size:
+                yield held
+                held, chars = [], 0
+    if held:
+        yield held
+
+
+#: Counts by which windows are ruled out before they are shuffled: two to the power of this many.
+CELLS = 28
+
+
+def _of_keys(rows: list[tuple], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of some pages with the key and the shard of each."""
+    made = _streams(rows, window)
+    at = np.flatnonzero(made.inside)
+    page = made.page[at]
+    key = _hashed([max((b.text for b in blocks), key=len, default="") for blocks, _ in made.parsed])
+    return made.g[at], key[page], np.array([r[1] for r in rows], np.int64)[page]
+
+
+def _firsts(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by columns, and which of them in it differ from the one before."""
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    return order, new
+
+
+def _cells(size: int, window: int):
+    """(block, offsets): the cells of windows; 65,536 cells a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed() -> pa.RecordBatch:
+            cell = np.sort(np.concatenate(held))
+            starts = np.flatnonzero(np.append(True, cell[1:] >> 16 != cell[:-1] >> 16)) if len(cell) else np.zeros(0, np.int64)
+            low, ends = (cell & 0xFFFF).astype("<u2"), np.append(starts[1:], len(cell))
+            return pa.record_batch([pa.array((cell[starts] >> 16).astype(np.int32)), pa.array([low[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["block", "offsets"])
+
+        held: list[np.ndarray] = []
+        for rows in _parts(batches, size):
+            # a key counts more than once here, which rules out less and never too much
+            made = _streams(rows, window)
+            held.append((made.g[made.inside] >> np.uint64(64 - CELLS)).astype(np.uint32))
+            if sum(map(len, held)) > 4_000_000:
+                yield flushed()
+                held = []
+        if held:
+            yield flushed()
+
+    return run
+
+
+def _crowded(least: int):
+    """(block, bits) of blocks (block, all offsets): which cells hold at least so many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.bincount(np.frombuffer(b"".join(o), "<u2"), minlength=1 << 16) >= least).tobytes() for o in batch.column("offsets").to_pylist()]
+            yield pa.record_batch([batch.column("block"), pa.array(bits, pa.binary())], names=["block", "bits"])
+
+    return run
+
+
+def _few(g: np.ndarray, key: np.ndarray, shard: np.ndarray, least: int) -> pa.RecordBatch:
+    """Of windows, the first `least` keys of each, and one row for each shard that has it: more tell nothing else."""
+    keep = np.zeros(len(g), bool)
+    order, new = _firsts(g, key)
+    seen, starts = new.cumsum(), np.flatnonzero(np.append(True, g[order][1:] != g[order][:-1])[: len(g)])
+    rank = seen - np.repeat(seen[starts], np.diff(np.append(starts, len(g))))
+    keep[order[new & (rank < least)]] = True
+    order, new = _firsts(g, shard)
+    keep[order[new]] = True
+    return pa.record_batch([pa.array(g[keep].view(np.int64)), pa.array(key[keep].view(np.int64)), pa.array(shard[keep])], names=["g", "key", "s"])
+
+
+def _candidates(size: int, window: int, least: int, sent):
+    """(g, key, s): windows in crowded cells, with keys and shards of their pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for rows in _parts(batches, size):
+            found = _of_keys(rows, window)
+            cell = (found[0] >> np.uint64(64 - CELLS)).astype(np.int64)
+            some = np.flatnonzero(sent.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1)
+            held.append(tuple(c[some] for c in found))
+            if sum(len(h[0]) for h in held) > 2_000_000:
+                yield _few(*map(np.concatenate, zip(*held, strict=True)), least)
+                held = []
+        if held:
+            yield _few(*map(np.concatenate, zip(*held, strict=True)), least)
+
+    return run
+
+
+def _host_repeats(rows: DataFrame, size: int, window: int, least: int) -> DataFrame:
+    """(s, known): windows that pages of at least `least` different longest blocks of a host hold, all shards together, for each shard
+    the ones it has. Counts of hashes rule out most windows before the rest is shuffled; the rest is counted exactly."""
+    found = rows.mapInArrow(_cells(size, window), "block int, offsets binary").groupBy("block").agg(F.collect_list("offsets").alias("offsets"))
+    blocks = materialize(found.mapInArrow(_crowded(least), "block int, bits binary"), "crowded-cells").toArrow()
+    crowded = np.zeros((1 << (CELLS - 16), 1 << 13), np.uint8)
+    for block, bits in zip(blocks.column("block").to_pylist(), blocks.column("bits").to_pylist(), strict=True):
+        crowded[block] = np.frombuffer(bits, np.uint8)
+    sent = rows.sparkSession.sparkContext.broadcast(crowded.reshape(-1))
+    each = rows.mapInArrow(_candidates(size, window, least, sent), "g long, key long, s long").groupBy("g").agg(F.collect_set("key").alias("keys"), F.collect_set("s").alias("s"))
+    enough = each.filter(F.size("keys") >= least).select("g", F.explode("s").alias("s"))
+    repeats = materialize(enough.groupBy("s").agg(F.collect_list("g").alias("known")), "host-repeats")
+    # executors hold it on disk, too
+    sent.destroy(blocking=True)
+    return repeats
+
+
 _OUT = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_blocks", pa.int64()), ("n_repeated", pa.int64())])
 
 
+def _covered(hit: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The share of each block's tokens that are hit."""
+    ends, below = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.concatenate([[0], np.cumsum(hit)])
+    return (below[ends[1:]] - below[ends[:-1]]) / np.maximum(1, sizes) if len(sizes) else np.zeros(0)
+
+
+def _written(rows: list[tuple], parsed: list, share: np.ndarray) -> pa.RecordBatch:
+    out, at = [], 0
+    for r, (blocks, met) in zip(rows, parsed, strict=True):
+        covered = share[at : at + len(blocks)].tolist()
+        at += len(blocks)
+        text = " ".join(blocks[i].text for i in chosen(blocks, met, covered))
+        out.append((r[2], r[3], text, len(text), len(blocks), sum(c >= 0.5 for c in covered)))
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * len(_OUT), _OUT, strict=True)], schema=_OUT)
+
+
 def _extracted(rows: list[tuple], window: int, least: int) -> pa.RecordBatch:
-    """Pages of some whole shards, their streams concatenated; words of different shards are different tokens."""
+    """Pages of some whole hosts, their streams concatenated; words of different hosts are different tokens."""
     parsed = [blocks_of(r[4] or "") for r in rows]
     known: dict = {}
     shards: dict = {}
@@ -275,33 +447,47 @@ def _extracted(rows: list[tuple], window: int, least: int) -> pa.RecordBatch:
         key.append(np.full(count, mine, np.int64))
     joined = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
     hit = repeated(np.array(tokens, np.int64), joined(page, np.int32), joined(key, np.int64), window, least)
-    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    below = np.concatenate([[0], np.cumsum(hit)])
-    share = (below[ends[1:]] - below[ends[:-1]]) / np.maximum(1, np.array(sizes)) if sizes else np.zeros(0)
-    out, at = [], 0
-    for r, (blocks, met) in zip(rows, parsed, strict=True):
-        covered = share[at : at + len(blocks)].tolist()
-        at += len(blocks)
-        text = " ".join(blocks[i].text for i in chosen(blocks, met, covered))
-        out.append((r[2], r[3], text, len(text), len(blocks), sum(c >= 0.5 for c in covered)))
-    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * len(_OUT), _OUT, strict=True)], schema=_OUT)
+    return _written(rows, parsed, _covered(hit, np.array(sizes, np.int64)))
+
+
+def _of_shard(rows: list[tuple], window: int, known: np.ndarray) -> pa.RecordBatch:
+    """Pages of a shard of a large host; known are the windows that the host repeats."""
+    made = _streams(rows, window)
+    known = np.sort(known)
+    place = np.minimum(np.searchsorted(known, made.g), len(known) - 1)
+    hits = np.flatnonzero(made.inside & (known[place] == made.g)) if len(known) else np.zeros(0, np.int64)
+    ends = np.zeros(len(made.page) + window + 1, np.int64)
+    np.add.at(ends, hits, 1)
+    np.add.at(ends, hits + window, -1)
+    return _written(rows, made.parsed, _covered(ends[: len(made.page)].cumsum() > 0, made.sizes))
 
 
 def _tasks(size: int, window: int, least: int):
-    """Rows come shard by shard; whole shards are taken together up to size characters."""
+    """Rows come shard by shard, what its host repeats before the pages of a large host's shard; whole small hosts are taken together up to
+    size characters, and pages of a shard up to as many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        chars = 0
+        chars, large, known = 0, None, np.zeros(0, np.uint64)
+
+        def done() -> pa.RecordBatch:
+            return _extracted(held, window, least) if large is None else _of_shard(held, window, known)
+
         for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if chars >= size and held[-1][:2] != r[:2]:
-                    yield _extracted(held, window, least)
+            for *r, big, mine in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = r[1] if big else None
+                if held and (at != large or (chars >= size and (big or tuple(held[-1][:2]) != tuple(r[:2])))):
+                    yield done()
                     held, chars = [], 0
-                held.append(r)
+                if at != large:
+                    large, known = at, np.zeros(0, np.uint64)
+                if mine is not None:
+                    known = np.array(mine, np.int64).view(np.uint64)
+                    continue
+                held.append(tuple(r))
                 chars += len(r[4] or "")
         if held:
-            yield _extracted(held, window, least)
+            yield done()
 
     return run
 
@@ -318,7 +504,7 @@ def extract_pages(pages: DataFrame, shard: int = 2_000_000, window: int = 8, lea
     and the like, and less repeated ones outside paragraphs. Elsewhere blocks are the text that are neither links in the main,
     named so, nor covered by repeats; a repeated paragraph stays where it lies among others of its box that don't repeat.
     Repeats are runs of `window` tokens or more on at least `least` pages of a host. A host of more than `shard` characters is
-    dealt by hash into shards of about as many, hundreds of pages each, which show the host's template as a whole host does.
+    dealt by hash into shards of about as many; its repeats are counted over all of them, so that results don't depend on `shard`.
     """
     reachable(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(pages[url_col].cast("string"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -332,7 +518,13 @@ def extract_pages(pages: DataFrame, shard: int = 2_000_000, window: int = 8, lea
         # a large host is known by every one of 64 salts, so that its pages don't meet in one task to learn of it
         salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
         rows = rows.withColumn("salt", F.pmod("k", F.lit(64)).cast("int")).join(salted, ["h", "salt"], "left")
-    # the hash itself goes into the key where a host has several shards
-    rows = rows.select("h", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("k"), F.col("n"))).otherwise(0).alias("s"), "id", "url", "x")
-    out = rows.repartition("h", "s").sortWithinPartitions("h", "s").mapInArrow(_tasks(shard, window, least), "id long, url string, text string, n_chars long, n_blocks long, n_repeated long")
+    # a shard's number is a hash of it and its host; small hosts have one of the host alone
+    big = F.col("n").isNotNull()
+    rows = rows.select("h", F.when(big, F.xxhash64("h", F.pmod(F.xxhash64("k"), F.col("n")))).otherwise(F.xxhash64("h")).alias("s"), "id", "url", "x", big.alias("big")).withColumn("known", F.lit(None).cast("array<long>"))
+    if not sizes.isEmpty():
+        repeats = _host_repeats(rows.filter("big").select("h", "s", "id", "url", "x"), shard, window, least)
+        none = [F.lit(None).cast("long").alias("id"), *(F.lit(None).cast("string").alias(n) for n in ("url", "x"))]
+        rows = rows.unionByName(repeats.select(F.lit(None).cast("string").alias("h"), "s", *none, F.lit(True).alias("big"), "known"))
+    dealt = rows.repartition("s").sortWithinPartitions("s", F.col("known").isNull(), "h")
+    out = dealt.mapInArrow(_tasks(shard, window, least), "id long, url string, text string, n_chars long, n_blocks long, n_repeated long")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars", "n_blocks", "n_repeated")

@@ -117,6 +117,22 @@ def test_template_of_a_host_goes_and_articles_that_copy_each_other_stay(spark):
     assert all(top not in t for t in texts(spark, many, shard=6000).values())
 
 
+def test_size_of_shards_changes_nothing(spark):
+    draw = random.Random(5)
+    sentence = lambda n: " ".join(f"w{draw.randrange(3000)}" for _ in range(n))
+    # notes that three, four or two pages of a host share, so that no shard has them all
+    notes = [sentence(draw.randint(8, 20)) for _ in range(60)]
+    rows = []
+    for i in range(150):
+        own = "".join(f"<p>{sentence(30)}</p><div>{notes[n]}</div>" for n in range(60) if (i * 7 + n * 11) % 47 == 0)
+        rows.append((i, f"http://{'one' if i % 3 else 'two'}.example.com/{i}", f"<div>{own}<p>{sentence(40)}</p></div>"))
+    rows += [(200, "http://one.example.com/c", rows[1][2]), (201, None, None), (202, "http://one.example.com/e", ""), (203, "http://two.example.com/s", "<p>few words</p>")]
+    want = sorted(pages.extract_pages(table_of(spark, rows)).collect(), key=lambda r: r.page_id)
+    assert sum(r.n_repeated for r in want) > 20
+    for shard in (3000, 20_000):
+        assert sorted(pages.extract_pages(table_of(spark, rows), shard=shard).collect(), key=lambda r: r.page_id) == want
+
+
 def test_rows_of_all_kinds(spark):
     rows = [(None, None, None), (1, None, ""), (1, "http://x.y/", "<p>same</p>"), (1, "http://x.y/", "<p>same</p>"), (2, "no url", "<p>a</p>"), (3, "//Host.Example/a", "<p>b</p>")]
     out = pages.extract_pages(table_of(spark, rows))
